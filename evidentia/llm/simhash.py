@@ -68,14 +68,21 @@ def _mask(segments: list[tuple[int, int]], start: int, length: int) -> int:
     return _signed(sum(((1 << n) - 1) << a for a, n in picked))
 
 
-def _keys(fp: Column, segments: list[tuple[int, int]], slack: int) -> Column:
-    """Structs ``(slot, part)``: fingerprints within ``slack`` (0 or 1) bits of each other in a segment share one."""
-    out = []
+def _keyed(fps: DataFrame, segments: list[tuple[int, int]], slack: int) -> DataFrame:
+    """``(fp, key)``, a row for each slot: fingerprints within ``slack`` (0 or 1) bits of each other in a segment share a key.
+
+    A slot is the first bit of its segment (slack 0), or any bit of it, which the key then has blank.
+    The key holds the slot above 32 bits of the segment.
+    """
+    fp, slot = F.col("fp"), F.col("slot")
+    slots = F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))) if slack else F.explode(F.array(*(F.lit(a) for a, _ in segments)))
+    part = None
     for a, n in segments:
-        part = F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << n) - 1))
-        holes = [(a, 0)] if slack == 0 else [(a + j, 1 << j) for j in range(n)]
-        out += [F.struct(F.lit(slot).alias("slot"), part.bitwiseAND(F.lit(((1 << n) - 1) & ~hole)).alias("part")) for slot, hole in holes]
-    return F.explode(F.array(*out))
+        own = F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << n) - 1))
+        if slack:
+            own = own.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), slot - a)))
+        part = F.when(slot < a + n, own) if part is None else part.when(slot < a + n, own)
+    return fps.select("fp", slots.alias("slot")).select("fp", F.shiftleft(slot.cast("long"), 32).bitwiseOR(part).alias("key"))
 
 
 def _within(a: Column, b: Column, slot: Column, segments: list[tuple[int, int]], budget: int, once: bool) -> Column:
@@ -111,27 +118,23 @@ def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 3) -> Dat
     if not budget // segments <= 1:
         raise ValueError("take more segments: each key has one blanked bit at most")
     ring = _segments(segments)
-    keyed = fps.select("fp", _keys(F.col("fp"), ring, budget // segments).alias("k")).select("fp", "k.slot", "k.part")
-    groups = keyed.groupBy("slot", "part").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
-    shared = materialise(keyed.join(groups.filter("pivot <> other").select("slot", "part", "pivot"), ["slot", "part"]), "simhash-keys")
+    keyed = _keyed(fps, ring, budget // segments)
+    groups = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
+    shared = materialise(keyed.join(groups.filter("pivot <> other").select("key", "pivot"), "key"), "simhash-keys")
     star = shared.filter((F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= budget))
     first = materialise(connected_components(star.select(F.col("fp").alias("u"), F.col("pivot").alias("v"))), "simhash-first")
 
-    named = shared.select("slot", "part", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
-    named = named.select("slot", "part", "fp", F.coalesce("root", "fp").alias("root"))
-    named = materialise(named, "simhash-named")
-    sizes = named.groupBy("slot", "part", "root").count().groupBy("slot", "part")
+    named = shared.select("key", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    named = materialise(named.select("key", "fp", F.coalesce("root", "fp").alias("root")), "simhash-named")
+    sizes = named.groupBy("key", "root").count().groupBy("key")
     mixed = sizes.agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    mixed = materialise(mixed.select("slot", "part", "main"), "simhash-mixed")
-    met = materialise(named.join(mixed, ["slot", "part"]), "simhash-met")
-    a = met.filter("root <> main").select("slot", "part", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
-    b = met.select("slot", "part", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"), "main")
+    met = materialise(named.join(mixed.select("key", "main"), "key"), "simhash-met")
+    a = met.filter("root <> main").select(F.col("key").alias("key_a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
+    b = met.select("key", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"), "main")
     fresh = (F.col("root_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b"))
-    near = _within(F.col("fp_a"), F.col("fp_b"), F.col("sa"), ring, budget, budget // segments == 1)
-    pairs = a.withColumnsRenamed({"slot": "sa", "part": "pa"}).join(
-        b.withColumnsRenamed({"slot": "sb", "part": "pb"}),
-        (F.col("sa") == F.col("sb")) & (F.col("pa") == F.col("pb")) & (F.col("root_a") != F.col("root_b")) & fresh & near,
-    )
+    slot = F.shiftright("key_a", 32).cast("int")
+    near = _within(F.col("fp_a"), F.col("fp_b"), slot, ring, budget, budget // segments == 1)
+    pairs = a.join(b, (F.col("key_a") == F.col("key")) & (F.col("root_a") != F.col("root_b")) & fresh & near)
     second = connected_components(pairs.select(F.col("root_a").alias("u"), F.col("root_b").alias("v")))
     second = second.select(F.col("node").alias("root"), F.col("root").alias("top"))
     inner = first.select(F.col("node").alias("fp"), "root").union(first.select(F.col("root").alias("fp"), "root").distinct())
