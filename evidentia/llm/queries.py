@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import table
+from evidentia.llm.packing import pack
+from evidentia.llm.sharding import shard
 from evidentia.llm.simhash import simhash_components
+from evidentia.llm.tokens import count_tokens
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def op2_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +25,25 @@ def op2_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op4_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("part").alias("virtual_slot"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
+    "op3_token_counts": op3_token_counts,
+    "op4_min_bin_slack": op4_min_bin_slack,
+    "op6_virtual_slots": op6_virtual_slots,
 }
 
 ORACLE_SQL: dict[str, str] = {}
