@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.common import table
 from evidentia.llm.packing import pack
+from evidentia.llm.quality import judge
 from evidentia.llm.sharding import shard
 from evidentia.llm.simhash import simhash_components
 from evidentia.llm.tokens import count_tokens
@@ -20,6 +21,11 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_adaptive_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op2_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -40,6 +46,7 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_adaptive_thresholds": op1_adaptive_thresholds,
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
     "op3_token_counts": op3_token_counts,
     "op4_min_bin_slack": op4_min_bin_slack,
