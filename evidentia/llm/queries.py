@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import table
+from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
 from evidentia.llm.quality import judge
 from evidentia.llm.sharding import shard
@@ -45,12 +46,17 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("part").alias("virtual_slot"))
 
 
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_adaptive_thresholds": op1_adaptive_thresholds,
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
     "op3_token_counts": op3_token_counts,
     "op4_min_bin_slack": op4_min_bin_slack,
     "op6_virtual_slots": op6_virtual_slots,
+    "op8_line_windows": op8_line_windows,
 }
 
 ORACLE_SQL: dict[str, str] = {}
