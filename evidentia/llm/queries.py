@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import table
+from evidentia.llm.decontam import find_leaks
 from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
 from evidentia.llm.quality import judge
@@ -41,6 +42,11 @@ def op4_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", "question_overlap", "answer_overlap")
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(table(spark, sf_dir, "documents"), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("part").alias("virtual_slot"))
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
     "op3_token_counts": op3_token_counts,
     "op4_min_bin_slack": op4_min_bin_slack,
+    "op5_block_max_wand": op5_block_max_wand,
     "op6_virtual_slots": op6_virtual_slots,
     "op8_line_windows": op8_line_windows,
 }
