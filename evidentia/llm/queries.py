@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.common import table
 from evidentia.llm.decontam import find_leaks
+from evidentia.llm.lattice import score_texts
 from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
 from evidentia.llm.quality import judge
@@ -52,6 +53,11 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("part").alias("virtual_slot"))
 
 
+def op7_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return score_texts(table(spark, sf_dir, "documents"), held_out, tokenizer_file("piece_bpe_32k.model"))
+
+
 def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_min_bin_slack": op4_min_bin_slack,
     "op5_block_max_wand": op5_block_max_wand,
     "op6_virtual_slots": op6_virtual_slots,
+    "op7_subword_lattice": op7_subword_lattice,
     "op8_line_windows": op8_line_windows,
 }
 
