@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidentia.llm.classifier import score_quality
 from evidentia.llm.common import table
 from evidentia.llm.decontam import find_leaks
+from evidentia.llm.htmltext import extract
 from evidentia.llm.lattice import score_texts
 from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
@@ -62,6 +64,16 @@ def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
+def op9_fourier_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_adaptive_thresholds": op1_adaptive_thresholds,
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
@@ -71,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_virtual_slots": op6_virtual_slots,
     "op7_subword_lattice": op7_subword_lattice,
     "op8_line_windows": op8_line_windows,
+    "op9_fourier_ridge": op9_fourier_ridge,
+    "op10_page_differencing": op10_page_differencing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
