@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from evidentia.plans import retrieval
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**retrieval.QUERIES}
+ORACLE_SQL: dict[str, str] = {**retrieval.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k best documents for each question by BM25."""
     return QUERIES["tk2_sparse_topk"](spark, sf_dir)
