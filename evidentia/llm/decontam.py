@@ -26,8 +26,8 @@ THRESHOLD = 0.6
 #: Shingle length and share for questions; share of words for answers.
 SHINGLE, QUESTION_OVERLAP, ANSWER_OVERLAP = 5, 0.8, 0.8
 K1, B = 1.2, 0.75
-#: Postings in a block of an inverted list, and item parts in a block of the whole-text bound.
-POSTINGS, PARTS = 64, 16
+#: Postings in a block of an inverted list; the bound for whole texts has blocks of this many parts or more, COLUMNS blocks at most.
+POSTINGS, PARTS, COLUMNS = 64, 4, 128
 #: Items and bytes of one broadcast index: a larger benchmark takes several, each against all documents.
 INDEX_ITEMS, INDEX_BYTES = 20_000, 8_000_000
 
@@ -89,22 +89,50 @@ class Index:
         self.last = [[d[min(i + POSTINGS, len(d)) - 1] for i in range(0, len(d), POSTINGS)] for d in self.docs]
         self.block_most = [[max(x[i : i + POSTINGS]) for i in range(0, len(x), POSTINGS)] for x in self.impacts]
         # For the bound over whole texts: row of a term, column of a block of parts; the last row is for unknown words.
-        self.bound = np.zeros((len(lists) + 1, -(-len(self.owner) // PARTS) or 1), np.float32)
+        size = max(PARTS, -(-len(self.owner) // COLUMNS))
+        self.bound = np.zeros((len(lists) + 1, -(-len(self.owner) // size) or 1), np.float32)
         for t, (d, x) in enumerate(zip(self.docs, self.impacts, strict=True)):
-            np.maximum.at(self.bound[t], np.array(d) // PARTS, np.array(x, np.float32))
+            np.maximum.at(self.bound[t], np.array(d) // size, np.array(x, np.float32))
 
     def passages(self, words: list[str]) -> Iterator[int]:
-        """Starts of passages in which some block of parts may reach the threshold: sums of block maxima bound the scores."""
+        """Starts of passages in which some block of parts may reach the threshold.
+
+        The bound of a passage and a block is the sum of block maxima over the passage's distinct words. It is added
+        up from two halves: of a half that begins the passage each word's first place counts, of one that
+        ends it only words that the half before doesn't have.
+        """
         unknown = len(self.docs)
         ids = np.fromiter((self.terms.get(w, unknown) for w in words), np.int64, len(words))
-        step = 1 << 14
-        for a in range(0, max(1, len(words) - STRIDE), step):
-            part = ids[a : a + step + PASSAGE]
-            sums = np.concatenate((np.zeros((1, self.bound.shape[1])), np.cumsum(self.bound[part], axis=0, dtype=np.float64)))
-            starts = np.arange(0, max(1, min(step, len(words) - STRIDE - a)), STRIDE)
-            ends = np.minimum(starts + PASSAGE, len(part))
-            for s in starts[((sums[ends] - sums[starts]).max(axis=1) >= THRESHOLD - 1e-4)].tolist():
-                yield a + s
+        step = 512 * STRIDE
+        for at in range(0, max(1, len(words) - STRIDE), step):
+            own = ids[at : at + step + STRIDE]
+            halves = -(-len(own) // STRIDE)
+            place = np.flatnonzero(own != unknown)
+            if not len(place):
+                continue
+            known = own[place]
+            order = np.argsort(known, kind="stable")
+            before = np.full(len(known), -1)
+            same = known[order[1:]] == known[order[:-1]]
+            before[order[1:][same]] = place[order[:-1][same]]
+            half = place // STRIDE
+            rows = self.bound[known]
+            begin = self._by_half(rows, half, before < half * STRIDE, halves)
+            end = self._by_half(rows, half, before < (half - 1) * STRIDE, halves)
+            sums = begin.copy()
+            sums[:-1] += end[1:]
+            last = max(1, halves - 1)
+            for k in np.flatnonzero(sums[:last].max(axis=1) >= THRESHOLD - 1e-4).tolist():
+                yield at + k * STRIDE
+
+    @staticmethod
+    def _by_half(rows: np.ndarray, half: np.ndarray, counted: np.ndarray, halves: int) -> np.ndarray:
+        out = np.zeros((halves, rows.shape[1]), np.float32)
+        rows, half = rows[counted], half[counted]
+        if len(half):
+            starts = np.flatnonzero(np.r_[True, half[1:] != half[:-1]])
+            out[half[starts]] = np.add.reduceat(rows, starts, axis=0)
+        return out
 
     def search(self, words: set[str], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All parts that score at least ``threshold`` for a passage, by block-max WAND over documents at a time."""
