@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -68,72 +69,73 @@ def _mask(segments: list[tuple[int, int]], start: int, length: int) -> int:
     return _signed(sum(((1 << n) - 1) << a for a, n in picked))
 
 
-def _keyed(fps: DataFrame, segments: list[tuple[int, int]], slack: int) -> DataFrame:
-    """``(fp, key)``, a row for each slot: fingerprints within ``slack`` (0 or 1) bits of each other in a segment share a key.
+def _subsets(m: int, budget: int) -> list[tuple[int, ...]]:
+    """The choices of ``m - budget`` of m segments: two fingerprints within ``budget`` bits agree in all segments of one at least."""
+    return list(combinations(range(m), m - budget))
 
-    A slot is the first bit of its segment (slack 0), or any bit of it, which the key then has blank.
-    The key holds the slot above 32 bits of the segment.
-    """
-    fp, slot = F.col("fp"), F.col("slot")
-    slots = F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))) if slack else F.explode(F.array(*(F.lit(a) for a, _ in segments)))
-    part = None
-    for a, n in segments:
-        own = F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << n) - 1))
-        if slack:
-            own = own.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), slot - a)))
-        part = F.when(slot < a + n, own) if part is None else part.when(slot < a + n, own)
-    return fps.select("fp", slots.alias("slot")).select("fp", F.shiftleft(slot.cast("long"), 32).bitwiseOR(part).alias("key"))
+
+def _keyed(fps: DataFrame, segments: list[tuple[int, int]], budget: int) -> DataFrame:
+    """``(fp, slot, key)``, a row for each choice of segments: the key is a hash of the fingerprint's bits there."""
+    slots = _subsets(len(segments), budget)
+    masks = F.array(*(F.lit(_signed(sum(((1 << segments[i][1]) - 1) << segments[i][0] for i in s))) for s in slots))
+    rows = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(slots) - 1))).alias("slot"))
+    return rows.select("fp", "slot", F.xxhash64(F.col("fp").bitwiseAND(F.get(masks, F.col("slot"))), "slot").alias("key"))
 
 
-def _within(a: Column, b: Column, slot: Column, segments: list[tuple[int, int]], budget: int, once: bool) -> Column:
-    """Pigeonring: the chains that start at the slot's segment stay within their proportional budgets at every length.
+def _near(a: Column, b: Column, slot: Column, segments: list[tuple[int, int]], budget: int) -> Column:
+    """Candidates by pigeonring: some chain of consecutive segments stays within its proportional budget at each length.
 
-    ``once``: of all slots that a pair shares, only one lets it pass for each start of a chain.
+    Of all keys that a pair shares, only that of the first segments in which it agrees lets it pass.
+    The full Hamming check comes last.
     """
-    diff = a.bitwiseXOR(b)
     m = len(segments)
-    chain = None
-    for i, (at, n) in enumerate(segments):
-        ok = F.lit(True)
+    diff = a.bitwiseXOR(b)
+    ring = F.lit(False)
+    for start in range(m):
+        chain = F.lit(True)
         for length in range(1, m):
-            ok = ok & (F.bit_count(diff.bitwiseAND(F.lit(_mask(segments, i, length)))) <= budget * length // m)
-        if once:
-            first = diff.bitwiseAND(F.lit(_mask(segments, i, 1)))
-            ok = ok & ((first == F.call_function("shiftleft", F.lit(1).cast("long"), slot)) | ((first == 0) & (slot == at)))
-        chain = F.when(slot < at + n, ok) if chain is None else chain.when(slot < at + n, ok)
-    return chain & (F.bit_count(diff) <= budget)
-
-
-def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 3) -> DataFrame:
+            chain = chain & (F.bit_count(diff.bitwiseAND(F.lit(_mask(segments, start, length)))) <= budget * length // m)
+        ring = ring | chain
+    same = F.lit(0)
+    for i in range(m):
+        same = same.bitwiseOR(F.when(diff.bitwiseAND(F.lit(_mask(segments, i, 1))) == 0, F.lit(1 << i)).otherwise(F.lit(0)))
+    slots = _subsets(m, budget)
+    own = F.get(F.array(*(F.lit(sum(1 << i for i in s)) for s in slots)), slot)
+    upto = F.get(F.array(*(F.lit((2 << s[-1]) - 1) for s in slots)), slot)
+    return (same.bitwiseAND(upto) == own) & ring & (F.bit_count(diff) <= budget)
+
+
+def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 8) -> DataFrame:
     """``(fp, root)`` for distinct fingerprints ``fp`` linked, directly or through others, at ``budget`` bits or fewer.
 
-    Candidates share a segment up to ``budget // segments`` differing bits (0 or 1: a segment with one
-    bit blanked is then the key). First each key's least fingerprint is linked with its neighbours, one
-    link a row, and components are contracted. Then only pairs from different components are compared:
-    in each key group the rows outside its largest component meet all its rows. So a group of near
-    copies costs rows in proportion to its size, and no link between components is lost. The pair
-    conditions are part of the join, hence a failed candidate is never emitted.
-    Fingerprints without a link are not in the result.
+    The 64 bits are cut in ``segments``; within ``budget`` bits, ``segments - budget`` segments agree, so the
+    bits of each such choice are a join key (70 keys of 32 bits by default, few chance matches). First each key's
+    least fingerprint is linked with its neighbours, one link a row, and components are contracted. Then only
+    pairs from different components are compared, by pigeonring chains and then in full: in each key
+    group the rows outside its largest component meet all its rows. So a group of near copies costs rows in
+    proportion to its size, and no link between components is lost. The pair conditions are part of the
+    join, hence a failed candidate is never emitted. Fingerprints without a link are not in the result.
     """
-    if not budget // segments <= 1:
-        raise ValueError("take more segments: each key has one blanked bit at most")
+    if not 0 <= budget < segments <= BITS:
+        raise ValueError("more segments than differing bits are needed")
     ring = _segments(segments)
-    keyed = _keyed(fps, ring, budget // segments)
+    keyed = _keyed(fps, ring, budget)
     groups = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
-    shared = materialise(keyed.join(groups.filter("pivot <> other").select("key", "pivot"), "key"), "simhash-keys")
+    groups = materialise(groups.filter("pivot <> other").select("key", "pivot"), "simhash-groups")
+    shared = materialise(keyed.join(groups, "key"), "simhash-keys")
     star = shared.filter((F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= budget))
     first = materialise(connected_components(star.select(F.col("fp").alias("u"), F.col("pivot").alias("v"))), "simhash-first")
 
-    named = shared.select("key", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
-    named = materialise(named.select("key", "fp", F.coalesce("root", "fp").alias("root")), "simhash-named")
+    named = shared.select("key", "slot", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    named = materialise(named.select("key", "slot", "fp", F.coalesce("root", "fp").alias("root")), "simhash-named")
     sizes = named.groupBy("key", "root").count().groupBy("key")
     mixed = sizes.agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    met = materialise(named.join(mixed.select("key", "main"), "key"), "simhash-met")
-    a = met.filter("root <> main").select(F.col("key").alias("key_a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
+    mixed = materialise(mixed.select("key", "main"), "simhash-mixed")
+    met = materialise(named.join(mixed, "key"), "simhash-met")
+    a = met.filter("root <> main").select(F.col("key").alias("key_a"), "slot", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
     b = met.select("key", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"), "main")
     fresh = (F.col("root_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b"))
-    slot = F.shiftright("key_a", 32).cast("int")
-    near = _within(F.col("fp_a"), F.col("fp_b"), slot, ring, budget, budget // segments == 1)
+    near = _near(F.col("fp_a"), F.col("fp_b"), F.col("slot"), ring, budget)
     pairs = a.join(b, (F.col("key_a") == F.col("key")) & (F.col("root_a") != F.col("root_b")) & fresh & near)
     second = connected_components(pairs.select(F.col("root_a").alias("u"), F.col("root_b").alias("v")))
     second = second.select(F.col("node").alias("root"), F.col("root").alias("top"))
@@ -143,7 +145,7 @@ def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 3) -> Dat
     return all_of.join(second, "root", "left").select("fp", F.coalesce("top", "root").alias("root"))
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 3, width: int = 4) -> DataFrame:
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 8, width: int = 4) -> DataFrame:
     """One row for each row of ``docs``: its id, ``fp`` (signed long) and ``component_id``, the least id reachable by links.
 
     Links join fingerprints at ``budget`` or fewer differing bits; equal fingerprints are one node, so copies
