@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.plans import relational, retrieval
+from evidentia.plans import derived, relational, retrieval
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**retrieval.QUERIES, **relational.QUERIES}
-ORACLE_SQL: dict[str, str] = {**retrieval.ORACLE_SQL, **relational.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**retrieval.QUERIES, **relational.QUERIES, **derived.QUERIES}
+ORACLE_SQL: dict[str, str] = {**retrieval.ORACLE_SQL, **relational.ORACLE_SQL, **derived.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
