@@ -20,6 +20,12 @@ COUNTER_ENTRIES = 200_000
 #: Added to each piece's count.
 PIECE_PRIOR = 0.1
 SPACE = "▁"
+#: Rounds of expectation maximisation, and the longest word for which probabilities are multiplied as they are.
+ROUNDS, PLAIN = 3, 60
+#: Share of a class's saved mass that goes to words of other classes.
+OTHERS = 0.1
+#: Hidden classes at most, the one for all others included.
+CLASSES = 9
 
 
 class Lattice:
@@ -60,107 +66,191 @@ def _piece_model(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def learn_pieces(words: DataFrame, model_path: str) -> Lattice:
-    """Unigram scores for the pieces of an existing vocabulary: how often each is used in the distinct ``word`` values.
-
-    Each word is spelled by the vocabulary's own model; pieces are counted by task and summed, at most as many
-    rows as there are pieces. Scores are log relative frequencies after adding PIECE_PRIOR, so that
-    they sum to 1: pieces with the space symbol begin a word, which therefore needs no end mark.
+def expected_pieces(word: str, pieces: dict[str, tuple[int, float]], longest: int, single: list[float], total: Counter) -> bool:
+    """Adds each piece's expected number of uses over all segmentations of the word; False for words too long for plain products."""
+    text = SPACE + word
+    n = len(text)
+    if n > PLAIN:
+        return False
+    forward = [0.0] * (n + 1)
+    forward[0] = 1.0
+    arcs = []
+    get = pieces.get
+    for end in range(1, n + 1):
+        f = 0.0
+        for start in range(end - longest if end > longest else 0, end):
+            hit = get(text[start:end])
+            if hit is not None and forward[start]:
+                arcs.append((start, end, hit[0], hit[1]))
+                f += forward[start] * hit[1]
+        if text[end - 1] not in pieces:
+            p = math.prod(single[b] for b in text[end - 1].encode())
+            arcs.append((end - 1, end, -1, p))
+            f += forward[end - 1] * p
+        forward[end] = f
+    if forward[n] <= 0.0:
+        return False
+    backward = [0.0] * (n + 1)
+    backward[n] = 1.0 / forward[n]
+    for start, end, piece, p in reversed(arcs):
+        use = p * backward[end]
+        backward[start] += use
+        if piece >= 0:
+            total[piece] += forward[start] * use
+        else:
+            for b in text[start].encode():
+                total[-1 - b] += forward[start] * use
+    return True
+
+
+def learn_pieces(words: DataFrame, model_path: str, rounds: int = ROUNDS) -> Lattice:
+    """Unigram scores for the pieces of an existing vocabulary, learned from the distinct ``word`` values.
+
+    First each word is spelled by the vocabulary's own model; then expectation maximisation counts each piece's
+    expected uses over all segmentations. Counts are summed by task and then by piece, at most as many rows as
+    there are pieces. Scores are log relative frequencies after adding PIECE_PRIOR, so that they sum to 1: pieces
+    with the space symbol begin a word, which therefore needs no end mark. Words over PLAIN characters keep
+    the model's own spelling in every round.
     """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _piece_model(model_path)
-        total: Counter = Counter()
-        for batch in batches:
-            for ids in model.encode([w.decode() for w in batch.column(0).to_pylist()], num_threads=1):
-                total.update(ids)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["piece", "n"])
-
-    counted = words.select("word").mapInArrow(count, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    counts = {r[0]: r[1] for r in counted.collect()}
     model = _piece_model(model_path)
     usable = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-    total = sum(counts.get(i, 0) for i in usable) + PIECE_PRIOR * len(usable)
-    logs = {i: math.log((counts.get(i, 0) + PIECE_PRIOR) / total) for i in usable}
-    single = [math.log(PIECE_PRIOR / total)] * 256
-    for i in usable:
-        if model.is_byte(i):
-            single[int(model.id_to_piece(i)[1:-1], 16)] = logs[i]
-    return Lattice({model.id_to_piece(i): x for i, x in logs.items() if not model.is_byte(i)}, single)
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``(word, c, n)``: how often each word stands in the learning rows and in all; words are lower-cased (A-Z) bytes."""
+    of_byte = {int(model.id_to_piece(i)[1:-1], 16): i for i in usable if model.is_byte(i)}
+
+    def lattice_of(counts: dict[int, float]) -> tuple[Lattice, dict[int, float]]:
+        total = sum(counts.get(i, 0.0) for i in usable) + PIECE_PRIOR * len(usable)
+        logs = {i: math.log((counts.get(i, 0.0) + PIECE_PRIOR) / total) for i in usable}
+        single = [logs[of_byte[b]] if b in of_byte else math.log(PIECE_PRIOR / total) for b in range(256)]
+        return Lattice({model.id_to_piece(i): x for i, x in logs.items() if not model.is_byte(i)}, single), logs
+
+    def counted(current: tuple | None) -> dict[int, float]:
+        shared = words.sparkSession.sparkContext.broadcast(current)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = _piece_model(model_path)
+            total: Counter = Counter()
+            for batch in batches:
+                left = [w.decode() for w in batch.column(0).to_pylist()]
+                if shared.value:
+                    pieces, longest, single = shared.value
+                    left = [w for w in left if not expected_pieces(w, pieces, longest, single, total)]
+                for ids in own.encode(left, num_threads=1) if left else ():
+                    total.update(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array([float(x) for x in total.values()])], names=["piece", "n"])
+
+        rows = words.select("word").mapInArrow(count, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        found: Counter = Counter()
+        for piece, n in rows:
+            found[piece if piece >= 0 else of_byte.get(-1 - piece, 0)] += n
+        return found
+
+    lattice, logs = lattice_of(counted(None))
+    for _ in range(rounds):
+        pieces = {model.id_to_piece(i): (i, math.exp(x)) for i, x in logs.items() if not model.is_byte(i)}
+        lattice, logs = lattice_of(counted((pieces, lattice.longest, [math.exp(x) for x in lattice.bytes])))
+    return lattice
+
+
+def word_counts(docs: DataFrame, classes: int) -> DataFrame:
+    """``(word, c, n, by)``: how often each word stands in the learning rows, in all, and in the learning rows of each class; words are lower-cased (A-Z) bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned: Counter = Counter()
+        learned: list[Counter] = [Counter() for _ in range(classes)]
         other: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            words = list(learned.keys() | other.keys())
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([learned[w] for w in words], pa.int64()), pa.array([learned[w] + other[w] for w in words], pa.int64())], names=["word", "c", "n"]
-            )
-            learned.clear()
-            other.clear()
-            return out
+            rows = [(w, k, c, c) for k, own in enumerate(learned) for w, c in own.items()] + [(w, 0, 0, n) for w, n in other.items()]
+            for own in (*learned, other):
+                own.clear()
+            kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=["word", "class", "c", "n"])
 
         for batch in batches:
             texts = batch.column(0).cast(pa.binary()).to_pylist()
-            for text, held in zip(texts, batch.column(1).to_pylist(), strict=True):
-                (other if held else learned).update((text or b"").lower().split())
-            if len(learned) + len(other) > COUNTER_ENTRIES:
+            for text, held, k in zip(texts, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                (other if held else learned[k]).update(text.lower().split())
+            if len(other) + sum(map(len, learned)) > COUNTER_ENTRIES:
                 yield flush()
         yield flush()
 
-    parts = docs.select("text", "held").mapInArrow(run, "word binary, c long, n long")
-    return parts.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-
-
-def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
+    parts = docs.select("text", "held", "class").mapInArrow(run, "word binary, class int, c long, n long")
+    by = [F.sum(F.when(F.col("class") == k, F.col("c")).otherwise(0)) for k in range(classes)]
+    return parts.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.array(*by).alias("by"))
+
+
+class WordModel:
+    """Log10 probabilities of words in each class: absolutely discounted counts of the class, below them the lattice mixed with the counts of all."""
+
+    def __init__(self, lattice: Lattice, own: list[tuple[int, int, int, int]], ends: list[int]) -> None:
+        """``own``: for all learning rows and then for each class (words, distinct, seen once, seen twice); ``ends``: documents of each."""
+        self.lattice = lattice
+        self.words = np.array([x[0] for x in own], np.float64)
+        self.discount = np.array([min(0.9, max(0.1, o / (o + 2 * t))) if o + t else 0.5 for _, _, o, t in own])
+        self.saved = np.array([d * k / n if n else 1.0 for d, (n, k, _, _) in zip(self.discount, own, strict=True)])
+        self.end = np.array([(e + 0.5) / (n + e + 1) for e, (n, _, _, _) in zip(ends[1:], own[1:], strict=True)])
+        self.prior = np.log10(np.array([e + 0.5 for e in ends[1:]]) / sum(e + 0.5 for e in ends[1:]))
+
+    def scores(self, words: list[bytes], total: np.ndarray, by: np.ndarray) -> np.ndarray:
+        spelled = np.array([self.lattice.log_prob(w.decode()) for w in words]) / math.log(10)
+        share = lambda c, k: np.maximum(c - self.discount[k], 0) / np.maximum(self.words[k], 1)
+        # Very long words underflow; their log is then the lattice's with the shares that led to it.
+        letters = 10 ** np.maximum(spelled, -300)
+        every = share(total, 0) + self.saved[0] * letters
+        below = (1 - OTHERS) * letters + OTHERS * every
+        deep = spelled < -290
+        out = np.empty((len(words), len(self.end)))
+        for k in range(len(self.end)):
+            p = share(by[:, k], k + 1) + self.saved[k + 1] * below
+            out[:, k] = np.log10(1 - self.end[k]) + np.where(deep & (total == 0), math.log10((1 - OTHERS) * self.saved[k + 1]) + spelled, np.log10(p))
+        return out
+
+
+def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", frequent: int = FREQUENT) -> DataFrame:
     """One row for each row of ``docs``: ``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
 
     Learns from the rows where the column ``held_out`` isn't true (null counts as false). Tokens are words and one end.
-    ``base_score`` is the add-half unigram model over words. ``score`` is the log10 probability of
-    the text under a word model whose smoothing mass goes to the lattice: a word has its absolutely
-    discounted relative frequency plus the saved mass times its marginal subword probability, summed over all
-    segmentations. All words of the corpus are counted. Frequent words are scored on the
-    map side from a broadcast table of bounded size; all others are joined with the word table by shuffle, row and word
-    at a time. Null and empty texts have the end alone. Repeated rows are each scored and counted.
+    ``base_score`` is the add-half unigram model over words. ``score`` is the log10 probability of the text: a sum
+    over hidden classes (the CLASSES - 1 most frequent values of ``class_col`` in the learning rows, and one for all others) of
+    the class's share times the product of its word probabilities. A row's own class isn't looked at when it is scored. A word
+    has its discounted relative frequency in the class plus the saved mass times a mixture: the lattice, which is the
+    word's marginal over all segmentations, and for OTHERS of it the word's frequency over all classes. All words of the corpus are counted.
+    Frequent words are scored on the map side from a broadcast table of bounded size; all others are joined with
+    the word table by shuffle, row and word at a time. Null and empty texts have the end alone. Repeated rows are
+    each scored and counted.
     """
     spark = docs.sparkSession
     small_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
-    table = materialise(word_counts(rows), "lm-words")
-
-    totals = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.sum((F.col("c") > 0).cast("long")), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
-    words, kinds, once, twice = (int(x or 0) for x in totals)
-    ends = rows.filter(~F.col("held")).count()
-    n_tokens, n_kinds = words + ends, kinds + (ends > 0)
-    discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
-    saved = discount * kinds / words if words else 1.0
-    p_end = (ends + 0.5) / (n_tokens + 1)
-    lattice = spark.sparkContext.broadcast(learn_pieces(table.filter("c > 0"), model_path))
-
-    def scores(counts: list[int], own: list[bytes], model: Lattice) -> tuple[list[float], list[float]]:
-        base = [math.log10((c + 0.5) / (n_tokens + 0.5 * (n_kinds + 1))) for c in counts]
-        score = []
-        for c, w in zip(counts, own, strict=True):
-            spelled = model.log_prob(w.decode())
-            seen = max(c - discount, 0.0) / words if words else 0.0
-            # Very long words underflow: then the log of the lattice's share alone.
-            p = (1 - p_end) * (seen + saved * math.exp(spelled))
-            score.append(math.log10(p) if p > 1e-290 else math.log10((1 - p_end) * saved) + spelled / math.log(10))
-        return base, score
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"),
+        F.coalesce(F.col(class_col).cast("string"), F.lit("")).alias("label") if class_col else F.lit("").alias("label"),
+    )
+    labels = rows.filter(~F.col("held")).groupBy("label").count().orderBy(F.desc("count"), "label").limit(CLASSES - 1).collect()
+    number = F.lit(len(labels))
+    for k, r in enumerate(labels):
+        number = F.when(F.col("label") == r["label"], k).otherwise(number)
+    rows = rows.withColumn("class", number.cast("int")).drop("label")
+    classes = len(labels) + 1
+    table = materialise(word_counts(rows, classes), "lm-words")
+
+    columns = [F.col("c"), *(F.col("by")[k] for k in range(classes))]
+    sums = [x for c in columns for x in (F.sum(c), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2))]
+    flat = [int(x or 0) for x in table.agg(*sums).first()]
+    own = [tuple(flat[i : i + 4]) for i in range(0, len(flat), 4)]
+    by_class = {r[0]: r[1] for r in rows.filter(~F.col("held")).groupBy("class").count().collect()}
+    ends = [sum(by_class.values()), *(by_class.get(k, 0) for k in range(classes))]
+    n_tokens, n_kinds = own[0][0] + ends[0], own[0][1] + (ends[0] > 0)
+    model = WordModel(learn_pieces(table.filter("c > 0"), model_path), own, ends)
+    shared = spark.sparkContext.broadcast(model)
+    base_of = lambda c: np.log10((c + 0.5) / (n_tokens + 0.5 * (n_kinds + 1)))
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = lattice.value
         for batch in batches:
-            base, score = scores(batch.column(1).to_pylist(), batch.column(0).to_pylist(), model)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base), pa.array(score)], names=["word", "c", "n", "base", "score"])
+            c = batch.column(1).to_numpy(zero_copy_only=False)
+            by = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, classes)
+            scores = pa.array(list(shared.value.scores(batch.column(0).to_pylist(), c, by)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(base_of(c)), scores], names=["word", "c", "n", "base", "scores"])
 
-    scored = materialise(table.mapInArrow(score_words, "word binary, c long, n long, base double, score double"), "lm-scored")
+    scored = materialise(table.mapInArrow(score_words, "word binary, c long, n long, base double, scores array<double>"), "lm-scored")
     # The least count of a frequent word: counts go to bins, from the top while the bins' words fit.
     bins = scored.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("bin")).agg(F.min("n").alias("least"), F.count("*").alias("kinds"))
     least, room = None, frequent
@@ -169,15 +259,18 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
         if room < 0:
             break
         least = r["least"]
-    top = scored.filter(F.col("n") >= least).select("word", "c", "base", "score").toArrow() if least is not None else None
-    tier = spark.sparkContext.broadcast(None if top is None else (top.column("word").to_pylist(), *(top.column(c).to_numpy() for c in ("c", "base", "score"))))
-
-    end_base = math.log10(((ends + 0.5) if ends else 0.5) / (n_tokens + 0.5 * (n_kinds + 1)))
-    end_score = math.log10(p_end)
+    top = scored.filter(F.col("n") >= least).select("word", "c", "base", "scores").toArrow().combine_chunks() if least is not None else None
+    if top is not None and top.num_rows:
+        values = top.column("scores").combine_chunks().flatten().to_numpy().reshape(-1, classes)
+        tier = spark.sparkContext.broadcast((top.column("word").to_pylist(), top.column("c").to_numpy() > 0, top.column("base").to_numpy(), values))
+    else:
+        tier = spark.sparkContext.broadcast(None)
 
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tier.value
         place = {w: i for i, w in enumerate(own[0])} if own else {}
+        end = np.log10(shared.value.end)
+        first = float(base_of(np.float64(ends[0])))
         for batch in batches:
             out: list[tuple] = []
             for text in batch.column(3).cast(pa.binary()).to_pylist():
@@ -185,18 +278,23 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
                 at = [place.get(w, -1) for w in tokens]
                 ids = np.array([i for i in at if i >= 0], np.int64)
                 rare = [w for w, i in zip(tokens, at, strict=True) if i < 0] if len(ids) < len(at) else []
-                sums = (int((own[1][ids] > 0).sum()), float(own[2][ids].sum()), float(own[3][ids].sum())) if len(ids) else (0, 0.0, 0.0)
-                out.append((len(tokens) + 1, sums[0] + (ends > 0), sums[1] + end_base, sums[2] + end_score, rare))
-            columns = [pa.array([r[j] for r in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row", "id", "held", "n_tokens", "n_known", "base_score", "score", "rare"])
+                known, base, more = (int(own[1][ids].sum()), float(own[2][ids].sum()), own[3][ids].sum(axis=0)) if len(ids) else (0, 0.0, 0.0)
+                out.append((len(tokens) + 1, known + (ends[0] > 0), base + first, end + more, rare))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array([r[j] for r in out], t) for j, t in enumerate(kinds))], names=["row", "id", "held", "n_tokens", "n_known", "base_score", "scores", "rare"])
 
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held", "text")
-    first = numbered.mapInArrow(score_rows, f"row long, id {kind}, held boolean, n_tokens long, n_known long, base_score double, score double, rare array<binary>")
+    first = numbered.mapInArrow(score_rows, f"row long, id {kind}, held boolean, n_tokens long, n_known long, base_score double, scores array<double>, rare array<binary>")
     first = materialise(first, "lm-rows")
-    rest = first.select("row", F.explode("rare").alias("word")).join(scored.select("word", (F.col("c") > 0).cast("long").alias("known"), "base", "score"), "word")
-    rest = rest.groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("more"))
+    rest = first.select("row", F.explode("rare").alias("word")).join(scored.select("word", (F.col("c") > 0).cast("long").alias("known"), "base", F.col("scores").alias("more")), "word")
+    rest = rest.groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.array(*(F.sum(F.col("more")[k]) for k in range(classes))).alias("more"))
     both = first.drop("rare").join(rest, "row", "left")
+    # Log-sum-exp over the classes.
+    each = [F.col("scores")[k] + F.coalesce(F.col("more")[k], F.lit(0.0)) + float(model.prior[k]) for k in range(classes)]
+    both = both.withColumn("each", F.array(*each)).withColumn("most", F.array_max("each"))
+    total = F.aggregate("each", F.lit(0.0), lambda acc, x: acc + F.pow(F.lit(10.0), F.greatest(x - F.col("most"), F.lit(-300.0))))
     plus = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
     return both.select(
-        F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", plus("n_known", "known").alias("n_known"), F.lit(n_tokens).cast("long").alias("train_tokens"), plus("base_score", "base").alias("base_score"), plus("score", "more").alias("score")
-    )
+        F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", plus("n_known", "known").alias("n_known"), F.lit(n_tokens).cast("long").alias("train_tokens"),
+        plus("base_score", "base").alias("base_score"), (F.col("most") + F.log10(total)).alias("score"),
+    )
