@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.plans import derived, ingest, relational, retrieval
+from evidentia.plans import catalogs, derived, ingest, relational, retrieval
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**retrieval.QUERIES, **relational.QUERIES, **derived.QUERIES, **ingest.QUERIES}
-ORACLE_SQL: dict[str, str] = {**retrieval.ORACLE_SQL, **relational.ORACLE_SQL, **derived.ORACLE_SQL, **ingest.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**retrieval.QUERIES, **relational.QUERIES, **derived.QUERIES, **ingest.QUERIES, **catalogs.QUERIES}
+ORACLE_SQL: dict[str, str] = {**retrieval.ORACLE_SQL, **relational.ORACLE_SQL, **derived.ORACLE_SQL, **ingest.ORACLE_SQL, **catalogs.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
