@@ -87,4 +87,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_page_differencing": op10_page_differencing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The operators that SQL can express; the others are compared with brute force in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op8_line_windows": r"""
+WITH cut AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '(\n|[.!?] )', '\1' || chr(1), 'g'), chr(1)) AS units FROM documents),
+lines AS (SELECT doc_id, unnest(units) AS unit, generate_subscripts(units, 1) - 1 AS line FROM cut),
+worded AS (SELECT doc_id, line, trim(unit, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS k, count(*) OVER (PARTITION BY doc_id) AS n
+  FROM lines WHERE regexp_matches(unit, '[^\x20\x09-\x0D]')),
+windows AS (SELECT doc_id, k, n, line AS l0, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2, bare AS b0, lead(bare, 1) OVER w AS b1, lead(bare, 2) OVER w AS b2 FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY b0, b1, b2 ORDER BY doc_id, l0) AS r FROM windows WHERE k <= greatest(n - 2, 1)),
+covered AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest([l0, l1, l2]) AS line FROM placed WHERE r > 1) WHERE line IS NOT NULL),
+runs AS (SELECT doc_id, line, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS run FROM covered),
+long AS (SELECT doc_id, run FROM runs JOIN lines USING (doc_id, line) GROUP BY doc_id, run HAVING sum(len(regexp_extract_all(unit, '[^\x20\x09-\x0D]+'))) >= 30),
+gone AS (SELECT doc_id, line FROM runs JOIN long USING (doc_id, run)),
+left_ AS (SELECT doc_id, string_agg(unit, '' ORDER BY line) AS text FROM lines ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id),
+n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN g.n > 0 THEN coalesce(l.text, '') ELSE d.text END AS text, coalesce(g.n, 0) AS n_removed
+FROM documents d LEFT JOIN n_gone g USING (doc_id) LEFT JOIN left_ l USING (doc_id)""",
+}
