@@ -267,3 +267,37 @@ def test_tokens_follow_the_pattern(spark):
     want = re.findall(r"\w+", text.lower())
     assert one(spark, T.tokens(F.lit(text))) == want
     assert one(spark, T.tokens(F.lit("塔尔寺 a"), True)) == ["塔", "尔", "寺", "塔尔", "尔寺", "a"]
+
+
+def test_listing_pages(spark):
+    from evidentia.sources import listings as L
+
+    page = """<div class="search-info"><span class="total">共 1,204 条</span></div>
+    <a class="app-article-item" href="//host/content/77" cid="5" contentid="9"><p class="app-article-title">非遗 展</p><span class="app-article-date">2024-01-02</span></a>
+    <a class="app-article-item" href="/about/us"><p class="app-article-title">关于</p></a><a class="app-article-item" href="/x/a1.html"><p class="app-article-title">别的</p></a>
+    <div class="app-pagination"><a href="/s?page=2">2</a><a href="/s?a=1&page=7">7</a></div>"""
+    pages = spark.createDataFrame([(1, page), (2, None)], "page int, html string")
+    got = {r.source_id: r for r in L.search_candidates(pages, "http://host").collect()}
+    assert got["src_whlyt_content_77"].title == "非遗 展" and got["src_whlyt_content_77"].published_at == "2024-01-02" and len(got) == 2
+    assert [tuple(r) for r in L.search_totals(pages).collect()] == [(1, 1204, 7)]
+
+    article = lambda who, author, text: f'<meta name="ContentSource" content="{who}"><meta name="Author" content="{author}"><div class="app-content-body"><p>{text}</p></div>'
+    rows = [(1, article("厅", "", "正文")), (2, article("报", "张", "禁止转载")), (3, "<p>x</p>")]
+    found = {r.page: (r.eligible, r.reasons) for r in L.inspect_articles(spark.createDataFrame(rows, "page int, html string"), "厅").collect()}
+    assert found == {1: (True, []), 2: (False, ["third_party_or_missing_content_source", "signed_article", "page_specific_restriction"]), 3: (False, ["missing_article_body", "third_party_or_missing_content_source"])}
+
+    listing = '<a href="/gdly/jd/content_12" title="标题：湿地公园\r\n点击数：3\r\n发表时间：2024年1月1日">湿…</a><a href="https://other.cn/gdly/jd/content_13" title="标题：x">x</a><a href="/gdly/jd/list">l</a>'
+    rows = L.county_candidates(spark.createDataFrame([(1, listing)], "page int, html string"), "jd", ["景区与文化地点"], "https://www.county.cn").collect()
+    assert [(r.source_id, r.title, r.published_at, r.topic) for r in rows] == [("src_guide_content_12", "湿地公园", "2024年1月1日", ["景区与文化地点", "生态旅游"])]
+
+
+def test_catalog_builders(spark):
+    from evidentia.operators import catalogs as K
+
+    review = spark.createDataFrame([("s1", "甲", "瓷", "唐", "馆", "土")], "source_id string, name string, category string, period string, museum string, material string")
+    sources = spark.createDataFrame([("s1", "parsed", "a" * 64)], "source_id string, crawl_status string, content_sha256 string")
+    rows = [dict(subject="甲", subject_type="MUSEUM_OBJECT", predicate=p, object=o) for p, o in (("belongs_to_category", "瓷"), ("created_in_period", "唐"), ("held_by", "馆"), ("made_of", "土"))]
+    marked, issues = K.mark_reviewed(fact(spark, *rows), sources, review, "r")
+    assert marked.filter("manual_checked").count() == 4 and issues.count() == 0
+    marked, issues = K.mark_reviewed(fact(spark, *rows[:3]), sources, review, "r")
+    assert marked.filter("manual_checked").count() == 0 and issues.count() == 1
