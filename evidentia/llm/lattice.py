@@ -28,36 +28,54 @@ OTHERS = 0.1
 CLASSES = 9
 
 
+def steps(pieces: dict[str, object]) -> dict[str, object]:
+    """``pieces`` and all their beginnings, which are None: a walk along a text ends at the first string that isn't there."""
+    out: dict[str, object] = {}
+    for piece in pieces:
+        for k in range(1, len(piece)):
+            out.setdefault(piece[:k], None)
+    out.update(pieces)
+    return out
+
+
 class Lattice:
     """Log probability of a word as the sum over its segmentations into pieces with unigram scores."""
 
     def __init__(self, scores: dict[str, float], bytes_: list[float]) -> None:
         self.scores = scores
         self.bytes = bytes_
-        self.longest = max(map(len, scores), default=1)
+        self.steps = steps(scores)
 
     def log_prob(self, word: str) -> float:
         """Natural log of the marginal probability, by a log-space forward recursion over the characters."""
         text = SPACE + word
         n = len(text)
-        get, longest = self.scores.get, self.longest
-        forward = [-math.inf] * (n + 1)
-        forward[0] = 0.0
-        for end in range(1, n + 1):
-            arcs = []
-            for start in range(max(0, end - longest), end):
-                score = get(text[start:end])
-                if score is not None and forward[start] > -math.inf:
-                    arcs.append(forward[start] + score)
-            if text[end - 1] not in self.scores:
+        there = self.steps
+        arcs: list[list[float]] = [[] for _ in range(n + 1)]
+        forward = 0.0
+        for start in range(n):
+            if start:
+                into = arcs[start]
+                if not into:
+                    continue
+                if len(into) == 1:
+                    forward = into[0]
+                else:
+                    top = max(into)
+                    forward = top + math.log(sum([math.exp(a - top) for a in into]))
+            for end in range(start + 1, n + 1):
+                part = text[start:end]
+                if part not in there:
+                    break
+                score = there[part]
+                if score is not None:
+                    arcs[end].append(forward + score)
+            if text[start] not in self.scores:
                 # A character that is no piece is spelled by its bytes.
-                arcs.append(forward[end - 1] + sum(self.bytes[b] for b in text[end - 1].encode()))
-            if len(arcs) == 1:
-                forward[end] = arcs[0]
-            elif arcs:
-                top = max(arcs)
-                forward[end] = top + math.log(sum([math.exp(a - top) for a in arcs]))
-        return forward[n]
+                arcs[start + 1].append(forward + sum(self.bytes[b] for b in text[start].encode()))
+        into = arcs[n]
+        top = max(into)
+        return top + math.log(sum([math.exp(a - top) for a in into]))
 
 
 def _piece_model(path: str):
@@ -66,7 +84,7 @@ def _piece_model(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def expected_pieces(word: str, pieces: dict[str, tuple[int, float]], longest: int, single: list[float], total: Counter) -> bool:
+def expected_pieces(word: str, there: dict[str, tuple[int, float] | None], single: list[float], total: Counter) -> bool:
     """Adds each piece's expected number of uses over all segmentations of the word; False for words too long for plain products."""
     text = SPACE + word
     n = len(text)
@@ -75,25 +93,30 @@ def expected_pieces(word: str, pieces: dict[str, tuple[int, float]], longest: in
     forward = [0.0] * (n + 1)
     forward[0] = 1.0
     arcs = []
-    get = pieces.get
-    for end in range(1, n + 1):
-        f = 0.0
-        for start in range(end - longest if end > longest else 0, end):
-            hit = get(text[start:end])
-            if hit is not None and forward[start]:
+    for start in range(n):
+        f = forward[start]
+        if not f:
+            continue
+        for end in range(start + 1, n + 1):
+            part = text[start:end]
+            if part not in there:
+                break
+            hit = there[part]
+            if hit is not None:
                 arcs.append((start, end, hit[0], hit[1]))
-                f += forward[start] * hit[1]
-        if text[end - 1] not in pieces:
-            p = math.prod(single[b] for b in text[end - 1].encode())
-            arcs.append((end - 1, end, -1, p))
-            f += forward[end - 1] * p
-        forward[end] = f
+                forward[end] += f * hit[1]
+        if there.get(text[start]) is None:
+            p = math.prod(single[b] for b in text[start].encode())
+            arcs.append((start, start + 1, -1, p))
+            forward[start + 1] += f * p
     if forward[n] <= 0.0:
         return False
     backward = [0.0] * (n + 1)
     backward[n] = 1.0 / forward[n]
     for start, end, piece, p in reversed(arcs):
         use = p * backward[end]
+        if not use:
+            continue
         backward[start] += use
         if piece >= 0:
             total[piece] += forward[start] * use
@@ -131,8 +154,8 @@ def learn_pieces(words: DataFrame, model_path: str, rounds: int = ROUNDS) -> Lat
             for batch in batches:
                 left = [w.decode() for w in batch.column(0).to_pylist()]
                 if shared.value:
-                    pieces, longest, single = shared.value
-                    left = [w for w in left if not expected_pieces(w, pieces, longest, single, total)]
+                    there, single = shared.value
+                    left = [w for w in left if not expected_pieces(w, there, single, total)]
                 for ids in own.encode(left, num_threads=1) if left else ():
                     total.update(ids)
             yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array([float(x) for x in total.values()])], names=["piece", "n"])
@@ -146,7 +169,7 @@ def learn_pieces(words: DataFrame, model_path: str, rounds: int = ROUNDS) -> Lat
     lattice, logs = lattice_of(counted(None))
     for _ in range(rounds):
         pieces = {model.id_to_piece(i): (i, math.exp(x)) for i, x in logs.items() if not model.is_byte(i)}
-        lattice, logs = lattice_of(counted((pieces, lattice.longest, [math.exp(x) for x in lattice.bytes])))
+        lattice, logs = lattice_of(counted((steps(pieces), [math.exp(x) for x in lattice.bytes])))
     return lattice
 
 
