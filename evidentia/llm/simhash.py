@@ -122,7 +122,8 @@ def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 8) -> Dat
     keyed = _keyed(fps, ring, budget)
     groups = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
     groups = materialise(groups.filter("pivot <> other").select("key", "pivot"), "simhash-groups")
-    shared = materialise(keyed.join(groups, "key"), "simhash-keys")
+    # The same plan at every size: both sides are dealt by key, and AQE may split a hot one.
+    shared = materialise(keyed.join(groups.hint("merge"), "key"), "simhash-keys")
     star = shared.filter((F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= budget))
     first = materialise(connected_components(star.select(F.col("fp").alias("u"), F.col("pivot").alias("v"))), "simhash-first")
 
