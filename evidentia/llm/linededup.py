@@ -53,9 +53,13 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _without(units: Column, places: Column, least_words: int) -> Column:
-    """``(text, n)``: the lines left and the number of those gone, where runs of ``places`` with too few words stay."""
-    starts = F.filter(places, lambda p, i: (i == 0) | (F.get(places, i - 1) != p - 1))
-    ends = F.filter(places, lambda p, i: (i == F.size(places) - 1) | (F.get(places, i + 1) != p + 1))
+    """``(text, n)``: the lines left and the number of those gone, where runs of ``places`` with too few words stay.
+
+    Lines without a word that stand between two places belong to the run; only a line with a word ends it.
+    """
+    apart = lambda p, q: F.exists(F.slice(units, p + 2, q - p - 1), lambda u: u.rlike(WORD))
+    starts = F.filter(places, lambda p, i: (i == 0) | apart(F.get(places, i - 1), p))
+    ends = F.filter(places, lambda p, i: (i == F.size(places) - 1) | apart(p, F.get(places, i + 1)))
     runs = F.zip_with(starts, ends, lambda a, z: F.struct(a.alias("a"), z.alias("z")))
     words = lambda r: F.aggregate(F.slice(units, r["a"] + 1, r["z"] - r["a"] + 1), F.lit(0), lambda n, u: n + F.regexp_count(u, F.lit(WORD)))
     gone = F.flatten(F.transform(F.filter(runs, lambda r: words(r) >= least_words), lambda r: F.sequence(r["a"], r["z"])))

@@ -382,6 +382,27 @@ def test_line_dedup(spark, rows, docs, none):
     assert {(r.doc_id, r.text) for r in again.filter("doc_id < 3").collect()} == {(i, got[i][0]) for i in range(3)}
 
 
+def test_line_dedup_runs_span_lines_without_words(spark):
+    from evidentia.llm.linededup import dedup_lines
+
+    rng = random.Random(31)
+    passage = [prose(rng, 9).replace(".", "").replace("\n", " ") for _ in range(6)]
+    for between in ("\n", "\n\n", "\n \t\n\n", ". \n"):
+        own = [prose(rng, 12).replace(".", "").replace("\n", " ") for _ in range(4)]
+        middle = between.join(passage) + between
+        rows = [(1, own[0] + between + middle + own[1]), (2, own[2] + between + middle + own[3])]
+        got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got[1] == (rows[0][1], 0)
+        # Six lines and what stands without words between them; blank lines at the ends of the run stay.
+        blank = {"\n": 0, "\n\n": 1, "\n \t\n\n": 2, ". \n": 1}[between]
+        ends = {"\n": "", "\n\n": "\n", "\n \t\n\n": " \t\n\n", ". \n": "\n"}[between]
+        assert got[2] == (own[2] + between + ends + own[3], 6 + 5 * blank)
+    # A line of its own still ends a run, and short runs stay.
+    rows = [(1, "\n\n".join(passage)), (2, "\n\n".join([*passage[:3], "only here", *passage[3:]]))]
+    got = {r.doc_id: r.n_removed for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0}
+
+
 def test_quality_classifier(spark, none):
     from evidentia.llm.classifier import isotonic, score_quality
 
