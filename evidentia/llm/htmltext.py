@@ -156,14 +156,11 @@ def prefixes(url: str | None) -> list[str]:
 def keep_lines(hashes: list[int], flags: list[int], other: list[int] | None) -> tuple[list[int], int]:
     """Places of the lines that stay, and how many lines the nearest page shares.
 
-    Of a page with a marked article its lines stay, all others go. Of any other page the shared lines go,
-    unless the pages are copies of each other.
+    Lines of a marked article stay. Of all others the shared ones go, unless the pages are copies of each other.
     """
     shared = shared_lines(hashes, other) if other else []
-    if any(flags):
-        return [i for i, f in enumerate(flags) if f], len(shared)
     gone = set(shared) if len(shared) < COPY_SHARE * len(hashes) else set()
-    return [i for i in range(len(hashes)) if i not in gone], len(shared)
+    return [i for i, f in enumerate(flags) if f or i not in gone], len(shared)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

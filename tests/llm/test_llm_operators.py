@@ -470,6 +470,14 @@ def test_page_differencing(spark):
     assert extract(table.union(table)).count() == 2 * len(rows)
 
 
+def test_shared_lines_decide_outside_a_marked_article(spark):
+    from evidentia.llm.htmltext import extract
+
+    page = lambda k: f"<body><div>Site name</div><article>Teaser {k}</article><div><p>Main text {k}.</p><p>More {k}.</p></div><div>Contact us</div></body>"
+    table = spark.createDataFrame([(k, f"http://h.org/a/{k}", page(k)) for k in range(3)], "page_id long, url string, html string")
+    assert {r.page_id: (r.text, r.n_shared) for r in extract(table).collect()} == {k: (f"Teaser {k}\nMain text {k}.\nMore {k}.", 2) for k in range(3)}
+
+
 def test_pipeline(spark, rows, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(12)
