@@ -23,7 +23,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 #: Words in a class, id or role that tell a part that isn't the article.
 NOISE = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 ARTICLE = frozenset(("article", "main"))
-#: A page that shares so much of its lines with its neighbour is a copy of it; nothing can be told from that.
+#: A page that shares so much of its lines with its neighbour may be a near copy; a second neighbour then decides too.
 COPY_SHARE = 0.8
 #: Path segments that make a level of nearness; beyond them only equal paths are nearer.
 LEVELS = 6
@@ -153,13 +153,17 @@ def prefixes(url: str | None) -> list[str]:
     return list(dict.fromkeys(keys))[::-1]
 
 
-def keep_lines(hashes: list[int], flags: list[int], other: list[int] | None) -> tuple[list[int], int]:
+def keep_lines(hashes: list[int], flags: list[int], others: list[list[int]] | None) -> tuple[list[int], int]:
     """Places of the lines that stay, and how many lines the nearest page shares.
 
-    Lines of a marked article stay. Of all others the shared ones go, unless the pages are copies of each other.
+    ``others`` are the lines of one or two nearest pages, none a copy. Lines of a marked article stay. Of all
+    others those go that the first page shares; where it shares nearly all, only those that the second, if there
+    is one, shares too: what a template repeats is in both, what a near copy repeats isn't.
     """
-    shared = shared_lines(hashes, other) if other else []
-    gone = set(shared) if len(shared) < COPY_SHARE * len(hashes) else set()
+    shared = shared_lines(hashes, others[0]) if others else []
+    gone = set(shared)
+    if others and len(others) > 1 and len(shared) >= COPY_SHARE * len(hashes):
+        gone &= set(shared_lines(hashes, others[1]))
     return [i for i, f in enumerate(flags) if f or i not in gone], len(shared)
 
 
@@ -167,9 +171,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``(id, url, text, n_chars, n_shared)`` for each page: its main text, blocks joined by line ends.
 
     Structure goes first: parts that by element, class, id or role are no article. Then each page is
-    paired with a page of its host under the longest common path: of the pages below a path the one with the
-    least id, and for that one the one with the greatest. Lines are aligned by longest common
-    subsequence; shared ones are deleted outside marked articles. Least and greatest pages are
+    paired with pages of its host under the longest common path that has one with other lines: those with the
+    least and the greatest hash of all their lines, less the page's own, so copies are never paired. Lines are
+    aligned by longest common subsequence; shared ones are deleted outside marked articles. Least and greatest pages are
     combined before the shuffle, carry line hashes only, and meet their paths' pages in a join that AQE may split.
     Null and empty html give an empty text; null and broken urls share the host ''. Rows that repeat an id
     are told apart by their hash; equal rows are one page for pairing, and each is returned.
@@ -195,25 +199,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     parsed = materialise(rows.mapInArrow(parse, f"id {kind}, mark long, url string, lines array<string>, flags array<int>, hashes array<long>, paths array<string>"), "page-lines")
 
     key = F.struct("id", "mark")
-    below = parsed.select(key.alias("page"), "hashes", F.posexplode("paths").alias("depth", "path")).distinct()
-    own = F.struct("page", "hashes")
+    below = parsed.select(key.alias("page"), F.xxhash64("hashes").alias("sig"), "hashes", F.posexplode("paths").alias("depth", "path")).distinct()
+    own = F.struct("sig", "hashes")
     ends = below.groupBy("path").agg(F.min(own).alias("least"), F.max(own).alias("greatest"))
-    ends = materialise(ends.filter(~F.col("least.page").eqNullSafe(F.col("greatest.page"))), "page-ends")
-    partner = F.when(F.col("page").eqNullSafe(F.col("least.page")), F.col("greatest.hashes")).otherwise(F.col("least.hashes"))
-    met = below.select("page", "depth", "path").join(ends, "path")
-    nearest = materialise(met.groupBy("page").agg(F.min_by(partner, "depth").alias("other")), "page-nearest")
+    ends = materialise(ends.filter("least.sig <> greatest.sig"), "page-ends")
+    partners = F.filter(F.array("least", "greatest"), lambda x: x["sig"] != F.col("sig"))["hashes"]
+    met = below.select("page", "sig", "depth", "path").join(ends, "path")
+    nearest = materialise(met.groupBy("page").agg(F.min_by(partners, "depth").alias("others")), "page-nearest")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, shared = [], []
-            for lines, flags, hashes, other in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                stay, n = keep_lines(hashes, flags, other)
+            for lines, flags, hashes, others in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                stay, n = keep_lines(hashes, flags, others)
                 texts.append("\n".join(lines[i] for i in stay))
                 shared.append(n)
             columns = [pa.array(texts), pa.array([len(t) for t in texts], pa.int64()), pa.array(shared, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["id", "url", "text", "n_chars", "n_shared"])
 
-    side = nearest.select(F.col("page.id").alias("_id"), F.col("page.mark").alias("_mark"), "other")
+    side = nearest.select(F.col("page.id").alias("_id"), F.col("page.mark").alias("_mark"), "others")
     both = parsed.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    out = both.select("id", "url", "lines", "flags", "hashes", "other").mapInArrow(difference, f"id {kind}, url string, text string, n_chars long, n_shared long")
+    out = both.select("id", "url", "lines", "flags", "hashes", "others").mapInArrow(difference, f"id {kind}, url string, text string, n_chars long, n_shared long")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

@@ -478,6 +478,31 @@ def test_shared_lines_decide_outside_a_marked_article(spark):
     assert {r.page_id: (r.text, r.n_shared) for r in extract(table).collect()} == {k: (f"Teaser {k}\nMain text {k}.\nMore {k}.", 2) for k in range(3)}
 
 
+def test_templates_go_and_copies_are_not_neighbours(spark):
+    from evidentia.llm.htmltext import extract
+
+    page = lambda own: "<body>" + "".join(f"<div>Template {i}</div>" for i in range(20)) + "".join(f"<p>{x}</p>" for x in own) + "</body>"
+    own = {k: [f"Own {k} {j}" for j in range(3)] for k in range(4)}
+    # Pages 0 to 3 are short articles in one template, 10 an exact copy of 0, both nearest to each other.
+    rows = [(k, f"http://h.org/a/{k}/x", page(own[k])) for k in own] + [(10, "http://h.org/a/0/y", page(own[0]))]
+    # A long article, its near copy, and another article of that host.
+    long = [f"Long {j}" for j in range(60)]
+    rows += [(20, "http://n.org/1", page(long)), (21, "http://n.org/2", page([*long[:59], "Changed"])), (22, "http://n.org/3", page(own[3]))]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: got[k] for k in own} == {k: "\n".join(x) for k, x in own.items()}
+    assert got[10] == got[0] and got[22] == "\n".join(own[3])
+
+
+def test_second_page_tells_a_template_from_a_near_copy():
+    from evidentia.llm.htmltext import keep_lines
+
+    template, text = list(range(20)), list(range(100, 160))
+    mine, near, far = template + text, template + text[:59] + [7000], template + [8000]
+    assert keep_lines(mine, [0] * 80, [near, far]) == (list(range(20, 80)), 79)
+    assert keep_lines(mine, [0] * 80, [far, near]) == (list(range(20, 80)), 20)
+    assert keep_lines(template + [1000], [0] * 21, [far]) == ([20], 20)
+
+
 def test_pipeline(spark, rows, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(12)
