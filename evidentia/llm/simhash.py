@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise, small_batches
+from evidentia.llm.common import materialise, row_key, small_batches
 from evidentia.llm.graph import connected_components
 
 BITS = 64
@@ -39,18 +39,21 @@ def fingerprint(text: bytes | None, width: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(spans)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """``(id, fp)`` of each row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, hashes: bool = False) -> DataFrame:
+    """``(id, fp)`` of each row; fp is the fingerprint as a signed long. With ``hashes`` also the text hashes of ``row_key``, ``h`` and ``g``."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=["id", "fp", *batch.schema.names[2:]])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    _, h, g = row_key(id_col, text_col)
+    also = [h.alias("h"), g.alias("g")] if hashes else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *also)
+    return rows.mapInArrow(run, f"id {kind}, fp long" + ", h long, g long" * hashes)
 
 
 def _segments(m: int) -> list[tuple[int, int]]:
@@ -146,6 +149,12 @@ def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 8) -> Dat
     return all_of.join(second, "root", "left").select("fp", F.coalesce("top", "root").alias("root"))
 
 
+def _rooted(reps: DataFrame, budget: int, segments: int) -> DataFrame:
+    """``(fp, least, root)``: distinct fingerprints with the root of their component, their own where none is linked."""
+    linked = materialise(link_fingerprints(reps.select("fp"), budget, segments), "simhash-linked")
+    return reps.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 8, width: int = 4) -> DataFrame:
     """One row for each row of ``docs``: its id, ``fp`` (signed long) and ``component_id``, the least id reachable by links.
 
@@ -157,19 +166,27 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     fps = materialise(fingerprints(docs, id_col, text_col, width), "simhash-fp")
     reps = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    linked = materialise(link_fingerprints(reps.select("fp"), budget, segments), "simhash-linked")
-    rooted = reps.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(reps, budget, segments)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = materialise(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
     return fps.join(known, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the least id (of repeated ids one row; a component of null ids keeps none but its first)."""
-    found = materialise(simhash_components(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), "component_id"), "simhash-verdict")
-    stay = found.filter(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("_id").count()
-    stay = materialise(stay, "simhash-stay")
-    kept = docs.join(stay, docs[id_col].eqNullSafe(stay["_id"]), "left_semi")
-    if stay.filter("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col])
-    return kept
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 8, width: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component one row, that with the least id, then text hashes; null ids come last.
+
+    Components are told apart by their links and rows by ``row_key``, so an id that repeats or is null costs no
+    row of another component. Of rows that are equal in that key one stays.
+    """
+    fps = fingerprints(docs, id_col, text_col, width, hashes=True)
+    keys = materialise(fps.groupBy("fp", "id", "h", "g").count(), "simhash-rows")
+    key = F.struct(F.col("id").isNull().alias("last"), "id", "h", "g", "count")
+    reps = materialise(keys.groupBy("fp").agg(F.min(key).alias("least")), "simhash-distinct")
+    stay = _rooted(reps, budget, segments).groupBy("root").agg(F.min("least").alias("row"))
+    stay = materialise(stay.select(F.col("row.id").alias("_id"), F.col("row.h").alias("_h"), F.col("row.g").alias("_g"), F.col("row.count").alias("_n")), "simhash-stay")
+    own, h, g = row_key(id_col, text_col)
+    kept = docs.withColumns({"_own_h": h, "_own_g": g})
+    kept = kept.join(stay, own.eqNullSafe(F.col("_id")) & (F.col("_own_h") == F.col("_h")) & (F.col("_own_g") == F.col("_g")), "left_semi")
+    if stay.filter("_n > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col, "_own_h", "_own_g"])
+    return kept.select(*docs.columns)

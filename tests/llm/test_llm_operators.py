@@ -149,6 +149,18 @@ def test_simhash_components(spark, rows, docs, none):
     assert kept.columns == docs.columns
 
 
+def test_keep_first_keeps_one_row_of_each_component(spark):
+    from evidentia.llm.simhash import keep_first
+
+    rng = random.Random(17)
+    a, b, c, d, e = (prose(rng, 120) for _ in range(5))
+    # Texts differ in null ids and in the repeated id 7; of 7 and 8 the copy with the greater id goes.
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (8, d), (3, e), (7, e), (None, e), (None, None), (9, "")]
+    kept = keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want = [(None, a), (None, b), (7, c), (7, d), (3, e), (9, "")]
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
+
+
 def test_token_counts(spark, rows, docs, none):
     import sentencepiece
 
