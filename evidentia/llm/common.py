@@ -13,8 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 #: Rows of a table that may be broadcast or read by the driver: the proven bound for small tables.
 SMALL_ROWS = 20_000
-#: Rows in one Arrow batch; texts are long, so that the default would hold too much at once.
-BATCH_ROWS = 256
+#: Bytes of one Arrow batch: a batch of very long texts still fits a Python worker with its copies.
+BATCH_BYTES = 16 << 20
 
 _FALLBACK: list[str] = []
 
@@ -36,13 +36,39 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/evidentia/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialise`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of very long texts still fits a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bound the bytes of an Arrow batch; rows are taken as before, and no result depends on it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
+def numbered_columns(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ...: no name of a caller's column can clash with an operator's own."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
+def own_columns(docs: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """Columns that turn ``numbered_columns(docs)`` back, less those in ``without``."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in without]
+
+
+def number_of(docs: DataFrame, column: str) -> str:
+    """The name of ``column`` in ``numbered_columns(docs)``."""
+    return f"c{docs.columns.index(column)}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

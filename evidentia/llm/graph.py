@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise
+from evidentia.llm.common import discard, materialise
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -30,10 +30,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = edges.union(edges.select("v", "u"))
         least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star-min")
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.distinct().join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialise(moved.union(least.select("u", "m")).distinct(), "stars")
+        large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        moved = large.distinct().join(lowest.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, edges = edges, materialise(moved.union(lowest.select("u", "m")).distinct(), "stars")
+        discard(before, least)
         now = _digest(edges)
         if now == seen:
             break
