@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import SMALL_ROWS, WORD, let, materialise
+from evidentia.llm.common import SMALL_ROWS, WORD, let, materialise, number_of, numbered_columns, own_columns
 
 #: Fixed rule of the base: fewer words, or a larger share of repeated words, fails.
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
@@ -13,10 +13,11 @@ LEAST_WORDS, REPEAT_PERCENT = 50, 50
 SKETCH_K = 400
 #: Documents that a group needs for thresholds of its own; smaller ones take their language's, then all.
 LEAST_GROUP = 100
-#: Fences: median plus or minus REACH times the distance of median and lower decile, and FLOOR at least.
+#: Fences: median plus or minus REACH times the distance of median and lower decile, or times the counting error if that is larger.
 REACH = 10.0
-#: Rules by name: side of the fence ("high": too large fails, "both") and least distance of fence and median.
-RULES = {"symbol_ratio": ("high", 0.05), "upper_ratio": ("high", 0.10), "word_length": ("both", 1.5)}
+#: Measures by name: the side that fails ("high" or "both").
+RULES = {"symbol_ratio": "high", "upper_ratio": "high", "word_length": "both"}
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def repeat_words(words: Column) -> Column:
@@ -74,19 +75,12 @@ def _symbols(text: Column) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", ""))).cast("long")
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the measure of each of RULES; null where the text has fewer than LEAST_WORDS words.
-
-    Statistics that ``docs`` has already from ``base_statistics`` are used; else only those needed are taken.
-    """
+def measures(known: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``base_statistics`` with the measure of each of RULES; null where the text has fewer than LEAST_WORDS words."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    known = "n_words" in docs.columns and "word_chars" in docs.columns
-    chars = F.col("word_chars") if known else _word_chars(text)
-    words = F.col("n_words") if known else F.regexp_count(text, F.lit(WORD))
-    symbols = F.col("n_symbols") if known else _symbols(text)
     upper = F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}", ""))
-    found = {"symbol_ratio": symbols / chars, "upper_ratio": upper / chars, "word_length": chars / words}
-    return docs.withColumns({k: F.when(words >= LEAST_WORDS, v.cast("double")) for k, v in found.items()})
+    found = {"symbol_ratio": F.col("n_symbols") / F.col("word_chars"), "upper_ratio": upper / F.col("word_chars"), "word_length": F.col("word_chars") / F.col("n_words")}
+    return known.withColumns({k: F.when(F.col("n_words") >= LEAST_WORDS, v.cast("double")) for k, v in found.items()})
 
 
 def thresholds(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", least: int = LEAST_GROUP) -> DataFrame:
@@ -94,56 +88,68 @@ def thresholds(measured: DataFrame, lang_col: str = "lang", source_col: str = "s
 
     One KLL sketch for each rule, language and source, combined before the shuffle; the sketches merge to
     those of each language and of all documents, which groups with fewer than ``least`` measured documents
-    use. Null languages and sources are groups like any other.
+    use. Null languages and sources are groups like any other. No fence is fixed: where most documents have the same
+    value, so that the sketch has no spread, the counting error at the group's own median stands in: one
+    character of a text of median length, or the square root of the count, for shares of characters; half the
+    word length by the square root of the words for the mean word length.
     """
-    groups = measured.groupBy(F.col(lang_col).alias("lang"), F.col(source_col).alias("source")).agg(
-        F.count(next(iter(RULES))).alias("n"), *(F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in RULES)
-    )
+    sizes = {"chars": F.when(F.col("n_words") >= LEAST_WORDS, F.col("word_chars").cast("double")), "words": F.when(F.col("n_words") >= LEAST_WORDS, F.col("n_words").cast("double"))}
+    sketched = measured.withColumns(sizes)
+    names = [*RULES, *sizes]
+    groups = sketched.groupBy(F.col(lang_col).alias("lang"), F.col(source_col).alias("source")).agg(F.count(names[0]).alias("n"), *(F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in names))
     groups = materialise(groups, "quality-sketches")
-    merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(r, SKETCH_K).alias(r) for r in RULES)]
+    merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(r, SKETCH_K).alias(r) for r in names)]
     by_lang = groups.groupBy("lang").agg(*merged)
     overall = groups.agg(*merged)
     wide = (
-        groups.select("lang", "source", "n", F.struct("n", *RULES).alias("g"))
-        .join(by_lang.select(F.col("lang").alias("lang_"), F.struct("n", *RULES).alias("l")), F.col("lang").eqNullSafe(F.col("lang_")), "left")
-        .join(F.broadcast(overall.select(F.struct("n", *RULES).alias("a"))))
+        groups.select("lang", "source", "n", F.struct("n", *names).alias("g"))
+        .join(by_lang.select(F.col("lang").alias("lang_"), F.struct("n", *names).alias("l")), F.col("lang").eqNullSafe(F.col("lang_")), "left")
+        .join(F.broadcast(overall.select(F.struct("n", *names).alias("a"))))
     )
     used = F.when(F.col("g.n") >= least, F.col("g")).when(F.col("l.n") >= least, F.col("l")).otherwise(F.col("a"))
     out = wide.select("lang", "source", "n", used.alias("s"))
+    quantile = lambda name, q: F.when(F.col("s.n") > 0, F.kll_sketch_get_quantile_double(F.col(f"s.{name}"), F.lit(q)))
     cols = ["lang", "source", "n"]
-    for rule, (side, floor) in RULES.items():
-        quantile = lambda q, rule=rule: F.when(F.col("s.n") > 0, F.kll_sketch_get_quantile_double(F.col(f"s.{rule}"), F.lit(q)))
-        reach = F.greatest(F.lit(floor), REACH * (quantile(0.5) - quantile(0.1)))
-        cols += [(quantile(0.5) + reach).alias(f"{rule}_high"), (quantile(0.5) - reach if side == "both" else F.lit(None).cast("double")).alias(f"{rule}_low")]
+    for rule, side in RULES.items():
+        middle = quantile(rule, 0.5)
+        if rule == "word_length":
+            error = middle / 2 / F.sqrt(quantile("words", 0.5))
+        else:
+            error = F.sqrt(F.greatest(F.lit(1.0), middle * quantile("chars", 0.5))) / quantile("chars", 0.5)
+        reach = REACH * F.greatest(middle - quantile(rule, 0.1), error)
+        cols += [(middle + reach).alias(f"{rule}_high"), (middle - reach if side == "both" else F.lit(None).cast("double")).alias(f"{rule}_low")]
     return out.select(*cols)
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", with_text: bool = True) -> DataFrame:
     """``docs`` with the base statistics, the measures, ``base_failed`` and ``kept``.
 
     A document is kept if the base rule doesn't fail it and each measure lies within the fences of its
-    language and source. Columns of ``docs`` are kept; those with the names of added ones are replaced. Null and
+    language and source. Texts are scanned once: the statistics are written with the rows (without the text if not
+    ``with_text``, which also leaves it out of the result), and thresholds come from the numbers. Columns of ``docs`` are kept; those with
+    the names of added ones are replaced; other names can't clash. Null and
     empty texts have no words and fail the base rule. Thresholds are joined as a small table: up to
     SMALL_ROWS groups are broadcast, more are joined by shuffle, which AQE splits where a source is hot.
     """
-    docs = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *RULES)
-    limits = materialise(thresholds(measures(docs, text_col), lang_col, source_col), "quality-limits")
-    names = {"lang": "_lang", "source": "_source"} | {c: f"_{c}" for r in RULES for c in (f"{r}_low", f"{r}_high")}
-    side = limits.drop("n").withColumnsRenamed(names)
+    bare = numbered_columns(docs)
+    text, lang, source = (number_of(docs, c) for c in (text_col, lang_col, source_col))
+    known = measures(base_statistics(bare, text), text)
+    known = materialise(known if with_text else known.drop(text), "quality-statistics")
+    limits = materialise(thresholds(known, lang, source), "quality-limits").drop("n")
     if limits.count() <= SMALL_ROWS:
-        side = F.broadcast(side)
-    whole = measures(base_statistics(docs, text_col), text_col)
-    met = whole.join(side, whole[lang_col].eqNullSafe(F.col("_lang")) & whole[source_col].eqNullSafe(F.col("_source")), "left")
+        limits = F.broadcast(limits)
+    met = known.join(limits, F.col(lang).eqNullSafe(F.col("lang")) & F.col(source).eqNullSafe(F.col("source")), "left")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     inside = F.lit(True)
     for rule in RULES:
-        inside = inside & F.coalesce(F.col(rule) <= F.col(f"_{rule}_high"), F.lit(True)) & F.coalesce(F.col(rule) >= F.col(f"_{rule}_low"), F.lit(True))
-    return met.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & inside).drop(*names.values())
+        inside = inside & F.coalesce(F.col(rule) <= F.col(f"{rule}_high"), F.lit(True)) & F.coalesce(F.col(rule) >= F.col(f"{rule}_low"), F.lit(True))
+    added = (*STATISTICS, *RULES, "base_failed", "kept")
+    out = met.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & inside)
+    return out.select(*own_columns(docs, added if with_text else (*added, text_col)), *added)
 
 
 def keep_good(docs: DataFrame, **columns) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
-    bare = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    at = {k: f"c{docs.columns.index(columns.get(k, d))}" for k, d in (("text_col", "text"), ("lang_col", "lang"), ("source_col", "source"))}
-    kept = judge(bare, **at).filter("kept")
-    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    bare = numbered_columns(docs)
+    at = {k: number_of(docs, columns.get(k, d)) for k, d in (("text_col", "text"), ("lang_col", "lang"), ("source_col", "source"))}
+    return judge(bare, **at).filter("kept").select(*own_columns(docs))
