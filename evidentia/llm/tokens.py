@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -20,17 +21,20 @@ CACHE_ENTRIES, CACHE_LENGTH = 300_000, 48
 FAN_IN = 32
 
 
-def split_plain(text: str) -> list[str] | None:
-    """Pre-tokens of a text whose words are separated by single spaces or line ends; None for any other text.
+#: Where any text may be cut: at a single space between two words, and before a single line end between two words.
+BORDER = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 
-    The first word of each line carries the line end; the very first word carries nothing and is marked by
-    the caller. Words after a space stand bare.
+
+def split_borders(text: str) -> list[str]:
+    """The pre-tokens of a text that isn't empty.
+
+    Words are cut at single spaces and line ends between them; a word after a line end carries it, words after a
+    space stand bare. White space of any other kind (runs, tabs, blank lines, ends of the text) stays inside its
+    pre-token, between the words beside it. The first pre-token has nothing before it.
     """
-    if not text or text[0].isspace() or text[-1].isspace() or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
-        return None
-    if len(text.split()) != text.count(" ") + text.count("\n") + 1:
-        return None
-    return text.replace("\n", " \n").split(" ")
+    if not (text[0].isspace() or text[-1].isspace() or "  " in text or "\n\n" in text or " \n" in text or "\n " in text) and len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        return text.replace("\n", " \n").split(" ")
+    return BORDER.split(text)
 
 
 class Cache(dict):
@@ -54,7 +58,7 @@ class PieceCounter:
 
     A word after a space begins with the model's space symbol, and no piece has that symbol after
     another character or has a line end beside another character; so merges never cross the borders of
-    ``split_plain``. Texts with other white space, or with the space symbol itself, go to the library whole.
+    ``split_borders``. Texts with the space symbol itself go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -72,10 +76,12 @@ class PieceCounter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        parts = split_plain(text) if self.exact and "▁" not in text else None
-        if parts is None:
+        if not self.exact or "▁" in text:
             return len(self.model.encode(text, num_threads=1))
-        return sum(map(self.cache.__getitem__, parts))
+        first, *rest = split_borders(text)
+        # Nothing stands before the first pre-token, so a line end that begins it is its own.
+        own = len(self.model.encode(first, num_threads=1)) if first[0].isspace() else self.cache[first]
+        return own + sum(map(self.cache.__getitem__, rest))
 
 
 def _top(counts: Counter, n: int) -> list[tuple[str, int]]:
@@ -95,7 +101,7 @@ def frequent_pretokens(docs: DataFrame, text_col: str = "text", size: int = FREQ
         total: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                total.update(x for x in split_plain(text) or () if len(x) <= CACHE_LENGTH) if text else None
+                total.update(x for x in split_borders(text) if len(x) <= CACHE_LENGTH) if text else None
             if len(total) > 20 * size:
                 total = Counter(dict(_top(total, 10 * size)))
         yield summary(total)
@@ -153,7 +159,7 @@ class ByteEncoder:
 
     The vocabulary is read from its JSON file and run by tiktoken, which is faster and gives the same
     ids; texts with the string of a special token go to ``tokenizers`` itself. Its split pattern never
-    joins the two sides of a single space or line end between words, hence ``split_plain``.
+    joins the two sides of a single space or line end between words, hence ``split_borders``.
     """
 
     def __init__(self, path: str) -> None:
@@ -190,7 +196,5 @@ class ByteEncoder:
             return b""
         if any(s in text for s in self.special):
             return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        parts = split_plain(text)
-        if parts is None:
-            return self.pack(self.fast.encode_ordinary(text))
+        parts = split_borders(text)
         return self.pack(self.fast.encode_ordinary(parts[0])) + b"".join(map(self.cache.__getitem__, parts[1:]))
