@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from evidentia.llm.common import materialise, small_batches
 from evidentia.llm.tokens import ByteEncoder
 
 #: Pieces of one length and bucket that a window numbers together, about.
-BUCKET_ROWS = 5_000
+BUCKET_ROWS = 1_000
 
 
 def fullest_bin(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -95,51 +95,75 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def numbered(pieces: DataFrame, counts: dict[int, int], ids: list[str]) -> DataFrame:
+def numbered(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     """``pieces`` with ``place``, gapless from 0 for each length, however many pieces have it.
 
-    A length's pieces are dealt to buckets by a hash of ``ids``, as many as its count asks for; a window
-    numbers each bucket, and running totals over the small table of bucket sizes are added. Rows equal in
-    ``ids`` are interchangeable.
+    A length's pieces are dealt to buckets by a hash of ``row``, a number that was written with the piece, as many as its count
+    asks for; a window numbers each bucket, and running totals over the small table of bucket sizes are added. So pieces
+    with null or repeated ids fill no bucket.
     """
     by = "length"
     many = ",".join(str(max(1, -(-counts.get(n, 0) // BUCKET_ROWS))) for n in range(max(counts, default=0) + 1))
     buckets = F.get(F.split(F.lit(many), ","), F.col(by)).cast("long")
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(*ids), buckets))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), buckets))
     sizes = dealt.groupBy(by, "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = materialise(sizes.select(by, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bucket-base")
-    inside = F.row_number().over(Window.partitionBy(by, "bucket").orderBy(*ids))
+    inside = F.row_number().over(Window.partitionBy(by, "bucket").orderBy("row"))
     return dealt.withColumn("inside", inside).join(base, [by, "bucket"]).withColumn("place", F.col("base") + F.col("inside") - 1).drop("bucket", "inside", "base")
 
 
+class Plan:
+    """Where the i-th piece of each length goes: spans of places, found by binary search."""
+
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        spans, sequence = [], 0
+        used = dict.fromkeys(counts, 0)
+        for times, chosen in plan_bins(counts, capacity):
+            offset = 0
+            for n in sorted(chosen, reverse=True):
+                for _ in range(chosen[n]):
+                    spans.append((n, used[n], sequence, offset))
+                    used[n] += times
+                    offset += n
+            sequence += times
+        spans.sort()
+        self.length, self.low, self.first, self.offset = (np.array([x[j] for x in spans], np.int64) for j in range(4))
+        self.begin = {n: int(np.searchsorted(self.length, n)) for n in counts}
+        self.end = {n: int(np.searchsorted(self.length, n, "right")) for n in counts}
+
+    def find(self, length: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(sequence, offset)`` of each piece."""
+        at = np.zeros(len(length), np.int64)
+        for n in np.unique(length).tolist():
+            own = length == n
+            a, z = self.begin[n], self.end[n]
+            at[own] = a + np.searchsorted(self.low[a:z], place[own], "right") - 1
+        return self.first[at] + place - self.low[at], self.offset[at]
+
+
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each piece of each document with its place: ``(id, piece, start, length, ids_crc32, sequence_id, offset)``.
 
     Minimum bin slack: per sequence, the longest piece left and the fullest combination of the others
     that fits, found by subset-sum dynamic programming on bitsets. Pieces of equal length are
     interchangeable, so the search runs on the driver over the counts of lengths (at most
-    ``capacity`` numbers, whatever the input), and its plan (a bounded number of entries) is joined back:
+    ``capacity`` numbers, whatever the input), and its plan (a bounded number of spans) is broadcast:
     the i-th piece of a length goes where the plan puts the i-th. Null and empty texts are one
     end id; repeated rows and null ids are packed like any other rows; an empty table packs nothing.
     """
     spark = docs.sparkSession
-    pieces = materialise(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
+    pieces = token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col)
+    pieces = materialise(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
-    spans, sequence = [], 0
-    used = dict.fromkeys(counts, 0)
-    for times, chosen in plan_bins(counts, capacity):
-        offset = 0
-        for n in sorted(chosen, reverse=True):
-            for _ in range(chosen[n]):
-                spans.append((n, used[n], used[n] + times, sequence, offset))
-                used[n] += times
-                offset += n
-        sequence += times
-    places = spark.createDataFrame([(json.dumps(spans),)], "spans string")
-    places = places.select(F.explode(F.from_json("spans", "array<array<long>>")).alias("s"))
-    places = places.select(*(F.col("s")[i].alias(c) for i, c in enumerate(("length", "low", "high", "first", "offset"))))
-    placed = numbered(pieces, counts, ["id", "piece", "ids_crc32"])
-    placed = placed.join(F.broadcast(places), "length").filter("place >= low and place < high")
-    out = placed.withColumn("sequence_id", F.col("first") + F.col("place") - F.col("low"))
-    return out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    plan = spark.sparkContext.broadcast(Plan(counts, capacity))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = plan.value.find(*(batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *map(pa.array, found)], names=[*batch.schema.names[:5], "sequence_id", "offset"])
+
+    placed = numbered(pieces, counts).select("id", "piece", "start", "length", "ids_crc32", "place")
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = placed.mapInArrow(put, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return out.withColumnRenamed("id", id_col)
