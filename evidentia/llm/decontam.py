@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise, small_batches
+from evidentia.llm.common import materialise, number_of, numbered_columns, own_columns, small_batches
 
 TOKEN = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -28,6 +28,8 @@ SHINGLE, QUESTION_OVERLAP, ANSWER_OVERLAP = 5, 0.8, 0.8
 K1, B = 1.2, 0.75
 #: Postings in a block of an inverted list; the bound for whole texts has blocks of this many parts or more, COLUMNS blocks at most.
 POSTINGS, PARTS, COLUMNS = 64, 4, 128
+#: Numbers in the table of that bound: an index of many terms has fewer and longer blocks, which prune less and lose nothing.
+BOUND_ENTRIES = 8_000_000
 #: Items and bytes of one broadcast index: a larger benchmark takes several, each against all documents.
 INDEX_ITEMS, INDEX_BYTES = 20_000, 8_000_000
 
@@ -89,7 +91,8 @@ class Index:
         self.last = [[d[min(i + POSTINGS, len(d)) - 1] for i in range(0, len(d), POSTINGS)] for d in self.docs]
         self.block_most = [[max(x[i : i + POSTINGS]) for i in range(0, len(x), POSTINGS)] for x in self.impacts]
         # For the bound over whole texts: row of a term, column of a block of parts; the last row is for unknown words.
-        size = max(PARTS, -(-len(self.owner) // COLUMNS))
+        columns = max(1, min(COLUMNS, BOUND_ENTRIES // (len(lists) + 1)))
+        size = max(PARTS, -(-len(self.owner) // columns))
         self.bound = np.zeros((len(lists) + 1, -(-len(self.owner) // size) or 1), np.float32)
         for t, (d, x) in enumerate(zip(self.docs, self.impacts, strict=True)):
             np.maximum.at(self.bound[t], np.array(d) // size, np.array(x, np.float32))
@@ -225,7 +228,9 @@ def _indexes(items: DataFrame, item_id: str, item_text: str) -> Iterator[Index]:
     for b in range(blocks):
         own = table.filter(F.col("block") == b).select("word").distinct().join(df, "word").collect()
         rows = known.filter(F.col("block") == b).select("key", "text").collect()
-        yield Index(sorted((tuple(r) for r in rows), key=str), dict(tuple(r) for r in own), size[0], mean)
+        index = Index(sorted((tuple(r) for r in rows), key=str), dict(tuple(r) for r in own), size[0], mean)
+        index.of = blocks
+        yield index
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -261,13 +266,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 columns += [pa.array([r[j] for r in rest], pa.float64()) for j in range(3)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "score", "question_overlap", "answer_overlap"])
 
-        out = out.union(texts.mapInArrow(run, schema))
+        part = texts.mapInArrow(run, schema)
+        if index.of > 1:
+            # One index at a time is held by the driver and the workers.
+            part = materialise(part, "leaks")
+            shared.destroy()
+        out = out.union(part)
     return out
 
 
 def remove_leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item; rows are told apart by id and text hash."""
-    marked = docs.withColumn("_mark", F.xxhash64(F.col(text_col).cast("string")))
-    keyed = marked.select(F.struct(id_col, "_mark").alias("key"), F.col(text_col).alias("body"))
-    found = materialise(find_leaks(keyed, items, "key", "body", **columns).select(F.col(f"id.{id_col}").alias("_id"), F.col("id._mark").alias("_hash")).distinct(), "leaked")
-    return marked.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_hash")), "left_anti").drop("_mark")
+    bare = numbered_columns(docs)
+    own_id, own_text = number_of(docs, id_col), number_of(docs, text_col)
+    marked = bare.withColumn("mark", F.xxhash64(F.col(own_text).cast("string")))
+    keyed = marked.select(F.struct(F.col(own_id).alias("id"), "mark").alias("key"), F.col(own_text).alias("body"))
+    found = materialise(find_leaks(keyed, items, "key", "body", **columns).select(F.col("id.id").alias("leaked"), F.col("id.mark").alias("hash")).distinct(), "leaked")
+    return marked.join(found, F.col(own_id).eqNullSafe(F.col("leaked")) & (F.col("mark") == F.col("hash")), "left_anti").select(*own_columns(docs))
