@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise, small_batches
+from evidentia.llm.common import discard, materialise, small_batches
 
 FEATURES, SEED, RIDGE = 256, 7, 1e-3
-#: Tasks that sum normal equations: so many matrices meet at most, whatever the number of labels.
-SUMMING_TASKS = 64
+#: Sums of normal equations that one task adds up.
+FAN_IN = 16
 #: Bins of ridge scores, from LOW to HIGH, in which labels are summed for the calibration.
 BINS, LOW, HIGH = 2000, -1.0, 2.0
 NAMES = ("words", "chars", "lines", "word_length", "word_length_deviation", "words_a_line", "symbols", "upper", "digits", "marks", "exclaims", "letters", "distinct", "top_word", "repeated", "neighbours", "copied_lines", "short_words", "upper_words", "bytes_a_char")
@@ -90,29 +90,38 @@ def _arrays(batch: pa.RecordBatch, column: int) -> np.ndarray:
 
 
 def _summed(rows: DataFrame, each) -> np.ndarray | None:
-    """The sum over rows of ``each(x, y)``, added up task by task and then place by place; at most SUMMING_TASKS parts meet."""
+    """The sum over rows of ``each(x, y)``: each task adds up its own, then FAN_IN sums at a time are added until one is left."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from one(each(_arrays(b, 0), b.column(1).to_numpy(zero_copy_only=False)) for b in batches if len(b))
+
+    def more(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from one(np.array(x) for b in batches for x in b.column(0).to_numpy(zero_copy_only=False))
+
+    def one(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
         total = None
-        for batch in batches:
-            if len(batch):
-                part = each(_arrays(batch, 0), batch.column(1).to_numpy(zero_copy_only=False))
-                total = part if total is None else total + part
+        for part in parts:
+            total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["at", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["value"])
 
-    parts = rows.coalesce(SUMMING_TASKS).mapInArrow(run, "at int, value double")
-    found = parts.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
-    if not found.num_rows:
-        return None
-    out = np.zeros(found.num_rows)
-    out[found.column("at").to_numpy()] = found.column("value").to_numpy()
-    return out
+    level = materialise(rows.mapInArrow(sums, "value array<double>"), "sums")
+    while (n := level.count()) > 1:
+        before, level = level, materialise(level.repartition(-(-n // FAN_IN)).mapInArrow(more, "value array<double>"), "sums")
+        discard(before)
+    found = level.collect()
+    return np.array(found[0][0]) if found else None
 
 
 def fit(labelled: DataFrame) -> Model:
-    """Fits on rows ``(x array<double>, y double)``: sums for the standardisation, normal equations, then label sums by score bin."""
+    """Fits on rows ``(x array<double>, y double, fold boolean)``: sums for the standardisation, normal equations, then label sums by score bin.
+
+    The calibration takes the rows of the fold, which the equations don't see; if either side is empty both take all.
+    """
     d = len(NAMES)
+    sides = {bool(r[0]) for r in labelled.select("fold").distinct().collect()}
+    apart = labelled.filter("fold").select("x", "y") if len(sides) > 1 else labelled.select("x", "y")
+    labelled = labelled.filter("not fold").select("x", "y") if len(sides) > 1 else apart
     sums = _summed(labelled, lambda x, y: np.concatenate(([len(x)], x.sum(0), (x * x).sum(0))))
     if sums is None:
         return Model(np.zeros(d), np.ones(d))
@@ -137,7 +146,7 @@ def fit(labelled: DataFrame) -> Model:
         at = np.clip(((s - LOW) / (HIGH - LOW) * BINS).astype(int), 0, BINS - 1)
         return np.concatenate([np.bincount(at, w, BINS) for w in (np.ones(len(x)), y, s)])
 
-    counts, ys, ss = _summed(labelled, by_bin).reshape(3, BINS)
+    counts, ys, ss = _summed(apart, by_bin).reshape(3, BINS)
     full = counts > 0
     model.knots, model.values = isotonic(ss[full] / counts[full], ys[full], counts[full])
     return model
@@ -166,7 +175,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "d
     known = materialise(rows.mapInArrow(describe, f"id {kind}, held boolean, x array<double>"), "quality-statistics")
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).filter("id is not null and y is not null")
     marks = marks.groupBy("id").agg(F.avg("y").alias("y"))
-    labelled = materialise(known.filter(~F.col("held")).join(marks, "id").select("x", "y"), "quality-labelled")
+    labelled = known.filter(~F.col("held")).join(marks, "id").select("x", "y", (F.pmod(F.xxhash64("id"), F.lit(5)) == 0).alias("fold"))
+    labelled = materialise(labelled, "quality-labelled")
     model = spark.sparkContext.broadcast(fit(labelled))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
