@@ -61,27 +61,37 @@ def edited_map(old: dict[int, int], sizes: dict[int, int], shards: int, toleranc
         out[k], load[high], load[low] = low, load[high] - sizes[k], load[low] + sizes[k]
 
 
-def slot_sizes(rows: DataFrame, shards: int, slots: int = SLOTS) -> tuple[dict[int, int], dict[int, int]]:
-    """``(bytes by part, parts by split slot)`` of rows ``(vslot, spread, size)``.
+def slot_sizes(rows: DataFrame, shards: int, slots: int = SLOTS) -> tuple[dict[int, int], dict[int, int], dict[tuple, int]]:
+    """``(bytes by part, parts by split slot, parts by split text)`` of rows ``(vslot, mix, text_hash, text_crc32, spread, size)``.
 
-    A slot that alone holds more than a shard's fair share is split by ``spread`` into parts of a quarter of that
-    share; part p > 0 of a slot has the number ``slot + p * slots``. Only then do equal texts part.
-    The driver reads at most ``slots`` sums, and of split slots, of which there are fewer than ``shards``, the parts.
+    A slot that alone holds more than a shard's fair share is split into parts by a hash of the text, which keeps
+    equal texts together; part p > 0 of a slot has the number ``slot + p * slots``. A text that alone holds more than a fair share
+    is split by row into parts of its own beyond those of its slot: only its copies part.
+    The driver reads at most ``slots`` sums, and the sums of split slots and texts, of which there are fewer than ``shards``.
     """
     whole = {r[0]: r[1] for r in rows.groupBy("vslot").agg(F.sum("size")).collect()}
     fair = max(1.0, sum(whole.values()) / shards)
-    split = {k: min(4 * shards, int(4 * v / fair) + 1) for k, v in whole.items() if v > fair}
+    split = {k: min(4 * shards, int(8 * v / fair) + 1) for k, v in whole.items() if v > fair}
+    heavy: dict[tuple, int] = {}
     if split:
-        parts = part_of(split, slots)
-        heavy = rows.filter(F.col("vslot").isin(list(split))).groupBy(parts.alias("part")).agg(F.sum("size"))
-        whole = {k: v for k, v in whole.items() if k not in split} | {r[0]: r[1] for r in heavy.collect()}
-    return whole, split
+        own = rows.filter(F.col("vslot").isin(list(split)))
+        texts = own.groupBy("vslot", "text_hash", "text_crc32").agg(F.sum("size").alias("size")).filter(F.col("size") > fair)
+        heavy = {(r[0], r[1], r[2]): min(4 * shards, int(4 * r[3] / fair) + 1) for r in texts.collect()}
+        parts = own.groupBy(part_of(split, heavy, slots).alias("part")).agg(F.sum("size"))
+        whole = {k: v for k, v in whole.items() if k not in split} | {r[0]: r[1] for r in parts.collect()}
+    return whole, split, heavy
 
 
-def part_of(split: dict[int, int], slots: int = SLOTS) -> Column:
+def part_of(split: dict[int, int], heavy: dict[tuple, int], slots: int = SLOTS) -> Column:
+    """The part of a row: its slot, a part of a split slot by text, or a part of a split text by row."""
     out = F.col("vslot")
     for k, n in sorted(split.items()):
-        out = F.when(F.col("vslot") == k, (k + F.pmod(F.col("spread"), F.lit(n)) * slots).cast("int")).otherwise(out)
+        out = F.when(F.col("vslot") == k, (k + F.pmod(F.col("mix"), F.lit(n)) * slots).cast("int")).otherwise(out)
+    after = dict(split)
+    for (k, h, c), n in sorted(heavy.items()):
+        first, after[k] = after[k], after[k] + n
+        same = (F.col("vslot") == k) & (F.col("text_hash") == h) & (F.col("text_crc32") == c)
+        out = F.when(same, (k + (first + F.pmod(F.col("spread"), F.lit(n))) * slots).cast("int")).otherwise(out)
     return out
 
 
@@ -112,36 +122,43 @@ def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, id_col: str = "d
     A record's slot is a hash of its text and never changes; bytes are summed by slot, and a map from slots
     to shards is made or, where ``map_path`` has one, edited and appended as its next version. ``place`` is gapless
     from 0 in each shard. Size: UTF-8 bytes of the text (null: none) plus 1. Equal texts share a shard
-    unless they alone exceed a shard's fair share. Repeated rows and null ids are records like any other.
+    unless they alone exceed a shard's fair share. Repeated rows and null ids are records like any other: what deals them
+    to tasks is a number of the row, not its id.
     """
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
+    whole = F.coalesce(text, F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-        slot_of(F.coalesce(text, F.lit("")), slots).alias("vslot"),
-        F.xxhash64(F.col(id_col)).alias("spread"),
+        slot_of(whole, slots).alias("vslot"),
+        F.xxhash64(F.lit(3), whole).alias("mix"),
+        F.xxhash64(whole).alias("text_hash"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("spread"),
     )
     rows = materialise(rows, "shard-rows")
-    sizes, split = slot_sizes(rows, shards, slots)
+    sizes, split, heavy = slot_sizes(rows, shards, slots)
     stored = _stored(spark, map_path)
     if stored is None:
         mapping, version = first_map(sizes, shards), 1
     else:
         version = stored.agg(F.max("version")).first()[0] + 1
         mapping = edited_map(read_map(stored), sizes, shards)
-    table = map_table(spark, mapping, sizes, version)
     if map_path:
-        table.write.mode("append").parquet(map_path)
-    placed = rows.withColumn("part", part_of(split, slots)).join(F.broadcast(table.select("part", "shard")), "part")
-    # Places: rows are dealt to buckets by id; running totals of the buckets' counts are added to a window's numbers.
+        map_table(spark, mapping, sizes, version).write.mode("append").parquet(map_path)
+        table = spark.read.parquet(map_path).filter(F.col("version") == version)
+    else:
+        table = map_table(spark, mapping, sizes, version)
+    # A map has a row for each slot and part at most.
+    placed = rows.withColumn("part", part_of(split, heavy, slots)).join(F.broadcast(table.select("part", "shard")), "part")
+    # Places: rows are dealt to buckets by their number; running totals of the buckets' counts are added to a window's numbers.
     n = max(1, -(-rows.count() // BUCKET_ROWS))
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(n)))
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("spread"), F.lit(n)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = materialise(counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "shard-base")
-    inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "text_crc32", "size"))
+    inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("spread"))
     out = placed.withColumn("inside", inside).join(base, ["shard", "bucket"])
     return out.select(F.col("id").alias(id_col), "size", "text_crc32", "vslot", "part", "shard", (F.col("base") + F.col("inside") - 1).alias("place"))
 
