@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise, row_key, small_batches
+from evidentia.llm.common import discard, materialise, number_of, numbered_columns, own_columns, row_key, small_batches
 from evidentia.llm.graph import connected_components
 
 BITS = 64
@@ -66,96 +66,118 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _mask(segments: list[tuple[int, int]], start: int, length: int) -> int:
-    """The bits of ``length`` consecutive segments on the ring, from ``start``."""
-    picked = [segments[(start + k) % len(segments)] for k in range(length)]
-    return _signed(sum(((1 << n) - 1) << a for a, n in picked))
+def _bits(first: int, n: int) -> int:
+    return ((1 << n) - 1) << first
 
 
-def _subsets(m: int, budget: int) -> list[tuple[int, ...]]:
-    """The choices of ``m - budget`` of m segments: two fingerprints within ``budget`` bits agree in all segments of one at least."""
-    return list(combinations(range(m), m - budget))
+class Ring:
+    """The segments of a fingerprint as a ring, and the keys that its viable chains share.
 
-
-def _keyed(fps: DataFrame, segments: list[tuple[int, int]], budget: int) -> DataFrame:
-    """``(fp, slot, key)``, a row for each choice of segments: the key is a hash of the fingerprint's bits there."""
-    slots = _subsets(len(segments), budget)
-    masks = F.array(*(F.lit(_signed(sum(((1 << segments[i][1]) - 1) << segments[i][0] for i in s))) for s in slots))
-    rows = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(slots) - 1))).alias("slot"))
-    return rows.select("fp", "slot", F.xxhash64(F.col("fp").bitwiseAND(F.get(masks, F.col("slot"))), "slot").alias("key"))
-
-
-def _near(a: Column, b: Column, slot: Column, segments: list[tuple[int, int]], budget: int) -> Column:
-    """Candidates by pigeonring: some chain of consecutive segments stays within its proportional budget at each length.
-
-    Of all keys that a pair shares, only that of the first segments in which it agrees lets it pass.
-    The full Hamming check comes last.
+    A chain of l consecutive segments is viable if, for each k up to l, its first k segments differ in at most
+    ``budget * k // m`` bits. Of two fingerprints within ``budget`` bits some chain of any length is viable (Qin and
+    Xiao, VLDB 2018). Keys come from the chains of ``LINKS`` segments: the first has no difference, each of the others
+    is cut in ``PIECES``, and a shape names the pieces that may differ, as many as the chain's budget and so many of
+    the first k segments as theirs. The bits outside the shape are the key, so two fingerprints with a viable chain share one.
     """
-    m = len(segments)
-    diff = a.bitwiseXOR(b)
-    ring = F.lit(False)
-    for start in range(m):
-        chain = F.lit(True)
-        for length in range(1, m):
-            chain = chain & (F.bit_count(diff.bitwiseAND(F.lit(_mask(segments, start, length)))) <= budget * length // m)
-        ring = ring | chain
-    same = F.lit(0)
-    for i in range(m):
-        same = same.bitwiseOR(F.when(diff.bitwiseAND(F.lit(_mask(segments, i, 1))) == 0, F.lit(1 << i)).otherwise(F.lit(0)))
-    slots = _subsets(m, budget)
-    own = F.get(F.array(*(F.lit(sum(1 << i for i in s)) for s in slots)), slot)
-    upto = F.get(F.array(*(F.lit((2 << s[-1]) - 1) for s in slots)), slot)
-    return (same.bitwiseAND(upto) == own) & ring & (F.bit_count(diff) <= budget)
-
-
-def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 8) -> DataFrame:
+
+    LINKS, PIECES = 3, 3
+
+    def __init__(self, budget: int, m: int) -> None:
+        if not 0 <= budget < m <= BITS // self.PIECES or m < self.LINKS:
+            raise ValueError("more segments than differing bits are needed")
+        self.budget, self.m = budget, m
+        self.segments = _segments(m)
+        self.allowed = [budget * k // m for k in range(m + 1)]
+        self.keys: list[tuple[int, int]] = []  # start and mask of each slot
+        for start in range(m):
+            chain = [self.segments[(start + d) % m] for d in range(self.LINKS)]
+            pieces = [(d, a + n * p // self.PIECES, n * (p + 1) // self.PIECES - n * p // self.PIECES) for d, (a, n) in enumerate(chain) if d for p in range(self.PIECES)]
+            whole = sum(_bits(a, n) for a, n in chain)
+            for shape in combinations(pieces, self.allowed[self.LINKS]):
+                if all(sum(d < k for d, _, _ in shape) <= self.allowed[k] for k in range(1, self.LINKS)):
+                    self.keys.append((start, whole - sum(_bits(a, n) for _, a, n in shape)))
+        if len(self.keys) > 64:
+            raise ValueError("too many keys")
+
+    def chain(self, start: int, length: int) -> int:
+        """The bits of a chain."""
+        return _signed(sum(_bits(*self.segments[(start + k) % self.m]) for k in range(length)))
+
+    def keyed(self, fps: DataFrame) -> DataFrame:
+        """``(fp, key)``, a row for each slot: a hash of the fingerprint's bits there, its last six bits the slot's number."""
+        masks = F.array(*(F.lit(_signed(mask)) for _, mask in self.keys))
+        rows = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(self.keys) - 1))).alias("slot"))
+        hashed = F.xxhash64(F.col("fp").bitwiseAND(F.get(masks, F.col("slot"))), "slot")
+        return rows.select("fp", hashed.bitwiseAND(F.lit(-64)).bitwiseOR(F.col("slot").cast("long")).alias("key"))
+
+    def near(self, a: Column, b: Column, key: Column, once: bool) -> Column:
+        """Candidates that share ``key``: its chain is viable at each length, then in full. With ``once`` only the pair's first viable start counts."""
+        diff = a.bitwiseXOR(b)
+        starts = F.array(*(F.lit(start) for start, _ in self.keys))
+        start = F.get(starts, key.bitwiseAND(F.lit(63)).cast("int"))
+
+        def within(k: int, at: Column) -> Column:
+            return F.bit_count(diff.bitwiseAND(F.get(F.array(*(F.lit(self.chain(s, k)) for s in range(self.m))), at))) <= self.allowed[k]
+
+        found = within(1, start)
+        for k in range(2, self.m):
+            found = found & within(k, start)
+        found = found & (F.bit_count(diff) <= self.budget)
+        for s in range(self.m - 1) if once else ():
+            earlier = F.lit(True)
+            for k in range(1, self.m):
+                earlier = earlier & (F.bit_count(diff.bitwiseAND(F.lit(self.chain(s, k)))) <= self.allowed[k])
+            found = found & ((start <= s) | ~earlier)
+        return found
+
+
+def link_fingerprints(fps: DataFrame, budget: int = 4, segments: int = 5) -> DataFrame:
     """``(fp, root)`` for distinct fingerprints ``fp`` linked, directly or through others, at ``budget`` bits or fewer.
 
-    The 64 bits are cut in ``segments``; within ``budget`` bits, ``segments - budget`` segments agree, so the
-    bits of each such choice are a join key (70 keys of 32 bits by default, few chance matches). First each key's
-    least fingerprint is linked with its neighbours, one link a row, and components are contracted. Then only
-    pairs from different components are compared, by pigeonring chains and then in full: in each key
+    Candidates share a key of ``Ring``: by default 60 keys a fingerprint, each some 30 bits of a chain of three of five segments.
+    First each key's least fingerprint is linked with its neighbours, one link a row, and components are contracted. Then only
+    pairs from different components are compared: the chain grows segment by segment, the full check comes last. In each key
     group the rows outside its largest component meet all its rows. So a group of near copies costs rows in
     proportion to its size, and no link between components is lost. The pair conditions are part of the
-    join, hence a failed candidate is never emitted. Fingerprints without a link are not in the result.
+    join, hence a failed candidate is never emitted. All joins are dealt by key at every size, so that AQE may split
+    a hot one. Fingerprints without a link are not in the result.
     """
-    if not 0 <= budget < segments <= BITS:
-        raise ValueError("more segments than differing bits are needed")
-    ring = _segments(segments)
-    keyed = _keyed(fps, ring, budget)
-    groups = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
-    groups = materialise(groups.filter("pivot <> other").select("key", "pivot"), "simhash-groups")
-    # The same plan at every size: both sides are dealt by key, and AQE may split a hot one.
+    ring = Ring(budget, segments)
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the table is small beside its keys
+    keyed = ring.keyed(fps.repartition(tasks, "fp"))
+    groups = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other")).filter("pivot <> other").select("key", "pivot")
     shared = materialise(keyed.join(groups.hint("merge"), "key"), "simhash-keys")
-    star = shared.filter((F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= budget))
-    first = materialise(connected_components(star.select(F.col("fp").alias("u"), F.col("pivot").alias("v"))), "simhash-first")
+    star = shared.filter(F.col("fp") != F.col("pivot")).filter(ring.near(F.col("fp"), F.col("pivot"), F.col("key"), once=False))
+    first = connected_components(star.select(F.col("fp").alias("u"), F.col("pivot").alias("v")))
 
-    named = shared.select("key", "slot", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
-    named = materialise(named.select("key", "slot", "fp", F.coalesce("root", "fp").alias("root")), "simhash-named")
+    named = shared.select("key", "fp").join(first.withColumnRenamed("node", "fp").hint("merge"), "fp", "left")
+    named = materialise(named.select("key", "fp", F.coalesce("root", "fp").alias("root")), "simhash-named")
+    discard(shared)
     sizes = named.groupBy("key", "root").count().groupBy("key")
     mixed = sizes.agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    mixed = materialise(mixed.select("key", "main"), "simhash-mixed")
-    met = materialise(named.join(mixed, "key"), "simhash-met")
-    a = met.filter("root <> main").select(F.col("key").alias("key_a"), "slot", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
+    met = materialise(named.join(mixed.select("key", "main").hint("merge"), "key"), "simhash-met")
+    discard(named)
+    a = met.filter("root <> main").select(F.col("key").alias("key_a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
     b = met.select("key", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"), "main")
     fresh = (F.col("root_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b"))
-    near = _near(F.col("fp_a"), F.col("fp_b"), F.col("slot"), ring, budget)
-    pairs = a.join(b, (F.col("key_a") == F.col("key")) & (F.col("root_a") != F.col("root_b")) & fresh & near)
+    near = ring.near(F.col("fp_a"), F.col("fp_b"), F.col("key"), once=True)
+    pairs = a.join(b.hint("merge"), (F.col("key_a") == F.col("key")) & (F.col("root_a") != F.col("root_b")) & fresh & near)
     second = connected_components(pairs.select(F.col("root_a").alias("u"), F.col("root_b").alias("v")))
+    discard(met)
     second = second.select(F.col("node").alias("root"), F.col("root").alias("top"))
     inner = first.select(F.col("node").alias("fp"), "root").union(first.select(F.col("root").alias("fp"), "root").distinct())
     lone = second.select(F.col("root").alias("fp"), F.col("root")).union(second.select(F.col("top").alias("fp"), F.col("top").alias("root")).distinct())
-    all_of = inner.union(lone.join(inner.select("fp"), "fp", "left_anti"))
-    return all_of.join(second, "root", "left").select("fp", F.coalesce("top", "root").alias("root"))
+    all_of = inner.union(lone.join(inner.select("fp").hint("merge"), "fp", "left_anti"))
+    return all_of.join(second.hint("merge"), "root", "left").select("fp", F.coalesce("top", "root").alias("root"))
 
 
 def _rooted(reps: DataFrame, budget: int, segments: int) -> DataFrame:
     """``(fp, least, root)``: distinct fingerprints with the root of their component, their own where none is linked."""
     linked = materialise(link_fingerprints(reps.select("fp"), budget, segments), "simhash-linked")
-    return reps.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return reps.join(linked.hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 8, width: int = 4) -> DataFrame:
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 5, width: int = 4) -> DataFrame:
     """One row for each row of ``docs``: its id, ``fp`` (signed long) and ``component_id``, the least id reachable by links.
 
     Links join fingerprints at ``budget`` or fewer differing bits; equal fingerprints are one node, so copies
@@ -168,25 +190,30 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     rooted = _rooted(reps, budget, segments)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = materialise(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return fps.join(known, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    known = materialise(rooted.join(least.hint("merge"), "root").select("fp", "component_id"), "simhash-components")
+    discard(reps)
+    return fps.join(known.hint("merge"), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 8, width: int = 4) -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, segments: int = 5, width: int = 4) -> DataFrame:
     """The rows of ``docs`` that stay: of each component one row, that with the least id, then text hashes; null ids come last.
 
-    Components are told apart by their links and rows by ``row_key``, so an id that repeats or is null costs no
-    row of another component. Of rows that are equal in that key one stays.
+    Components are told apart by their links and rows by id and text hashes, so an id that repeats or is null costs no
+    row of another component. Of rows that are equal in that key one stays. Names of other columns can't clash.
     """
-    fps = fingerprints(docs, id_col, text_col, width, hashes=True)
+    bare = numbered_columns(docs)
+    own_id, own_text = number_of(docs, id_col), number_of(docs, text_col)
+    fps = fingerprints(bare, own_id, own_text, width, hashes=True)
     keys = materialise(fps.groupBy("fp", "id", "h", "g").count(), "simhash-rows")
     key = F.struct(F.col("id").isNull().alias("last"), "id", "h", "g", "count")
     reps = materialise(keys.groupBy("fp").agg(F.min(key).alias("least")), "simhash-distinct")
+    discard(keys)
     stay = _rooted(reps, budget, segments).groupBy("root").agg(F.min("least").alias("row"))
-    stay = materialise(stay.select(F.col("row.id").alias("_id"), F.col("row.h").alias("_h"), F.col("row.g").alias("_g"), F.col("row.count").alias("_n")), "simhash-stay")
-    own, h, g = row_key(id_col, text_col)
-    kept = docs.withColumns({"_own_h": h, "_own_g": g})
-    kept = kept.join(stay, own.eqNullSafe(F.col("_id")) & (F.col("_own_h") == F.col("_h")) & (F.col("_own_g") == F.col("_g")), "left_semi")
-    if stay.filter("_n > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col, "_own_h", "_own_g"])
-    return kept.select(*docs.columns)
+    stay = materialise(stay.select("row.id", "row.h", "row.g", F.col("row.count").alias("n")), "simhash-stay")
+    discard(reps)
+    own, h, g = row_key(own_id, own_text)
+    kept = bare.withColumns({"own_h": h, "own_g": g})
+    kept = kept.join(stay.hint("merge"), own.eqNullSafe(F.col("id")) & (F.col("own_h") == F.col("h")) & (F.col("own_g") == F.col("g")), "left_semi")
+    if stay.filter("n > 1").limit(1).count():
+        kept = kept.dropDuplicates([own_id, "own_h", "own_g"])
+    return kept.select(*own_columns(docs))
