@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm.classifier import score_quality
-from evidentia.llm.common import table
+from evidentia.llm.common import shared_dir, table
 from evidentia.llm.decontam import find_leaks
 from evidentia.llm.htmltext import extract
 from evidentia.llm.lattice import score_texts
@@ -27,7 +28,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_adaptive_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge(table(spark, sf_dir, "documents"))
+    judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), with_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -51,7 +52,8 @@ def op5_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = shard(table(spark, sf_dir, "documents"), shards=8)
+    versions = f"{shared_dir(spark)}/evidentia/{spark.sparkContext.applicationId}/slot-map-{uuid.uuid4().hex}"
+    placed = shard(table(spark, sf_dir, "documents"), shards=8, map_path=versions)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("part").alias("virtual_slot"))
 
 
@@ -94,12 +96,12 @@ WITH cut AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '(\n
 lines AS (SELECT doc_id, unnest(units) AS unit, generate_subscripts(units, 1) - 1 AS line FROM cut),
 worded AS (SELECT doc_id, line, trim(unit, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS k, count(*) OVER (PARTITION BY doc_id) AS n
   FROM lines WHERE regexp_matches(unit, '[^\x20\x09-\x0D]')),
-windows AS (SELECT doc_id, k, n, line AS l0, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2, bare AS b0, lead(bare, 1) OVER w AS b1, lead(bare, 2) OVER w AS b2 FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
-placed AS (SELECT *, row_number() OVER (PARTITION BY b0, b1, b2 ORDER BY doc_id, l0) AS r FROM windows WHERE k <= greatest(n - 2, 1)),
-covered AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest([l0, l1, l2]) AS line FROM placed WHERE r > 1) WHERE line IS NOT NULL),
-runs AS (SELECT doc_id, line, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS run FROM covered),
-long AS (SELECT doc_id, run FROM runs JOIN lines USING (doc_id, line) GROUP BY doc_id, run HAVING sum(len(regexp_extract_all(unit, '[^\x20\x09-\x0D]+'))) >= 30),
-gone AS (SELECT doc_id, line FROM runs JOIN long USING (doc_id, run)),
+windows AS (SELECT doc_id, k, n, bare AS b0, lead(bare, 1) OVER w AS b1, lead(bare, 2) OVER w AS b2 FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY b0, b1, b2 ORDER BY doc_id, k) AS r FROM windows WHERE k <= greatest(n - 2, 1)),
+covered AS (SELECT DISTINCT doc_id, line, k FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS k FROM placed WHERE r > 1) JOIN worded USING (doc_id, k)),
+runs AS (SELECT doc_id, line, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM covered),
+spans AS (SELECT doc_id, min(line) AS a, max(line) AS z FROM runs GROUP BY doc_id, run),
+gone AS (SELECT l.doc_id, l.line FROM lines l JOIN spans s ON s.doc_id = l.doc_id AND l.line BETWEEN s.a AND s.z),
 left_ AS (SELECT doc_id, string_agg(unit, '' ORDER BY line) AS text FROM lines ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id),
 n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN g.n > 0 THEN coalesce(l.text, '') ELSE d.text END AS text, coalesce(g.n, 0) AS n_removed
