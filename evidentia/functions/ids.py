@@ -66,18 +66,29 @@ def template_variant(key: Column, n: Column | int) -> Column:
     return F.aggregate(digits, F.lit(0), lambda acc, d: F.pmod(acc * 16 + d, size).cast("int"))
 
 
+def _sorted_dump(compact: bool):
+    separators = (",", ":") if compact else (", ", ": ")
+    return lambda text: json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=separators)
+
+
+def sorted_json(value: Column) -> Column:
+    """The compact key-sorted dump of a JSON object string."""
+    dump = _sorted_dump(compact=True)
+
+    @F.pandas_udf("string")
+    def dumped(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda text: None if text is None else dump(text))
+
+    return dumped(value)
+
+
 def json_sha256(compact: bool):
     """A pandas UDF from a JSON object string to the SHA-256 of its key-sorted dump; ``compact`` has no spaces."""
-    separators = (",", ":") if compact else (", ", ": ")
+    dump = _sorted_dump(compact)
 
     @F.pandas_udf("string")
     def hashed(rows: pd.Series) -> pd.Series:
-        def one(text):
-            if text is None:
-                return None
-            return hashlib.sha256(json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=separators).encode()).hexdigest()
-
-        return rows.map(one)
+        return rows.map(lambda text: None if text is None else hashlib.sha256(dump(text).encode()).hexdigest())
 
     return hashed
 

@@ -111,6 +111,29 @@ def search_totals(pages: DataFrame) -> DataFrame:
     return e.groupBy("page").agg(F.coalesce(total.try_cast("int"), F.lit(0)).alias("reported_total"), F.greatest(F.lit(1), F.coalesce(last, F.lit(1))).alias("total_pages"))
 
 
+def county_totals(pages: DataFrame) -> DataFrame:
+    """``(page, reported_total, total_pages)`` of a county portal's listing pages: of its first total; 0 and 1 where there is none."""
+    e = elements(pages)
+    inside = e.filter(F.array_contains("classes", "page")).select("page", F.col("at").alias("parent"))
+    total = e.filter(F.array_contains("classes", "total")).join(inside, ["page", "parent"], "left_semi").groupBy("page").agg(F.min_by("text", "at").alias("text"))
+    number = lambda k: F.regexp_extract(F.coalesce("text", F.lit("")), r"共\s*(\d+)\s*条信息\s*/\s*共\s*(\d+)\s*页", k).try_cast("int")
+    found = pages.select("page").distinct().join(total, "page", "left")
+    return found.select("page", F.coalesce(number(1), F.lit(0)).alias("reported_total"), F.coalesce(number(2), F.lit(1)).alias("total_pages"))
+
+
+def page_numbers(totals: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """``(section, number)`` of the pages to collect for sections ``(section, total_pages)``: all of them, or the first ``max_pages``."""
+    if max_pages is not None and max_pages <= 0:
+        raise ValueError("max_pages must be positive")
+    last = F.greatest(F.col("total_pages"), F.lit(1))
+    return totals.select("section", F.explode(F.sequence(F.lit(1), F.least(last, F.lit(max_pages)) if max_pages else last)).alias("number"))
+
+
+def page_url(base: Column, section: Column, number: Column) -> Column:
+    """The address of a section's page: the first has no number."""
+    return F.concat(base, F.lit("/"), section, F.when(number == 1, "").otherwise(F.concat(F.lit("_"), number.cast("string"))))
+
+
 def topics_of(title: Column, own: list[str]) -> Column:
     """The section's topics, then those whose words stand in the title."""
     extra = []
@@ -129,6 +152,7 @@ def county_candidates(pages: DataFrame, section: str, section_topics: list[str],
     host = F.when(href.rlike("^[a-z]+://"), urls.domain(href)).otherwise(F.lit(origin.split("://")[1].removeprefix("www.")))
     path = F.regexp_extract(href, r"^(?:[a-z]+://[^/]*)?([^?#]*)", 1)
     number = F.regexp_extract(path, r"/content_(\d+)$", 1)
+    # How a link's title attribute tells the article's title and date.
     named = F.trim(F.regexp_extract(note, r"(?s)标题：(.*?)(?:点击数：|发表时间：|$)", 1))
     title = F.when(note.rlike("标题："), F.btrim(named, F.lit(" \r\n\t"))).otherwise(F.col("text"))
     url = F.concat(F.lit(origin), path)
