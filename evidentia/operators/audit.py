@@ -23,6 +23,26 @@ def contributions(sources: DataFrame, **tables: DataFrame) -> DataFrame:
     return out.select("source_id", *(F.coalesce(n, F.lit(0)).alias(n) for n in tables))
 
 
+def average_contributions(sources: DataFrame, facts: DataFrame, chunks: DataFrame, questions: DataFrame) -> DataFrame:
+    """One row: facts, chunks and question links for each registered source, on average; links to unregistered sources count too."""
+    count = lambda df, name: F.broadcast(df.agg(F.count("*").alias(name)))
+    links = questions.select(F.explode(F.array_distinct("evidence_source_ids")))
+    one = sources.agg(F.greatest(F.count("*"), F.lit(1)).alias("sources")).join(count(facts, "f")).join(count(chunks, "c")).join(count(links, "q"))
+    return one.select(*(F.round(F.col(c) / F.col("sources"), 6).alias(f"average_{n}") for c, n in (("f", "facts"), ("c", "chunks"), ("q", "questions"))))
+
+
+def question_ratios(questions: DataFrame) -> DataFrame:
+    """One row: questions, unanswerable ones and their share, and checked ones."""
+    one = questions.agg(F.count("*").alias("questions"), F.count_if("unanswerable").alias("unanswerable"), F.count_if("manual_checked").alias("manually_checked"))
+    return one.withColumn("unanswerable_ratio", F.when(F.col("questions") > 0, F.round(F.col("unanswerable") / F.col("questions"), 6)).otherwise(0.0))
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, n)``: distinct values of each column, null and empty ones aside."""
+    one = df.agg(*(F.count_distinct(F.nullif(F.col(c), F.lit(""))).alias(c) for c in columns))
+    return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns))).alias("x")).select("x.*")
+
+
 def chunk_lengths(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     """Mean and exact median length; zeros without chunks."""
     n = F.char_length(F.coalesce(text_col, F.lit("")))
@@ -42,6 +62,12 @@ def restricted_audit(sources: DataFrame, chunks: DataFrame, domains: list[str])
     return closed.agg(F.count("*").alias("restricted_sources")).join(F.broadcast(counts)).withColumn("passed", F.col("violations") == 0)
 
 
+def violating_chunks(sources: DataFrame, chunks: DataFrame, domains: list[str]) -> DataFrame:
+    """``(chunk_id, source_id)`` of open text from restricted sources."""
+    closed = restricted(sources, domains).select("source_id")
+    return chunks.filter("chunk_kind = 'open_text'").join(closed, "source_id", "left_semi").select("chunk_id", "source_id")
+
+
 def tiers(metrics: DataFrame, targets: DataFrame) -> DataFrame:
     """Targets ``(tier, metric, low, high)`` against metrics ``(metric, value)``: status, and whether no metric of the tier is below."""
     met = targets.join(F.broadcast(metrics), "metric", "left").withColumn("value", F.coalesce("value", F.lit(0)))
@@ -52,7 +78,7 @@ def tiers(metrics: DataFrame, targets: DataFrame) -> DataFrame:
 
 def labels_of(text: Column, targets: dict[str, list[str]]) -> Column:
     """The labels of which some alias stands in the text."""
-    some = lambda aliases: reduce(lambda a, b: a | b, (F.contains(text, F.lit(x)) for x in aliases))
+    some = lambda aliases: reduce(lambda a, b: a | b, (F.contains(text, F.lit(x)) for x in aliases if x), F.lit(False))
     return F.array_compact(F.array(*(F.when(some(aliases), F.lit(label)) for label, aliases in targets.items())))
 
 
@@ -61,7 +87,25 @@ def coverage(sources: DataFrame, dimension: str, targets: dict[str, list[str]],
     spark = sources.sparkSession
     wanted = spark.createDataFrame([(k, minimum.get(k, 1)) for k in targets], "label string, minimum int")
     found = sources.filter("crawl_status = 'parsed'").select(F.explode(labels_of(F.array_join(dimension, " "), targets)).alias("label"))
-    counted = found.groupBy("label").agg(F.count("*").alias("n"))
+    return _assessed(wanted, found.groupBy("label").agg(F.count("*").alias("n")))
+
+
+def level_coverage(sources: DataFrame, levels: dict[str, list[str]], minimum: dict[str, int]) -> DataFrame:
+    """Parsed sources per level, which is a set of source types: count, least count, gap and status; levels without sources are kept."""
+    spark = sources.sparkSession
+    pairs = spark.createDataFrame([(k, t) for k, types in levels.items() for t in types], "label string, source_type string")
+    counted = sources.filter("crawl_status = 'parsed'").join(F.broadcast(pairs), "source_type").groupBy("label").agg(F.count("*").alias("n"))
+    wanted = spark.createDataFrame([(k, minimum.get(k, 1)) for k in levels], "label string, minimum int")
+    return _assessed(wanted, counted)
+
+
+def coverage_report(sources: DataFrame, levels: dict[str, list[str]], topics: dict[str, list[str]], regions: dict[str, list[str]], minimum: dict[str, dict[str, int]]) -> DataFrame:
+    """``(dimension, label, n, minimum, gap, status)`` of levels, topics and regions."""
+    parts = {"source_levels": level_coverage(sources, levels, minimum.get("source_levels", {})), "topics": coverage(sources, "topic", topics, minimum.get("topics", {})), "regions": coverage(sources, "region", regions, minimum.get("regions", {}))}
+    return reduce(DataFrame.union, (df.select(F.lit(name).alias("dimension"), "*") for name, df in parts.items()))
+
+
+def _assessed(wanted: DataFrame, counted: DataFrame) -> DataFrame:
     out = wanted.join(counted, "label", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return out.select("label", "n", "minimum", F.greatest(F.col("minimum") - F.col("n"), F.lit(0)).alias("gap"), F.when(F.col("n") < F.col("minimum"), "below").otherwise("met").alias("status"))
 
@@ -83,17 +127,20 @@ def completeness(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def latest_documents(documents: DataFrame) -> DataFrame:
-    """Per source the document retrieved last; of several the longest, then the first."""
-    window = Window.partitionBy("source_id").orderBy(F.desc("retrieved_at"), F.desc(F.char_length("text")), F.asc("ordinal"))
-    return documents.withColumn("_n", F.row_number().over(window)).filter("_n = 1").drop("_n")
+    """``(source_id, length)``: per source the text length of the document retrieved last; of several the longest, then the first.
+
+    Lengths are taken first, so no text is shuffled, and the last document is an aggregate that is combined before the shuffle.
+    """
+    n = F.char_length(F.coalesce("text", F.lit("")))
+    rows = documents.select("source_id", n.alias("length"), F.struct("retrieved_at", n.alias("length"), (-F.col("ordinal")).alias("first")).alias("order"))
+    return rows.groupBy("source_id").agg(F.max_by("length", "order").alias("length"))
 
 
 def audit_quality(sources: DataFrame, documents: DataFrame, minimum: int = 100, prefix: str = "") -> DataFrame:
     """Sources with the length of their latest document; parsed ones below the minimum become ``fetched`` and get a note once."""
     if minimum <= 0:
         raise ValueError("the minimum must be positive")
-    lengths = latest_documents(documents).select("source_id", F.char_length(F.coalesce("text", F.lit(""))).alias("length"))
-    both = sources.join(lengths, "source_id", "left")
+    both = sources.join(latest_documents(documents), "source_id", "left")
     selected = F.startswith("source_id", F.lit(prefix)) if prefix else F.lit(True)
     demote = selected & (F.col("length") < minimum) & (F.col("crawl_status") == "parsed")
     marker = F.concat(F.lit("document quality audit: cleaned_text_chars="), F.col("length").cast("string"), F.lit(f" below minimum={minimum}"))
@@ -107,9 +154,9 @@ def crosscheck(facts: DataFrame, candidates: DataFrame, prefix: str, note: str,
     ``candidates``: (source_id, title, category, applicant). Reasons are null for facts that aren't checked.
     """
     triple = ["subject", "predicate", "object"]
-    many = F.count("*").over(Window.partitionBy(*triple))
+    often = facts.groupBy(*triple).agg(F.count("*").alias("_many"))
     known = candidates.select(F.col("source_id").alias("evidence_source_id"), F.lit(True).alias("_there"), "title", "category", "applicant")
-    both = facts.withColumn("_many", many).join(known, "evidence_source_id", "left")
+    both = facts.join(often, triple, "left").join(known, "evidence_source_id", "left")
     same = lambda a, b: T.catalog_value(a, normalise) == T.catalog_value(b, normalise)
     expected = F.when(F.col("predicate") == "belongs_to_category", F.col("category")).when(F.col("predicate") == "declared_by", F.col("applicant"))
     empty = F.coalesce(expected, F.lit("")) == ""
@@ -126,14 +173,28 @@ def crosscheck(facts: DataFrame, candidates: DataFrame, prefix: str, note: str,
     reasons = F.when(checked, F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items()))))
     good = F.coalesce(F.size(reasons) == 0, F.lit(False))
     out = both.withColumn("reasons", reasons).withColumn("_good", good)
-    return out.withColumns({"verified": F.col("verified") | F.col("_good"), "notes": F.when(F.col("_good"), T.with_note(F.col("notes"), note)).otherwise(F.col("notes"))}).drop("_many", "_there", "_good", "title", "category", "applicant")
+    return out.withColumns({"verified": F.col("verified") | F.col("_good"), "notes": F.when(F.col("_good"), T.with_note(F.col("notes"), note)).otherwise(F.col("notes"))}).select(*facts.columns, "reasons")
 
 
-def minimise_evidence(facts: DataFrame, note: str) -> DataFrame:
-    """Evidence with a personal field is replaced by the bare relation, and a note is added once."""
+# Fixed value: the note of a minimised fact.
+MINIMISED = "Evidence minimized to relation-specific fields only."
+
+
+def minimise_evidence(facts: DataFrame, note: str = MINIMISED) -> DataFrame:
+    """Evidence with a personal field is replaced by the labelled subject and object alone, and a note is added once."""
     hit = T.has_personal_field(F.col("evidence_text"))
-    short = F.concat_ws(" ", "subject", "predicate", "object")
-    return facts.withColumns({"evidence_text": F.when(hit, short).otherwise(F.col("evidence_text")), "notes": F.when(hit, T.with_note(F.col("notes"), note)).otherwise(F.col("notes"))})
+    short = T.relation_evidence(F.col("subject"), F.col("predicate"), F.col("object"), F.col("subject_type"))
+    notes = F.rtrim(F.coalesce("notes", F.lit("")))
+    noted = F.when(F.contains(notes, F.lit(note)), notes).otherwise(F.trim(F.concat(notes, F.lit(f" {note}"))))
+    return facts.withColumns({"evidence_text": F.when(hit, short).otherwise(F.col("evidence_text")), "notes": F.when(hit, noted).otherwise(F.col("notes"))})
+
+
+def minimisation_report(facts: DataFrame) -> DataFrame:
+    """One row about facts that are to be minimised: all, those with a personal field, the first ten of their ids, and what is left afterwards."""
+    hit = facts.withColumn("hit", T.has_personal_field(F.col("evidence_text")))
+    left = minimise_evidence(facts).agg(F.count_if(T.has_personal_field(F.col("evidence_text"))).alias("remaining"))
+    first = hit.filter("hit").orderBy("fact_id").limit(10).agg(F.array_sort(F.collect_list("fact_id")).alias("sample"))
+    return hit.agg(F.count("*").alias("checked"), F.count_if("hit").alias("updated")).join(F.broadcast(left)).join(F.broadcast(first))
 
 
 def orphans(child: DataFrame, key: str, ref: Column, parent: DataFrame, parent_key: str, check: str) -> DataFrame:
@@ -155,13 +216,27 @@ def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
 
 
 def similar_names(names: DataFrame, candidates: DataFrame, threshold: float = 0.9, k: int = 5) -> DataFrame:
-    """Suggested pairs ``(name, match, score)`` by edit distance, never merged; names meet only in blocks of their first character and length."""
-    a = names.select("name", F.substring("name", 1, 1).alias("head"), F.char_length("name").alias("n"))
-    a = a.withColumn("near", F.explode(F.sequence(F.floor(F.col("n") * threshold).cast("int"), F.ceil(F.col("n") / threshold).cast("int"))))
-    b = candidates.select(F.col("name").alias("match"), F.substring("name", 1, 1).alias("head"), F.char_length("name").alias("near"))
-    score = F.round(1 - F.levenshtein("name", "match") / F.greatest("n", "near"), 6)
-    met = a.join(b, ["head", "near"]).withColumn("score", score).filter((F.col("score") >= threshold) & (F.col("name") != F.col("match")))
-    return keep_k(met, k).select("name", "match", "score")
+    """Suggested pairs ``(name, match, score)`` by edit distance over the longer length, never merged; all pairs at the threshold are found.
+
+    Of two names within d edits one of d + 1 segments of the shorter stands whole in the longer, at most d places off: segments and
+    the substrings that may equal them are the join keys, and lengths that can't reach the threshold never meet.
+    """
+    edits = lambda longer: F.floor((1 - threshold) * longer + 1e-9).cast("int")
+    every = names.select("name").union(candidates.select("name")).distinct().withColumn("n", F.char_length("name"))
+    short = every.select("name", "n", F.explode(F.sequence(F.col("n"), F.ceil(F.col("n") / threshold).cast("int"))).alias("m")).withColumn("d", edits(F.col("m")))
+    short = short.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("d"))))
+    start = lambda p: F.floor(F.col("n") * p / (F.col("d") + 1)).cast("int")
+    short = short.withColumns({"at": start(F.col("part")), "to": start(F.col("part") + 1)}).select("name", "n", "m", "part", F.substring(F.col("name"), F.col("at") + 1, F.col("to") - F.col("at")).alias("piece"))
+    long = every.select(F.col("name").alias("other"), F.col("n").alias("m")).withColumn("d", edits(F.col("m")))
+    long = long.withColumn("n", F.explode(F.sequence(F.greatest(F.floor(F.col("m") * threshold - 1e-9).cast("int"), F.lit(0)), F.col("m")))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("d"))))
+    long = long.withColumns({"at": start(F.col("part")), "to": start(F.col("part") + 1)}).withColumn("shift", F.explode(F.sequence(-F.col("d"), F.col("d")))).filter("at + shift >= 0")
+    long = long.select("other", "n", "m", "part", F.substring(F.col("other"), F.col("at") + F.col("shift") + 1, F.col("to") - F.col("at")).alias("piece")).distinct()
+    met = short.join(long, ["n", "m", "part", "piece"]).filter("name <> other").select("name", "other").distinct()
+    score = F.round(1 - F.levenshtein("name", "other") / F.greatest(F.char_length("name"), F.char_length("other")), 6)
+    near = met.withColumn("score", score).filter(F.col("score") >= threshold)
+    both = near.select("name", F.col("other").alias("match"), "score").union(near.select("other", "name", "score")).distinct()
+    both = both.join(names.select("name").distinct(), "name", "left_semi").join(candidates.select(F.col("name").alias("match")).distinct(), "match", "left_semi")
+    return keep_k(both, k).select("name", "match", "score")
 
 
 def keep_k(df: DataFrame, k: int) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids
-from evidentia.operators.retrieval import DIGITS, query_overlap, ranked
+from evidentia.operators.retrieval import DIGITS, counted, query_overlap, ranked
 from evidentia.plans.shared import written
 
 # Words in a question that ask for a relation, in the order in which relations win ties.
@@ -43,10 +43,17 @@ def build_graph(entities: DataFrame, facts: DataFrame, sources: DataFrame) -> tu
 def mentions(questions: DataFrame, entities: DataFrame) -> DataFrame:
     """``(qid, node, mention)``: entities whose name or alias stands in the question, less those within a longer mention.
 
-    The stated question set is broadcast; the entities stream past it.
+    Each question's substrings of the lengths that names have are its keys, and meet the names by equality: rows grow with the length of
+    the questions, not with entities times questions. The lengths are read first; no question has more of them than characters.
     """
     names = entities.select(ids.entity_node_id(F.col("type"), F.col("name")).alias("node"), F.explode(F.array_union(F.array("name"), "aliases")).alias("mention")).filter("mention <> ''")
-    found = names.join(F.broadcast(questions.select("qid", "question")), F.contains(F.col("question"), F.col("mention")))
+    longest = questions.agg(F.max(F.char_length("question"))).first()[0] or 0
+    n = F.char_length("mention")
+    lengths = [r[0] for r in names.select(n.alias("n")).filter(F.col("n") <= longest).distinct().collect()]
+    sized = questions.select("qid", "question", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")).alias("n")).filter(F.col("n") <= F.char_length("question"))
+    placed = sized.withColumn("at", F.explode(F.sequence(F.lit(1), F.char_length("question") - F.col("n") + 1)))
+    keys = placed.select("qid", F.substring(F.col("question"), F.col("at"), F.col("n")).alias("mention")).distinct()
+    found = names.join(counted(keys), "mention")
     longest = found.groupBy("qid", "node").agg(F.max_by("mention", F.struct(F.char_length("mention"), F.col("mention"))).alias("mention"))
     all_of = longest.groupBy("qid").agg(F.collect_set("mention").alias("all_mentions"))
     both = longest.join(all_of, "qid")
@@ -85,21 +92,24 @@ def cue_rank(question: Column, predicate: Column, cues: dict = CUES) -> Column:
 
 
 def graph_retrieve(questions: DataFrame, entities: DataFrame, facts: DataFrame, sources: DataFrame, k: int = 10, hops: int = 2, cues: dict = CUES) -> DataFrame:
-    """``(qid, fact_id, predicate, source_id, distance, score, rank)``: facts with an end within reach of a mentioned entity.
+    """Evidence ``(qid, fact_id, predicate, source_id, distance, score, rank, text, source_url, source_title, confidence)``: facts with an end within reach of a mentioned entity.
 
-    Reach is one step beyond ``hops``. The score adds nearness, confidence, overlap of word characters and a bonus for
+    Reach is one step beyond ``hops``. The score adds nearness, confidence, overlap of the question with the relation's text and a bonus for
     an asked relation; the nearest of subject, object and source counts. For each asked relation its best fact
-    comes first, in the order of the question; ties by fact id.
+    comes first, in the order of the question; ties by fact id. Entities and edges are written once and read for mentions, steps and facts.
     """
-    _, edges = build_graph(entities, facts, sources)
-    reach = khop(mentions(questions, entities), edges, hops + 1)
-    touched = edges.select(F.col("u").alias("node"), "fact_id").union(edges.select("v", "fact_id")).distinct()
-    near = touched.join(reach, "node").groupBy("qid", "fact_id").agg(F.min("distance").alias("distance"))
-    met = near.join(facts.select("fact_id", "predicate", "subject", "object", "evidence_source_id", "evidence_text", "confidence"), "fact_id").join(F.broadcast(questions.select("qid", "question")), "qid")
+    entities = written(entities.select("name", "type", "aliases"), "entities")
+    edges = written(build_graph(entities, facts, sources)[1].select("u", "v", "fact_id"), "edges")
+    reach = written(khop(mentions(questions, entities), edges, hops + 1), "reach")
+    touched = edges.select(F.col("u").alias("node"), "fact_id").union(edges.select("v", "fact_id"))
+    near = touched.join(counted(reach), "node").groupBy("qid", "fact_id").agg(F.min("distance").alias("distance"))
+    titles = sources.select(F.col("source_id").alias("evidence_source_id"), F.col("title").alias("source_title"))
+    told = facts.select("fact_id", "predicate", "subject", "object", "evidence_source_id", F.col("evidence_url").alias("source_url"), "confidence")
+    met = near.join(told, "fact_id").join(counted(questions.select("qid", "question")), "qid").join(titles, "evidence_source_id", "left")
     sure = F.coalesce(*(F.when(F.col("confidence") == c, F.lit(x)) for c, x in CONFIDENCE.items()), F.lit(0.5))
-    text = F.coalesce("evidence_text", F.lit(""))
+    text = F.concat("subject", F.lit(" — "), "predicate", F.lit(" — "), "object")
     score = F.least(F.lit(1.0), 0.5 / (1 + F.col("distance")) + 0.3 * sure + 0.2 * query_overlap(F.col("question"), text) + predicate_bonus(F.col("question"), F.col("predicate"), cues))
-    scored = met.withColumns({"score": F.round(score, DIGITS), "cue": cue_rank(F.col("question"), F.col("predicate"), cues)})
+    scored = met.withColumns({"score": F.round(score, DIGITS), "cue": cue_rank(F.col("question"), F.col("predicate"), cues), "text": text, "source_title": F.coalesce("source_title", "evidence_source_id")})
     return select_graph(scored, k)
 
 
@@ -110,4 +120,21 @@ def select_graph(scored: DataFrame, k: int) -> DataFrame:
     held = scored.join(first, ["qid", "fact_id"]).drop("reserved")
     pool = best.join(held.select("qid", "fact_id"), ["qid", "fact_id"], "left_anti").withColumn("turn", F.lit(1 << 40)).unionByName(held.withColumn("turn", F.col("cue")))
     out = ranked(pool, k, ["qid"], F.asc("turn"), F.desc("score"), F.asc("fact_id"))
-    return out.select("qid", "fact_id", "predicate", F.col("evidence_source_id").alias("source_id"), "distance", "score", "rank")
+    return out.select("qid", "fact_id", "predicate", F.col("evidence_source_id").alias("source_id"), "distance", "score", "rank", "text", "source_url", "source_title", "confidence")
+
+
+def save_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Nodes and edges as two Parquet tables below a folder."""
+    nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    edges.write.mode("overwrite").parquet(f"{path}/edges")
+
+
+def load_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges")
+
+
+def node_link_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(value)``: the graph as JSON lines, a node or a link each, for tools that read node-link data."""
+    node = nodes.select(F.to_json(F.struct(F.lit("node").alias("record"), F.col("node").alias("id"), "kind", "name")).alias("value"))
+    link = edges.select(F.to_json(F.struct(F.lit("link").alias("record"), F.col("u").alias("source"), F.col("v").alias("target"), F.col("fact_id").alias("key"), "predicate", "fact_id")).alias("value"))
+    return node.union(link)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.functions import ids
 from evidentia.functions.urls import domain, in_domains
 
 
@@ -37,3 +38,19 @@ def decide(url: Column, text: Column, license_: Column, policy: Column, config:
 def may_release_text(policy: Column, raw: Column) -> Column:
     """Whether open chunks may be built."""
     return raw & policy.isin("full_text_allowed", "government_public")
+
+
+def seed_sources(seeds: DataFrame, config: dict, day: str | None = None) -> DataFrame:
+    """Registry rows of seeds (source_id, title, url, publisher, source_type, region, topic, license_status, release_policy, enabled, notes) by the policy's rules.
+
+    A seed without an id gets that of its address; disabled ones are skipped; the rule's reason is added to the notes.
+    """
+    text = lambda c, other="": F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(other))
+    decided = seeds.withColumn("d", decide(F.col("url"), F.lit(""), text("license_status"), text("release_policy"), config))
+    names = lambda c: F.coalesce(c, F.array().cast("array<string>")).alias(c)
+    today = F.lit(day) if day else F.date_format(F.current_date(), "yyyy-MM-dd")
+    return decided.select(
+        F.coalesce(F.nullif("source_id", F.lit("")), ids.source_id(F.col("url"))).alias("source_id"), "title", text("publisher").alias("publisher"), text("source_type", "other").alias("source_type"), "url", domain(F.col("url")).alias("domain"),
+        names("region"), names("topic"), today.alias("retrieved_at"), "d.license_status", "d.release_policy", "d.raw_text_release",
+        F.when(F.coalesce("enabled", F.lit(True)), "pending").otherwise("skipped").alias("crawl_status"), F.concat_ws("; ", F.nullif("notes", F.lit("")), F.col("d.reason")).alias("notes"),
+    )

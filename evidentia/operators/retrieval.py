@@ -8,17 +8,25 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as T
+from evidentia.plans.shared import written
 
 #: Digits to which scores are rounded before they are ranked, so that ties are ties on every engine.
 DIGITS = 6
-#: Rows of a side that may be broadcast; larger sides are joined by shuffle.
+#: Rows of a side that may be broadcast, once they are counted; larger sides are joined by shuffle.
 BROADCAST_ROWS = 100_000
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it has at most BROADCAST_ROWS rows: for question sets and what is made of them."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def ranked(df: DataFrame, k: int | None, by: list[str], *order: Column) -> DataFrame:
     """``df`` with ``rank`` within ``by``; the first k rows, which Spark limits before the shuffle."""
     out = df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
@@ -42,23 +50,35 @@ def term_statistics(posts: DataFrame, n_docs: int) -> DataFrame:
     return posts.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
 
 
+def matching_postings(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str, segment_han: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(posts, stats)``: postings (doc, term, tf, length) of ``terms`` alone, and one row (n_docs, total_length) of all documents.
+
+    Texts are cut into tokens once. Each document has a row of its own, under a term that no text has, which tells its length;
+    all other tokens meet the terms before anything is shuffled. Both tables are read from what one pass has written.
+    """
+    mark = "\0"
+    words = docs.select(F.col(id_col).alias("doc"), T.tokens(F.col(text_col), segment_han).alias("words"))
+    words = words.select("doc", F.size("words").alias("length"), F.explode(F.array_append("words", F.lit(mark))).alias("term"))
+    asked = counted(terms.union(docs.sparkSession.createDataFrame([(mark,)], "term string")))
+    met = words.join(asked, "term", "left_semi").groupBy("doc", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+    found = written(met, "postings")
+    stats = found.filter(F.col("term") == mark).agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_length"))
+    return found.filter(F.col("term") != mark), stats
+
+
 def bm25(docs: DataFrame, questions: DataFrame, k: int | None = 5, k1: float = 1.5, b: float = 0.75, id_col: str = "doc_id", text_col: str = "text", qid_col: str = "qid", question_col: str = "question", segment_han: bool = False) -> DataFrame:
     """``(qid, doc, score, rank)``: BM25 over question tokens with multiplicity; only positive scores, ties by document id.
 
     Only terms of questions are looked at: they meet the tokens before these are counted, so the
-    shuffle carries matching terms alone. Blank questions have no rows.
+    shuffle carries matching terms alone. Ids are taken as unique. Blank questions have no rows.
     """
     if k1 <= 0 or not 0 <= b <= 1:
         raise ValueError("k1 must be positive and b in [0, 1]")
     asked = questions.select(F.col(qid_col).alias("qid"), F.explode(T.tokens(F.col(question_col), segment_han)).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
-    stats = corpus_statistics(docs, id_col, text_col, segment_han)
-    words = docs.select(F.col(id_col).alias("doc"), T.tokens(F.col(text_col), segment_han).alias("words"))
-    words = words.select("doc", F.size("words").alias("length"), F.explode("words").alias("term"))
-    terms = asked.select("term").distinct()
-    posts = words.join(terms, "term", "left_semi").groupBy("doc", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+    posts, stats = matching_postings(docs, asked.select("term").distinct(), id_col, text_col, segment_han)
     df = posts.groupBy("term").agg(F.count("*").alias("df"))
     weights = df.join(F.broadcast(stats)).select("term", "n_docs", (F.col("total_length") / F.greatest(F.col("n_docs"), F.lit(1))).alias("mean"), F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    met = posts.join(weights.join(asked, "term"), "term")
+    met = posts.join(counted(weights.join(asked, "term")), "term")
     norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / F.greatest(F.col("mean"), F.lit(1e-9)))
     scored = met.groupBy("qid", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / norm), DIGITS).alias("score"))
     return ranked(scored.filter("score > 0"), k, ["qid"], F.desc("score"), F.asc("doc"))
@@ -80,21 +100,52 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int | None = 5, id_col: str
     return ranked(scored, k, ["qid"], F.desc("score"), F.asc("id"))
 
 
+def l2_normalised(vector: Column) -> Column:
+    """The vector over its length, as floats; a zero vector stays."""
+    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    return F.when(length > 0, F.transform(vector, lambda x: (x / length).cast("float"))).otherwise(F.transform(vector, lambda x: x.cast("float")))
+
+
+def encoder(model: Callable, normalise: bool = True) -> Callable[[Column], Column]:
+    """A column function from a batch model ``list of texts -> list of vectors``, Arrow batch by batch; the seam for any encoder."""
+
+    @F.pandas_udf("array<float>")
+    def encoded(texts: pd.Series) -> pd.Series:
+        vectors = np.asarray(model(texts.fillna("").tolist()), np.float64).reshape(len(texts), -1)
+        lengths = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+        return pd.Series(list((vectors / np.where(lengths > 0, lengths, 1.0) if normalise else vectors).astype(np.float32)))
+
+    return encoded
+
+
+def pair_scorer(model: Callable) -> Callable[[Column, Column], Column]:
+    """A column function of (question, text) from a batch model ``list of pairs -> list of scores``: the seam for any reranker."""
+
+    @F.pandas_udf("double")
+    def scored(questions: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([float(x) for x in model(list(zip(questions.fillna(""), texts.fillna(""), strict=True)))])
+
+    return scored
+
+
 def max_normalised(scores: DataFrame) -> DataFrame:
-    """Positive scores divided by the greatest of their question."""
+    """Scores divided by the greatest of their question; null for those that aren't positive, all 1 if none is."""
     top = F.max("score").over(Window.partitionBy("qid"))
-    positive = scores.withColumn("_top", top).withColumn("score", F.when(F.col("_top") <= 0, F.lit(1.0)).otherwise(F.col("score") / F.col("_top")))
-    return positive.filter("score > 0").drop("_top")
+    return scores.withColumn("score", F.when(top <= 0, F.lit(1.0)).when(F.col("score") > 0, F.col("score") / top))
 
 
 def fuse(left: DataFrame, right: DataFrame, weights: tuple[float, float] = (0.6, 0.4)) -> DataFrame:
-    """``(qid, id, score, kind)``: weighted sum of max-normalised dense and sparse scores ``(qid, id, score)``."""
-    a = max_normalised(left.select("qid", "id", "score")).withColumnRenamed("score", "dense")
-    b = max_normalised(right.select("qid", "id", "score")).withColumnRenamed("score", "sparse")
+    """``(qid, id, score, kind, dense_score, sparse_score)``: weighted sum of max-normalised dense and sparse scores ``(qid, id, score)``.
+
+    Rows of either side stay, also those whose score counts nothing. The kind is that of both only if both scores count.
+    """
+    a = max_normalised(left.select("qid", "id", "score")).select("qid", "id", F.col("score").alias("dense"), F.lit(True).alias("a"))
+    b = max_normalised(right.select("qid", "id", "score")).select("qid", "id", F.col("score").alias("sparse"))
     both = a.join(b, ["qid", "id"], "full_outer")
-    score = F.round(weights[0] * F.coalesce("dense", F.lit(0.0)) + weights[1] * F.coalesce("sparse", F.lit(0.0)), DIGITS)
-    kind = F.when(F.col("dense").isNotNull() & F.col("sparse").isNotNull(), "vector+bm25").when(F.col("dense").isNotNull(), "vector").otherwise("bm25")
-    return both.select("qid", "id", score.alias("score"), kind.alias("kind"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    score = F.round(weights[0] * zero("dense") + weights[1] * zero("sparse"), DIGITS)
+    kind = F.when(F.col("dense").isNotNull() & F.col("sparse").isNotNull(), "vector+bm25").when(F.col("a"), "vector").otherwise("bm25")
+    return both.select("qid", "id", score.alias("score"), kind.alias("kind"), zero("dense").alias("dense_score"), zero("sparse").alias("sparse_score"))
 
 
 def characters(value: Column) -> Column:
@@ -170,8 +221,11 @@ def _all_in(text: Column, terms) -> Column:
     return reduce(lambda a, b: a & b, (F.contains(text, F.lit(t)) for t in terms))
 
 
-def answer(questions: DataFrame, evidence: DataFrame, minimum_score: float = 0.2, rules=SUPPORT_RULES) -> DataFrame:
-    """``(qid, refused, answer, n_evidence)``: refused without reliable evidence, or if the question asks for terms that none supports."""
+def answer(questions: DataFrame, evidence: DataFrame, minimum_score: float = 0.2, rules=SUPPORT_RULES, backend: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """``(qid, refused, answer, n_evidence)``: refused without reliable evidence, or if the question asks for terms that none supports.
+
+    Else the cited evidence, line by line, or what ``backend`` makes of the question and these lines.
+    """
     reliable = evidence.filter(F.col("score") >= minimum_score)
     supports = [F.bool_or(reduce(lambda a, b: a | b, (_all_in(F.col("text"), o) for o in options))).alias(f"r{i}") for i, (_, options) in enumerate(rules)]
     line = F.concat(F.lit("- "), "text", F.lit(" ["), "source_id", F.lit("]("), F.coalesce("source_url", F.lit("")), F.lit(")"))
@@ -180,20 +234,40 @@ def answer(questions: DataFrame, evidence: DataFrame, minimum_score: float = 0.2
     both = questions.select("qid", "question").join(found, "qid", "left")
     lacking = reduce(lambda a, b: a | b, (_all_in(F.col("question"), terms) & ~F.coalesce(F.col(f"r{i}"), F.lit(False)) for i, (terms, _) in enumerate(rules)))
     refused = F.col("n").isNull() | lacking
-    text = F.when(refused, F.lit(REFUSAL)).otherwise(F.concat(F.lit("当前数据集中检索到以下可溯源证据：\n"), "cited"))
+    told = backend(F.col("question"), F.col("cited")) if backend else F.concat(F.lit("当前数据集中检索到以下可溯源证据：\n"), "cited")
+    text = F.when(refused, F.lit(REFUSAL)).otherwise(told)
     return both.select("qid", refused.alias("refused"), text.alias("answer"), F.when(refused, F.lit(0)).otherwise(F.col("n")).cast("long").alias("n_evidence"))
 
 
-def evaluate(results: DataFrame, gold: DataFrame, k: int = 5) -> DataFrame:
-    """One row of means over the questions of ``gold`` (qid, gold array): recall, hit rate, reciprocal rank and source diversity of ``results`` (qid, source, rank)."""
-    top = results.filter(F.col("rank") <= k).select("qid", "source", "rank")
-    marked = top.join(gold.select("qid", "gold"), "qid").withColumn("good", F.array_contains("gold", F.col("source")))
-    per = marked.groupBy("qid").agg(F.count_distinct(F.when(F.col("good"), F.col("source"))).alias("found"), F.min(F.when(F.col("good"), F.col("rank"))).alias("first"), F.count_distinct("source").alias("diversity"))
-    rows = gold.join(per, "qid", "left").select(
-        (F.coalesce("found", F.lit(0)) / F.greatest(F.size("gold"), F.lit(1))).alias("recall"),
-        (F.coalesce("found", F.lit(0)) > 0).cast("int").alias("hit"),
-        F.coalesce(1 / F.col("first"), F.lit(0.0)).alias("rr"),
-        F.coalesce("diversity", F.lit(0)).alias("diversity"),
-    )
+def evaluate(results: DataFrame, questions: DataFrame, k: int = 5, minimum_score: float = 0.2, rules=SUPPORT_RULES) -> DataFrame:
+    """One row of means over a benchmark: recall, reciprocal rank and hit rate of answerable questions, source diversity of all, refusals of unanswerable ones, cited answers.
+
+    ``results``: evidence (qid, rank, score, text, source_id, source_url, fact_id), of which all rows count; ``questions``: (qid, question,
+    gold_sources, gold_facts, unanswerable). Recall is 1 if some gold source is found, a hit if a source or a fact is. A refusal
+    counts as cited; an answer if each reliable row has a source and an address. A mean over no question is null.
+    """
+    met = results.join(questions.select("qid", "gold_sources", "gold_facts"), "qid")
+    good = F.coalesce(F.array_contains("gold_sources", F.col("source_id")), F.lit(False))
+    known = F.coalesce(F.array_contains("gold_facts", F.col("fact_id")), F.lit(False))
+    bare = (F.coalesce("source_id", F.lit("")) == "") | (F.coalesce("source_url", F.lit("")) == "")
+    per = met.groupBy("qid").agg(
+        F.min(F.when(good, F.col("rank"))).alias("first"), F.bool_or(good | known).alias("hit"), F.count_distinct("source_id").alias("diversity"),
+        F.bool_or(bare & (F.col("score") >= minimum_score)).alias("bare"),
+    )
+    answers = answer(questions, results, minimum_score, rules).select("qid", "refused")
+    rows = questions.select("qid", "unanswerable").join(per, "qid", "left").join(answers, "qid", "left")
+    asked = ~F.col("unanswerable")
     mean = lambda c: F.round(F.avg(c), DIGITS)
-    return rows.agg(F.count("*").alias("n_questions"), mean("recall").alias("recall_at_k"), mean("hit").alias("hit_rate"), mean("rr").alias("mrr"), mean("diversity").alias("source_diversity"))
+    number = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return rows.agg(
+        F.count("*").alias("n_questions"), mean(F.when(asked, number(F.col("first").isNotNull()))).alias("recall_at_k"), mean(F.when(asked, F.coalesce(1 / F.col("first"), F.lit(0.0)))).alias("mrr"),
+        mean(F.when(asked, number(F.col("hit")))).alias("hit_rate"), mean(F.coalesce("diversity", F.lit(0))).alias("source_diversity"),
+        mean(F.when(F.col("unanswerable"), F.col("refused").cast("int"))).alias("refusal_rate"), mean((F.col("refused") | ~F.coalesce("bare", F.lit(False))).cast("int")).alias("citation_rate"),
+    )
+
+
+def examples(results: DataFrame, questions: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` questions by id with the sources that were found for them."""
+    first = questions.select("qid", "question").orderBy("qid").limit(n)
+    found = results.join(F.broadcast(first.select("qid")), "qid").groupBy("qid").agg(F.array_sort(F.collect_set("source_id")).alias("sources"))
+    return first.join(found, "qid", "left").select("qid", "question", F.coalesce("sources", F.array().cast("array<string>")).alias("sources"))
