@@ -23,8 +23,8 @@ def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payloads(rows: DataFrame, item) -> DataFrame:
-    """Catalog payloads of about a hundred items, later ones with higher ordinals."""
-    grouped = rows.groupBy((F.col("p_partkey") % 20).alias("ordinal")).agg(F.array_sort(F.collect_list(item)).alias("list"))
+    """Catalog payloads of a hundred items at most, later ones with higher ordinals."""
+    grouped = rows.groupBy(F.floor(F.col("p_partkey") / 100).alias("ordinal")).agg(F.array_sort(F.collect_list(item)).alias("list"))
     return grouped.select("ordinal", F.to_json(F.struct("list")).alias("payload"))
 
 
@@ -52,7 +52,7 @@ def inheritor_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exhibit_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     item = F.struct(c("k").alias("exhibit_id"), c("p_name").alias("exhibit_name"), F.lit("7").alias("museum_id"), F.lit("M").alias("museum_name"), c("p_type").alias("cate_name"), F.when(c("p_partkey") % 3 == 0, "u").alias("three_url"))
-    lists = _part(spark, sf_dir).groupBy((c("p_partkey") % 20).alias("ordinal")).agg(F.array_sort(F.collect_list(item)).alias("list"))
+    lists = _part(spark, sf_dir).groupBy(F.floor(c("p_partkey") / 100).alias("ordinal")).agg(F.array_sort(F.collect_list(item)).alias("list"))
     payloads = lists.select("ordinal", F.to_json(F.struct(F.lit(1).alias("status"), F.struct(F.size("list").alias("count"), "list").alias("data"))).alias("payload"))
     return _flat(discovery.exhibit_candidates(payloads, BASE, "M"), "has_3d", "category")
 
@@ -91,13 +91,13 @@ def _table_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def table_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.table_facts(*_table_pages(spark, sf_dir), normalise=False).select("fact_id", "subject", "predicate", "object", "object_type", "evidence_source_id")
+    return html.table_facts(*_table_pages(spark, sf_dir)).select("fact_id", "subject", "predicate", "object", "object_type", "evidence_source_id", "evidence_text")
 
 
 def text_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _part(spark, sf_dir)
     text = F.concat(F.lit("前言。项目名称：part"), "k", F.lit("；备注；类别: "), "p_type", F.lit("\n其他 名称 : second"), "k", F.lit(" \n 项目类别："), "p_brand", F.lit("；"))
-    return html.text_facts(p.select(F.concat(F.lit("src_p"), "k").alias("source_id"), text.alias("text")), normalise=False).select("fact_id", "subject", "object", "evidence_source_id", "evidence_text")
+    return html.text_facts(p.select(F.concat(F.lit("src_p"), "k").alias("source_id"), text.alias("text"))).select("fact_id", "subject", "object", "evidence_source_id", "evidence_text")
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -112,7 +112,7 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def release_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {"facts": V.facts(spark, sf_dir), "sources": V.sources(spark, sf_dir), "qa": Q.regional(Q.publishable(V.facts(spark, sf_dir)), None, False)}
+    tables = {"facts": V.facts(spark, sf_dir), "sources": V.sources(spark, sf_dir), "qa": Q.regional(Q.publishable(V.facts(spark, sf_dir)), None)}
     path = _scratch(spark)
     manifest = release.package(tables, path)
     problems = release.check_package(spark, path, manifest).groupBy("name").agg(F.count("*").alias("n"))
@@ -159,7 +159,7 @@ QUERIES = {
     "t19_notes": tokens_and_notes,
 }
 
-_ITEMS = """items AS (SELECT p_partkey % 20 AS ordinal, CAST(p_partkey % 1500 AS VARCHAR) AS id, 'Ⅰ-' || p_partkey AS num, CAST(p_partkey AS VARCHAR) AS auto_id, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS title, p_type AS type, p_brand || ' x' AS batch,
+_ITEMS = """items AS (SELECT p_partkey // 100 AS ordinal, CAST(p_partkey % 1500 AS VARCHAR) AS id, 'Ⅰ-' || p_partkey AS num, CAST(p_partkey AS VARCHAR) AS auto_id, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS title, p_type AS type, p_brand || ' x' AS batch,
   CASE p_partkey % 4 WHEN 0 THEN '青海省' WHEN 1 THEN '西宁市' ELSE '' END AS province, p_brand AS unit, 'p' || p_partkey AS project FROM part),
 kept AS (SELECT * FROM (SELECT *, 'https://www.example.org/item/' || id || '.html' AS url, row_number() OVER (PARTITION BY id ORDER BY ordinal DESC, num DESC) AS r FROM items WHERE title IS NOT NULL) WHERE r = 1)"""
 _REGION = "CASE WHEN {0} NOT IN ('', '青海省') THEN '青海省|' || {0} ELSE '青海省' END"
@@ -174,8 +174,9 @@ ORACLE_SQL = {
     "w3_best_by_title": f"WITH {_ITEMS} SELECT source_id, title FROM (SELECT 'src_ihchina_' || id AS source_id, title, row_number() OVER (PARTITION BY replace(title, ' ', '') ORDER BY url) AS r FROM kept) WHERE r = 1".replace("AS r FROM kept) WHERE r = 1", "AS r1 FROM kept) WHERE r1 = 1"),
     "pf18_candidate_sources": f"WITH {_ITEMS} SELECT 'src_ihchina_' || id AS source_id, CASE WHEN k % 6 = 0 THEN 'old title' ELSE title END AS title, CASE WHEN k % 6 = 0 THEN 'parsed' ELSE 'pending' END AS crawl_status, CASE WHEN k % 3 = 0 THEN 'seen' ELSE '' END AS notes FROM (SELECT *, CAST(id AS INT) AS k FROM kept)",
     "t10_table_facts": """WITH cells AS (SELECT 'part' || p_partkey AS subject, 'src_p' || p_partkey AS src, * FROM part WHERE p_partkey % 10 <> 4),
-f AS (SELECT subject, 'belongs_to_category' AS predicate, replace(p_type, ' ', '') AS object, 'CATEGORY' AS object_type, src FROM cells UNION ALL SELECT subject, 'protected_by', replace(p_brand, ' ', ''), 'ORGANIZATION', src FROM cells UNION ALL SELECT subject, 'protected_by', 'Mill' || p_size, 'ORGANIZATION', src FROM cells)
-SELECT 'fact_' || substr(sha256(subject || chr(0) || predicate || chr(0) || object || chr(0) || src), 1, 12) AS fact_id, subject, predicate, object, object_type, src AS evidence_source_id FROM f""",
+f AS (SELECT subject, 'belongs_to_category' AS predicate, replace(p_type, ' ', '') AS object, 'CATEGORY' AS object_type, src, '类别：' || p_type AS told FROM cells UNION ALL SELECT subject, 'protected_by', replace(p_brand, ' ', ''), 'ORGANIZATION', src, '保护单位：' || p_brand FROM cells
+  UNION ALL SELECT subject, 'protected_by', 'Mill' || p_size, 'ORGANIZATION', src, '保护单位：Mill' || p_size FROM cells)
+SELECT 'fact_' || substr(sha256(subject || chr(0) || predicate || chr(0) || object || chr(0) || src), 1, 12) AS fact_id, subject, predicate, object, object_type, src AS evidence_source_id, '项目名称：' || subject || '；' || told AS evidence_text FROM f""",
     "t11_text_facts": """WITH m AS (SELECT 'part' || p_partkey AS subject, replace(p_type, ' ', '') AS object, 'src_p' || p_partkey AS src, '项目名称：part' || p_partkey || '；备注；类别: ' || p_type AS e FROM part
   UNION ALL SELECT 'second' || p_partkey, replace(p_brand, ' ', ''), 'src_p' || p_partkey, '名称 : second' || p_partkey || ' 项目类别：' || p_brand FROM part)
 SELECT 'fact_' || substr(sha256(subject || chr(0) || 'belongs_to_category' || chr(0) || object || chr(0) || src), 1, 12) AS fact_id, subject, object, src AS evidence_source_id, substr(e, 1, 300) AS evidence_text FROM m""",

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.plans import catalogs, derived, ingest, relational, retrieval
+from evidentia.plans import catalogs, checks, derived, ingest, modes, relational, retrieval
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**retrieval.QUERIES, **relational.QUERIES, **derived.QUERIES, **ingest.QUERIES, **catalogs.QUERIES}
-ORACLE_SQL: dict[str, str] = {**retrieval.ORACLE_SQL, **relational.ORACLE_SQL, **derived.ORACLE_SQL, **ingest.ORACLE_SQL, **catalogs.ORACLE_SQL}
+PARTS = (retrieval, relational, derived, ingest, catalogs, modes, checks)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for part in PARTS for k, v in part.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: v for part in PARTS for k, v in part.ORACLE_SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

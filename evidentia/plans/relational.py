@@ -62,7 +62,7 @@ CANONICAL = rf"""canonical AS (
 
 def title_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best page of each title: by host class, then number, then address."""
-    pages = V.table(spark, sf_dir, "pages").withColumn("title", T.text_key(F.regexp_extract("html", "<title>([^<]*)</title>", 1), normalise=False))
+    pages = V.table(spark, sf_dir, "pages").withColumn("title", T.text_key(F.regexp_extract("html", "<title>([^<]*)</title>", 1)))
     return M.keep_one(pages, ["title"], F.desc(F.col("url").startswith("https")), F.desc("page_id"), F.asc("url")).select("page_id", "title")
 
 
@@ -125,12 +125,12 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = E.build_entities(V.facts(spark, sf_dir), normalise=False)
+    out = E.build_entities(V.facts(spark, sf_dir))
     return out.select("entity_id", "name", "type", F.array_join("aliases", "|").alias("aliases"), F.array_join("regions", "|").alias("regions"), "canonical_source_id", "confidence")
 
 
 def alias_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.alias_map(E.build_entities(V.facts(spark, sf_dir), normalise=False), normalise=False)
+    return E.alias_map(E.build_entities(V.facts(spark, sf_dir)))
 
 
 _KEY = r"trim(regexp_replace({0}, '[\s\x1c-\x1f]+', '', 'g'), '，。；：、')"
@@ -157,13 +157,27 @@ def crosscheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = V.table(spark, sf_dir, "part")
     candidates = part.filter("p_partkey % 5 <> 0").select(F.concat(F.lit("src_part_"), F.col("p_partkey").cast("string")).alias("source_id"), F.concat(F.lit("Part#"), (F.col("p_partkey") - (F.col("p_partkey") % 7 == 0).cast("int")).cast("string")).alias("title"), F.when(F.col("p_partkey") % 6 == 0, "").otherwise(F.col("p_type")).alias("category"), F.lit("").alias("applicant"))
     own = f.filter("subject like 'Part#%'").withColumn("evidence_source_id", F.concat(F.lit("src_part_"), F.col("n").cast("string"))).withColumn("verified", F.col("n") % 11 == 0)
-    out = A.crosscheck(own, candidates, "src_part_", NOTE, normalise=False)
+    out = A.crosscheck(own, candidates, "src_part_", NOTE)
     return out.select("fact_id", F.array_join("reasons", ",").alias("reasons"), "verified", "notes")
 
 
+#: Field names that personal data stand under, and some that aren't among them.
+FIELDS = ("性别", "出生日期", "出生年月", "出生时间", "详细地址", "地址", "联系电话", "电话号码", "身份证", "身份证号", "住址", "电话", "手机")
+_FIELDS_SQL = "(['性别', '出生日期', '出生年月', '出生时间', '详细地址', '地址', '联系电话', '电话号码', '身份证', '身份证号', '住址', '电话', '手机'])[n % 13 + 1]"
+
+
+def _with_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts whose evidence names a field before its value, one of FIELDS each."""
+    field = F.element_at(F.array(*map(F.lit, FIELDS)), (F.col("n") % 13 + 1).cast("int"))
+    return V.facts(spark, sf_dir).withColumn("evidence_text", F.concat(F.lit("姓名 "), field, F.when(F.col("n") % 2 == 0, "：").otherwise(" : "), "object"))
+
+
 def minimize_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = V.facts(spark, sf_dir).withColumn("evidence_text", F.when(F.col("n") % 4 == 0, F.concat(F.lit("姓名 性别："), "subject")).when(F.col("n") % 9 == 0, F.concat(F.lit("电话 : "), "object")).otherwise(F.col("evidence_text")))
-    return A.minimise_evidence(f, "evidence minimised").select("fact_id", "evidence_text", "notes")
+    return A.minimise_evidence(_with_fields(spark, sf_dir)).select("fact_id", "evidence_text", "notes")
+
+
+def minimisation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.minimisation_report(_with_fields(spark, sf_dir)).select("checked", "updated", "remaining", F.array_join("sample", "|").alias("sample"))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,10 +268,48 @@ def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personal_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = V.facts(spark, sf_dir).withColumn("evidence_text", F.when(F.col("n") % 8 == 0, F.concat(F.lit("住址："), "object")).otherwise(F.col("evidence_text")))
+    f = _with_fields(spark, sf_dir)
     return f.filter(T.has_personal_field(F.col("evidence_text"))).select("fact_id", "evidence_text")
 
 
+def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of regions and entities, some with white space or marks, as keys, regions and entities."""
+    spellings = [*T.REGION_ALIASES, *T.ENTITY_ALIASES, "海 北", "青海。", "堆绣()", "x y"]
+    rows = V.table(spark, sf_dir, "part").select("p_partkey", F.element_at(F.array(*map(F.lit, spellings)), (F.col("p_partkey") % len(spellings) + 1).cast("int")).alias("raw"))
+    return rows.select("p_partkey", "raw", T.text_key(F.col("raw")).alias("key"), T.region_name(F.col("raw")).alias("region"), T.entity_name(F.col("raw")).alias("entity"), T.catalog_value(F.col("raw")).alias("value"))
+
+
+def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = V.facts(spark, sf_dir)
+    return f.select(F.col("fact_id").alias("question_id"), F.array("evidence_source_id", F.lit("src_elsewhere")).alias("evidence_source_ids"), (F.col("n") % 10 == 0).alias("unanswerable"), "manual_checked")
+
+
+def average_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.average_contributions(V.sources(spark, sf_dir), V.facts(spark, sf_dir), _chunks(spark, sf_dir), _questions(spark, sf_dir))
+
+
+def question_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.question_ratios(_questions(spark, sf_dir))
+
+
+def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = V.sources(spark, sf_dir).withColumn("domain", urls.domain(F.col("url")))
+    return A.distinct_values(s.withColumn("publisher", F.when(F.col("publisher") == "publisher 0", "").otherwise(F.col("publisher"))), ["publisher", "domain"])
+
+
+LEVELS = {"open": ["open"], "public": ["government_public", "open"], "closed": ["restricted"], "none": ["forbidden"]}
+
+
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = V.sources(spark, sf_dir).withColumn("source_type", F.col("license_status"))
+    return A.coverage_report(s, LEVELS, TOPICS, REGIONS, {"source_levels": {"open": 2, "closed": 30}, "topics": {"zero": 4, "one": 50, "none": 1}, "regions": {"south": 9}})
+
+
+def violating_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = V.sources(spark, sf_dir).withColumn("domain", urls.domain(F.col("url")))
+    return A.violating_chunks(s, _chunks(spark, sf_dir), ["s4.example.org"])
+
+
 def similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = V.table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_type", "p_brand").alias("name")).distinct()
     return A.similar_names(names, names, 0.9, 5)
@@ -291,6 +343,13 @@ QUERIES = {
     "va3_duplicates": validate_duplicates,
     "va2_schema": validate_schema,
     "va5_personal_fields": personal_fields,
+    "up14_minimisation_report": minimisation_report,
+    "t8_canonical_names": canonical_names,
+    "ag4_average_contributions": average_contributions,
+    "ag6_question_ratios": question_ratios,
+    "ag13_distinct_values": distinct_values,
+    "ag10_coverage_report": coverage_report,
+    "ag7_violating_chunks": violating_chunks,
     "tk10_similar_names": similar_names,
 }
 
@@ -343,7 +402,31 @@ judged AS (SELECT *, CASE WHEN NOT done THEN list_filter([CASE WHEN k IS NULL TH
   CASE WHEN k IS NOT NULL AND coalesce(expected, '') = '' THEN 'unsupported_or_empty_catalog_field' END, CASE WHEN k IS NOT NULL AND coalesce(expected, '') <> '' AND {_REASON.format('object')} <> {_REASON.format('expected')} THEN 'object_mismatch' END,
   CASE WHEN many > 1 THEN 'duplicate_semantic_triple' END], lambda x: x IS NOT NULL) END AS reasons FROM met)
 SELECT fact_id, array_to_string(reasons, ',') AS reasons, done OR coalesce(len(reasons) = 0, false) AS verified, CASE WHEN len(reasons) = 0 THEN '{NOTE}' ELSE '' END AS notes FROM judged""",
-    "up14_minimize_evidence": f"""WITH {V.FACTS} SELECT fact_id, CASE WHEN n % 4 = 0 OR n % 9 = 0 THEN subject || ' ' || predicate || ' ' || object ELSE evidence_text END AS evidence_text, CASE WHEN n % 4 = 0 OR n % 9 = 0 THEN 'evidence minimised' ELSE '' END AS notes FROM facts""",
+    "up14_minimize_evidence": f"""WITH {V.FACTS}, e AS (SELECT *, '姓名 ' || {_FIELDS_SQL} || CASE WHEN n % 2 = 0 THEN '：' ELSE ' : ' END || object AS told FROM facts)
+SELECT fact_id, CASE WHEN n % 13 < 10 THEN CASE subject_type WHEN 'ICH_PROJECT' THEN '项目名称' WHEN 'MUSEUM_OBJECT' THEN '文物名称' WHEN 'PERSON' THEN '姓名' ELSE '主体' END || '：' || subject || '；'
+  || CASE predicate WHEN 'belongs_to_category' THEN '类别' WHEN 'made_of' THEN '质地' WHEN 'located_in' THEN '相关地区' END || '：' || object ELSE told END AS evidence_text,
+  CASE WHEN n % 13 < 10 THEN 'Evidence minimized to relation-specific fields only.' ELSE '' END AS notes FROM e""",
+    "up14_minimisation_report": f"""WITH {V.FACTS} SELECT count(*) AS checked, count_if(n % 13 < 10) AS updated, 0 AS remaining, (SELECT string_agg(fact_id, '|' ORDER BY fact_id) FROM (SELECT fact_id FROM facts WHERE n % 13 < 10 ORDER BY fact_id LIMIT 10)) AS sample FROM facts""",
+    "t8_canonical_names": """WITH raw AS (SELECT p_partkey, (['青海', '西宁', '海东', '海北', '海北藏族自治州', '黄南', '黄南藏族自治州', '海南', '海南藏族自治州', '果洛', '果洛藏族自治州', '玉树', '玉树藏族自治州', '海西', '海西蒙古族藏族自治州',
+  '酥油花', '堆绣', '盘绣', '格萨尔', '格萨（斯）尔', '青海刺绣', '藏族金属锻制技艺(藏刀锻制技艺)', '传统体育游艺与杂技', '民间音乐', '民间舞蹈', '岁时节令', '海 北', '青海。', '堆绣()', 'x y'])[p_partkey % 30 + 1] AS raw FROM part),
+keyed AS (SELECT *, CASE raw WHEN '格萨（斯）尔' THEN '格萨(斯)尔' WHEN '海 北' THEN '海北' WHEN '青海。' THEN '青海' WHEN '堆绣()' THEN '堆绣' WHEN 'x y' THEN 'xy' ELSE raw END AS key FROM raw),
+regions AS (SELECT *, CASE key WHEN '青海' THEN '青海省' WHEN '西宁' THEN '西宁市' WHEN '海东' THEN '海东市' WHEN '海北' THEN '海北州' WHEN '海北藏族自治州' THEN '海北州' WHEN '黄南' THEN '黄南州' WHEN '黄南藏族自治州' THEN '黄南州' WHEN '海南' THEN '海南州'
+  WHEN '海南藏族自治州' THEN '海南州' WHEN '果洛' THEN '果洛州' WHEN '果洛藏族自治州' THEN '果洛州' WHEN '玉树' THEN '玉树州' WHEN '玉树藏族自治州' THEN '玉树州' WHEN '海西' THEN '海西州' WHEN '海西蒙古族藏族自治州' THEN '海西州' ELSE key END AS region FROM keyed)
+SELECT p_partkey, raw, key, region, CASE key WHEN '酥油花' THEN '塔尔寺酥油花' WHEN '堆绣' THEN '湟中堆绣' WHEN '盘绣' THEN '土族盘绣' WHEN '格萨尔' THEN '格萨（斯）尔' WHEN '青海刺绣' THEN '青绣' WHEN '藏族金属锻制技艺(藏刀锻制技艺)' THEN '藏族金属锻造技艺(藏刀锻制技艺)'
+  WHEN '传统体育游艺与杂技' THEN '传统体育、游艺与杂技' WHEN '民间音乐' THEN '传统音乐' WHEN '民间舞蹈' THEN '传统舞蹈' WHEN '岁时节令' THEN '民俗' ELSE region END AS entity,
+  CASE raw WHEN '格萨（斯）尔' THEN '格萨(斯)尔' ELSE replace(raw, ' ', '') END AS value FROM regions""",
+    "ag4_average_contributions": f"""WITH {V.FACTS}, {V.SOURCES} SELECT round(f / s, 6) AS average_facts, round(c / s, 6) AS average_chunks, round(2 * f / s, 6) AS average_questions
+FROM (SELECT (SELECT count(*) FROM facts) AS f, (SELECT count(*) FROM documents WHERE source IS NOT NULL) AS c, (SELECT greatest(count(*), 1) FROM sources) AS s)""",
+    "ag6_question_ratios": f"""WITH {V.FACTS} SELECT count(*) AS questions, count_if(n % 10 = 0) AS unanswerable, count_if(n % 17 = 0) AS manually_checked, round(count_if(n % 10 = 0) / count(*), 6) AS unanswerable_ratio FROM facts""",
+    "ag13_distinct_values": f"""WITH {V.SOURCES} SELECT 'publisher' AS "column", count(DISTINCT publisher) AS n FROM sources WHERE publisher <> 'publisher 0' UNION ALL SELECT 'domain', count(DISTINCT split_part(url, '/', 3)) FROM sources""",
+    "ag10_coverage_report": f"""WITH {V.SOURCES}, parsed AS (SELECT * FROM sources WHERE crawl_status = 'parsed'),
+wanted(dimension, label, minimum) AS (VALUES ('source_levels', 'open', 2), ('source_levels', 'public', 1), ('source_levels', 'closed', 30), ('source_levels', 'none', 1), ('topics', 'zero', 4), ('topics', 'one', 50), ('topics', 'none', 1), ('regions', 'north', 1), ('regions', 'south', 9), ('regions', 'west', 1)),
+labels AS (SELECT 'source_levels' AS dimension, 'open' AS label FROM parsed WHERE license_status = 'open' UNION ALL SELECT 'source_levels', 'public' FROM parsed WHERE license_status IN ('open', 'government_public') UNION ALL SELECT 'source_levels', 'closed' FROM parsed WHERE license_status = 'restricted'
+  UNION ALL SELECT 'topics', CASE topic[1] WHEN 'topic 0' THEN 'zero' WHEN 'topic 1' THEN 'one' END FROM parsed UNION ALL SELECT 'regions', CASE WHEN region[1] IN ('region 0', 'region 1') THEN 'north' WHEN region[1] = 'region 2' THEN 'south' ELSE 'west' END FROM parsed),
+counted AS (SELECT dimension, label, count(*) AS n FROM labels GROUP BY ALL)
+SELECT dimension, label, coalesce(n, 0) AS n, minimum, greatest(minimum - coalesce(n, 0), 0) AS gap, CASE WHEN coalesce(n, 0) < minimum THEN 'below' ELSE 'met' END AS status FROM wanted LEFT JOIN counted USING (dimension, label)""",
+    "ag7_violating_chunks": f"""WITH {V.SOURCES}, closed AS (SELECT source_id FROM sources WHERE license_status IN ('restricted', 'forbidden') OR release_policy IN ('local_only', 'exclude', 'metadata_and_facts_only') OR url LIKE 'https://www.s4.example.org/%')
+SELECT 'chk' || doc_id AS chunk_id, 'src_' || source AS source_id FROM documents WHERE doc_id % 5 < 2 AND 'src_' || source IN (SELECT source_id FROM closed)""",
     "up15_quality_audit": f"""WITH {V.SOURCES}, latest AS (SELECT 'src_' || source AS source_id, length(coalesce(text, '')) AS length FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id % 28 DESC, length(text) DESC, doc_id) AS r FROM documents WHERE source IS NOT NULL) WHERE r = 1)
 SELECT source_id, length, CASE WHEN length < 20 THEN '<20' WHEN length < 100 THEN '20-99' WHEN length < 300 THEN '100-299' WHEN length >= 300 THEN '>=300' END AS bucket,
@@ -376,9 +459,8 @@ UNION ALL SELECT 'label_document', CAST(doc_id AS VARCHAR), CAST(doc_id AS VARCH
 UNION ALL SELECT 'host', {_HOST}, count(*) FROM pages GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'subject_predicate', subject || ' | ' || predicate, count(*) FROM facts GROUP BY 2 HAVING count(*) > 1""",
     "va2_schema": """SELECT CAST(doc_id AS VARCHAR) AS record_id, rule FROM (SELECT doc_id, unnest(list_filter([CASE WHEN coalesce(lang NOT IN ('en', 'de'), true) THEN 'lang_domain' END, CASE WHEN coalesce(n_chars <> length(text), true) THEN 'length_agrees' END,
   CASE WHEN coalesce(n_chars < 500, true) THEN 'long_enough' END, CASE WHEN coalesce(NOT regexp_matches(source, '^src[0-9]$'), true) THEN 'source_known' END], lambda x: x IS NOT NULL)) AS rule FROM documents)""",
-    "va5_personal_fields": f"WITH {V.FACTS} SELECT fact_id, '住址：' || object AS evidence_text FROM facts WHERE n % 8 = 0",
+    "va5_personal_fields": f"""WITH {V.FACTS} SELECT fact_id, '姓名 ' || {_FIELDS_SQL} || CASE WHEN n % 2 = 0 THEN '：' ELSE ' : ' END || object AS evidence_text FROM facts WHERE n % 13 < 10""",
     "tk10_similar_names": """WITH names AS (SELECT DISTINCT p_type || ' ' || p_brand AS name FROM part),
-met AS (SELECT a.name, b.name AS match, round(1 - levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name)), 6) AS score FROM names a JOIN names b ON a.name[1] = b.name[1] AND a.name <> b.name
-  AND length(b.name) BETWEEN CAST(floor(length(a.name) * 0.9) AS INT) AND CAST(ceil(length(a.name) / 0.9) AS INT))
+met AS (SELECT a.name, b.name AS match, round(1 - levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name)), 6) AS score FROM names a JOIN names b ON a.name <> b.name AND abs(length(a.name) - length(b.name)) <= 0.1 * greatest(length(a.name), length(b.name)))
 SELECT name, match, score FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, match) AS r FROM met WHERE score >= 0.9) WHERE r <= 5""",
 }

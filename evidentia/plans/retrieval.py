@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as T
@@ -46,6 +46,16 @@ evidence AS (
 )"""
 
 
+# The attribute rules: a question with all terms needs evidence with all terms of one option.
+GATE = """wanted AS (SELECT ['游客数量', '客流量', '门票', '票价', '营业收入', '开放时间', '实时天气', '保护评估得分', '专项保护资金', '保护评估日期', '保护规划文号', '出土地点', '入藏日期', '文物定级', '修复日期', '国家级奖项', '正式弟子', '公开传习活动', '代表作品目录', '官方更新日期', '年度统计数据', '正式审查结论', '档案编号', '在哪里'] AS asked),
+rules(a, b, options) AS (VALUES ('游客数量', '', [['游客数量', ''], ['客流量', '']]), ('客流量', '', [['游客数量', ''], ['客流量', '']]), ('门票', '', [['门票', ''], ['票价', '']]), ('票价', '', [['门票', ''], ['票价', '']]),
+  ('营业收入', '', [['营业收入', '']]), ('开放时间', '', [['开放时间', '']]), ('实时天气', '', [['实时天气', '']]), ('保护评估', '得分', [['保护评估', '得分']]), ('专项保护资金', '', [['专项保护资金', '']]), ('保护评估', '日期', [['保护评估', '日期']]),
+  ('保护规划文号', '', [['保护规划文号', '']]), ('出土地点', '', [['出土地点', '']]), ('入藏日期', '', [['入藏日期', '']]), ('文物定级', '', [['文物定级', '']]), ('修复', '日期', [['修复', '日期']]), ('国家级奖项', '', [['国家级奖项', '']]), ('正式弟子', '', [['正式弟子', '']]),
+  ('公开传习活动', '', [['公开传习活动', '']]), ('代表作品目录', '', [['代表作品目录', '']]), ('官方更新', '日期', [['官方更新', '日期']]), ('年度统计数据', '', [['年度统计数据', '']]), ('正式审查', '结论', [['正式审查', '结论']]), ('档案编号', '', [['档案编号', '']]))"""
+LACKING = """lacking AS (SELECT DISTINCT q.qid FROM questions q, rules r WHERE contains(q.question, r.a) AND contains(q.question, r.b)
+  AND NOT EXISTS (SELECT 1 FROM top t WHERE t.qid = q.qid AND len(list_filter(r.options, lambda o: contains(t.text, o[1]) AND contains(t.text, o[2]))) > 0))"""
+
+
 def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
 
@@ -74,14 +84,14 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _questions(spark, sf_dir).select("qid", F.explode(F.array_distinct(T.tokens(F.col("question")))).alias("term"))
     own = questions.groupBy("qid").agg(F.count("*").alias("own"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("term"))
-    scored = docs.join(questions, "term").groupBy("qid", "doc_id").agg(F.count("*").alias("n")).join(own, "qid")
-    scored = scored.select("qid", F.col("doc_id").alias("id"), F.round(F.col("n") / F.col("own"), 6).alias("score"))
+    posts, _ = R.matching_postings(table(spark, sf_dir, "documents"), questions.select("term").distinct(), "doc_id", "text")
+    scored = posts.join(R.counted(questions), "term").groupBy("qid", "doc").agg(F.count("*").alias("n")).join(R.counted(own), "qid")
+    scored = scored.select("qid", F.col("doc").alias("id"), F.round(F.col("n") / F.col("own"), 6).alias("score"))
     return R.ranked(scored, 10, ["qid"], F.desc("score"), F.asc("id"))
 
 
 def score_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.fuse(_cover(spark, sf_dir), _bm25(spark, sf_dir).withColumnRenamed("doc", "id"))
+    return R.fuse(_cover(spark, sf_dir), _bm25(spark, sf_dir).withColumnRenamed("doc", "id")).select("qid", "id", "score", "kind")
 
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,16 +113,32 @@ def rerank_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("qid", "id", "score", "retrieval_score", "rank")
 
 
+#: What questions ask for in turn, by the support rules, and what the evidence of some documents says.
+ASKED = ("游客数量", "客流量", "门票", "票价", "营业收入", "开放时间", "实时天气", "保护评估得分", "专项保护资金", "保护评估日期", "保护规划文号", "出土地点", "入藏日期", "文物定级", "修复日期", "国家级奖项", "正式弟子", "公开传习活动", "代表作品目录", "官方更新日期", "年度统计数据", "正式审查结论", "档案编号", "在哪里")
+
+
+def _told(key: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, ASKED)), (key % len(ASKED) + 1).cast("int"))
+
+
 def answer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = ((("the", "of"), (("the", "rest"), ("is", "then"))), (("de", "la"), (("que", "con"),)))
-    evidence = R.ranked(_evidence(spark, sf_dir), 4, ["qid"], F.desc("score"), F.asc("id")).withColumn("source_url", F.lit(""))
-    return R.answer(_questions(spark, sf_dir), evidence, 0.6, rules).select("qid", "refused", "n_evidence", F.sha2("answer", 256).alias("answer_sha"))
+    """Each question asks for one of ASKED; the documents found say one of them each, which answers it or not."""
+    evidence = R.ranked(_evidence(spark, sf_dir), 4, ["qid"], F.desc("score"), F.asc("id"))
+    evidence = evidence.withColumns({"source_url": F.lit(""), "text": F.concat("text", F.when(F.col("id") % 2 == 0, _told(F.col("qid") + F.col("id") % 3)).otherwise(_told(F.col("id"))))})
+    questions = _questions(spark, sf_dir).withColumn("question", F.concat("question", _told(F.col("qid"))))
+    return R.answer(questions, evidence, 0.6).select("qid", "refused", "n_evidence", F.sha2("answer", 256).alias("answer_sha"))
+
+
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions with gold sources and facts; some are unanswerable."""
+    n = F.col("item_id")
+    src = lambda k: F.concat(F.lit("src"), (k % 20).cast("string"))
+    return table(spark, sf_dir, "benchmark").select(n.alias("qid"), F.concat("text", _told(n)).alias("question"), F.array(src(n), src(n + 7)).alias("gold_sources"), F.array(F.concat(F.lit("doc"), (n * 3).cast("string"))).alias("gold_facts"), (n % 9 == 0).alias("unanswerable"))
 
 
 def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = _bm25(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.coalesce("source", F.lit("")).alias("source")), "doc")
-    gold = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.array(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")), F.concat(F.lit("src"), ((F.col("item_id") + 7) % 20).cast("string"))).alias("gold"))
-    return R.evaluate(results.select("qid", "source", "rank"), gold, 5)
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.coalesce("source", F.lit("")).alias("source_id"), F.concat("text", _told(F.col("doc_id"))).alias("text"), F.when(F.col("doc_id") % 50 != 0, "https://example.org/").alias("source_url"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("fact_id"))
+    return R.evaluate(_bm25(spark, sf_dir, 5).join(d, "doc"), _benchmark(spark, sf_dir), 5, 20.0)
 
 
 QUERIES = {
@@ -157,33 +183,25 @@ SELECT * FROM (
   SELECT qid, id, score, retrieval_score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank
   FROM (SELECT qid, id, round(1000.0 / (1000.0 + length(text)), 6) AS score, score AS retrieval_score FROM evidence)
 ) WHERE rank <= 5""",
-    "r21_answer_gate": f"""WITH {TOKENS}, {TOP}, {COVER}, {FUSED}, {EVIDENCE},
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM evidence) WHERE rank <= 4 AND score >= 0.6),
-found AS (
-  SELECT qid, count(*) AS n, string_agg('- ' || text || ' [' || source_id || ']()', chr(10) ORDER BY rank) AS cited,
-         bool_or((contains(text, 'the') AND contains(text, 'rest')) OR (contains(text, 'is') AND contains(text, 'then'))) AS r0,
-         bool_or(contains(text, 'que') AND contains(text, 'con')) AS r1
-  FROM top GROUP BY qid
-),
-gate AS (
-  SELECT b.item_id AS qid, n, cited, n IS NULL OR (contains(b.text, 'the') AND contains(b.text, 'of') AND NOT coalesce(r0, false))
-         OR (contains(b.text, 'de') AND contains(b.text, 'la') AND NOT coalesce(r1, false)) AS refused
-  FROM benchmark b LEFT JOIN found f ON f.qid = b.item_id
-)
+    "r21_answer_gate": f"""WITH {TOKENS}, {TOP}, {COVER}, {FUSED}, {EVIDENCE}, {GATE},
+top AS (SELECT e.qid, e.source_id, e.rank, e.text || CASE WHEN e.id % 2 = 0 THEN asked[(e.qid + e.id % 3) % 24 + 1] ELSE asked[e.id % 24 + 1] END AS text
+  FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM evidence) e, wanted WHERE rank <= 4 AND score >= 0.6),
+questions AS (SELECT item_id AS qid, text || asked[item_id % 24 + 1] AS question FROM benchmark, wanted),
+found AS (SELECT qid, count(*) AS n, string_agg('- ' || text || ' [' || source_id || ']()', chr(10) ORDER BY rank) AS cited FROM top GROUP BY qid),
+{LACKING},
+gate AS (SELECT q.qid, n, cited, n IS NULL OR l.qid IS NOT NULL AS refused FROM questions q LEFT JOIN found USING (qid) LEFT JOIN lacking l ON l.qid = q.qid)
 SELECT qid, refused, CASE WHEN refused THEN 0 ELSE n END AS n_evidence,
        sha256(CASE WHEN refused THEN '当前数据集中没有足够依据回答。' ELSE '当前数据集中检索到以下可溯源证据：' || chr(10) || cited END) AS answer_sha
 FROM gate""",
-    "r23_eval_metrics": f"""WITH {TOKENS}, {TOP},
-gold AS (SELECT item_id AS qid, ['src' || (item_id % 20), 'src' || ((item_id + 7) % 20)] AS gold FROM benchmark),
-marked AS (
-  SELECT t.qid, coalesce(d.source, '') AS source, t.rank, list_contains(g.gold, coalesce(d.source, '')) AS good, len(g.gold) AS n_gold
-  FROM bm25_top t JOIN documents d USING (doc_id) JOIN gold g USING (qid) WHERE t.rank <= 5
-),
-per AS (
-  SELECT qid, count(DISTINCT CASE WHEN good THEN source END) AS found, min(CASE WHEN good THEN rank END) AS first, count(DISTINCT source) AS diversity
-  FROM marked GROUP BY qid
-)
-SELECT count(*) AS n_questions, round(avg(coalesce(found, 0) / greatest(len(gold), 1)), 6) AS recall_at_k, round(avg(CASE WHEN coalesce(found, 0) > 0 THEN 1 ELSE 0 END), 6) AS hit_rate,
-       round(avg(coalesce(1.0 / first, 0)), 6) AS mrr, round(avg(coalesce(diversity, 0)), 6) AS source_diversity
-FROM gold LEFT JOIN per USING (qid)""",
+    "r23_eval_metrics": f"""WITH {TOKENS}, {TOP}, {GATE},
+questions AS (SELECT item_id AS qid, text || asked[item_id % 24 + 1] AS question, ['src' || (item_id % 20), 'src' || ((item_id + 7) % 20)] AS gold, 'doc' || (item_id * 3) AS gold_fact, item_id % 9 = 0 AS unanswerable FROM benchmark, wanted),
+every AS (SELECT t.qid, t.rank, t.score, coalesce(d.source, '') AS source_id, d.text || asked[d.doc_id % 24 + 1] AS text, d.doc_id % 50 = 0 AS bare, 'doc' || d.doc_id AS fact_id FROM bm25_top t JOIN documents d USING (doc_id), wanted WHERE t.rank <= 5),
+top AS (SELECT * FROM every WHERE score >= 20), found AS (SELECT qid, count(*) AS n FROM top GROUP BY qid),
+{LACKING},
+per AS (SELECT e.qid, min(CASE WHEN list_contains(gold, source_id) THEN rank END) AS first, bool_or(list_contains(gold, source_id) OR fact_id = gold_fact) AS hit, count(DISTINCT source_id) AS diversity, bool_or((bare OR source_id = '') AND score >= 20) AS bare
+  FROM every e JOIN questions q USING (qid) GROUP BY e.qid),
+rows_ AS (SELECT q.qid, unanswerable, first, coalesce(hit, false) AS hit, coalesce(diversity, 0) AS diversity, coalesce(bare, false) AS bare, f.n IS NULL OR l.qid IS NOT NULL AS refused
+  FROM questions q LEFT JOIN per p USING (qid) LEFT JOIN found f ON f.qid = q.qid LEFT JOIN lacking l ON l.qid = q.qid)
+SELECT count(*) AS n_questions, round(avg(CAST(first IS NOT NULL AS INT)) FILTER (NOT unanswerable), 6) AS recall_at_k, round(avg(coalesce(1.0 / first, 0)) FILTER (NOT unanswerable), 6) AS mrr, round(avg(CAST(hit AS INT)) FILTER (NOT unanswerable), 6) AS hit_rate,
+  round(avg(diversity), 6) AS source_diversity, round(avg(CAST(refused AS INT)) FILTER (unanswerable), 6) AS refusal_rate, round(avg(CAST(refused OR NOT bare AS INT)), 6) AS citation_rate FROM rows_""",
 }

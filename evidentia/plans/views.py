@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from evidentia.functions import ids
 
 
+#: Tables whose rows are texts: what is done with a row costs far more than to move it.
+TEXTS = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Texts in fewer files than there are cores are dealt to all cores first."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in TEXTS and len(df._jdf.inputFiles()) < cores else df
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,7 +164,7 @@ def test_merges(spark):
 
 def test_graph(spark):
     f = fact(spark, dict(subject="甲", predicate="located_in", object="青海湖区"), dict(subject="甲", predicate="has_level", object="国家级", object_type="CONCEPT"), dict(subject="乙", predicate="located_in", object="青海湖区"))
-    f = f.withColumns({"subject_name": F.col("subject"), "object_name": F.col("object")})
+    f = f.withColumns({"subject_name": F.col("subject"), "object_name": F.col("object"), "evidence_url": F.lit("u")})
     entities = E.build_entities(f)
     sources = spark.createDataFrame([("s1", "S")], "source_id string, title string")
     nodes, edges = G.build_graph(entities, f, sources)
@@ -189,7 +189,10 @@ def test_questions(spark):
     values = {r.question: r.answer for r in pairs}
     assert all(len(set(a.rstrip("。").split("；"))) == 2 for a in values.values())
     assert {r.question_id for r in Q.comparison(f, None).collect()} == {r.question_id for r in Q.comparison(f.repartition(7), None).collect()}
-    assert Q.comparison(f, None, reach=100).count() == len(pairs)
+    least = sorted(pairs, key=lambda r: sha("ICH_PROJECT", *r.required_entities[:2], n=64))[:7]
+    assert {r.question_id for r in Q.comparison(f, 7).collect()} == {r.question_id for r in least}
+    assert {r.question_id for r in Q.comparison(f, 1000).collect()} == {r.question_id for r in pairs}
+    assert Q.comparison(f.limit(0), 5).count() == 0
     assert Q.unanswerable(f.limit(0), 3).count() == 3
     many = fact(spark, *[dict(fact_id=f"m{i}", subject=f"s{i}", predicate="located_in", object=f"o{i % 30}", subject_type="PERSON") for i in range(100)])
     first = {r.question_id for r in Q.generate(many, 100).collect()}
@@ -204,15 +207,29 @@ def test_review(spark):
     counts = {r[0]: r[1] for r in taken.groupBy("answer_type").count().collect()}
     assert counts == {"single_fact": 12, "regional_aggregation": 6, "multi_hop": 6, "comparison": 3, "unanswerable": 3}
     assert {r.question_id for r in taken.collect()} == {r.question_id for r in Q.review_sample(df.orderBy(F.desc("question_id")), "r", 30).collect()}
-    questions = df.withColumn("manual_checked", F.lit(False))
+    questions = df.withColumns({"manual_checked": F.lit(False), "notes": F.lit("")})
     h = F.sha2("question_id", 256)
-    good = df.limit(10).select("question_id", h.alias("qa_sha256"))
-    assert Q.apply_review(questions, good, h, 10).filter("manual_checked").count() == 10
-    stale = good.union(spark.createDataFrame([("q99", "other")], "question_id string, qa_sha256 string"))
-    assert Q.apply_review(questions, stale, h, 10).filter("manual_checked").count() == 0
-    assert Q.apply_review(questions, good, h, 11).filter("manual_checked").count() == 0
-    states = {r.question_id: r.state for r in Q.review_state(df, stale, h).collect()}
-    assert states["q99"] == "stale" and states["q50"] == "pending"
+    decided = lambda d, review="r": d.select(F.lit(review).alias("review_id"), F.lit("batch_001").alias("batch_id"), "question_id", h.alias("qa_sha256"), F.lit("2024-01-01").alias("reviewed_at"), F.lit("me").alias("reviewer"))
+    good = decided(df.limit(10)).cache()
+    apply = lambda decisions, minimum, allowed=None: (lambda out: (out[0].filter("manual_checked").count(), sorted(r.issue for r in out[1].collect())))(Q.apply_review(questions, decisions, h, minimum, "r", allowed))
+    assert apply(good, 10) == (10, []) and apply(good.union(good), 10) == (10, [])
+    assert apply(good, 11) == (0, ["accepted_below_minimum"]) and apply(good.union(good), 11)[0] == 0
+    marked = Q.apply_review(questions, good, h, 10, "r")[0].filter("manual_checked").first()
+    assert marked.notes == f"qa_manual_review_id=r; reviewed_at=2024-01-01; reviewer=me; qa_sha256={hashlib.sha256(marked.question_id.encode()).hexdigest()}"
+    # Another review's decision counts nothing, one outside the sample neither; inside, a changed text or a second one closes the gate.
+    odd = decided(spark.createDataFrame([("q99", "x")], df.schema), "other").withColumn("qa_sha256", F.lit("changed"))
+    assert apply(good.union(odd), 10) == (10, [])
+    stale = good.union(odd.withColumn("review_id", F.lit("r")))
+    assert apply(stale, 10) == (0, ["qa_snapshot_changed"]) and apply(stale, 10, df.limit(10)) == (10, [])
+    assert apply(stale.union(decided(spark.createDataFrame([("q99", "x"), ("zz", "x")], df.schema))), 1)[1][:2] == ["conflicting_review_snapshots", "missing_qa_record"]
+    batch, report = Q.prepare_batch(questions, good.union(odd.withColumn("review_id", F.lit("r"))), h, "r", 100, 7)
+    r = report.first()
+    assert (r.accepted, r.remaining, r.batch_id, r.batch_size, r.stale, r.superseded, batch.count()) == (10, 90, "batch_002", 7, 1, 0, 7)
+    assert Q.batch_decisions(batch, h, "r", "batch_002", "me").filter("decision = 'accepted'").count() == 7
+    for bad in (lambda: Q.batch_decisions(batch, h, "r", "b", " "), lambda: Q.allocation({"single_fact": 3}, 4), lambda: Q.minimum_questions(0, {}), lambda: Q.minimum_questions(None, {})):
+        with pytest.raises(ValueError):
+            bad()
+    assert Q.minimum_questions(None, {"tiers": {"v0.1": {"qa": {"min": 9}}}}) == 9
     batches = spark.createDataFrame([("batch_005",), ("x",), ("batch_z",)], "batch_id string")
     assert batches.agg(Q.next_batch(F.col("batch_id"))).first()[0] == "batch_006"
 
@@ -256,10 +273,199 @@ def test_jsonl_and_manifest(spark, tmp_path):
 
 def test_release_package_notices_changes(spark, tmp_path):
     path = str(tmp_path / "p")
-    manifest = spark.createDataFrame(release.package({"t": spark.range(3).select(F.col("id").cast("string").alias("v"))}, path).collect())
-    assert release.check_package(spark, path, manifest).count() == 0
-    spark.createDataFrame([("电话：1",)], "v string").write.mode("append").parquet(f"{path}/t")
-    assert {r.problem for r in release.check_package(spark, path, manifest).collect()} >= {"row count mismatch", "private content"}
+    (tmp_path / "a.md").write_text("report")
+    (tmp_path / "c.yaml").write_text("x: 1")
+    table = {"t": spark.range(3).select(F.col("id").cast("string").alias("evidence_text"))}
+    with pytest.raises(FileNotFoundError):
+        release.package(table, path, {"a.md": str(tmp_path / "none")})
+    with pytest.raises(FileNotFoundError):
+        release.package(table, path, {}, {"c.yaml": str(tmp_path / "none")}, True)
+    manifest = spark.createDataFrame(release.package(table, path, {"a.md": str(tmp_path / "a.md"), "b.md": str(tmp_path / "none")}, {"c.yaml": str(tmp_path / "c.yaml")}, True).collect(), release.MANIFEST)
+    assert {r.file for r in manifest.filter("name <> 't'").collect()} == {"reports/a.md", "configs/c.yaml"}
+    release.write_manifest(manifest, str(tmp_path / "m"), {"version": "1"})
+    assert sorted(map(tuple, release.read_manifest(spark, str(tmp_path / "m")).collect())) == sorted(map(tuple, manifest.collect()))
+    assert release.check_package(spark, path, manifest, ("reports/a.md",)).count() == 0
+    assert [r.problem for r in release.check_package(spark, path, manifest, ("reports/b.md",)).collect()] == ["missing required file"]
+    rows = [("电话号码：1",), ("see /root/x",), ("Reviewer: a.b@c.org",)]
+    spark.createDataFrame(rows, "evidence_text string").write.mode("append").parquet(f"{path}/t")
+    (tmp_path / "p/reports/.a.md.crc").unlink(missing_ok=True)
+    (tmp_path / "p/reports/a.md").write_text("other")
+    assert {r.problem for r in release.check_package(spark, path, manifest).collect()} == {"row count mismatch", "checksum mismatch", "private path", "reviewer address", "personal field"}
+    # An address alone, or a path elsewhere, is no problem.
+    clean = str(tmp_path / "clean")
+    manifest = spark.createDataFrame(release.package({"t": spark.createDataFrame([("mail a@b.org, see /home/x",)], "note string")}, clean).collect(), release.MANIFEST)
+    assert release.check_package(spark, clean, manifest).count() == 0
+
+
+def test_personal_fields_and_minimal_evidence(spark):
+    for field in ("性别", "出生日期", "出生年月", "出生时间", "详细地址", "地址", "联系电话", "电话号码", "身份证", "身份证号"):
+        assert one(spark, T.has_personal_field(F.lit(f"姓名：甲；{field} ： 乙")))
+    for field in ("住址", "电话", "手机", "姓名", "地址在"):
+        assert not one(spark, T.has_personal_field(F.lit(f"{field}：乙")))
+    f = fact(spark, dict(subject="甲", subject_type="PERSON", predicate="inherited_by", object="乙", evidence_text="性别：女", notes="n "), dict(subject="丙", subject_type="X", predicate="made_of", object="木", evidence_text="联系电话:1", notes=A.MINIMISED), dict(subject="丁", predicate="located_in", object="乙"))
+    got = [(r.evidence_text, r.notes) for r in A.minimise_evidence(f).orderBy("fact_id").collect()]
+    assert got == [("姓名：甲；代表性传承人：乙", "n " + A.MINIMISED), ("主体：丙；质地：木", A.MINIMISED), ("e", "")]
+    assert [tuple(r) for r in A.minimisation_report(f).collect()] == [(3, 2, 0, ["f0", "f1"])]
+
+
+def test_similar_names_are_all_found(spark):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcd ") for _ in range(rng.randint(1, 24))) for _ in range(60)]
+    names = set(base)
+    for b in base[:40]:
+        x = list(b)
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randint(0, len(x))
+            if rng.random() < 0.4:
+                x.insert(at, rng.choice("abcd"))
+            elif x:
+                x[min(at, len(x) - 1)] = rng.choice("abcd")
+        names.add("".join(x))
+    names = sorted(names)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, p in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, q in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (p != q))
+        return row[-1]
+
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    for threshold in (0.9, 0.75):
+        want = {(a, b) for a in names for b in names if a != b and round(1 - distance(a, b) / max(len(a), len(b)), 6) >= threshold}
+        assert {(r.name, r.match) for r in A.similar_names(table, table, threshold, 1000).collect()} == want
+
+
+def test_modes_and_index(spark, tmp_path):
+    from evidentia.operators import hybrid as H
+
+    chunks = spark.createDataFrame([("c1", "s1", "alpha beta", "u1"), ("c2", "s2", "beta gamma gamma", "u2"), ("c3", "s1", "delta", "u3")], "chunk_id string, source_id string, text string, source_url string")
+    encode = R.encoder(lambda texts: [[t.count("a"), t.count("g"), 1.0] for t in texts])
+    manifest, reused = H.build_index(chunks, str(tmp_path / "index"), encode, "m")
+    assert (manifest["count"], manifest["dimension"], reused) == (3, 3, False) and H.build_index(chunks, str(tmp_path / "index"), encode, "m")[1]
+    assert not H.build_index(chunks.limit(2), str(tmp_path / "index"), encode, "m")[1] and not H.build_index(chunks, str(tmp_path / "index"), encode, "m", normalised=False)[1]
+    with pytest.raises(ValueError):
+        H.build_index(chunks.limit(0), str(tmp_path / "none"), encode, "m")
+    lengths = spark.read.parquet(str(tmp_path / "index/vectors")).select(R.inner_product(F.col("embedding"), F.col("embedding"))).collect()
+    assert all(abs(r[0] - 1) < 1e-6 for r in lengths)
+
+    f = fact(spark, dict(subject="alpha", predicate="located_in", object="beta", evidence_source_id="s9")).withColumns({"subject_name": F.col("subject"), "object_name": F.col("object"), "evidence_url": F.lit("u9")})
+    sources = spark.createDataFrame([("s9", "S")], "source_id string, title string")
+    for name, df in (("chunks", chunks), ("facts", f), ("sources", sources), ("entities", E.build_entities(f))):
+        df.write.parquet(str(tmp_path / name))
+    r = H.open_retriever(spark, str(tmp_path), {"m": encode}, R.pair_scorer(lambda pairs: [float(len(t)) for _, t in pairs]))
+    assert r.modes() == ["vector-only", "bm25-only", "graph-only", "hybrid"] + [f"{m}+rerank" for m in ("vector-only", "bm25-only", "graph-only", "hybrid")]
+    assert H.Retriever(bm25=r.bm25).modes() == ["bm25-only"] and H.Retriever().modes() == []
+    ask = spark.createDataFrame([("q1", "alpha beta"), ("q2", " ")], "qid string, question string")
+    got = {m: [(x.qid, x.evidence_id, x.kind) for x in r.retrieve(ask, m, 2, 2).orderBy("qid", "rank").collect()] for m in r.modes()}
+    assert got["bm25-only"] == [("q1", "c1", "bm25"), ("q1", "c2", "bm25")] and got["graph-only"] == [("q1", "f0", "graph")]
+    assert {k for _, _, k in got["hybrid"]} >= {"graph"} and len(got["hybrid"]) == 2 and got["bm25-only+rerank"][0][1] == "c2"
+    assert all(len(v) <= 2 for v in got.values()) and all(q == "q1" for v in got.values() for q, _, _ in v)
+    for mode in ("nothing", "hybrid+x", "vector-only+rerank+"):
+        with pytest.raises(ValueError):
+            r.retrieve(ask, mode)
+    with pytest.raises(ValueError):
+        H.Retriever(bm25=r.bm25).retrieve(ask, "hybrid")
+    gold = ask.select("qid", "question", F.array(F.lit("s2")).alias("gold_sources"), F.array(F.lit("f0")).alias("gold_facts"), (F.col("qid") == "q2").alias("unanswerable"))
+    rows = {x.mode: x for x in H.run_evaluation(gold, r, 2, ["bm25-only", "graph-only"]).collect()}
+    assert (rows["bm25-only"].recall_at_k, rows["bm25-only"].mrr, rows["bm25-only"].refusal_rate, rows["bm25-only"].citation_rate, rows["bm25-only"].source_diversity) == (1.0, 0.5, 1.0, 1.0, 1.0)
+    assert (rows["graph-only"].recall_at_k, rows["graph-only"].hit_rate) == (0.0, 1.0)
+    with pytest.raises(ValueError):
+        H.run_evaluation(gold, H.Retriever())
+    answer, found = H.ask(spark, "alpha beta", r, "hybrid", 2, 3)
+    assert not answer.first().refused and found.count() == 3
+    assert [x.sources for x in R.examples(r.retrieve(ask, "bm25-only", 2), ask, 1).collect()] == [["s1", "s2"]]
+
+
+def test_fusion_keeps_rows_that_count_nothing(spark):
+    shape = "qid string, id string, score double"
+    dense = spark.createDataFrame([("q", "a", 0.5), ("q", "b", -0.2), ("r", "x", -1.0), ("r", "y", 0.0)], shape)
+    sparse = spark.createDataFrame([("q", "b", 3.0)], shape)
+    got = {(r.qid, r.id): (r.score, r.kind) for r in R.fuse(dense, sparse).collect()}
+    assert got == {("q", "a"): (0.6, "vector"), ("q", "b"): (0.4, "vector"), ("r", "x"): (0.6, "vector"), ("r", "y"): (0.6, "vector")}
+
+
+def test_readers_of_reviews(spark, tmp_path):
+    pytest.importorskip("yaml")
+    from evidentia.operators import catalogs as K
+    from evidentia.operators import validate
+    from evidentia.sources import reviews
+
+    head = "review_id: r1\nreviewed_at: 2024-05-06\nreviewer_role: x\nreview_method: y\nsource_id: src_1\ntitle: T\npublisher: P\nparent_page_url: u\nattachment_url: https://www.a.org/f.pdf\nattachment_sha256: %s\nraw_path: %s\nregion: [青海省]\ntopic: []\nbatch: 第一批\nexpected_rows: 1\n"
+    digest = hashlib.sha256(b"file").hexdigest()
+    (tmp_path / "f.pdf").write_bytes(b"file")
+    raw = str(tmp_path / "f.pdf")
+    (tmp_path / "a.yaml").write_text(head % (digest, raw) + "level: 省级\nrows:\n- {sequence: 1, project_name: ' 甲 ', category: 民俗, circulation_area: 西宁, inheritors: [乙]}\n")
+    (tmp_path / "b.yaml").write_text(head % (digest, raw) + "catalog_kind: inheritor\nexcluded_fields: [x]\nrows:\n- {sequence: 2, project_name: 甲, person_name: 乙, project_level: 国家级}\n")
+    header, rows = reviews.reviewed_catalog(spark, str(tmp_path / "a.yaml"))
+    assert K.catalog_problems(rows, header).count() == K.header_problems(header).count() == 0
+    facts = {(r.predicate, r.object): r.evidence_text for r in K.reviewed_catalog_facts(rows, header).collect()}
+    assert set(facts) == {("belongs_to_category", "民俗"), ("located_in", "西宁市"), ("has_level", "省级"), ("inherited_by", "乙")}
+    assert set(facts.values()) == {"人工核验官方材料表格第1条（源表序号1）：项目名称：甲；项目类别：民俗；流传地区：西宁；项目级别：省级；传承人：乙；名录批次：第一批"}
+    assert K.attachment_problems(header, reviews.attachments(spark, [raw])).count() == 0
+    assert [r.problem for r in K.attachment_problems(header, reviews.attachments(spark, [raw + "x"])).collect()] == ["missing"]
+    source = K.catalog_sources(header).first()
+    assert (source.domain, source.crawl_status, source.raw_text_release) == ("a.org", "parsed", False) and "review_id=r1" in source.notes
+    header, rows = reviews.reviewed_catalog(spark, str(tmp_path / "b.yaml"))
+    assert [r.problem for r in K.inheritor_catalog_problems(rows, header).collect()] == ["sequence"]
+    assert {(r.predicate, r.object) for r in K.reviewed_inheritor_facts(rows, header).collect()} == {("inherited_by", "乙"), ("has_level", "国家级")}
+    (tmp_path / "bad.yaml").write_text(head % ("ABC", raw) + "level: x\nrows:\n- {sequence: 1, colour: red}\n")
+    with pytest.raises(ValueError):
+        reviews.reviewed_catalog(spark, str(tmp_path / "bad.yaml"))
+    (tmp_path / "m.yaml").write_text("review_id: m\nreviewed_at: 2024-01-01\nexpected_sources: 1\nexpected_facts: 4\nrows:\n- {source_id: src_tibetan_museum_exhibit_3, exhibit_id: 4, name: n, category: c, period: p, museum: m, material: x}\n")
+    document, rows = reviews.museum_review(spark, str(tmp_path / "m.yaml"))
+    assert [tuple(r) for r in K.review_problems(rows, document["expected_sources"], document["expected_facts"]).collect()] == [("src_tibetan_museum_exhibit_3", "exhibit id")]
+    (tmp_path / "c.yaml").write_text("reviewed_at: 2024-01-01\nreview_method: hand\nrecords:\n- {audit_id: audit_c1, record_snapshot: s, source_ids: [a], extra: 1}\n")
+    fixed = reviews.corrections(spark, str(tmp_path / "c.yaml"))
+    assert fixed.first().snapshot_sha256 == hashlib.sha256(b"s").hexdigest() and reviews.corrections(spark, str(tmp_path / "no.yaml")).count() == 0
+    f = fact(spark, dict(subject="a", predicate="p", object="b", manual_checked=True, notes="qa_manual_review_id=q; manual_review_id=; reviewed_at= 2024 ")).withColumn("evidence_url", F.lit("u"))
+    none = spark.createDataFrame([], "question_id string, question string, answer string, answer_type string, evidence_fact_ids array<string>, evidence_source_ids array<string>, required_entities array<string>, difficulty string, unanswerable boolean, manual_checked boolean, notes string")
+    got = {r.audit_id: r for r in validate.audit_samples(f, none, fixed).collect()}
+    # The shorter key is found within the longer one.
+    assert got["audit_fact_f0"].review_method == "q" and got["audit_fact_f0"].reviewed_at == "2024" and got["audit_c1"].review_method == "hand"
+    assert json.loads(got["audit_fact_f0"].record_snapshot)["subject"] == "a" and got["audit_fact_f0"].snapshot_sha256 == hashlib.sha256(got["audit_fact_f0"].record_snapshot.encode()).hexdigest()
+
+
+def test_schemas_and_validation(spark, tmp_path):
+    from evidentia.functions import schemas
+    from evidentia.operators import validate
+
+    days = ["2024-02-29", "2023-02-29", "2024-2-9", "20240229", "", None]
+    assert [r[0] for r in spark.createDataFrame([(d,) for d in days], "d string").select(schemas.is_date(F.col("d"))).collect()] == [True, False, False, False, False, False]
+    row = dict(source_id=" s1 ", title="t", publisher="", source_type="other", url="u", domain="d", language="zh", province="p", region=[], topic=[], retrieved_at="2024-01-01", license_status="open", release_policy="local_only", raw_text_release=True, crawl_status="parsed", content_sha256="", notes="")
+    make = lambda name, *rows: spark.createDataFrame([tuple(r[c] for c in schemas.SCHEMAS[name].fieldNames()) for r in rows], schemas.SCHEMAS[name])
+    assert [tuple(r) for r in schemas.record_problems(make("sources", row), "sources").collect()] == [("s1", "closed_policy_releases_text")]
+    good = row | dict(release_policy="full_text_allowed")
+    question = dict(question_id="q", question="x", answer="y", answer_type="single_fact", evidence_fact_ids=["f"], evidence_source_ids=["s1"], required_entities=[], difficulty="easy", unanswerable=False, manual_checked=False, notes="")
+    bad = [question | dict(question_id="a", unanswerable=True), question | dict(question_id="b", evidence_fact_ids=[]), question | dict(question_id="c", answer_type="unanswerable", unanswerable=True, evidence_fact_ids=[], evidence_source_ids=[])]
+    assert {tuple(r) for r in schemas.record_problems(make("questions", question, *bad), "questions").collect()} == {("a", "evidence_or_unanswerable"), ("b", "evidence_or_unanswerable")}
+    fact_row = dict(fact_id="f", subject="a", subject_type="X", predicate="made_of", object="b", object_type="Y", evidence_source_id="s1", evidence_url="u", evidence_text=None, extraction_method="rule", verified=True, confidence="low", manual_checked=False, notes="")
+    chunk = dict(chunk_id="c", doc_id="d", source_id="s1", text="t", char_start=0, char_end=1, topic_labels=[], region_labels=[], entity_mentions=[], license_status="open", release_policy="full_text_allowed", source_url="u", retrieved_at="x", chunk_kind="open_text", notes="")
+    entity = dict(entity_id="e", name="n", type="PERSON", aliases=[], description="", province="", regions=[], canonical_source_id="s1", confidence="low", notes="")
+    tables = {"sources": make("sources", good | dict(source_id="s1")), "facts": make("facts", fact_row), "chunks": make("chunks", chunk), "entities": make("entities", entity), "questions": make("questions", question)}
+    assert validate.validate(tables, []).count() == 0 and "PASS" in validate.validation_report(validate.validate(tables, []))
+    assert [r.check for r in validate.validate(tables, ["d"], ["raw/x", "raw/.gitkeep"]).orderBy("check").collect()] == ["open_text_domain", "tracked_raw_file"]
+    lost = {k: v for k, v in tables.items() if k != "facts"}
+    assert [tuple(r) for r in validate.validate(lost, []).collect()] == [("missing_table", None, "facts")]
+    broken = tables | {"entities": make("entities", entity | dict(type="CITY", canonical_source_id="s7"))}
+    assert [tuple(r) for r in validate.validate(broken, []).collect()] == [("schema_entities", "e", "type")]
+    assert "FAIL" in validate.validation_report(validate.validate(broken, []))
+    validate.write_json(spark, {"b": [1, "é"]}, str(tmp_path / "r"))
+    assert validate.read_json(spark, str(tmp_path / "r")) == {"b": [1, "é"]} and validate.read_json(spark, str(tmp_path / "none"), 3) == 3
+    text = validate.markdown_table(spark.createDataFrame([("a|b", 0.5), (None, 1.0)], "x string, y double"))
+    assert text.splitlines()[2:] == ["| a\\|b | 0.5000 |", "|  | 1.0000 |"]
+
+
+def test_listing_totals_and_pages(spark):
+    from evidentia.sources import listings as L
+
+    rows = [(1, '<div class="page"><p><span class="total">no</span></p><span class="total">共 12 条信息/共3页</span></div>'), (2, "<p>x</p>"), (3, None)]
+    assert sorted(map(tuple, L.county_totals(spark.createDataFrame(rows, "page int, html string")).collect())) == [(1, 12, 3), (2, 0, 1), (3, 0, 1)]
+    totals = spark.createDataFrame([("jd", 3), ("wl", 0)], "section string, total_pages int")
+    assert sorted(map(tuple, L.page_numbers(totals).collect())) == [("jd", 1), ("jd", 2), ("jd", 3), ("wl", 1)] and L.page_numbers(totals, 1).count() == 2
+    with pytest.raises(ValueError):
+        L.page_numbers(totals, 0)
 
 
 def test_tokens_follow_the_pattern(spark):
@@ -297,7 +503,7 @@ def test_catalog_builders(spark):
     review = spark.createDataFrame([("s1", "甲", "瓷", "唐", "馆", "土")], "source_id string, name string, category string, period string, museum string, material string")
     sources = spark.createDataFrame([("s1", "parsed", "a" * 64)], "source_id string, crawl_status string, content_sha256 string")
     rows = [dict(subject="甲", subject_type="MUSEUM_OBJECT", predicate=p, object=o) for p, o in (("belongs_to_category", "瓷"), ("created_in_period", "唐"), ("held_by", "馆"), ("made_of", "土"))]
-    marked, issues = K.mark_reviewed(fact(spark, *rows), sources, review, "r")
+    marked, issues = K.mark_reviewed(fact(spark, *rows), sources, review, "r", "2024-01-01")
     assert marked.filter("manual_checked").count() == 4 and issues.count() == 0
-    marked, issues = K.mark_reviewed(fact(spark, *rows[:3]), sources, review, "r")
+    marked, issues = K.mark_reviewed(fact(spark, *rows[:3]), sources, review, "r", "2024-01-01")
     assert marked.filter("manual_checked").count() == 0 and issues.count() == 1
