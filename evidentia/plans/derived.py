@@ -255,7 +255,9 @@ batch AS (SELECT * FROM sample WHERE NOT done ORDER BY place LIMIT 15)"""
 # Chunks of whole texts: the recursion of the splitter, a row for each chunk; the driver's texts break at line ends only.
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)"
 SPLIT = rf"""bare AS (SELECT doc_id, trim(text, {_WS}) AS t FROM {{0}} WHERE text IS NOT NULL),
-letters AS (SELECT doc_id, t, length(t) AS n, list_filter(range(1, length(t) + 1), lambda i: regexp_matches(substr(t, CAST(i AS INT), 1), '[。！？；\n]') AND NOT regexp_matches(substr(t, CAST(i + 1 AS INT), 1), '[。！？；\n]')) AS stops FROM bare WHERE length(t) > 0),
+marks AS (SELECT doc_id, i, c IN ('。', '！', '？', '；', chr(10)) AS mark, coalesce(lead(c) OVER (PARTITION BY doc_id ORDER BY i) IN ('。', '！', '？', '；', chr(10)), false) AS next_ FROM (SELECT doc_id, unnest(string_split(t, '')) AS c, generate_subscripts(string_split(t, ''), 1) AS i FROM bare WHERE length(t) > 0)),
+stops AS (SELECT doc_id, list(CAST(i AS BIGINT) ORDER BY i) AS stops FROM marks WHERE mark AND NOT next_ GROUP BY doc_id),
+letters AS (SELECT b.doc_id, t, length(t) AS n, coalesce(stops, CAST([] AS BIGINT[])) AS stops FROM bare b LEFT JOIN stops s ON s.doc_id = b.doc_id WHERE length(t) > 0),
 steps_(doc_id, a, z, nxt) AS (
   SELECT doc_id, CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT) FROM letters
   UNION ALL
