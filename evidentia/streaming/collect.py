@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,43 +13,69 @@ from pyspark.sql.types import StructType
 from evidentia.operators.merge import keep_last
 
 
-class VersionedTable:
-    """A table in numbered versions; a reader takes the newest, a writer adds the next."""
+#: Parts of a table that wait before they are merged into a new base.
+PARTS = 16
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
 
-    def versions(self) -> list[int]:
+class MergedTable:
+    """A keyed table as a base and the parts that batches have added since; a reader takes the last row of each key.
+
+    A batch writes its own rows only. A base names the parts that it covers, so a part that is written again by a replayed batch
+    counts once; merging PARTS parts at a time keeps what is rewritten in proportion to what comes in.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, ordinal: str) -> None:
+        self.spark, self.path, self.key, self.ordinal = spark, path.rstrip("/"), key, ordinal
+
+    def _names(self, kind: str) -> list[str]:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         fs = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(place):
             return []
-        names = [s.getPath() for s in fs.listStatus(place)]
-        done = [p.getName() for p in names if p.getName().startswith("v") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
+        found = [s.getPath() for s in fs.listStatus(place) if s.getPath().getName().startswith(kind)]
+        return sorted(p.getName() for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
-    def read(self) -> DataFrame | None:
-        found = self.versions()
-        return self.spark.read.parquet(f"{self.path}/v{found[-1]}") if found else None
+    def _covered(self) -> tuple[str | None, set[str]]:
+        bases = [b for b in self._names("base-") if f"covered-{b}" in self._names("covered-")]
+        return (bases[-1], {r[0] for r in self.spark.read.text(f"{self.path}/covered-{bases[-1]}").collect()}) if bases else (None, set())
 
-    def write(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v{(self.versions() or [0])[-1] + 1}")
+    def read(self) -> DataFrame | None:
+        base, covered = self._covered()
+        names = ([base] if base else []) + [p for p in self._names("part-") if p not in covered]
+        if not names:
+            return None
+        return keep_last(reduce(DataFrame.unionByName, (self.spark.read.parquet(f"{self.path}/{n}") for n in names)), [self.key], self.ordinal)
+
+    def add(self, rows: DataFrame, name: str) -> None:
+        keep_last(rows, [self.key], self.ordinal).write.mode("overwrite").parquet(f"{self.path}/part-{name}")
+
+    def merge(self) -> None:
+        """Writes a new base if enough parts wait."""
+        base, covered = self._covered()
+        parts = self._names("part-")
+        if len(set(parts) - covered) < PARTS:
+            return
+        name = f"base-{int(base[5:]) + 1 if base else 1:09d}"
+        self.read().write.mode("overwrite").parquet(f"{self.path}/{name}")
+        self.spark.createDataFrame([(p,) for p in parts], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/covered-{name}")
 
 
 def collect(spark: SparkSession, landing: str, schema: StructType, table: str, key: str, ordinal: str, checkpoint: str | None = None) -> DataFrame:
     """Upserts everything in the landing folder, a few files at a time, the greatest ordinal of a key wins; a second call takes only new files.
 
-    The stream's checkpoint remembers files, the table's versions make each batch all or nothing; a batch may be
+    The stream's checkpoint remembers files and each batch writes one part of its own name, so a batch may be
     replayed, and files may land in any order, with the same result.
     """
-    target = VersionedTable(spark, table)
+    target = MergedTable(spark, table, key, ordinal)
+    checkpoint = checkpoint or f"{table}-checkpoint-{uuid.uuid4().hex}"
+    tag = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
-    def merge(batch: DataFrame, _: int) -> None:
-        old = target.read()
-        target.write(keep_last(batch if old is None else old.unionByName(batch), [key], ordinal))
+    def add(batch: DataFrame, number: int) -> None:
+        target.add(batch, f"{tag}-{number:09d}")
+        target.merge()
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint or f"{table}-checkpoint-{uuid.uuid4().hex}").trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     out = target.read()
     return spark.createDataFrame([], schema) if out is None else out
