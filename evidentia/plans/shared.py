@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _OWN:
-        _OWN.append("file://" + tempfile.mkdtemp(prefix="evidentia-"))
+        own = tempfile.mkdtemp(prefix="evidentia-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN.append(f"file://{own}")
     return _OWN[0]
 
 

@@ -468,6 +468,23 @@ def test_listing_totals_and_pages(spark):
         L.page_numbers(totals, 0)
 
 
+def test_merged_table(spark, tmp_path, monkeypatch):
+    from evidentia.streaming import collect as S
+
+    monkeypatch.setattr(S, "PARTS", 3)
+    table = S.MergedTable(spark, str(tmp_path / "t"), "k", "n")
+    assert table.read() is None
+    best = {}
+    for turn in range(8):
+        rows = [(k, turn * 10 + k % 3, f"{turn}") for k in range(turn % 4, 6)]
+        best |= {k: max(best.get(k, (-1, "")), (n, v)) for k, n, v in rows}
+        for _ in range(1 + turn % 2):  # a replayed batch counts once
+            table.add(spark.createDataFrame(rows, "k int, n int, v string"), f"a-{turn:03d}")
+            table.merge()
+        assert {r.k: (r.n, r.v) for r in table.read().collect()} == best
+    assert len(table._names("base-")) == 2
+
+
 def test_tokens_follow_the_pattern(spark):
     text = "Ab_1 ÄÖ, 塔尔寺! x-y"
     want = re.findall(r"\w+", text.lower())
