@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise, table
+from evidentia.llm.common import discard, materialise, table
 from evidentia.llm.decontam import remove_leaked
 from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
@@ -58,7 +58,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
