@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,7 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _FALLBACK:
-        _FALLBACK.append("file://" + tempfile.mkdtemp(prefix="evidentia-"))
+        own = tempfile.mkdtemp(prefix="evidentia-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _FALLBACK.append(f"file://{own}")
     return _FALLBACK[0]
 
 
@@ -72,7 +76,10 @@ def number_of(docs: DataFrame, column: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Texts in fewer files than there are cores are dealt to all cores first; more files are read as they are."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in ("documents", "pages") and len(df._jdf.inputFiles()) < cores else df
 
 
 def let(value: Column, body) -> Column:
