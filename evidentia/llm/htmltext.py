@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
@@ -11,22 +12,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import materialise, small_batches
+from evidentia.llm.common import discard, materialise, small_batches
 
 #: Elements that hold no text of the article, with all inside them.
-SKIPPED = frozenset("head script style noscript template iframe object svg canvas math nav footer aside form button select textarea input dialog menu".split())
-#: Those of them whose text is raw: markup inside doesn't count.
-RAW = frozenset(("script", "style"))
+SKIPPED = frozenset("head title script style noscript template iframe object svg canvas math nav footer aside form button select textarea input dialog menu".split())
+#: Elements that may stand in a head; any other one ends a head that was never closed.
+IN_HEAD = frozenset("title meta link base style script noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements within a line; all others begin and end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-#: Words in a class, id or role that tell a part that isn't the article.
-NOISE = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 ARTICLE = frozenset(("article", "main"))
+#: Words that tell a part that isn't the article where they begin or end a class, id or role.
+NOISE = frozenset("ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies disqus footer masthead menu nav navbar navigation newsletter sidebar sponsor sponsored".split())
+#: Words that do so alone, at the end, or before words for parts only.
+WEAK = frozenset("banner consent contentinfo modal notice popup promo promoted related search share sharing social subscribe toolbar widget".split())
+PARTS = frozenset("area articles bar block bottom box button buttons container count form icon icons inner item items left link links list outer panel posts right row section slot stories tools top unit wrap wrapper".split())
+#: Words before "header" that make it the site's; other headers in an article hold its title.
+SITES = frozenset("global main page site top".split())
+#: First words of names that tell of a layout, not of what the element is.
+STATES = frozenset("has hide no show with without".split())
+COMMENTS = frozenset("comment comments disqus replies reply".split())
 #: A page that shares so much of its lines with its neighbour may be a near copy; a second neighbour then decides too.
 COPY_SHARE = 0.8
-#: Path segments that make a level of nearness; beyond them only equal paths are nearer.
-LEVELS = 6
+#: Neighbours that share so much of the lines of an article decide nothing within it.
+ARTICLE_SHARE = 0.5
+
+
+def names_noise(name: str) -> bool:
+    """Whether a class, id or role tells a part that isn't the article: by its words, cut at hyphens, underscores and capitals."""
+    words = [w for w in re.split(r"[-_\s]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name).lower()) if w]
+    if not words or words[0] in STATES:
+        return False
+    if words[0] in NOISE or words[-1] in NOISE or words[-1] in WEAK:
+        return True
+    if words[-1] == "header":
+        return len(words) == 1 or words[0] in SITES
+    return words[0] in WEAK and all(w in PARTS or w.isdigit() for w in words[1:])
 
 
 class Blocks(HTMLParser):
@@ -51,10 +72,10 @@ class Blocks(HTMLParser):
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and (value or "").lower() == "true":
                 return True
-            if name in ("class", "id", "role") and value:
-                names = value.lower().replace("_", "-").split()
-                if any(part in NOISE for x in names for part in (x, *x.split("-")[:1])):
-                    return tag not in ("html", "body") and tag not in ARTICLE
+            if name in ("class", "id", "role") and value and tag not in ("html", "body", "main"):
+                # Of an article only comments are noise: a post may be "sponsored" or a "widget".
+                if any((tag != "article" or COMMENTS & set(re.split(r"[-_]", x.lower()))) and names_noise(x) for x in value.split()):
+                    return True
         return False
 
     def handle_starttag(self, tag, attrs) -> None:
@@ -62,6 +83,8 @@ class Blocks(HTMLParser):
             self.end_block()
         elif tag == "br":
             self.parts.append(" ")
+        if tag not in IN_HEAD and any(t == "head" for t, _, _ in self.open):
+            self.leave("head")
         if tag in VOID:
             return
         if tag in ("p", "li"):
@@ -141,14 +164,14 @@ def shared_lines(a: list[int], b: list[int]) -> list[int]:
 
 
 def prefixes(url: str | None) -> list[str]:
-    """Host, then host and path up to each of the first LEVELS segments, then the whole path: the longest first."""
+    """Host, then host and path up to each segment, then the whole path: the longest first."""
     try:
         parts = urlsplit(url or "")
         host = (parts.hostname or "").removeprefix("www.")
     except ValueError:
         host, parts = "", urlsplit("")
     path = [s for s in parts.path.removesuffix(".html").split("/") if s]
-    keys = [host, *(f"{host}/" + "/".join(path[: k + 1]) + "/" for k in range(min(len(path), LEVELS)))]
+    keys = [host, *(f"{host}/" + "/".join(path[: k + 1]) + "/" for k in range(len(path)))]
     keys.append(f"{host}/" + "/".join(path))
     return list(dict.fromkeys(keys))[::-1]
 
@@ -156,15 +179,32 @@ def prefixes(url: str | None) -> list[str]:
 def keep_lines(hashes: list[int], flags: list[int], others: list[list[int]] | None) -> tuple[list[int], int]:
     """Places of the lines that stay, and how many lines the nearest page shares.
 
-    ``others`` are the lines of one or two nearest pages, none a copy. Lines of a marked article stay. Of all
-    others those go that the first page shares; where it shares nearly all, only those that the second, if there
-    is one, shares too: what a template repeats is in both, what a near copy repeats isn't.
+    ``others`` are the lines of one or two nearest pages, none a copy. Outside a marked article those lines go that the first
+    page shares; where it shares nearly all, only those that the second, if there
+    is one, shares too: what a template repeats is in both, what a near copy repeats isn't. In an article
+    those go that begin or end it and that both pages share, unless one of them shares half of it.
     """
-    shared = shared_lines(hashes, others[0]) if others else []
-    gone = set(shared)
-    if others and len(others) > 1 and len(shared) >= COPY_SHARE * len(hashes):
-        gone &= set(shared_lines(hashes, others[1]))
-    return [i for i, f in enumerate(flags) if f or i not in gone], len(shared)
+    both = [set(shared_lines(hashes, x)) for x in others or ()]
+    if not both:
+        return list(range(len(flags))), 0
+    gone = both[0]
+    if len(both) > 1 and len(gone) >= COPY_SHARE * len(hashes):
+        gone = gone & both[1]
+    inside = [i for i, f in enumerate(flags) if f]
+    framing: set[int] = set()
+    if len(both) > 1 and all(2 * sum(i in x for i in inside) < len(inside) for x in both):
+        for run in (inside, inside[::-1]):
+            for i in run:
+                if i not in both[0] or i not in both[1]:
+                    break
+                framing.add(i)
+    return [i for i, f in enumerate(flags) if (i not in framing if f else i not in gone)], len(both[0])
+
+
+def _hash(line: str) -> int:
+    import xxhash
+
+    return xxhash.xxh32_intdigest(line.encode()) - (1 << 31)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -173,51 +213,64 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Structure goes first: parts that by element, class, id or role are no article. Then each page is
     paired with pages of its host under the longest common path that has one with other lines: those with the
     least and the greatest hash of all their lines, less the page's own, so copies are never paired. Lines are
-    aligned by longest common subsequence; shared ones are deleted outside marked articles. Least and greatest pages are
-    combined before the shuffle, carry line hashes only, and meet their paths' pages in a join that AQE may split.
-    Null and empty html give an empty text; null and broken urls share the host ''. Rows that repeat an id
-    are told apart by their hash; equal rows are one page for pairing, and each is returned.
+    aligned by longest common subsequence; shared ones are deleted by ``keep_lines``. Pairing reads hashes only: least and
+    greatest pages of a path are combined before the shuffle and meet the path's pages in a join that AQE may split; the lines
+    themselves are parsed again on their way to their one shuffle and are never written.
+    Null and empty html give an empty text; pages without lines are nobody's neighbour; null and broken urls share the host ''.
+    Rows that repeat an id are told apart by their hash; equal rows are one page for pairing, and each is returned.
     """
-    import xxhash
-
     spark = pages.sparkSession
     small_batches(spark)
     kind = pages.schema[id_col].dataType.simpleString()
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
-            found = [blocks(h) for h in batch.column(3).to_pylist()]
             columns = [
-                pa.array([[t for t, _ in b] for b in found], pa.list_(pa.string())),
-                pa.array([[f for _, f in b] for b in found], pa.list_(pa.int32())),
-                pa.array([np.array([xxhash.xxh64_intdigest(t.encode()) for t, _ in b], np.uint64).view(np.int64).tolist() for b in found], pa.list_(pa.int64())),
-                pa.array([prefixes(u) for u in batch.column(2).to_pylist()], pa.list_(pa.string())),
+                pa.array([[_hash(t) for t, _ in blocks(h)] for h in batch.column(3).to_pylist()], pa.list_(pa.int32())),
+                pa.array([np.array([xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass")) for p in prefixes(u)], np.uint64).view(np.int64) for u in batch.column(2).to_pylist()], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["id", "mark", "url", "lines", "flags", "hashes", "paths"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["id", "mark", "hashes", "paths"])
 
     rows = pages.select(F.col(id_col).alias("id"), F.xxhash64(url_col, html_col).alias("mark"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    parsed = materialise(rows.mapInArrow(parse, f"id {kind}, mark long, url string, lines array<string>, flags array<int>, hashes array<long>, paths array<string>"), "page-lines")
+    keys = rows.mapInArrow(scan, f"id {kind}, mark long, hashes array<int>, paths array<long>").filter("size(hashes) > 0")
+    keys = materialise(keys.withColumn("sig", F.xxhash64("hashes")), "page-keys")
+
+    below = keys.select("id", "mark", "sig", F.posexplode("paths").alias("depth", "path"))
+    ends = below.groupBy("path").agg(F.min("sig").alias("least"), F.max("sig").alias("greatest"))
+    ends = materialise(ends.filter("least <> greatest"), "page-ends")
+    # The longest path of each page that has a page with other lines, then that path's pages.
+    nearest = below.join(ends.select("path").hint("merge"), "path").groupBy("id", "mark", "sig").agg(F.min_by("path", "depth").alias("path"))
+    lines_of = keys.groupBy("sig").agg(F.first("hashes").alias("hashes"))
+    sides = ends.select("path", F.explode(F.array("least", "greatest")).alias("sig")).join(lines_of.hint("merge"), "sig")
+    sides = sides.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("sig", "hashes"))).alias("sides"))
+    # Written, so that the join with the pages of a hot path is dealt anew and can be split.
+    sides = materialise(sides, "page-sides")
+    nearest = materialise(nearest, "page-nearest")
+    met = nearest.join(sides.hint("merge"), "path")
+    others = F.transform(F.filter("sides", lambda x: x["sig"] != F.col("sig")), lambda x: x["hashes"])
+    met = materialise(met.select(F.col("id").alias("own_id"), F.col("mark").alias("own_mark"), others.alias("others")), "page-neighbours")
+    discard(keys, ends, sides, nearest)
 
-    key = F.struct("id", "mark")
-    below = parsed.select(key.alias("page"), F.xxhash64("hashes").alias("sig"), "hashes", F.posexplode("paths").alias("depth", "path")).distinct()
-    own = F.struct("sig", "hashes")
-    ends = below.groupBy("path").agg(F.min(own).alias("least"), F.max(own).alias("greatest"))
-    ends = materialise(ends.filter("least.sig <> greatest.sig"), "page-ends")
-    partners = F.filter(F.array("least", "greatest"), lambda x: x["sig"] != F.col("sig"))["hashes"]
-    met = below.select("page", "sig", "depth", "path").join(ends, "path")
-    nearest = materialise(met.groupBy("page").agg(F.min_by(partners, "depth").alias("others")), "page-nearest")
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [blocks(h) for h in batch.column(3).to_pylist()]
+            columns = [pa.array(["\n".join(t for t, _ in b) for b in found], pa.string()), pa.array(["".join(str(f) for _, f in b) for b in found], pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["id", "mark", "url", "body", "flags"])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, shared = [], []
-            for lines, flags, hashes, others in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                stay, n = keep_lines(hashes, flags, others)
+            for body, flags, others in zip(*(batch.column(i).to_pylist() for i in range(2, 5)), strict=True):
+                lines = body.split("\n") if flags else []
+                stay, n = keep_lines([_hash(t) for t in lines] if others else lines, [f == "1" for f in flags], others)
                 texts.append("\n".join(lines[i] for i in stay))
                 shared.append(n)
-            columns = [pa.array(texts), pa.array([len(t) for t in texts], pa.int64()), pa.array(shared, pa.int64())]
+            columns = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(shared, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["id", "url", "text", "n_chars", "n_shared"])
 
-    side = nearest.select(F.col("page.id").alias("_id"), F.col("page.mark").alias("_mark"), "others")
-    both = parsed.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    out = both.select("id", "url", "lines", "flags", "hashes", "others").mapInArrow(difference, f"id {kind}, url string, text string, n_chars long, n_shared long")
+    parsed = rows.mapInArrow(parse, f"id {kind}, mark long, url string, body string, flags string")
+    both = parsed.join(met.hint("merge"), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark")), "left")
+    out = both.select("id", "url", "body", "flags", "others").mapInArrow(difference, f"id {kind}, url string, text string, n_chars long, n_shared long")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

@@ -79,6 +79,49 @@ def test_quality_rules(spark, rows, docs, none):
     assert kept.filter("doc_id = 1").count() == 2 * (1 if got[1].kept else 0)
 
 
+def test_quality_verdict_is_brute_force(spark):
+    from evidentia.llm.quality import LEAST_WORDS, REACH, judge
+
+    rng = random.Random(21)
+    rows = []
+    for i in range(900):
+        words = prose(rng, rng.choice((30, 60, 120, 250))).split()
+        odd = rng.random()
+        if odd < 0.1:
+            words = [w + rng.choice("#*$") * rng.randint(0, 2) for w in words]
+        elif odd < 0.2:
+            words = [w.upper() if rng.random() < 0.6 else w for w in words]
+        elif odd < 0.3:
+            words = [w * rng.randint(1, 3) for w in words]
+        rows.append((i, " ".join(words), rng.choice(("en", "de", None)), rng.choice(("a", "b", None)) if i < 870 else "rare"))
+    values, groups = {}, {}
+    for i, text, lang, source in rows:
+        n, chars, symbols, _, _ = base_of(text)
+        if n >= LEAST_WORDS:
+            values[i] = {"symbol_ratio": symbols / chars, "upper_ratio": sum(c.isupper() for c in text) / chars, "word_length": chars / n, "chars": float(chars), "words": float(n)}
+            for g in ((lang, source), (lang,), ()):
+                groups.setdefault(g, []).append(values[i])
+
+    def fences(g, rule):
+        own = lambda name, q: (x := sorted(v[name] for v in groups[g]))[max(0, math.ceil(q * len(x)) - 1)]
+        middle = own(rule, 0.5)
+        error = middle / 2 / math.sqrt(own("words", 0.5)) if rule == "word_length" else math.sqrt(max(1.0, middle * own("chars", 0.5))) / own("chars", 0.5)
+        reach = REACH * max(middle - own(rule, 0.1), error)
+        return (middle - reach if rule == "word_length" else -math.inf), middle + reach
+
+    got = {r.doc_id: r for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    verdicts = set()
+    for i, _, lang, source in rows:
+        g = next(g for g in ((lang, source), (lang,), ()) if len(groups.get(g, ())) >= 100)
+        # Sketches of so few values are exact up to a rank or two: rows that close to a fence aren't compared.
+        inside = [[a * s < values[i][rule] < z / s if rule == "word_length" else values[i][rule] < z / s for s in (0.97, 1.03)] for rule in ("symbol_ratio", "upper_ratio", "word_length") for a, z in [fences(g, rule)]] if i in values else [[True, True]]
+        if all(a == b for a, b in inside):
+            want = not got[i].base_failed and all(a for a, _ in inside)
+            assert got[i].kept == want, (i, inside)
+            verdicts.add((got[i].base_failed, got[i].kept))
+    assert verdicts == {(True, False), (False, True), (False, False)}
+
+
 def test_quality_thresholds_follow_the_group(spark):
     from evidentia.llm.quality import judge
 
@@ -118,10 +161,29 @@ def test_simhash_links(spark):
             fps.add(x)
     fps = sorted(fps)
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    found = {r.fp: r.root for r in link_fingerprints(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()}
-    mine = [found.get(x, x) for x in signed]
-    want = brute_components(fps)
-    assert len(set(zip(mine, want))) == len(set(mine)) == len(set(want))
+    for budget, segments in ((4, 5), (3, 5), (0, 4), (2, 8)):
+        found = {r.fp: r.root for r in link_fingerprints(spark.createDataFrame([(x,) for x in signed], "fp long"), budget, segments).collect()}
+        mine = [found.get(x, x) for x in signed]
+        want = brute_components(fps, budget)
+        assert len(set(zip(mine, want))) == len(set(mine)) == len(set(want))
+
+
+def test_simhash_keys_are_those_of_viable_chains():
+    from evidentia.llm.simhash import Ring
+
+    rng = random.Random(14)
+    ring = Ring(4, 5)
+    assert len(ring.keys) == 60 and len({m for _, m in ring.keys}) == 60
+    full = (1 << 64) - 1
+    chain = lambda s, k: ring.chain(s, k) & full
+    for _ in range(20_000):
+        diff = sum(1 << b for b in rng.sample(range(64), rng.randint(0, 9)))
+        viable = {s for s in range(5) if all((diff & chain(s, k)).bit_count() <= ring.allowed[k] for k in range(1, 4))}
+        shared = {s for s, mask in ring.keys if not diff & mask}
+        # Every chain of three that stays within its budgets has a key; keys of other chains need a piece with several differences.
+        assert viable <= shared
+        if diff.bit_count() <= 4:
+            assert any(all((diff & chain(s, k)).bit_count() <= ring.allowed[k] for k in range(1, 6)) for s in viable)
 
 
 def test_simhash_components(spark, rows, docs, none):
@@ -180,7 +242,7 @@ def test_byte_encoder_is_the_library():
     from evidentia.llm.tokens import ByteEncoder, PieceCounter
 
     rng = random.Random(1)
-    parts = ["a", "b", " ", " ", "\n", "é", "'s", "1", "!", "\t", "<s>", "日", "​", "  ", "\r", "\x1c", "\xa0", "▁", "<|endoftext|>"]
+    parts = ["a", "b", "the", " ", " ", "\n", "é", "'s", "1", "!", "\t", "<s>", "日", "​", "  ", "\n\n", " \n", "\u3000", "\r", "\x1c", "\x85", "\xa0", "▁", "<|endoftext|>"]
     path = str(P.path("byte_bpe_50k.json"))
     own, library = ByteEncoder(path), Tokenizer.from_file(path)
     counter = PieceCounter(str(P.path("piece_bpe_32k.model")))
@@ -322,6 +384,19 @@ def test_sharding(spark, rows, docs, none, tmp_path):
     assert rebalance(maps, {r.part: r.bytes for r in maps.filter("version = 2").collect()}, 4).agg(F.max("version")).first()[0] == 3
 
 
+def test_sharding_parts_copies_of_a_heavy_text_only(spark):
+    from evidentia.llm.sharding import shard
+
+    rows = [(None if i % 2 else 5, "hot text " * 30) for i in range(4000)] + [(i, f"pair {i // 2} " * 3) for i in range(8000)]
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string"), 4, slots=8)
+    apart = got.groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("n"), F.count("*").alias("rows"))
+    assert {(r.n, r.rows) for r in apart.filter("rows > 2").collect()} == {(4, 4000)}
+    assert apart.filter("rows = 2 and n > 1").count() == 0 and apart.filter("rows = 2").count() == 4000
+    sums = [r for r in got.groupBy("shard").agg(F.sum("size"), F.min("place"), F.max("place"), F.count("*"), F.countDistinct("place")).collect()]
+    assert len(sums) == 4 and max(r[1] for r in sums) < 1.1 * sum(r[1] for r in sums) / 4
+    assert all((r[2], r[3] + 1, r[5]) == (0, r[4], r[4]) for r in sums)
+
+
 def test_subword_lattice(spark, rows, docs, none):
     from evidentia.llm.lattice import Lattice, score_texts
 
@@ -350,34 +425,90 @@ def test_subword_lattice(spark, rows, docs, none):
             return 1.0
         return sum(math.exp(s) * brute(text[len(p) :]) for p, s in scores.items() if text.startswith(p))
 
-    model = Lattice(scores, [-9.0] * 256)
-    for word in ("a", "ab", "abab", "aab", "b"):
-        assert model.log_prob(word) == pytest.approx(math.log(brute("▁" + word)))
-    assert model.log_prob("aé") == pytest.approx(model.log_prob("a") - 18)
+    model = Lattice.of(scores, [-9.0] * 256)
+    words = ["a", "ab", "abab", "aab", "b", "a" * 300]
+    assert model.log_probs(words)[:5] == pytest.approx([math.log(brute("▁" + w)) for w in words[:5]])
+    assert model.log_probs(["aé", "a", "日a"]) == pytest.approx([model.log_probs(["a"])[0] - 18, model.log_probs(["a"])[0], -2 - 27 - 1.5])
+    assert model.log_probs([]).tolist() == []
+
+    # Expected uses are the derivative of the log probability by a piece's score.
+    got = model.expected(["abab", "é"], {0xC3: 3, 0xA9: 3})
+    for i, piece in enumerate(scores):
+        step = 1e-6
+        more = Lattice.of({**scores, piece: scores[piece] + step}, [-9.0] * 256)
+        slope = sum(more.log_probs(["abab", "é"]) - model.log_probs(["abab", "é"])) / step
+        assert got[i] == pytest.approx(slope + (2.0 if i == 3 else 0.0), abs=1e-4)
 
 
-def slow_line_dedup(rows, least_words=30):
-    windows, cut = {}, {}
+def test_scores_are_brute_force(spark):
+    """The mixed score from its definition, with the operator's own lattice."""
+    from evidentia.llm.lattice import OTHERS, learn_pieces, score_texts
+
+    path = str(P.path("piece_bpe_32k.model"))
+    rng = random.Random(23)
+    rows = [(i, prose(rng, rng.randint(0, 30)).replace("th", "ß") if i % 2 else prose(rng, rng.randint(1, 30)), "de" if i % 2 else "en", i % 4 == 0) for i in range(60)]
+    rows += [(100, "x" * 400 + " a", None, True), (101, None, "en", False)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, held boolean")
+    got = {r.doc_id: r for r in score_texts(table, F.col("held"), path).collect()}
+    learned = [(t or "", lang) for _, t, lang, held in rows if not held]
+    classes = ["en", "de", None]
+    counts = {k: Counter(w for t, lang in learned if lang == k for w in t.lower().split()) for k in ("en", "de")}
+    counts[None] = Counter()
+    total = counts["en"] + counts["de"]
+    ends = {k: sum(lang == k for _, lang in learned) for k in classes}
+    model = learn_pieces(spark.createDataFrame([(w.encode(),) for w in total], "word binary"), path)
+
+    def discount(c):
+        once, twice = (sum(n == k for n in c.values()) for k in (1, 2))
+        return min(0.9, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
+
+    def share(c, w):
+        return max(c[w] - discount(c), 0) / max(1, sum(c.values()))
+
+    def saved(c):
+        return discount(c) * len(c) / sum(c.values()) if c else 1.0
+
+    for i, text, _, _ in rows:
+        words = (text or "").lower().split()
+        spelled = dict(zip(words, model.log_probs(words) / math.log(10)))
+        each = []
+        for k in classes:
+            n = sum(counts[k].values())
+            end = (ends[k] + 0.5) / (n + ends[k] + 1)
+            s = math.log10((ends[k] + 0.5) / sum(e + 0.5 for e in ends.values())) + math.log10(end)
+            for w in words:
+                if spelled[w] < -290:
+                    s += math.log10(1 - end) + math.log10((1 - OTHERS) * saved(counts[k])) + spelled[w]
+                    continue
+                letters = 10 ** spelled[w]
+                below = (1 - OTHERS) * letters + OTHERS * (share(total, w) + saved(total) * letters)
+                s += math.log10(1 - end) + math.log10(share(counts[k], w) + saved(counts[k]) * below)
+            each.append(s)
+        most = max(each)
+        assert got[i].score == pytest.approx(most + math.log10(sum(10 ** (s - most) for s in each)), rel=1e-6)
+        n, e = sum(total.values()), len(learned)
+        end = (e + 0.5) / (n + e + 1)
+        assert got[i].lattice_score == pytest.approx(sum(math.log10(1 - end) + spelled[w] for w in words) + math.log10(end), rel=1e-6)
+
+
+def slow_line_dedup(rows):
+    windows, cut, worded = {}, {}, {}
     for i, text, *_ in rows:
         cut[i] = u = re.split(r"(?<=\n)|(?<=[.!?] )", text or "")
-        w = [k for k, x in enumerate(u) if WORD.search(x)]
+        worded[i] = w = [k for k, x in enumerate(u) if WORD.search(x)]
         for k in range(max(1, len(w) - 2)) if w else ():
-            windows.setdefault(tuple(u[j].strip(" \t\n\r\x0b\f") for j in w[k : k + 3]), []).append((i, w[k : k + 3]))
+            windows.setdefault(tuple(u[j].strip(" \t\n\r\x0b\f") for j in w[k : k + 3]), []).append((i, k))
     gone = {}
     for places in windows.values():
-        first = min((i, at[0]) for i, at in places)
-        for i, at in places:
-            if (i, at[0]) != first:
-                gone.setdefault(i, set()).update(at)
+        for i, k in places:
+            if (i, k) != min(places):
+                gone.setdefault(i, set()).update(range(k, min(k + 3, len(worded[i]))))
     out = {}
     for i, text, *_ in rows:
-        runs = []
-        for p in sorted(gone.get(i, ())):
-            if runs and runs[-1][-1] == p - 1:
-                runs[-1].append(p)
-            else:
-                runs.append([p])
-        drop = {p for r in runs if sum(len(WORD.findall(cut[i][p])) for p in r) >= least_words for p in r}
+        drop = set()
+        for k in gone.get(i, ()):
+            last = worded[i][k + 1] if k + 1 in gone[i] else worded[i][k] + 1
+            drop.update(range(worded[i][k], last))
         out[i] = ("".join(x for k, x in enumerate(cut[i]) if k not in drop) if drop else text, len(drop))
     return out
 
@@ -409,10 +540,45 @@ def test_line_dedup_runs_span_lines_without_words(spark):
         blank = {"\n": 0, "\n\n": 1, "\n \t\n\n": 2, ". \n": 1}[between]
         ends = {"\n": "", "\n\n": "\n", "\n \t\n\n": " \t\n\n", ". \n": "\n"}[between]
         assert got[2] == (own[2] + between + ends + own[3], 6 + 5 * blank)
-    # A line of its own still ends a run, and short runs stay.
-    rows = [(1, "\n\n".join(passage)), (2, "\n\n".join([*passage[:3], "only here", *passage[3:]]))]
-    got = {r.doc_id: r.n_removed for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: 0, 2: 0}
+    # A line of its own ends a run, and windows over it are no repeats; short repeated windows go too.
+    rows = [(1, "\n\n".join(passage)), (2, "\n\n".join([*passage[:3], "only here", *passage[3:]])), (3, "a. b. c. d.\na. b. c. e.")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nonly here\n\n", 10), 3: ("a. b. c. d.\ne.", 3)}
+
+
+def test_line_dedup_first_place_among_repeated_and_null_ids(spark):
+    from evidentia.llm.linededup import dedup_lines
+
+    rng = random.Random(41)
+    shared = [prose(rng, 9).replace(".", "").replace("\n", " ") for _ in range(3)]
+    own = [prose(rng, 9).replace(".", "").replace("\n", " ") for _ in range(8)]
+    texts_ = ["\n".join([a, *shared, b]) for a, b in zip(own[::2], own[1::2])]
+    rows = [(None, texts_[0]), (5, texts_[1]), (5, texts_[2]), (5, texts_[2]), (7, texts_[3])]
+    got = [tuple(r) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert len(got) == 5
+    whole = [r for r in got if r[2] == 0]
+    # One text of the least id keeps the passage, in each of its copies; all other rows lose it.
+    assert {r[0] for r in whole} == {5} and len({r[1] for r in whole}) == 1
+    assert all(r[2] == 3 and shared[0] not in r[1] for r in got if r not in whole)
+    assert dedup_lines(spark.createDataFrame([(None, texts_[0]), (None, texts_[1])], "doc_id long, text string")).filter("n_removed = 3").count() == 1
+
+
+def test_names_of_other_columns_cannot_clash(spark):
+    from evidentia.llm.decontam import remove_leaked
+    from evidentia.llm.linededup import dedup_lines
+    from evidentia.llm.quality import judge, keep_good
+    from evidentia.llm.simhash import keep_first
+
+    names = "_id _lang _w _mark _own _cut _places _h _g _n mark hash id h g n ks own cut fp root leaked own_h c0 c1 c2 s l key body".split()
+    rng = random.Random(43)
+    text = prose(rng, 120)
+    rows = [(1, text, "en", "s", *names), (2, text, "en", "s", *names), (3, prose(rng, 90), None, None, *names)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    bench = spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string")
+    for out in (keep_good(table), keep_first(table), remove_leaked(table, bench), dedup_lines(table), judge(table)):
+        got = out.collect()
+        assert [c for c in out.columns if c in names] == names and got
+        assert all(r[n] == n for r in got for n in names)
 
 
 def test_quality_classifier(spark, none):
@@ -505,6 +671,30 @@ def test_templates_go_and_copies_are_not_neighbours(spark):
     assert got[10] == got[0] and got[22] == "\n".join(own[3])
 
 
+def test_structure_of_pages():
+    from evidentia.llm.htmltext import blocks, names_noise
+
+    assert all(map(names_noise, "ad ad-slot-1 site-footer main-nav userComments cookieNotice related-posts share-buttons header site-header sidebar_left nav__list".split()))
+    assert not any(map(names_noise, "share-price entry-header post-header adlib article content has-sidebar search-engines story headerless".split()))
+    text = lambda html: [t for t, _ in blocks(html)]
+    assert text("<html><head><title>t</title><meta charset=x><body><p>No end of the head.</p>") == ["No end of the head."]
+    assert text("<title>t</title><p>No head at all.") == ["No head at all."]
+    assert text("<article><p>Post.</p><article class='comment'>Reader</article></article><p>After.</p>") == ["Post.", "After."]
+    assert text("<article class='post sponsored widget'><header><h1>Title</h1></header>Body</article>") == ["Title", "Body"]
+
+
+def test_lines_that_frame_articles_go():
+    from evidentia.llm.htmltext import keep_lines
+
+    # Lines 1 and 2 begin and 9 ends every article; line 5 is a sentence that another article has too.
+    mine, one, two = [1, 2, 3, 5, 4, 9], [1, 2, 10, 5, 11, 12, 13, 9], [1, 2, 20, 5, 21, 22, 23, 9]
+    mine = [1, 2, 3, 5, 4, 6, 7, 8, 30, 9]
+    assert keep_lines(mine, [1] * 10, [one, two]) == ([2, 3, 4, 5, 6, 7, 8], 4)
+    assert keep_lines(mine, [1] * 10, [one]) == (list(range(10)), 4)
+    # A near copy decides nothing within an article.
+    assert keep_lines(mine, [1] * 10, [[*mine[:-2], 31, 9], two])[0] == list(range(10))
+
+
 def test_second_page_tells_a_template_from_a_near_copy():
     from evidentia.llm.htmltext import keep_lines
 
