@@ -20,62 +20,160 @@ COUNTER_ENTRIES = 200_000
 #: Added to each piece's count.
 PIECE_PRIOR = 0.1
 SPACE = "▁"
-#: Rounds of expectation maximisation, and the longest word for which probabilities are multiplied as they are.
-ROUNDS, PLAIN = 3, 60
+#: Rounds of expectation maximisation.
+ROUNDS = 3
+#: Words that the recursion takes at once.
+BLOCK = 50_000
 #: Share of a class's saved mass that goes to words of other classes.
 OTHERS = 0.1
 #: Hidden classes at most, the one for all others included.
 CLASSES = 9
 
 
-def steps(pieces: dict[str, object]) -> dict[str, object]:
-    """``pieces`` and all their beginnings, which are None: a walk along a text ends at the first string that isn't there."""
-    out: dict[str, object] = {}
-    for piece in pieces:
-        for k in range(1, len(piece)):
-            out.setdefault(piece[:k], None)
-    out.update(pieces)
-    return out
+class Trie:
+    """The pieces of a vocabulary as tables that walk many words at once: ``child[node, code of a character]`` (0: none), node 0 the root."""
+
+    def __init__(self, pieces: dict[str, int]) -> None:
+        self.pieces = pieces
+        long = {p: i for p, i in pieces.items() if len(p) > 1}
+        self.letters = np.array(sorted({ord(c) for p in long for c in p}), np.int64)
+        code = {chr(c): k + 1 for k, c in enumerate(self.letters.tolist())}
+        inner = sorted({p[:k] for p in long for k in range(1, len(p))})
+        number = {p: k for k, p in enumerate(["", *inner, *sorted(long.keys() - set(inner))])}
+        self.inner = len(inner) + 1
+        self.child = np.zeros((self.inner, len(code) + 1), np.int32)
+        self.piece = np.full(len(number), -1, np.int32)
+        for p, k in number.items():
+            if p:
+                self.child[number[p[:-1]], code[p[-1]]] = k
+            if p in long:
+                self.piece[k] = long[p]
+        single = sorted((ord(p), i) for p, i in pieces.items() if len(p) == 1)
+        self.single = np.array([c for c, _ in single], np.int64), np.array([i for _, i in single], np.int32)
+
+
+    def __reduce__(self):
+        # The tables are some 40 MB and mostly empty; a worker builds them from the pieces, once for each broadcast.
+        return Trie, (self.pieces,)
 
 
 class Lattice:
-    """Log probability of a word as the sum over its segmentations into pieces with unigram scores."""
-
-    def __init__(self, scores: dict[str, float], bytes_: list[float]) -> None:
-        self.scores = scores
-        self.bytes = bytes_
-        self.steps = steps(scores)
-
-    def log_prob(self, word: str) -> float:
-        """Natural log of the marginal probability, by a log-space forward recursion over the characters."""
-        text = SPACE + word
-        n = len(text)
-        there = self.steps
-        arcs: list[list[float]] = [[] for _ in range(n + 1)]
-        forward = 0.0
+    """Log probability of a word as the sum over its segmentations into pieces with unigram scores.
+
+    Words of one length go through the recursion together, all in logs. A character that is no piece is spelled by its bytes.
+    """
+
+    def __init__(self, trie: Trie, logs: np.ndarray, bytes_: np.ndarray) -> None:
+        """``logs``: natural log of each piece's probability, by its number; ``bytes_``: of each byte's."""
+        self.trie, self.logs, self.bytes = trie, logs, bytes_
+        self.code = np.zeros(0x110000, np.int16)
+        self.code[trie.letters] = np.arange(1, len(trie.letters) + 1)
+        self.single = np.full(0x110000, -1, np.int32)
+        self.single[trie.single[0]] = trie.single[1]
+
+    def __reduce__(self):
+        return Lattice, (self.trie, self.logs, self.bytes)
+
+    @classmethod
+    def of(cls, scores: dict[str, float], bytes_: list[float]) -> Lattice:
+        return cls(Trie({p: i for i, p in enumerate(scores)}), np.array(list(scores.values())), np.array(bytes_))
+
+    @staticmethod
+    def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(places of the words, their code points with the space symbol before them)``, an array for each length."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(words) else ():
+            text = "".join(SPACE + words[i] for i in own.tolist())
+            yield own, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), -1).T.astype(np.int64)
+
+    def spelled(self, points: np.ndarray) -> np.ndarray:
+        """Log probability of each character by itself: as a piece, or by its bytes."""
+        one = self.single[points]
+        out = self.logs[one]
+        odd = one < 0
+        if odd.any():
+            kinds, at = np.unique(points[odd], return_inverse=True)
+            out[odd] = np.array([self.bytes[list(chr(c).encode("utf-8", "surrogatepass"))].sum() for c in kinds.tolist()])[at]
+        return out
+
+    def forward(self, points: np.ndarray, alone: np.ndarray, arcs: list | None = None) -> np.ndarray:
+        """Row i: log of the sum over all segmentations of each word's first i characters; ``arcs`` gets the pieces of several characters."""
+        n, words = points.shape
+        codes = self.code[points]
+        child, piece = self.trie.child, self.trie.piece
+        out = np.full((n + 1, words), -np.inf)
+        out[0] = 0.0
         for start in range(n):
-            if start:
-                into = arcs[start]
-                if not into:
-                    continue
-                if len(into) == 1:
-                    forward = into[0]
-                else:
-                    top = max(into)
-                    forward = top + math.log(sum([math.exp(a - top) for a in into]))
-            for end in range(start + 1, n + 1):
-                part = text[start:end]
-                if part not in there:
+            here = out[start]
+            out[start + 1] = np.logaddexp(out[start + 1], here + alone[start])
+            node = child[0, codes[start]]
+            at = np.flatnonzero(node)
+            node = node[at]
+            for end in range(start + 2, n + 1):
+                if not len(at):
                     break
-                score = there[part]
-                if score is not None:
-                    arcs[end].append(forward + score)
-            if text[start] not in self.scores:
-                # A character that is no piece is spelled by its bytes.
-                arcs[start + 1].append(forward + sum(self.bytes[b] for b in text[start].encode()))
-        into = arcs[n]
-        top = max(into)
-        return top + math.log(sum([math.exp(a - top) for a in into]))
+                node = child[node, codes[end - 1, at]]
+                there = node > 0
+                at, node = at[there], node[there]
+                found = piece[node]
+                hit = found >= 0
+                own, found = at[hit], found[hit]
+                if len(own):
+                    score = self.logs[found]
+                    out[end, own] = np.logaddexp(out[end, own], here[own] + score)
+                    if arcs is not None:
+                        arcs.append((start, end, own, found, score))
+                more = node < self.trie.inner
+                at, node = at[more], node[more]
+        return out
+
+    def log_probs(self, words: list[str]) -> np.ndarray:
+        """Natural log of each word's marginal probability."""
+        out = np.empty(len(words))
+        for own, points in self.by_length(words):
+            out[own] = self.forward(points, self.spelled(points))[-1]
+        return out
+
+    def expected(self, words: list[str], of_byte: dict[int, int]) -> np.ndarray:
+        """How often each piece is expected over all segmentations of the words; ``of_byte``: the piece of a byte."""
+        total = np.zeros(len(self.logs))
+        for _, points in self.by_length(words):
+            n = len(points)
+            alone = self.spelled(points)
+            arcs: list[tuple] = []
+            forward = self.forward(points, alone, arcs)
+            backward = np.full(forward.shape, -np.inf)
+            backward[n] = -forward[n]
+            uses = [(np.zeros(0, np.int32), np.zeros(0))]
+            for start in range(n - 1, -1, -1):
+                backward[start] = backward[start + 1] + alone[start]
+                while arcs and arcs[-1][0] == start:
+                    _, end, own, found, score = arcs.pop()
+                    after = score + backward[end, own]
+                    backward[start, own] = np.logaddexp(backward[start, own], after)
+                    uses.append((found, np.exp(forward[start, own] + after)))
+            one = np.exp(forward[:-1] + alone + backward[1:])
+            single = self.single[points]
+            uses.append((single[single >= 0], one[single >= 0]))
+            total += np.bincount(np.concatenate([p for p, _ in uses]), np.concatenate([x for _, x in uses]), len(total))
+            kinds, at = np.unique(points[single < 0], return_inverse=True)
+            for c, x in zip(kinds.tolist(), np.bincount(at, one[single < 0], len(kinds)).tolist(), strict=True):
+                for b in chr(c).encode("utf-8", "surrogatepass"):
+                    total[of_byte.get(b, 0)] += x
+        return total
+
+
+def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """The same rows in larger batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _piece_model(path: str):
@@ -84,92 +182,50 @@ def _piece_model(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def expected_pieces(word: str, there: dict[str, tuple[int, float] | None], single: list[float], total: Counter) -> bool:
-    """Adds each piece's expected number of uses over all segmentations of the word; False for words too long for plain products."""
-    text = SPACE + word
-    n = len(text)
-    if n > PLAIN:
-        return False
-    forward = [0.0] * (n + 1)
-    forward[0] = 1.0
-    arcs = []
-    for start in range(n):
-        f = forward[start]
-        if not f:
-            continue
-        for end in range(start + 1, n + 1):
-            part = text[start:end]
-            if part not in there:
-                break
-            hit = there[part]
-            if hit is not None:
-                arcs.append((start, end, hit[0], hit[1]))
-                forward[end] += f * hit[1]
-        if there.get(text[start]) is None:
-            p = math.prod(single[b] for b in text[start].encode())
-            arcs.append((start, start + 1, -1, p))
-            forward[start + 1] += f * p
-    if forward[n] <= 0.0:
-        return False
-    backward = [0.0] * (n + 1)
-    backward[n] = 1.0 / forward[n]
-    for start, end, piece, p in reversed(arcs):
-        use = p * backward[end]
-        if not use:
-            continue
-        backward[start] += use
-        if piece >= 0:
-            total[piece] += forward[start] * use
-        else:
-            for b in text[start].encode():
-                total[-1 - b] += forward[start] * use
-    return True
-
-
 def learn_pieces(words: DataFrame, model_path: str, rounds: int = ROUNDS) -> Lattice:
     """Unigram scores for the pieces of an existing vocabulary, learned from the distinct ``word`` values.
 
     First each word is spelled by the vocabulary's own model; then expectation maximisation counts each piece's
     expected uses over all segmentations. Counts are summed by task and then by piece, at most as many rows as
     there are pieces. Scores are log relative frequencies after adding PIECE_PRIOR, so that they sum to 1: pieces
-    with the space symbol begin a word, which therefore needs no end mark. Words over PLAIN characters keep
-    the model's own spelling in every round.
+    with the space symbol begin a word, which therefore needs no end mark.
     """
     model = _piece_model(model_path)
     usable = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
     of_byte = {int(model.id_to_piece(i)[1:-1], 16): i for i in usable if model.is_byte(i)}
+    trie = Trie({model.id_to_piece(i): i for i in usable if not model.is_byte(i)})
+    spark = words.sparkSession
+    shared = spark.sparkContext.broadcast(trie)
 
-    def lattice_of(counts: dict[int, float]) -> tuple[Lattice, dict[int, float]]:
-        total = sum(counts.get(i, 0.0) for i in usable) + PIECE_PRIOR * len(usable)
-        logs = {i: math.log((counts.get(i, 0.0) + PIECE_PRIOR) / total) for i in usable}
-        single = [logs[of_byte[b]] if b in of_byte else math.log(PIECE_PRIOR / total) for b in range(256)]
-        return Lattice({model.id_to_piece(i): x for i, x in logs.items() if not model.is_byte(i)}, single), logs
-
-    def counted(current: tuple | None) -> dict[int, float]:
-        shared = words.sparkSession.sparkContext.broadcast(current)
+    def lattice_of(counts: np.ndarray) -> Lattice:
+        total = counts[usable].sum() + PIECE_PRIOR * len(usable)
+        logs = np.log((counts + PIECE_PRIOR) / total)
+        return Lattice(trie, logs, np.array([logs[of_byte[b]] if b in of_byte else math.log(PIECE_PRIOR / total) for b in range(256)]))
 
+    def counted(current: tuple | None) -> np.ndarray:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = _piece_model(model_path)
-            total: Counter = Counter()
-            for batch in batches:
-                left = [w.decode() for w in batch.column(0).to_pylist()]
-                if shared.value:
-                    there, single = shared.value
-                    left = [w for w in left if not expected_pieces(w, there, single, total)]
-                for ids in own.encode(left, num_threads=1) if left else ():
-                    total.update(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array([float(x) for x in total.values()])], names=["piece", "n"])
+            lattice = Lattice(shared.value, *current) if current else None
+            own = None if current else _piece_model(model_path)
+            total = np.zeros(model_size)
+            for batch in blocks(batches):
+                texts = [w.decode() for w in batch.column(0).to_pylist()]
+                if lattice:
+                    total += lattice.expected(texts, of_byte)
+                else:
+                    total += np.bincount([i for ids in own.encode(texts, num_threads=1) for i in ids], minlength=model_size)
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["piece", "n"])
 
         rows = words.select("word").mapInArrow(count, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-        found: Counter = Counter()
+        out = np.zeros(model_size)
         for piece, n in rows:
-            found[piece if piece >= 0 else of_byte.get(-1 - piece, 0)] += n
-        return found
+            out[piece] += n
+        return out
 
-    lattice, logs = lattice_of(counted(None))
+    model_size = model.get_piece_size()
+    lattice = lattice_of(counted(None))
     for _ in range(rounds):
-        pieces = {model.id_to_piece(i): (i, math.exp(x)) for i, x in logs.items() if not model.is_byte(i)}
-        lattice, logs = lattice_of(counted((steps(pieces), [math.exp(x) for x in lattice.bytes])))
+        lattice = lattice_of(counted((lattice.logs, lattice.bytes)))
     return lattice
 
 
@@ -204,23 +260,26 @@ class WordModel:
     """Log10 probabilities of words in each class: absolutely discounted counts of the class, below them the lattice mixed with the counts of all."""
 
     def __init__(self, lattice: Lattice, own: list[tuple[int, int, int, int]], ends: list[int]) -> None:
-        """``own``: for all learning rows and then for each class (words, distinct, seen once, seen twice); ``ends``: documents of each."""
+        """``own``: for all learning rows and then for each class (words, distinct, seen once, seen twice); ``ends``: documents of each, in the same order."""
         self.lattice = lattice
         self.words = np.array([x[0] for x in own], np.float64)
         self.discount = np.array([min(0.9, max(0.1, o / (o + 2 * t))) if o + t else 0.5 for _, _, o, t in own])
         self.saved = np.array([d * k / n if n else 1.0 for d, (n, k, _, _) in zip(self.discount, own, strict=True)])
         self.end = np.array([(e + 0.5) / (n + e + 1) for e, (n, _, _, _) in zip(ends[1:], own[1:], strict=True)])
+        self.end_of_all = (ends[0] + 0.5) / (own[0][0] + ends[0] + 1)
         self.prior = np.log10(np.array([e + 0.5 for e in ends[1:]]) / sum(e + 0.5 for e in ends[1:]))
 
     def scores(self, words: list[bytes], total: np.ndarray, by: np.ndarray) -> np.ndarray:
-        spelled = np.array([self.lattice.log_prob(w.decode()) for w in words]) / math.log(10)
+        """A column for each class, and last the lattice alone."""
+        spelled = self.lattice.log_probs([w.decode() for w in words]) / math.log(10)
         share = lambda c, k: np.maximum(c - self.discount[k], 0) / np.maximum(self.words[k], 1)
         # Very long words underflow; their log is then the lattice's with the shares that led to it.
         letters = 10 ** np.maximum(spelled, -300)
         every = share(total, 0) + self.saved[0] * letters
         below = (1 - OTHERS) * letters + OTHERS * every
         deep = spelled < -290
-        out = np.empty((len(words), len(self.end)))
+        out = np.empty((len(words), len(self.end) + 1))
+        out[:, -1] = np.log10(1 - self.end_of_all) + spelled
         for k in range(len(self.end)):
             p = share(by[:, k], k + 1) + self.saved[k + 1] * below
             out[:, k] = np.log10(1 - self.end[k]) + np.where(deep & (total == 0), math.log10((1 - OTHERS) * self.saved[k + 1]) + spelled, np.log10(p))
@@ -228,7 +287,7 @@ class WordModel:
 
 
 def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", frequent: int = FREQUENT) -> DataFrame:
-    """One row for each row of ``docs``: ``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
+    """One row for each row of ``docs``: ``(id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score)``.
 
     Learns from the rows where the column ``held_out`` isn't true (null counts as false). Tokens are words and one end.
     ``base_score`` is the add-half unigram model over words. ``score`` is the log10 probability of the text: a sum
@@ -236,6 +295,7 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
     the class's share times the product of its word probabilities. A row's own class isn't looked at when it is scored. A word
     has its discounted relative frequency in the class plus the saved mass times a mixture: the lattice, which is the
     word's marginal over all segmentations, and for OTHERS of it the word's frequency over all classes. All words of the corpus are counted.
+    ``lattice_score`` is the log10 probability by the lattice alone, each word's marginal and the end.
     Frequent words are scored on the map side from a broadcast table of bounded size; all others are joined with
     the word table by shuffle, row and word at a time. Null and empty texts have the end alone. Repeated rows are
     each scored and counted.
@@ -267,7 +327,7 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
     base_of = lambda c: np.log10((c + 0.5) / (n_tokens + 0.5 * (n_kinds + 1)))
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches):
             c = batch.column(1).to_numpy(zero_copy_only=False)
             by = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, classes)
             scores = pa.array(list(shared.value.scores(batch.column(0).to_pylist(), c, by)), pa.list_(pa.float64()))
@@ -284,7 +344,7 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
         least = r["least"]
     top = scored.filter(F.col("n") >= least).select("word", "c", "base", "scores").toArrow().combine_chunks() if least is not None else None
     if top is not None and top.num_rows:
-        values = top.column("scores").combine_chunks().flatten().to_numpy().reshape(-1, classes)
+        values = top.column("scores").combine_chunks().flatten().to_numpy().reshape(-1, classes + 1)
         tier = spark.sparkContext.broadcast((top.column("word").to_pylist(), top.column("c").to_numpy() > 0, top.column("base").to_numpy(), values))
     else:
         tier = spark.sparkContext.broadcast(None)
@@ -292,7 +352,7 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tier.value
         place = {w: i for i, w in enumerate(own[0])} if own else {}
-        end = np.log10(shared.value.end)
+        end = np.log10(np.append(shared.value.end, shared.value.end_of_all))
         first = float(base_of(np.float64(ends[0])))
         for batch in batches:
             out: list[tuple] = []
@@ -310,14 +370,16 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
     first = numbered.mapInArrow(score_rows, f"row long, id {kind}, held boolean, n_tokens long, n_known long, base_score double, scores array<double>, rare array<binary>")
     first = materialise(first, "lm-rows")
     rest = first.select("row", F.explode("rare").alias("word")).join(scored.select("word", (F.col("c") > 0).cast("long").alias("known"), "base", F.col("scores").alias("more")), "word")
-    rest = rest.groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.array(*(F.sum(F.col("more")[k]) for k in range(classes))).alias("more"))
+    rest = rest.groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.array(*(F.sum(F.col("more")[k]) for k in range(classes + 1))).alias("more"))
     both = first.drop("rare").join(rest, "row", "left")
     # Log-sum-exp over the classes.
-    each = [F.col("scores")[k] + F.coalesce(F.col("more")[k], F.lit(0.0)) + float(model.prior[k]) for k in range(classes)]
+    whole = [F.col("scores")[k] + F.coalesce(F.col("more")[k], F.lit(0.0)) for k in range(classes + 1)]
+    each = [whole[k] + float(model.prior[k]) for k in range(classes)]
     both = both.withColumn("each", F.array(*each)).withColumn("most", F.array_max("each"))
     total = F.aggregate("each", F.lit(0.0), lambda acc, x: acc + F.pow(F.lit(10.0), F.greatest(x - F.col("most"), F.lit(-300.0))))
     plus = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
     return both.select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", plus("n_known", "known").alias("n_known"), F.lit(n_tokens).cast("long").alias("train_tokens"),
         plus("base_score", "base").alias("base_score"), (F.col("most") + F.log10(total)).alias("score"),
+        whole[classes].alias("lattice_score"),
     )
