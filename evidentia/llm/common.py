@@ -16,7 +16,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 #: Rows of a table that may be broadcast or read by the driver: the proven bound for small tables.
 SMALL_ROWS = 20_000
 #: Bytes of one Arrow batch: a batch of very long texts still fits a Python worker with its copies.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 _FALLBACK: list[str] = []
 
