@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from evidentia.llm.classifier import score_quality
 from evidentia.llm.common import shared_dir, table
 from evidentia.llm.decontam import find_leaks
+from evidentia.llm.funnels import Funnel, count_funnels
 from evidentia.llm.htmltext import extract
 from evidentia.llm.lattice import score_texts
 from evidentia.llm.linededup import dedup_lines
@@ -76,6 +77,18 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+#: The funnels that are counted: steps, and what ends an attempt.
+FUNNELS = {
+    "A": Funnel(("view", "click", "view", "purchase"), "error"),
+    "B": Funnel(("signup", "view", "click", "purchase"), "error"),
+    "C": Funnel(("click", "click", "purchase", "view"), "signup"),
+}
+
+
+def op12_ordinal_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_funnels(table(spark, sf_dir, "clicks"), FUNNELS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_adaptive_thresholds": op1_adaptive_thresholds,
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
@@ -87,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_windows": op8_line_windows,
     "op9_fourier_ridge": op9_fourier_ridge,
     "op10_page_differencing": op10_page_differencing,
+    "op12_ordinal_funnels": op12_ordinal_funnels,
 }
 
 #: The operators that SQL can express; the others are compared with brute force in tests/llm.
@@ -106,4 +120,23 @@ left_ AS (SELECT doc_id, string_agg(unit, '' ORDER BY line) AS text FROM lines A
 n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN g.n > 0 THEN coalesce(l.text, '') ELSE d.text END AS text, coalesce(g.n, 0) AS n_removed
 FROM documents d LEFT JOIN n_gone g USING (doc_id) LEFT JOIN left_ l USING (doc_id)""",
+    "op12_ordinal_funnels": r"""
+WITH c AS (SELECT DISTINCT client_id, kind, ts FROM clicks WHERE client_id IS NOT NULL AND kind IS NOT NULL AND ts IS NOT NULL),
+nexts AS (SELECT *, min(ts) FILTER (kind = 'view') OVER later AS view_, min(ts) FILTER (kind = 'click') OVER later AS click_, min(ts) FILTER (kind = 'purchase') OVER later AS purchase_,
+    min(ts) FILTER (kind = 'error') OVER later AS error_, min(ts) FILTER (kind = 'signup') OVER later AS signup_
+  FROM c WINDOW later AS (PARTITION BY client_id ORDER BY ts RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND UNBOUNDED FOLLOWING)),
+funnels(funnel, k1, k2, k3, k4, ends) AS (VALUES ('A', 'view', 'click', 'view', 'purchase', 'error'), ('B', 'signup', 'view', 'click', 'purchase', 'error'), ('C', 'click', 'click', 'purchase', 'view', 'signup')),
+hops AS (SELECT DISTINCT client_id, ts, k AS kind, ends, CASE k WHEN 'view' THEN view_ WHEN 'click' THEN click_ WHEN 'purchase' THEN purchase_ END AS nx, CASE ends WHEN 'error' THEN error_ ELSE signup_ END AS stop
+  FROM nexts, (VALUES ('view'), ('click'), ('purchase')) t(k), (VALUES ('error'), ('signup')) e(ends)),
+good AS (SELECT * FROM hops WHERE nx IS NOT NULL AND nx - ts <= INTERVAL 60 MINUTE AND (stop IS NULL OR stop > nx)),
+tries AS (SELECT f.funnel, c.client_id, c.ts AS s1, g2.nx AS s2, g3.nx AS s3, g4.nx AS s4 FROM c JOIN funnels f ON c.kind = f.k1
+  LEFT JOIN good g2 ON g2.client_id = c.client_id AND g2.ts = c.ts AND g2.kind = f.k2 AND g2.ends = f.ends
+  LEFT JOIN good g3 ON g3.client_id = c.client_id AND g3.ts = g2.nx AND g3.kind = f.k3 AND g3.ends = f.ends
+  LEFT JOIN good g4 ON g4.client_id = c.client_id AND g4.ts = g3.nx AND g4.kind = f.k4 AND g4.ends = f.ends),
+spent AS (SELECT funnel, client_id, epoch_us(s2) - epoch_us(s1) AS d2, epoch_us(s3) - epoch_us(s2) AS d3, epoch_us(s4) - epoch_us(s3) AS d4 FROM tries),
+agg AS (SELECT funnel, client_id, count(*) AS n1, count(d2) AS n2, count(d3) AS n3, count(d4) AS n4, list_sort(list(d2) FILTER (d2 IS NOT NULL)) AS l2, list_sort(list(d3) FILTER (d3 IS NOT NULL)) AS l3, list_sort(list(d4) FILTER (d4 IS NOT NULL)) AS l4
+  FROM spent GROUP BY funnel, client_id),
+deep AS (SELECT *, CASE WHEN n4 > 0 THEN 4 WHEN n3 > 0 THEN 3 WHEN n2 > 0 THEN 2 ELSE 1 END AS deepest FROM agg)
+SELECT funnel, client_id, n1, n2, n3, n4, deepest, l2[(90 * n2 + 99) // 100] AS t2, l3[(90 * n3 + 99) // 100] AS t3, l4[(90 * n4 + 99) // 100] AS t4,
+  count(*) OVER (PARTITION BY funnel, deepest) AS same_depth FROM deep""",
 }
