@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm.classifier import score_quality
+from evidentia.llm.collocations import collocations
 from evidentia.llm.common import shared_dir, table
 from evidentia.llm.decontam import find_leaks
 from evidentia.llm.funnels import Funnel, count_funnels
@@ -77,6 +78,10 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_bitmap_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 #: The funnels that are counted: steps, and what ends an attempt.
 FUNNELS = {
     "A": Funnel(("view", "click", "view", "purchase"), "error"),
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_windows": op8_line_windows,
     "op9_fourier_ridge": op9_fourier_ridge,
     "op10_page_differencing": op10_page_differencing,
+    "op11_bitmap_collocations": op11_bitmap_collocations,
     "op12_ordinal_funnels": op12_ordinal_funnels,
 }
 
@@ -120,6 +126,23 @@ left_ AS (SELECT doc_id, string_agg(unit, '' ORDER BY line) AS text FROM lines A
 n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN g.n > 0 THEN coalesce(l.text, '') ELSE d.text END AS text, coalesce(g.n, 0) AS n_removed
 FROM documents d LEFT JOIN n_gone g USING (doc_id) LEFT JOIN left_ l USING (doc_id)""",
+    "op11_bitmap_collocations": r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9), 'abcdefghijklmnopqrstuvwxyz '), '[.,;:!?
+-
+]')) AS piece FROM documents),
+listed AS (SELECT lang, row_number() OVER () AS p, string_split(piece, ' ') AS ws FROM pieces),
+words AS (SELECT lang, p, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i FROM listed),
+runs AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM words WHERE w1 <> '' WINDOW o AS (PARTITION BY p ORDER BY i)),
+f1 AS (SELECT lang, w1, count(*) AS a FROM runs GROUP BY ALL), f2 AS (SELECT lang, w1, w2, count(*) AS a FROM runs WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS a FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM f1 GROUP BY lang),
+score2 AS (SELECT f.lang, f.w1 || ' ' || f.w2 AS phrase, f.a, x.a AS l, y.a AS r, 1000000::HUGEINT * f.a * f.a // (x.a::HUGEINT * y.a) AS score FROM f2 f JOIN f1 x ON x.lang = f.lang AND x.w1 = f.w1 JOIN f1 y ON y.lang = f.lang AND y.w1 = f.w2
+  WHERE f.a >= 10 AND NOT EXISTS (SELECT 1 FROM f3 g WHERE g.lang = f.lang AND 100 * g.a >= 50 * f.a AND (g.w1 = f.w1 AND g.w2 = f.w2 OR g.w2 = f.w1 AND g.w3 = f.w2))),
+cut3 AS (SELECT f.lang, f.w1 || ' ' || f.w2 || ' ' || f.w3 AS phrase, f.a, a.a AS l1, b.a AS r1, c.a AS l2, d.a AS r2, 1000000::HUGEINT * f.a * f.a // (a.a::HUGEINT * b.a) AS s1, 1000000::HUGEINT * f.a * f.a // (c.a::HUGEINT * d.a) AS s2
+  FROM f3 f JOIN f1 a ON a.lang = f.lang AND a.w1 = f.w1 JOIN f2 b ON b.lang = f.lang AND b.w1 = f.w2 AND b.w2 = f.w3 JOIN f2 c ON c.lang = f.lang AND c.w1 = f.w1 AND c.w2 = f.w2 JOIN f1 d ON d.lang = f.lang AND d.w1 = f.w3),
+scored AS (SELECT * FROM score2 UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cut3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
     "op12_ordinal_funnels": r"""
 WITH c AS (SELECT DISTINCT client_id, kind, ts FROM clicks WHERE client_id IS NOT NULL AND kind IS NOT NULL AND ts IS NOT NULL),
 nexts AS (SELECT *, min(ts) FILTER (kind = 'view') OVER later AS view_, min(ts) FILTER (kind = 'click') OVER later AS click_, min(ts) FILTER (kind = 'purchase') OVER later AS purchase_,
