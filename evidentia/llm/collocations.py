@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from evidentia.llm.common import discard, materialise, small_batches
 
 #: Bytes of text in one shard, and positions in one block of a bitmap.
-SHARD_BYTES, WIDTH = 8 << 20, 16
+SHARD_BYTES, WIDTH = 16 << 20, 16
 #: Bitmap blocks that are extended at a time.
 GROUP_BLOCKS = 100_000
 #: Bits of the table of frequent phrases that workers hold: its size doesn't depend on the corpus.
@@ -173,7 +173,7 @@ def count_phrases(lang: str, data: bytes, length: int, frequent: Frequent) -> pa
     codes = fold(hashes[phrases]).view(np.int64) if len(phrases) else np.zeros(0, np.int64)
     if length == 1:  # one row more has the number of all words
         text, counts, codes = pa.concat_arrays([text, pa.array([None], pa.large_binary())]), np.append(counts, len(word)), np.append(codes, 0)
-    columns = [pa.array([lang] * len(counts), pa.string()), text.cast(pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(codes, pa.int64())]
+    columns = [pa.repeat(pa.scalar(lang), len(counts)), text.cast(pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(codes, pa.int64())]
     return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "a", "code"])
 
 
