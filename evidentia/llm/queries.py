@@ -14,6 +14,7 @@ from evidentia.llm.common import shared_dir, table
 from evidentia.llm.decontam import find_leaks
 from evidentia.llm.funnels import Funnel, count_funnels
 from evidentia.llm.htmltext import extract
+from evidentia.llm.language import identify
 from evidentia.llm.lattice import score_texts
 from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
@@ -94,6 +95,10 @@ def op12_ordinal_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_funnels(table(spark, sf_dir, "clicks"), FUNNELS)
 
 
+def op13_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_adaptive_thresholds": op1_adaptive_thresholds,
     "op2_simhash_pigeonring": op2_simhash_pigeonring,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_page_differencing": op10_page_differencing,
     "op11_bitmap_collocations": op11_bitmap_collocations,
     "op12_ordinal_funnels": op12_ordinal_funnels,
+    "op13_byte_language": op13_byte_language,
 }
 
 #: The operators that SQL can express; the others are compared with brute force in tests/llm.
