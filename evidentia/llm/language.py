@@ -16,9 +16,9 @@ from evidentia.llm.common import discard, materialise, small_batches
 #: Units of each direction, and bytes of one segment: states begin anew in each.
 UNITS, SEGMENT = 12, 96
 #: Segments of each language that train the network at most: the bound of the sample.
-SAMPLE = 4000
+SAMPLE = 2000
 #: Copies of the network that are trained side by side and averaged after each round; segments of one step.
-COPIES, ROUNDS, STEP, RATE, SEED = 4, 8, 128, 0.02, 11
+COPIES, ROUNDS, STEP, RATE, SEED = 4, 6, 128, 0.02, 11
 #: Segments that go through the network together.
 LANES = 2048
 
@@ -79,8 +79,8 @@ class Direction:
             d_gates = np.vstack((d * (before - new) * 2 * z * (1 - z), d_new * inner * 2 * r * (1 - r)))
             d_inner = np.vstack((d_gates, d_new * r))
             d_recur += d_inner @ before.T
-            for row, values in enumerate(np.vstack((d_gates, d_new))):
-                d_embed[row] += np.bincount(x[t, :n_t], values, 256)
+            cell = np.arange(3 * k)[:, None] * 256 + x[t, :n_t]
+            d_embed += np.bincount(cell.ravel(), np.vstack((d_gates, d_new)).ravel(), 3 * k * 256).reshape(3 * k, 256)
             dh[:, :n_t] = d * z + self.recur.T @ d_inner
         return d_embed, d_recur
 
