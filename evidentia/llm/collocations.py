@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from evidentia.llm.common import discard, materialise, small_batches
 
 #: Bytes of text in one shard, and positions in one block of a bitmap.
-SHARD_BYTES, WIDTH = 16 << 20, 16
+SHARD_BYTES, WIDTH = 6 << 20, 16
 #: Bitmap blocks that are extended at a time.
-GROUP_BLOCKS = 100_000
+GROUP_BLOCKS = 40_000
 #: Bits of the table of frequent phrases that workers hold: its size doesn't depend on the corpus.
 FILTER_BITS = 1 << 26
 #: Groups that a language's candidates are dealt to before the best are taken.
@@ -47,7 +47,7 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
             if held[lang] >= SHARD_BYTES:
                 yield lang, b"\n".join(waiting.pop(lang))
                 held.pop(lang)
-        if sum(held.values()) >= 4 * SHARD_BYTES:
+        if sum(held.values()) >= 2 * SHARD_BYTES:
             for lang in list(waiting):
                 yield lang, b"\n".join(waiting.pop(lang))
             held.clear()
