@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidentia.plans.shared import delete, written
+
 TRIPLE = ("subject", "predicate", "object")
 TYPED_TRIPLE = ("subject", "subject_type", "predicate", "object", "object_type")
 
@@ -16,11 +21,16 @@ def keep_one(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
 
 
 def keep_last(df: DataFrame, key: list[str], ordinal: str) -> DataFrame:
-    return keep_one(df, key, F.desc(ordinal))
+    """The row of each key with the greatest ordinal; combined before the shuffle, so a key may have any number of rows."""
+    return _best(df, key, F.max_by, ordinal)
 
 
 def keep_first(df: DataFrame, key: list[str], ordinal: str) -> DataFrame:
-    return keep_one(df, key, F.asc(ordinal))
+    return _best(df, key, F.min_by, ordinal)
+
+
+def _best(df: DataFrame, key: list[str], pick, ordinal: str) -> DataFrame:
+    return df.groupBy(*key).agg(pick(F.struct(*df.columns), F.col(ordinal)).alias("_row")).select("_row.*")
 
 
 def upsert(existing: DataFrame, new: DataFrame, key: list[str], ordinal: str) -> DataFrame:
@@ -29,12 +39,78 @@ def upsert(existing: DataFrame, new: DataFrame, key: list[str], ordinal: str) ->
     return existing.join(fresh.select(*key), key, "left_anti").unionByName(fresh)
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """``(u, root)`` for each ``u`` of the edges ``(u, v)``: the least ``u`` that it is linked with through common ``v``.
+
+    Roots are passed on over ``v`` and each is replaced by its own root, so paths of any length take few rounds; each
+    round is written and the one before deleted.
+    """
+    edges = written(edges.distinct(), "links")
+    now = written(edges.select("u", F.col("u").alias("root")).distinct(), "roots")
+    while True:
+        over = edges.join(now, "u").groupBy("v").agg(F.min("root").alias("root"))
+        near = edges.join(over, "v").groupBy("u").agg(F.min("root").alias("near"))
+        step = now.join(near, "u").select("u", "root", F.least("root", "near").alias("near"))
+        onward = now.select(F.col("u").alias("near"), F.col("root").alias("far"))
+        after = written(step.join(onward, "near").select("u", F.least("near", "far").alias("root"), (F.least("near", "far") < F.col("root")).alias("moved")), "roots")
+        delete(now)
+        now = after.drop("moved")
+        now._path = after._path
+        if after.filter("moved").isEmpty():
+            delete(edges)
+            return now
+
+
+def _replayed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(root, id, address, fresh, ordinal)`` in order of root and time: the rows that ids hold in the end."""
+    root, held, owners, done = None, {}, {}, []
+    for batch in batches:
+        for at, key, address, fresh, ordinal in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if at != root:
+                done += [(k, *row) for k, (_, *row) in held.items()]
+                root, held, owners = at, {}, {}
+            owner = owners.get(address)
+            if fresh and owner is not None and owner != key:
+                continue
+            if fresh and key in held:
+                owners.pop(held[key][0], None)
+            held[key] = (address, fresh, ordinal)
+            owners[address] = key
+        yield _rows_of(done, batch)
+        done = []
+    if root is not None:
+        yield _rows_of([(k, *row) for k, (_, *row) in held.items()], batch)
+
+
+def _rows_of(rows: list[tuple], like: pa.RecordBatch) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [(), (), ()]
+    types = [like.schema.field(n).type for n in ("id", "fresh", "ordinal")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "fresh", "ordinal"])
+
+
 def upsert_owned(existing: DataFrame, new: DataFrame, key: str, address: Column, ordinal: str) -> DataFrame:
-    """As ``upsert``, but a row whose address belongs to another key is dropped; the first key in order owns an address."""
-    both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1))).withColumn("_address", address)
-    first = F.first(key).over(Window.partitionBy("_address").orderBy("_new", ordinal, key))
-    owned = both.withColumn("_owner", first).filter(F.col("_owner") == F.col(key))
-    return keep_one(owned, [key], F.desc("_new"), F.desc(ordinal)).drop("_new", "_address", "_owner")
+    """As ``upsert``, but a new row whose address another key holds at that moment is dropped; what a key gives up is free again.
+
+    New rows count in the order of ``ordinal`` (then of keys), after the last existing row of each key. Keys whose
+    addresses no other key ever has need no order beyond their own last row. The others are replayed: one stream of
+    (key, address, ordinal) rows for each component of keys that are linked by addresses, in a task that
+    remembers what the keys of the component hold, and no row's other columns.
+    """
+    last = keep_last(existing, [key], ordinal)
+    both = last.withColumn("_fresh", F.lit(0)).unionByName(new.withColumn("_fresh", F.lit(1))).withColumn("_address", address)
+    both = written(both, "claims")
+    claims = both.select(F.col(key).alias("id"), F.col("_address").alias("address"), F.col("_fresh").alias("fresh"), F.col(ordinal).alias("ordinal"))
+    shared = claims.groupBy("address").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z").select("address")
+    roots = components(claims.join(shared, "address").select(F.col("id").alias("u"), F.col("address").alias("v")))
+    told = claims.join(roots.withColumnRenamed("u", "id"), "id").select("root", "id", "address", "fresh", "ordinal")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in told.schema if f.name in ("id", "fresh", "ordinal"))
+    in_order = told.repartition("root").sortWithinPartitions("root", "fresh", "ordinal", "id")
+    won = in_order.mapInArrow(_replayed, kinds).select(F.col("id").alias(key), F.col("fresh").alias("_fresh"), F.col("ordinal").alias(ordinal))
+    replayed = keep_one(both.join(won, [key, "_fresh", ordinal], "left_semi"), [key], F.asc("_address"))
+    alone = both.join(roots.select(F.col("u").alias(key)), key, "left_anti")
+    rank = F.struct("_fresh", ordinal)
+    alone = alone.groupBy(key).agg(F.max_by(F.struct(*both.columns), rank).alias("_row")).select("_row.*")
+    return replayed.unionByName(alone).select(*existing.columns)
 
 
 def merge_extracted(existing: DataFrame, extracted: DataFrame) -> DataFrame:

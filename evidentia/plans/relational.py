@@ -384,13 +384,21 @@ fresh AS (SELECT *, row_number() OVER (PARTITION BY subject, predicate, object O
 SELECT {FACT_COLUMNS}, false AS retained FROM kept WHERE fact_id NOT IN (SELECT fact_id FROM fresh WHERE r = 1) UNION ALL SELECT {FACT_COLUMNS}, true FROM fresh WHERE r = 1""",
     "up5_merge_owner3": _owned_sql("subject, predicate, object", f"SELECT {FACT_COLUMNS} FROM old WHERE fact_id NOT IN (SELECT fact_id FROM free WHERE r = 1) UNION ALL SELECT {FACT_COLUMNS} FROM free WHERE r = 1"),
     "up6_merge_owner5_skipped": _owned_sql("subject, subject_type, predicate, object, object_type", "SELECT fact_id, owner FROM skipped"),
-    "up2_registry_upsert": rf"""WITH rows_ AS (SELECT 's' || (page_id % 97) AS source_id, regexp_replace(url, '[?#].*$', '') AS url, page_id AS ordinal FROM pages),
+    "up2_registry_upsert": rf"""WITH RECURSIVE rows_ AS (SELECT 's' || (page_id % 97) AS source_id, regexp_replace(url, '[?#].*$', '') AS url, page_id AS ordinal FROM pages),
 every AS (SELECT * FROM rows_ UNION ALL SELECT 'thief', url, ordinal + 100000 FROM rows_ WHERE ordinal % 5 = 0),
 old AS (SELECT source_id, url, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY ordinal DESC) AS r FROM every WHERE ordinal % 2 = 0) WHERE r = 1),
 both_ AS (SELECT *, 0 AS fresh FROM old UNION ALL SELECT *, 1 FROM every WHERE ordinal % 2 = 1),
 addressed AS (SELECT *, {_HOST} || coalesce(nullif(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/+$', ''), ''), '/') AS address FROM both_),
-owned AS (SELECT *, first_value(source_id) OVER (PARTITION BY address ORDER BY fresh, ordinal, source_id) AS owner FROM addressed)
-SELECT source_id, url, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fresh DESC, ordinal DESC) AS r FROM owned WHERE owner = source_id) WHERE r = 1""",
+steps AS (SELECT row_number() OVER (ORDER BY ordinal, source_id) AS k, * FROM addressed WHERE fresh = 1),
+replay AS (
+  SELECT 0 AS k, (SELECT map(list(source_id ORDER BY ordinal), list(address ORDER BY ordinal)) FROM addressed WHERE fresh = 0) AS lives, (SELECT map(list(source_id ORDER BY ordinal), list(ordinal ORDER BY ordinal)) FROM addressed WHERE fresh = 0) AS held,
+         (SELECT map(list(address), list(source_id)) FROM (SELECT address, max_by(source_id, ordinal) AS source_id FROM addressed WHERE fresh = 0 GROUP BY address)) AS owner
+  UNION ALL
+  SELECT k, CASE WHEN ok THEN map_concat(lives, map([source_id], [address])) ELSE lives END, CASE WHEN ok THEN map_concat(held, map([source_id], [ordinal])) ELSE held END,
+         CASE WHEN ok THEN map_concat(map_from_entries(list_filter(map_entries(owner), lambda e: e.key IS DISTINCT FROM lives[source_id])), map([address], [source_id])) ELSE owner END
+  FROM (SELECT s.k, r.lives, r.held, r.owner, s.source_id, s.address, s.ordinal, coalesce(r.owner[s.address], s.source_id) = s.source_id AS ok FROM replay r JOIN steps s ON s.k = r.k + 1)),
+final AS (SELECT unnest(map_entries(held)) AS e FROM (SELECT held FROM replay ORDER BY k DESC LIMIT 1))
+SELECT f.e.key AS source_id, b.url, b.ordinal FROM final f JOIN both_ b ON b.source_id = f.e.key AND b.ordinal = f.e.value""",
     "up1_upsert_last_wins": r"""WITH rows_ AS (SELECT 's' || (page_id % 97) AS source_id, regexp_replace(url, '[?#].*$', '') AS url, page_id AS ordinal FROM pages)
 SELECT source_id, url, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY ordinal % 3 <> 0 DESC, ordinal DESC) AS r FROM rows_) WHERE r = 1""",
     "t17_entities": f"WITH {V.FACTS}, {ENTITIES} SELECT entity_id, name, type, array_to_string(aliases, '|') AS aliases, array_to_string(regions, '|') AS regions, canonical_source_id, confidence FROM entities",

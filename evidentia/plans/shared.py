@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+_LEFT: dict[str, tuple] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,7 +29,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written to the shared folder and read again, which cuts its lineage."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    """``df``, written to the shared folder and read again, which cuts its lineage. What nobody deletes before goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._path = path
+    _LEFT[path] = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+    return out
+
+
+def delete(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        place, conf = _LEFT.pop(df._path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def _delete_left() -> None:
+    for path in list(_LEFT):
+        place, conf = _LEFT.pop(path)
+        with contextlib.suppress(Exception):  # the session may have ended before the interpreter
+            place.getFileSystem(conf).delete(place, True)
+
+
+atexit.register(_delete_left)

@@ -158,8 +158,30 @@ def test_merges(spark):
     got = {r.fact_id: r.object for r in M.merge_extracted(old, new).collect()}
     assert got == {"r": "x", "n1": "x"}
     rows = spark.createDataFrame([("a", "u1", 1), ("b", "u1", 2), ("a", "u2", 3)], "id string, url string, n int")
-    out = {(r.id, r.url) for r in M.upsert_owned(rows.limit(0), rows, "id", F.col("url"), "n").collect()}
-    assert out == {("a", "u2")}
+    held = lambda old, new: {(r.id, r.url) for r in M.upsert_owned(old, new, "id", F.col("url"), "n").collect()}
+    assert held(rows.limit(0), rows) == {("a", "u2")}
+    moves = spark.createDataFrame([("a", "u1", 1), ("a", "u2", 2), ("b", "u1", 3)], "id string, url string, n int")
+    assert held(moves.filter("n = 1"), moves.filter("n > 1")) == {("a", "u2"), ("b", "u1")}
+    assert held(moves, moves.limit(0)) == {("a", "u2"), ("b", "u1")} and held(moves.limit(0), moves.limit(0)) == set()
+
+
+def test_registry_replay_is_sequential(spark):
+    rng = random.Random(5)
+    for turn in range(3):
+        rows = [(f"i{rng.randrange(12)}", f"u{rng.randrange(9)}", n) for n in range(60)] + [(f"z{k}", f"own{k}", 100 + k) for k in range(5)]
+        old, new = rows[:10], rows[10:]
+        held = {}
+        for i, u, n in old:
+            held[i] = (u, n)
+        owners = {u: i for i, (u, n) in sorted(held.items(), key=lambda e: e[1][1])}
+        for i, u, n in new:
+            if owners.get(u, i) != i:
+                continue
+            if i in held:
+                owners.pop(held[i][0], None)
+            held[i], owners[u] = (u, n), i
+        frames = [spark.createDataFrame(x, "id string, url string, n int") for x in (old, new)]
+        assert {(r.id, r.url, r.n) for r in M.upsert_owned(*frames, "id", F.col("url"), "n").collect()} == {(i, u, n) for i, (u, n) in held.items()}
 
 
 def test_graph(spark):
