@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.operators import graph as G
+from evidentia.functions import text as T
 from evidentia.operators import retrieval as R
 from evidentia.plans.shared import written
 from evidentia.sources.release import exists
@@ -48,9 +49,9 @@ def vector_leaf(chunks: DataFrame, index: DataFrame, encode: Callable[[Column],
     return find
 
 
-def bm25_leaf(chunks: DataFrame, k1: float = 1.5, b: float = 0.75, segment_han: bool = False) -> Leaf:
+def bm25_leaf(chunks: DataFrame, k1: float = 1.5, b: float = 0.75, tokens: R.Tokenizer = T.tokens) -> Leaf:
     def find(questions: DataFrame, k: int) -> DataFrame:
-        found = R.bm25(chunks, questions, k, k1, b, id_col="chunk_id", segment_han=segment_han).withColumnRenamed("doc", "chunk_id")
+        found = R.bm25(chunks, questions, k, k1, b, id_col="chunk_id", tokens=tokens).withColumnRenamed("doc", "chunk_id")
         return _of_chunks(found, chunks, "bm25")
 
     return find

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from evidentia.functions import text as T
 from evidentia.plans.shared import written
 
+#: A column function from text to its tokens.
+Tokenizer = Callable[[Column], Column]
 #: Digits to which scores are rounded before they are ranked, so that ties are ties on every engine.
 DIGITS = 6
 #: Rows of a side that may be broadcast, once they are counted; larger sides are joined by shuffle.
@@ -33,16 +35,16 @@ def ranked(df: DataFrame, k: int | None, by: list[str], *order: Column) -> DataF
     return out if k is None else out.filter(F.col("rank") <= k)
 
 
-def postings(docs: DataFrame, id_col: str, text_col: str, segment_han: bool = False) -> DataFrame:
+def postings(docs: DataFrame, id_col: str, text_col: str, tokens: Tokenizer = T.tokens) -> DataFrame:
     """``(doc, term, tf, length)``: term counts of each document and its number of tokens."""
-    words = docs.select(F.col(id_col).alias("doc"), T.tokens(F.col(text_col), segment_han).alias("words"))
+    words = docs.select(F.col(id_col).alias("doc"), tokens(F.col(text_col)).alias("words"))
     words = words.select("doc", F.size("words").alias("length"), F.explode("words").alias("term"))
     return words.groupBy("doc", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
 
 
-def corpus_statistics(docs: DataFrame, id_col: str, text_col: str, segment_han: bool = False) -> DataFrame:
+def corpus_statistics(docs: DataFrame, id_col: str, text_col: str, tokens: Tokenizer = T.tokens) -> DataFrame:
     """One row ``(n_docs, total_length)`` over all documents, empty ones included."""
-    return docs.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum(F.size(T.tokens(F.col(text_col), segment_han))), F.lit(0)).alias("total_length"))
+    return docs.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum(F.size(tokens(F.col(text_col)))), F.lit(0)).alias("total_length"))
 
 
 def term_statistics(posts: DataFrame, n_docs: int) -> DataFrame:
@@ -50,14 +52,14 @@ def term_statistics(posts: DataFrame, n_docs: int) -> DataFrame:
     return posts.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
 
 
-def matching_postings(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str, segment_han: bool = False) -> tuple[DataFrame, DataFrame]:
+def matching_postings(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str, tokens: Tokenizer = T.tokens) -> tuple[DataFrame, DataFrame]:
     """``(posts, stats)``: postings (doc, term, tf, length) of ``terms`` alone, and one row (n_docs, total_length) of all documents.
 
     Texts are cut into tokens once. Each document has a row of its own, under a term that no text has, which tells its length;
     all other tokens meet the terms before anything is shuffled. Both tables are read from what one pass has written.
     """
     mark = "\0"
-    words = docs.select(F.col(id_col).alias("doc"), T.tokens(F.col(text_col), segment_han).alias("words"))
+    words = docs.select(F.col(id_col).alias("doc"), tokens(F.col(text_col)).alias("words"))
     words = words.select("doc", F.size("words").alias("length"), F.explode(F.array_append("words", F.lit(mark))).alias("term"))
     asked = counted(terms.union(docs.sparkSession.createDataFrame([(mark,)], "term string")))
     met = words.join(asked, "term", "left_semi").groupBy("doc", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
@@ -66,7 +68,7 @@ def matching_postings(docs: DataFrame, terms: DataFrame, id_col: str, text_col:
     return found.filter(F.col("term") != mark), stats
 
 
-def bm25(docs: DataFrame, questions: DataFrame, k: int | None = 5, k1: float = 1.5, b: float = 0.75, id_col: str = "doc_id", text_col: str = "text", qid_col: str = "qid", question_col: str = "question", segment_han: bool = False) -> DataFrame:
+def bm25(docs: DataFrame, questions: DataFrame, k: int | None = 5, k1: float = 1.5, b: float = 0.75, id_col: str = "doc_id", text_col: str = "text", qid_col: str = "qid", question_col: str = "question", tokens: Tokenizer = T.tokens) -> DataFrame:
     """``(qid, doc, score, rank)``: BM25 over question tokens with multiplicity; only positive scores, ties by document id.
 
     Only terms of questions are looked at: they meet the tokens before these are counted, so the
@@ -74,8 +76,8 @@ def bm25(docs: DataFrame, questions: DataFrame, k: int | None = 5, k1: float = 1
     """
     if k1 <= 0 or not 0 <= b <= 1:
         raise ValueError("k1 must be positive and b in [0, 1]")
-    asked = questions.select(F.col(qid_col).alias("qid"), F.explode(T.tokens(F.col(question_col), segment_han)).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
-    posts, stats = matching_postings(docs, asked.select("term").distinct(), id_col, text_col, segment_han)
+    asked = questions.select(F.col(qid_col).alias("qid"), F.explode(tokens(F.col(question_col))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
+    posts, stats = matching_postings(docs, asked.select("term").distinct(), id_col, text_col, tokens)
     df = posts.groupBy("term").agg(F.count("*").alias("df"))
     weights = df.join(F.broadcast(stats)).select("term", "n_docs", (F.col("total_length") / F.greatest(F.col("n_docs"), F.lit(1))).alias("mean"), F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     met = posts.join(counted(weights.join(asked, "term")), "term")

@@ -4,11 +4,13 @@ import hashlib
 import json
 import random
 import re
+from functools import lru_cache
 
 import pytest
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids, urls
+from evidentia.functions import segment as S
 from evidentia.functions import text as T
 from evidentia.operators import audit as A
 from evidentia.operators import chunking as C
@@ -104,10 +106,42 @@ def test_closed_sources_give_no_open_chunks(spark):
     assert [(r.source_id, r.topic_labels, r.region_labels) for r in rows] == [("b", ["t", "非遗"], ["r", "西宁市"])]
 
 
+def test_segments_are_cheapest_paths(spark):
+    rng = random.Random(3)
+    words = {"".join(rng.choice("山水日月") for _ in range(rng.choice((1, 2, 2, 3, 4, 6)))): rng.randrange(1, 40) for _ in range(40)}
+    cost = {w: round(1000 * f) for w, f in words.items()}
+    single = 90_000
+    runs = ["", "山"] + ["".join(rng.choice("山水日月木") for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+
+    def brute(run):
+        @lru_cache(None)
+        def best(i):
+            if i == len(run):
+                return 0, ()
+            found = [(cost.get(run[i:j], single if j == i + 1 else None), j) for j in range(i + 1, len(run) + 1)]
+            return min(((c + best(j)[0], (j, *best(j)[1])) for c, j in found if c is not None), key=lambda x: (x[0], -x[1][0]))
+
+        out, at = [], 0
+        for to in best(0)[1]:
+            w = run[at:to]
+            out += [w[i : i + g] for g in (2, 3) if len(w) > g for i in range(len(w) - g + 1) if w[i : i + g] in cost]
+            out.append(w)
+            at = to
+        return out
+
+    assert S.Trie(cost.items(), single).segment(runs) == [brute(r) for r in runs]
+    assert S.Trie([], 7).segment(["山水"]) == [["山", "水"]]
+    texts = spark.createDataFrame([("山水 abc日月",)] * 6 + [(None,), ("",)], "text string")
+    learned = S.learn_dictionary(texts, spark.createDataFrame([("金木X",), (None,)], "name string"), least=5, cohesion=2)
+    assert {r.word: r.freq for r in learned.collect()} == {"山": 6, "水": 6, "日": 6, "月": 6, "山水": 6, "日月": 6, "金木": 5}
+    assert [r[0] for r in texts.distinct().select(S.segmenter(learned)(F.col("text"))).collect() if r[0]] == [["山水", "abc", "日月"]]
+
+
 def test_bm25_ranking(spark):
-    docs = spark.createDataFrame([("c1", "塔尔寺 酥油花"), ("c2", "青海湖"), ("c3", "the lake"), ("c4", None)], "id string, text string")
+    docs = spark.createDataFrame([("c1", "塔尔寺酥油花"), ("c2", "青海湖"), ("c3", "the lake"), ("c4", None)], "id string, text string")
     ask = spark.createDataFrame([("q1", "酥油花"), ("q2", " "), ("q3", "nothing here")], "qid string, question string")
-    rows = R.bm25(docs, ask, 3, id_col="id", segment_han=True).collect()
+    words = S.segmenter(spark.createDataFrame([("塔尔寺", 5), ("酥油花", 5), ("青海湖", 5)], "word string, freq long"))
+    rows = R.bm25(docs, ask, 3, id_col="id", tokens=words).collect()
     assert {(r.qid, r.doc) for r in rows if r["rank"] == 1} == {("q1", "c1")} and all(r.score > 0 for r in rows)
     with pytest.raises(ValueError):
         R.bm25(docs, ask, 3, k1=0)
