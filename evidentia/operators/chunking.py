@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids
+from evidentia.operators.names import finder
 from evidentia.operators.policy import may_release_text
+from evidentia.operators.retrieval import counted
+from evidentia.plans.shared import written
 
 BOUNDARY = re.compile(r"[。！？；\n]+")
-# Topic terms, and what a relation says of its object.
+# Sentence ends, topic terms, and what a relation says of its object.
 TOPIC_TERMS = ("非遗", "民族文化", "生态旅游", "博物馆", "传统美术", "传统技艺")
 STATEMENTS = {
     "belongs_to_category": "所属类别为“{object}”",
@@ -83,17 +86,21 @@ def split_documents(documents: DataFrame, size: int = 500, overlap: int = 80, id
 def infer_labels(chunks: DataFrame, entities: DataFrame) -> DataFrame:
     """``chunks`` with entity mentions, region and topic labels: names and aliases found in the text, and fixed topic terms.
 
-    The chunk set meets the entities as one array of names, a row that is broadcast; it is for curated entity
-    tables whose names fit a row. Larger ones take ``graph.mentions``.
+    Substrings of a chunk that may be names (``names.finder``) meet the entities by equality, so the entity table may be of any size.
+    Chunks are written once with what was found, under a number of their own; chunks that are equal stay apart.
     """
-    names = F.filter(F.array_union(F.array("name"), "aliases"), lambda n: n != "")
-    one = entities.agg(F.collect_list(F.struct("name", "type", names.alias("names"))).alias("_entities"))
-    hit = F.filter("_entities", lambda e: F.exists(e["names"], lambda n: F.contains(F.col("text"), n)))
-    met = chunks.join(F.broadcast(one)).withColumn("_hit", hit)
+    spelled = entities.select("name", "type", F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("_mention")).filter("_mention <> ''").distinct()
+    spelled = counted(spelled)
+    found = finder(spelled, "_mention")
+    marked = written(chunks.withColumns({"_found": found(F.col("text")), "_number": F.monotonically_increasing_id()}), "chunks")
+    met = marked.select("_number", F.explode("_found").alias("_mention")).join(spelled, "_mention")
+    hits = met.groupBy("_number").agg(F.collect_set(F.struct("name", "type")).alias("_hit"))
+    both = marked.join(hits, "_number", "left").withColumn("_hit", F.coalesce("_hit", F.array().cast(hits.schema["_hit"].dataType)))
     of = lambda kind: F.transform(F.filter("_hit", lambda e: e["type"] == kind), lambda e: e["name"])
     terms = F.array_compact(F.array(*(F.when(F.contains("text", F.lit(t)), F.lit(t)) for t in TOPIC_TERMS)))
     tidy = lambda c: F.array_sort(F.array_distinct(c))
-    return met.withColumns({"topics": tidy(F.concat(of("CATEGORY"), terms)), "regions": tidy(of("REGION")), "entity_mentions": tidy(F.transform("_hit", lambda e: e["name"]))}).drop("_entities", "_hit")
+    labels = {"topics": tidy(F.concat(of("CATEGORY"), terms)), "regions": tidy(of("REGION")), "entity_mentions": tidy(F.transform("_hit", lambda e: e["name"]))}
+    return both.withColumns(labels).drop("_number", "_found", "_hit")
 
 
 def open_chunks(documents: DataFrame, sources: DataFrame, entities: DataFrame, size: int = 500, overlap: int = 80) -> DataFrame:

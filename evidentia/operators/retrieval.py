@@ -14,19 +14,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as T
-from evidentia.plans.shared import written
+from evidentia.plans.shared import written, written_bytes
 
 #: A column function from text to its tokens.
 Tokenizer = Callable[[Column], Column]
 #: Digits to which scores are rounded before they are ranked, so that ties are ties on every engine.
 DIGITS = 6
-#: Rows of a side that may be broadcast, once they are counted; larger sides are joined by shuffle.
-BROADCAST_ROWS = 100_000
+#: Rows, and bytes as written, of a side that may be broadcast; larger sides are joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
 
 
 def counted(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if it has at most BROADCAST_ROWS rows: for question sets and what is made of them."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """``df``, written, and marked for broadcast if it has at most BROADCAST_ROWS rows in BROADCAST_BYTES: for question sets and what is made of them."""
+    out = written(df, "counted")
+    small = out.count() <= BROADCAST_ROWS and written_bytes(out) <= BROADCAST_BYTES
+    return F.broadcast(out) if small else out
 
 
 def ranked(df: DataFrame, k: int | None, by: list[str], *order: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as T
@@ -84,18 +84,27 @@ def split_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A curated table of names to look for: words that stand in the texts."""
+    """The entities of the facts, and some whose names are words of nearly all texts."""
     rows = [("the", "CATEGORY", ["and", "of"]), ("de", "REGION", ["les"]), ("der", "REGION", []), ("worthless", "TOPIC", ["idiot", ""])]
-    return spark.createDataFrame(rows, "name string, type string, aliases array<string>")
+    common = spark.createDataFrame(rows, "name string, type string, aliases array<string>")
+    return E.build_entities(_facts(spark, sf_dir)).select("name", "type", "aliases").union(common)
+
+
+def _naming(doc_id: Column, text: Column) -> Column:
+    """A text that names a part, a customer, a supplier and a nation."""
+    key = lambda n: (doc_id % n).cast("string")
+    return F.concat(F.lit("Part#"), key(5000), F.lit(" "), text, F.lit(" Customer#"), key(3000), F.lit(" FRANCE Supplier#"), key(300))
 
 
 def infer_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = C.infer_labels(V.table(spark, sf_dir, "documents").select("doc_id", "text"), _names(spark, sf_dir))
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", _naming(F.col("doc_id"), F.col("text")).alias("text"))
+    out = C.infer_labels(docs, _names(spark, sf_dir))
     return out.select("doc_id", *(F.array_join(c, "|").alias(c) for c in ("topics", "regions", "entity_mentions")))
 
 
 def open_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = C.open_chunks(_documents(spark, sf_dir), V.sources(spark, sf_dir), _names(spark, sf_dir))
+    docs = _documents(spark, sf_dir).withColumn("text", _naming(F.substring("doc_id", 4, 20).cast("long"), F.col("text")))
+    out = C.open_chunks(docs, V.sources(spark, sf_dir), _names(spark, sf_dir))
     return out.select("chunk_id", "doc_id", "source_id", "char_start", "char_end", *(F.array_join(c, "|").alias(c) for c in ("topic_labels", "region_labels", "entity_mentions")))
 
 
@@ -266,8 +275,10 @@ steps_(doc_id, a, z, nxt) AS (
 ),
 pieces AS (SELECT s.doc_id, s.a, substr(l.t, CAST(s.a + 1 AS INT), CAST(s.z - s.a AS INT)) AS p FROM steps_ s JOIN letters l USING (doc_id) WHERE s.a >= 0),
 chunks AS (SELECT doc_id, CAST(a + length(p) - length(ltrim(p, {_WS})) AS INT) AS char_start, CAST(a + length(rtrim(p, {_WS})) AS INT) AS char_end, trim(p, {_WS}) AS text FROM pieces WHERE trim(p, {_WS}) <> '')"""
-_LABELS = """list_filter([CASE WHEN contains(text, 'the') OR contains(text, 'and') OR contains(text, 'of') THEN 'the' END{0}, CASE WHEN contains(text, 'de') OR contains(text, 'les') THEN 'de' END, CASE WHEN contains(text, 'der') THEN 'der' END,
-  CASE WHEN contains(text, 'worthless') OR contains(text, 'idiot') THEN 'worthless' END], lambda x: x IS NOT NULL)"""
+NAMING = "'Part#' || (doc_id % 5000) || ' ' || text || ' Customer#' || (doc_id % 3000) || ' FRANCE Supplier#' || (doc_id % 300)"
+SPELLED = """mentioned AS (SELECT DISTINCT name, type, m FROM (SELECT name, type, unnest(list_concat([name], aliases)) AS m FROM (SELECT name, type, aliases FROM entities
+  UNION ALL VALUES ('the', 'CATEGORY', ['and', 'of']), ('de', 'REGION', ['les']), ('der', 'REGION', []::VARCHAR[]), ('worthless', 'TOPIC', ['idiot', '']))) WHERE m <> '')"""
+_HITS = """labels AS (SELECT {key}, list(DISTINCT name) FILTER (type = 'CATEGORY') AS topics, list(DISTINCT name) FILTER (type = 'REGION') AS regions, list(DISTINCT name) AS names FROM {source} JOIN mentioned ON contains(text, m) GROUP BY ALL)"""
 
 QUERIES = {
     "w14_mention_longest": mention_longest,
@@ -311,20 +322,19 @@ scored AS (SELECT *, round(least(1.0, 0.5 / (1 + distance) + 0.3 * CASE confiden
 held AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, predicate ORDER BY score DESC, fact_id) AS r FROM scored WHERE cue IS NOT NULL) WHERE r = 1),
 turns AS (SELECT s.*, coalesce(h.cue, 1099511627776) AS turn FROM scored s LEFT JOIN held h ON h.qid = s.qid AND h.fact_id = s.fact_id)
 SELECT t.qid, fact_id, predicate, t.source_id, distance, score, rank, told AS text, coalesce(title, t.source_id) AS source_title FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY turn, score DESC, fact_id) AS rank FROM turns) t LEFT JOIN sources s ON s.source_id = t.source_id WHERE rank <= 8""",
-    "t2_infer_labels": """SELECT doc_id, CASE WHEN contains(text, 'the') OR contains(text, 'and') OR contains(text, 'of') THEN 'the' ELSE '' END AS topics,
-  array_to_string(list_sort(list_filter([CASE WHEN contains(text, 'de') OR contains(text, 'les') THEN 'de' END, CASE WHEN contains(text, 'der') THEN 'der' END], lambda x: x IS NOT NULL)), '|') AS regions,
-  array_to_string(list_sort(list_filter([CASE WHEN contains(text, 'the') OR contains(text, 'and') OR contains(text, 'of') THEN 'the' END, CASE WHEN contains(text, 'de') OR contains(text, 'les') THEN 'de' END, CASE WHEN contains(text, 'der') THEN 'der' END,
-    CASE WHEN contains(text, 'worthless') OR contains(text, 'idiot') THEN 'worthless' END], lambda x: x IS NOT NULL)), '|') AS entity_mentions FROM documents""",
+    "t2_infer_labels": f"""WITH {V.FACTS}, {ENTITIES}, {SPELLED}, docs AS (SELECT doc_id, {NAMING} AS text FROM documents), {_HITS.format(source='docs', key='doc_id')}
+SELECT doc_id, coalesce(array_to_string(list_sort(topics), '|'), '') AS topics, coalesce(array_to_string(list_sort(regions), '|'), '') AS regions, coalesce(array_to_string(list_sort(names), '|'), '') AS entity_mentions FROM documents LEFT JOIN labels USING (doc_id)""",
     "t4_synthetic_chunks": f"""WITH {V.FACTS}, {V.SOURCES}, {_GOOD},
 said AS (SELECT subject, evidence_source_id AS source_id, string_agg(replace({_case("predicate", C.STATEMENTS)}, '{{object}}', object), '；' ORDER BY fact_id) AS said, list_sort(list_distinct(list_concat(list(DISTINCT subject), list(DISTINCT object)))) AS mentions FROM good GROUP BY 1, 2),
 texts AS (SELECT 'doc_synthetic_' || substr(sha256(subject || source_id), 1, 12) AS doc_id, source_id, '以下是根据已核验结构化事实生成的中性摘要，并非来源原文：关于' || subject || '，' || said || '。依据来源编号 ' || source_id || '。' AS text, mentions FROM said WHERE source_id IN (SELECT source_id FROM sources))
 SELECT 'chk_' || substr(sha256(doc_id || chr(0) || '0' || chr(0) || length(text) || chr(0) || text), 1, 12) AS chunk_id, doc_id, source_id, text, array_to_string(mentions, '|') AS entity_mentions FROM texts""",
     "t1_split_text": f"WITH RECURSIVE {SPLIT.format('documents')} SELECT doc_id, char_start, char_end, sha256(text) AS sha FROM chunks",
-    "t3_open_chunks": f"""WITH RECURSIVE {V.SOURCES}, open_docs AS (SELECT 'doc' || doc_id AS doc_id, text FROM documents WHERE source IS NOT NULL AND 'src_' || source IN (SELECT source_id FROM sources WHERE raw_text_release AND release_policy IN ('full_text_allowed', 'government_public'))), {SPLIT.format('open_docs')},
-labelled AS (SELECT c.*, s.source_id, s.topic, s.region, {_LABELS.format('')} AS names FROM chunks c JOIN (SELECT doc_id AS d_id, source FROM documents) d ON 'doc' || d.d_id = c.doc_id JOIN sources s ON s.source_id = 'src_' || d.source)
+    "t3_open_chunks": f"""WITH RECURSIVE {V.FACTS}, {ENTITIES}, {SPELLED}, {V.SOURCES}, open_docs AS (SELECT 'doc' || doc_id AS doc_id, {NAMING} AS text FROM documents WHERE source IS NOT NULL AND 'src_' || source IN (SELECT source_id FROM sources WHERE raw_text_release AND release_policy IN ('full_text_allowed', 'government_public'))), {SPLIT.format('open_docs')},
+{_HITS.format(source='chunks', key='doc_id, char_start')},
+labelled AS (SELECT c.*, s.source_id, s.topic, s.region, topics, regions, names FROM chunks c JOIN (SELECT doc_id AS d_id, source FROM documents) d ON 'doc' || d.d_id = c.doc_id JOIN sources s ON s.source_id = 'src_' || d.source LEFT JOIN labels l ON l.doc_id = c.doc_id AND l.char_start = c.char_start)
 SELECT 'chk_' || substr(sha256(doc_id || chr(0) || char_start || chr(0) || char_end || chr(0) || text), 1, 12) AS chunk_id, doc_id, source_id, char_start, char_end,
-  array_to_string(list_sort(list_distinct(list_concat(topic, list_filter(names, lambda x: x = 'the')))), '|') AS topic_labels, array_to_string(list_sort(list_distinct(list_concat(region, list_filter(names, lambda x: x IN ('de', 'der'))))), '|') AS region_labels,
-  array_to_string(list_sort(names), '|') AS entity_mentions FROM labelled""",
+  array_to_string(list_sort(list_distinct(list_concat(topic, coalesce(topics, []::VARCHAR[])))), '|') AS topic_labels, array_to_string(list_sort(list_distinct(list_concat(region, coalesce(regions, []::VARCHAR[])))), '|') AS region_labels,
+  coalesce(array_to_string(list_sort(names), '|'), '') AS entity_mentions FROM labelled""",
     "t23_qa_single": f"WITH {V.FACTS}, {RELATIONS} {SINGLE_SQL}",
     "t24_qa_regional": f"WITH {V.FACTS}, {_GOOD} {REGIONAL_SQL}",
     "t25_qa_multi_hop": f"WITH {V.FACTS}, {RELATIONS} {MULTI_SQL}",

@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def written_bytes(df: DataFrame) -> int:
+    """The size of a table of ``written``."""
+    place, conf = _LEFT[df._path]
+    return place.getFileSystem(conf).getContentSummary(place).getLength()
+
+
 def delete(*tables: DataFrame) -> None:
     """Deletes tables of ``written`` that nothing reads any more."""
     for df in tables:

@@ -17,6 +17,7 @@ from evidentia.operators import chunking as C
 from evidentia.operators import entities as E
 from evidentia.operators import graph as G
 from evidentia.operators import merge as M
+from evidentia.operators import names as N
 from evidentia.operators import policy as P
 from evidentia.operators import qa as Q
 from evidentia.operators import retrieval as R
@@ -106,6 +107,34 @@ def test_closed_sources_give_no_open_chunks(spark):
     assert [(r.source_id, r.topic_labels, r.region_labels) for r in rows] == [("b", ["t", "非遗"], ["r", "西宁市"])]
 
 
+def test_names_of_any_table_are_found(spark):
+    rng = random.Random(9)
+    word = lambda a, z: "".join(rng.choice("ab山é😀") for _ in range(rng.randrange(a, z)))
+    texts = [word(0, 60) for _ in range(80)] + ["", None, "aaaa" * 50]
+    spelled = sorted({word(1, 6) for _ in range(60)} | {"aaaa", "x" * 300})
+    find = N.finder(spark.createDataFrame([(n,) for n in [*spelled, "", None]], "name string"))
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", find(F.col("t")).alias("hits")).collect()
+    for i, hits in rows:
+        assert sorted(h for h in hits if h in spelled) == [n for n in spelled if n in (texts[i] or "")] and all(h in texts[i] for h in hits)
+    nothing = N.finder(spark.createDataFrame([], "name string"))
+    assert spark.createDataFrame([("abc",)], "t string").select(nothing(F.col("t"))).first()[0] == []
+
+
+def test_labels_by_brute_force(spark):
+    rng = random.Random(4)
+    kinds = ("REGION", "CATEGORY", "X")
+    entities = [("".join(rng.choice("abc") for _ in range(rng.randrange(1, 5))), kinds[k % 3], ["".join(rng.choice("abc") for _ in range(3))] * (k % 2) + [""] * (k % 5 == 0)) for k in range(30)]
+    chunks = [(k, "".join(rng.choice("abcd ") for _ in range(rng.randrange(0, 40))) + ("博物馆" if k % 7 == 0 else "")) for k in range(40)] + [(3, "abc"), (3, "abc")]
+    out = C.infer_labels(spark.createDataFrame(chunks, "id int, text string"), spark.createDataFrame(entities, "name string, type string, aliases array<string>")).collect()
+
+    def slow(text):
+        hit = [e for e in entities if any(n and n in text for n in (e[0], *e[2]))]
+        of = lambda kind: {e[0] for e in hit if e[1] == kind}
+        return sorted(of("CATEGORY") | ({"博物馆"} if "博物馆" in text else set())), sorted(of("REGION")), sorted({e[0] for e in hit})
+
+    assert sorted((r.id, r.text, r.topics, r.regions, r.entity_mentions) for r in out) == sorted((i, t, *slow(t)) for i, t in chunks)
+
+
 def test_segments_are_cheapest_paths(spark):
     rng = random.Random(3)
     words = {"".join(rng.choice("山水日月") for _ in range(rng.choice((1, 2, 2, 3, 4, 6)))): rng.randrange(1, 40) for _ in range(40)}
