@@ -28,14 +28,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    _LEFT[path] = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df``, written to the shared folder and read again, which cuts its lineage. What nobody deletes before goes when the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = folder(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._path = path
-    _LEFT[path] = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
     return out
 
 

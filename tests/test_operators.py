@@ -21,6 +21,7 @@ from evidentia.operators import names as N
 from evidentia.operators import policy as P
 from evidentia.operators import qa as Q
 from evidentia.operators import retrieval as R
+from evidentia.operators.index import Index
 from evidentia.sources import html, jsonl, release
 
 FACT = "fact_id string, subject string, subject_type string, predicate string, object string, object_type string, evidence_source_id string, evidence_text string, verified boolean, confidence string, manual_checked boolean, notes string"
@@ -176,6 +177,31 @@ def test_bm25_ranking(spark):
         R.bm25(docs, ask, 3, k1=0)
 
 
+def test_stored_index_grows_and_answers_alike(spark, tmp_path):
+    rng = random.Random(8)
+    docs = [(k, None if k == 3 else " ".join(rng.choice("ab bc cd de ef fg".split()) for _ in range(rng.randrange(0, 9)))) for k in range(30)]
+    ask = spark.createDataFrame([(1, "ab cd cd"), (2, "zz"), (3, None), (4, "fg ef ab bc")], "qid int, question string")
+    index = Index(spark, f"file://{tmp_path}/ix")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(index.bm25(ask)) == []
+    for at in range(0, 30, 6):
+        index.add(spark.createDataFrame(docs[at : at + 6], "doc_id int, text string"))
+        part = spark.createDataFrame(docs[: at + 6], "doc_id int, text string")
+        assert rows(index.bm25(ask, 4)) == rows(R.bm25(part, ask, 4, id_col="doc_id"))
+    assert [s.level for s in index.segments()] == [0, 1] and sum(s.n_docs for s in index.segments()) == 30
+    # An older version stays readable until it is cleaned up; afterwards only live segments are left.
+    early = spark.createDataFrame(docs[:12], "doc_id int, text string")
+    assert rows(index.bm25(ask, 4, version=2)) == rows(R.bm25(early, ask, 4, id_col="doc_id"))
+    now = rows(index.bm25(ask, None))
+    index.vacuum()
+    assert rows(index.bm25(ask, None)) == now and len(index.versions()) == 1
+    assert len(list((tmp_path / "ix" / "postings").iterdir())) == 2
+    empty = Index(spark, f"file://{tmp_path}/empty").add(spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string"))
+    assert rows(empty.bm25(ask)) == []
+    with pytest.raises(ValueError):
+        index.bm25(ask, k1=0)
+
+
 def test_fusion_and_allocation(spark):
     dense = spark.createDataFrame([("q", "c1", 0.9), ("q", "c2", 0.6)], "qid string, id string, score double")
     sparse = spark.createDataFrame([("q", "c1", 7.5), ("q", "c3", 3.0)], "qid string, id string, score double")
