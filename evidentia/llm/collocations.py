@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from evidentia.llm.common import discard, materialise, small_batches
 
 #: Bytes of text in one shard, and positions in one block of a bitmap.
-SHARD_BYTES, WIDTH = 6 << 20, 16
+SHARD_BYTES, WIDTH = 4 << 20, 16
 #: Bitmap blocks that are extended at a time.
-GROUP_BLOCKS = 40_000
+GROUP_BLOCKS = 25_000
 #: Bits of the table of frequent phrases that workers hold: its size doesn't depend on the corpus.
 FILTER_BITS = 1 << 26
 #: Groups that a language's candidates are dealt to before the best are taken.
