@@ -683,6 +683,56 @@ def test_structure_of_pages():
     assert text("<article class='post sponsored widget'><header><h1>Title</h1></header>Body</article>") == ["Title", "Body"]
 
 
+def test_names_alone_delete_no_article():
+    """Expected texts are written by hand."""
+    from evidentia.llm.htmltext import blocks
+
+    text = lambda html: [t for t, _ in blocks(html)]
+    story = "<h1>Story</h1><p>First paragraph.</p><p>Second paragraph.</p>"
+    told = ["Story", "First paragraph.", "Second paragraph."]
+    for open_, close in (
+        ('<div class="content-with-sidebar">', "</div>"), ('<div class="page left-sidebar">', "</div>"), ('<div class="post comments-open">', "</div>"), ('<div class="ad-free">', "</div>"),
+        ('<article><section id="cookie-recipe">', "</section></article>"), ('<article><div class="menu-of-the-day">', "</div></article>"), ('<main><div class="newsletter-issue">', "</div></main>"), ("<form>", "</form>"), ('<div class="sidebar">', "</div>"),
+    ):
+        assert text(f"<body><nav>Home</nav>{open_}{story}{close}<footer>Legal</footer></body>") == told, open_
+    assert text(f"<body><nav><ul><li>Home<li>News</ul><main>{story}</main></body>") == told
+    assert text(f"<body><article>{story}<div class='responses'>Me too</div><div class='sharedaddy'>Share</div><section class='comments-area'><ol class='comment-list'><li><article class='comment-body'>Nice</article></ol></section></article>") == told
+    assert text(f"<body><article>{story}</article><aside><article>Teaser</article></aside><div class='sidebar'><article>Teaser</article></div>") == told
+    assert text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p></article>") == ["Let x=2 be."]
+
+
+def test_titles_stay_on_every_page(spark):
+    from evidentia.llm.htmltext import extract
+
+    page = lambda k: f"<body><nav>Home</nav><article><h1>Weekly report</h1><p>Subscribe now</p>{''.join(f'<p>Week {k} line {j}.</p>' for j in range(6))}<p>Read more</p></article></body>"
+    table = spark.createDataFrame([(k, f"http://h.org/r/{k}", page(k)) for k in range(4)], "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in extract(table).collect()}
+    assert got == {k: ["Weekly report", "Subscribe now", *(f"Week {k} line {j}." for j in range(6))] for k in range(4)} or got == {k: ["Weekly report", *(f"Week {k} line {j}." for j in range(6))] for k in range(4)}
+
+
+def test_long_pages_align_in_little_memory():
+    import tracemalloc
+
+    from evidentia.llm import htmltext
+
+    rng = random.Random(2)
+    a, b = [[rng.randrange(50) for _ in range(n)] for n in (90, 70)]
+    whole, cells = htmltext.shared_lines(a, b), htmltext.CELLS
+    htmltext.CELLS = 64
+    try:
+        halved = htmltext.shared_lines(a, b)
+    finally:
+        htmltext.CELLS = cells
+    assert len(halved) == len(whole) and all(x < y for x, y in zip(halved, halved[1:]))
+    at = 0
+    for p in halved:
+        at = b.index(a[p], at) + 1
+    tracemalloc.start()
+    n = len(htmltext.shared_lines([rng.randrange(10**6) for _ in range(30_000)], [rng.randrange(10**6) for _ in range(30_000)]))
+    assert n > 0 and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_lines_that_frame_articles_go():
     from evidentia.llm.htmltext import keep_lines
 
