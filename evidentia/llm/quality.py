@@ -15,6 +15,8 @@ SKETCH_K = 400
 LEAST_GROUP = 100
 #: Fences: median plus or minus REACH times the distance of median and lower decile, or times the counting error if that is larger.
 REACH = 10.0
+#: Ranks of a sketch between which a step is looked for, where most documents have the same value.
+RANKS = (0.85, 0.9, 0.92, 0.94, 0.96, 0.98, 0.99, 1.0)
 #: Measures by name: the side that fails ("high" or "both").
 RULES = {"symbol_ratio": "high", "upper_ratio": "high", "word_length": "both"}
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -88,10 +90,13 @@ def thresholds(measured: DataFrame, lang_col: str = "lang", source_col: str = "s
 
     One KLL sketch for each rule, language and source, combined before the shuffle; the sketches merge to
     those of each language and of all documents, which groups with fewer than ``least`` measured documents
-    use. Null languages and sources are groups like any other. No fence is fixed: where most documents have the same
-    value, so that the sketch has no spread, the counting error at the group's own median stands in: one
-    character of a text of median length, or the square root of the count, for shares of characters; half the
-    word length by the square root of the words for the mean word length.
+    use. Null languages and sources are groups like any other. No fence is fixed.
+
+    Capitals and word lengths vary in all documents: their fence is the median and REACH times its distance to the lower
+    decile, or times the counting error at the group's own median if that is larger. Symbols most documents have none of, so there the
+    fence is the middle of the first step between neighbouring quantiles of RANKS, the greatest value included. A step counts if it is
+    wider than the distance of its foot to the median and than REACH symbols in a text of median length;
+    without one no document stands apart, and the rule fails none.
     """
     sizes = {"chars": F.when(F.col("n_words") >= LEAST_WORDS, F.col("word_chars").cast("double")), "words": F.when(F.col("n_words") >= LEAST_WORDS, F.col("n_words").cast("double"))}
     sketched = measured.withColumns(sizes)
@@ -112,6 +117,11 @@ def thresholds(measured: DataFrame, lang_col: str = "lang", source_col: str = "s
     cols = ["lang", "source", "n"]
     for rule, side in RULES.items():
         middle = quantile(rule, 0.5)
+        if rule == "symbol_ratio":
+            at = [quantile(rule, q) for q in RANKS]
+            steps = [F.when(b - a > F.greatest(a - middle, REACH / quantile("chars", 0.5)), (a + b) / 2) for a, b in zip(at, at[1:], strict=False)]
+            cols += [F.coalesce(*steps).alias(f"{rule}_high"), F.lit(None).cast("double").alias(f"{rule}_low")]
+            continue
         if rule == "word_length":
             error = middle / 2 / F.sqrt(quantile("words", 0.5))
         else:
