@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.classifier import score_quality
 from evidentia.llm.collocations import collocations
-from evidentia.llm.common import shared_dir, table
+from evidentia.llm.common import discard, shared_dir, table
 from evidentia.llm.decontam import find_leaks
 from evidentia.llm.funnels import Funnel, count_funnels
 from evidentia.llm.htmltext import extract
@@ -19,7 +19,7 @@ from evidentia.llm.lattice import score_texts
 from evidentia.llm.linededup import dedup_lines
 from evidentia.llm.packing import pack
 from evidentia.llm.quality import judge
-from evidentia.llm.sharding import shard
+from evidentia.llm.sharding import next_version, records, shard
 from evidentia.llm.simhash import simhash_components
 from evidentia.llm.tokens import count_tokens
 
@@ -55,8 +55,13 @@ def op5_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map's first version is made for the documents without their last tenth by hash, its second, which places all, edits that."""
     versions = f"{shared_dir(spark)}/evidentia/{spark.sparkContext.applicationId}/slot-map-{uuid.uuid4().hex}"
-    placed = shard(table(spark, sf_dir, "documents"), shards=8, map_path=versions)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    early = records(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10)) != 9))
+    next_version(early, 8, map_path=versions)
+    discard(early)
+    placed = shard(docs, shards=8, map_path=versions)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("part").alias("virtual_slot"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.common import materialise
 
-#: Virtual slots; a hash puts each record in one for ever.
+#: Virtual slots; a hash of its text puts each record in one.
 SLOTS = 4096
 #: Rows that one window task numbers, about.
 BUCKET_ROWS = 10_000
@@ -61,40 +61,70 @@ def edited_map(old: dict[int, int], sizes: dict[int, int], shards: int, toleranc
         out[k], load[high], load[low] = low, load[high] - sizes[k], load[low] + sizes[k]
 
 
-def slot_sizes(rows: DataFrame, shards: int, slots: int = SLOTS) -> tuple[dict[int, int], dict[int, int], dict[tuple, int]]:
-    """``(bytes by part, parts by split slot, parts by split text)`` of rows ``(vslot, mix, text_hash, text_crc32, spread, size)``.
+#: A unit that is split: a slot, or one text of it (its two hashes); and the numbers of its parts.
+Splits = dict[tuple[int, int | None, int | None], list[int]]
+
+
+def slot_sizes(rows: DataFrame, shards: int, slots: int = SLOTS, splits: Splits | None = None) -> tuple[dict[int, int], Splits, list[int]]:
+    """``(bytes by part, splits, repeated)`` of rows ``(vslot, mix, text_hash, text_crc32, deal, spread, size)``; ``splits`` are those of the map's version before.
 
     A slot that alone holds more than a shard's fair share is split into parts by a hash of the text, which keeps
     equal texts together; part p > 0 of a slot has the number ``slot + p * slots``. A text that alone holds more than a fair share
-    is split by row into parts of its own beyond those of its slot: only its copies part.
-    The driver reads at most ``slots`` sums, and the sums of split slots and texts, of which there are fewer than ``shards``.
+    is split into parts of its own: only its copies part. A split once made stays, whatever today's sizes are; when
+    a part of it holds more than a fair share its parts are doubled, and each row stays or goes to its part's new twin.
+    ``repeated`` are values of ``deal`` that alone hold an eighth of a fair share: rows that repeat an id and text, dealt by number.
+    The driver reads at most ``slots`` sums, and the sums of split slots and texts, of which there are fewer than ``shards`` a version.
     """
+    splits = {k: list(v) for k, v in (splits or {}).items()}
     whole = {r[0]: r[1] for r in rows.groupBy("vslot").agg(F.sum("size")).collect()}
     fair = max(1.0, sum(whole.values()) / shards)
-    split = {k: min(4 * shards, int(8 * v / fair) + 1) for k, v in whole.items() if v > fair}
-    heavy: dict[tuple, int] = {}
-    if split:
-        own = rows.filter(F.col("vslot").isin(list(split)))
-        texts = own.groupBy("vslot", "text_hash", "text_crc32").agg(F.sum("size").alias("size")).filter(F.col("size") > fair)
-        heavy = {(r[0], r[1], r[2]): min(4 * shards, int(4 * r[3] / fair) + 1) for r in texts.collect()}
-        parts = own.groupBy(part_of(split, heavy, slots).alias("part")).agg(F.sum("size"))
-        whole = {k: v for k, v in whole.items() if k not in split} | {r[0]: r[1] for r in parts.collect()}
-    return whole, split, heavy
-
-
-def part_of(split: dict[int, int], heavy: dict[tuple, int], slots: int = SLOTS) -> Column:
-    """The part of a row: its slot, a part of a split slot by text, or a part of a split text by row."""
+
+    def grow(key: tuple, n: int) -> None:
+        used = max((p for (k, *_), parts in splits.items() if k == key[0] for p in parts), default=-1)
+        splits[key] = splits.get(key, []) + list(range(used + 1, used + 1 + n))
+
+    for k, v in sorted(whole.items()):
+        if v > fair and (k, None, None) not in splits:
+            grow((k, None, None), min(4 * shards, int(8 * v / fair) + 1))
+    split = sorted({k for k, *_ in splits})
+    if not split:
+        return whole, splits, []
+    own = rows.filter(F.col("vslot").isin(split))
+    texts = own.groupBy("vslot", "text_hash", "text_crc32").agg(F.sum("size").alias("size")).filter(F.col("size") > fair)
+    for *key, v in sorted(tuple(r) for r in texts.collect()):
+        if tuple(key) not in splits:
+            grow(tuple(key), min(4 * shards, int(4 * v / fair) + 1))
+    repeated = [r[0] for r in own.groupBy("deal").agg(F.sum("size").alias("size")).filter(F.col("size") > fair / 8).collect()]
+    while True:
+        parts = {r[0]: r[1] for r in own.groupBy(part_of(splits, repeated, slots).alias("part")).agg(F.sum("size")).collect()}
+        full = [key for key, numbers in splits.items() if len(numbers) < 4 * shards and any(parts.get(key[0] + p * slots, 0) > fair for p in numbers)]
+        if not full:
+            return {k: v for k, v in whole.items() if k not in split} | parts, splits, repeated
+        for key in full:
+            grow(key, len(splits[key]))
+
+
+def part_of(splits: Splits, repeated: list[int], slots: int = SLOTS) -> Column:
+    """The part of a row: its slot, a part of a split slot by text, or a part of a split text by copy."""
+    deal = F.when(F.col("deal").isin(repeated), F.col("spread")).otherwise(F.col("deal")) if repeated else F.col("deal")
     out = F.col("vslot")
-    for k, n in sorted(split.items()):
-        out = F.when(F.col("vslot") == k, (k + F.pmod(F.col("mix"), F.lit(n)) * slots).cast("int")).otherwise(out)
-    after = dict(split)
-    for (k, h, c), n in sorted(heavy.items()):
-        first, after[k] = after[k], after[k] + n
-        same = (F.col("vslot") == k) & (F.col("text_hash") == h) & (F.col("text_crc32") == c)
-        out = F.when(same, (k + (first + F.pmod(F.col("spread"), F.lit(n))) * slots).cast("int")).otherwise(out)
+    for (k, h, c), numbers in sorted(splits.items(), key=lambda x: (x[0][0], x[0][1] is not None, x[0][1:] if x[0][1] is not None else ())):
+        unit = F.col("vslot") == k if h is None else (F.col("vslot") == k) & (F.col("text_hash") == h) & (F.col("text_crc32") == c)
+        place = F.pmod(F.col("mix") if h is None else deal, F.lit(len(numbers))).cast("int") + 1
+        out = F.when(unit, (k + F.element_at(F.array(*map(F.lit, numbers)), place) * slots).cast("int")).otherwise(out)
     return out
 
 
+def splits_table(spark, splits: Splits, version: int) -> DataFrame:
+    """The splits of a version as rows, to be appended to the stored ones."""
+    rows = [(version, k, h, c, numbers) for (k, h, c), numbers in splits.items()]
+    return spark.createDataFrame(rows, "version int, vslot int, text_hash long, text_crc32 long, parts array<int>").coalesce(1)
+
+
+def read_splits(table: DataFrame, version: int) -> Splits:
+    return {(r.vslot, r.text_hash, r.text_crc32): list(r.parts) for r in table.filter(F.col("version") == version).collect()}
+
+
 def map_table(spark, mapping: dict[int, int], sizes: dict[int, int], version: int) -> DataFrame:
     """The map as rows ``(version, part, shard, bytes)``, to be appended to the stored versions."""
     rows = "".join(f"{k}:{s}:{sizes.get(k, 0)}," for k, s in sorted(mapping.items())).rstrip(",")
@@ -116,18 +146,14 @@ def rebalance(maps: DataFrame, sizes: dict[int, int], shards: int, tolerance: fl
     return maps.unionByName(map_table(maps.sparkSession, new, sizes, version + 1))
 
 
-def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text", map_path: str | None = None) -> DataFrame:
-    """``(id, size, text_crc32, vslot, part, shard, place)`` for each row: shards of near equal bytes.
+def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, size, text_crc32, vslot, mix, text_hash, deal, spread)`` of each row, written: what slots, parts and places are made of.
 
-    A record's slot is a hash of its text and never changes; bytes are summed by slot, and a map from slots
-    to shards is made or, where ``map_path`` has one, edited and appended as its next version. ``place`` is gapless
-    from 0 in each shard. Size: UTF-8 bytes of the text (null: none) plus 1. Equal texts share a shard
-    unless they alone exceed a shard's fair share. Repeated rows and null ids are records like any other: what deals them
-    to tasks is a number of the row, not its id.
+    ``deal`` parts the copies of a split text: a hash of id and text, so that a row keeps its part when others come; rows without an id
+    are dealt by their number. ``spread`` numbers rows and decides nothing but which task counts a row's place.
     """
-    spark = docs.sparkSession
     text = F.col(text_col).cast("string")
-    whole = F.coalesce(text, F.lit(""))
+    whole, number = F.coalesce(text, F.lit("")), F.monotonically_increasing_id()
     rows = docs.select(
         F.col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
@@ -135,23 +161,42 @@ def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, id_col: str = "d
         slot_of(whole, slots).alias("vslot"),
         F.xxhash64(F.lit(3), whole).alias("mix"),
         F.xxhash64(whole).alias("text_hash"),
-        F.xxhash64(F.monotonically_increasing_id()).alias("spread"),
+        F.when(F.col(id_col).isNull(), F.xxhash64(number)).otherwise(F.xxhash64(F.lit(5), F.col(id_col), whole)).alias("deal"),
+        F.xxhash64(number).alias("spread"),
     )
-    rows = materialise(rows, "shard-rows")
-    sizes, split, heavy = slot_sizes(rows, shards, slots)
-    stored = _stored(spark, map_path)
-    if stored is None:
-        mapping, version = first_map(sizes, shards), 1
-    else:
-        version = stored.agg(F.max("version")).first()[0] + 1
-        mapping = edited_map(read_map(stored), sizes, shards)
+    return materialise(rows, "shard-rows")
+
+
+def next_version(rows: DataFrame, shards: int, slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, Column]:
+    """The map ``(part, shard)`` for these ``records``, and a row's part: a first map or, where ``map_path`` has some, the newest one
+    edited. It is appended there as the next version, with its splits."""
+    spark = rows.sparkSession
+    maps = _stored(spark, map_path and f"{map_path}/maps")
+    before = maps.agg(F.max("version")).first()[0] if maps is not None else 0
+    sizes, splits, repeated = slot_sizes(rows, shards, slots, read_splits(_stored(spark, f"{map_path}/splits"), before) if before else None)
+    mapping = edited_map(read_map(maps, before), sizes, shards) if before else first_map(sizes, shards)
+    table = map_table(spark, mapping, sizes, before + 1)
     if map_path:
-        map_table(spark, mapping, sizes, version).write.mode("append").parquet(map_path)
-        table = spark.read.parquet(map_path).filter(F.col("version") == version)
-    else:
-        table = map_table(spark, mapping, sizes, version)
+        splits_table(spark, splits, before + 1).write.mode("append").parquet(f"{map_path}/splits")
+        table.write.mode("append").parquet(f"{map_path}/maps")
+        table = spark.read.parquet(f"{map_path}/maps").filter(F.col("version") == before + 1)
+    return table.select("part", "shard"), part_of(splits, repeated, slots)
+
+
+def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text", map_path: str | None = None) -> DataFrame:
+    """``(id, size, text_crc32, vslot, part, shard, place)`` for each row: shards of near equal bytes.
+
+    A record's slot is a hash of its text and never changes; bytes are summed by slot, and a map from slots
+    to shards is made or, where ``map_path`` has one, edited and appended as its next version, with the splits of heavy
+    slots and texts: a row changes its part only when its part is split further. ``place`` is gapless
+    from 0 in each shard. Size: UTF-8 bytes of the text (null: none) plus 1. Equal texts share a shard
+    unless they alone exceed a shard's fair share. Repeated rows and null ids are records like any other; copies of a split
+    text that have no id, or whose id many have, are dealt by the row's number.
+    """
+    rows = records(docs, slots, id_col, text_col)
+    table, part = next_version(rows, shards, slots, map_path)
     # A map has a row for each slot and part at most.
-    placed = rows.withColumn("part", part_of(split, heavy, slots)).join(F.broadcast(table.select("part", "shard")), "part")
+    placed = rows.withColumn("part", part).join(F.broadcast(table), "part")
     # Places: rows are dealt to buckets by their number; running totals of the buckets' counts are added to a window's numbers.
     n = max(1, -(-rows.count() // BUCKET_ROWS))
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64("spread"), F.lit(n)))

@@ -373,7 +373,7 @@ def test_sharding(spark, rows, docs, none, tmp_path):
     path = str(tmp_path / "maps")
     shard(docs, 3, map_path=path).count()
     shard(docs, 4, map_path=path).count()
-    maps = spark.read.parquet(path)
+    maps = spark.read.parquet(path + "/maps")
     assert {r[0] for r in maps.select("version").distinct().collect()} == {1, 2}
     one, two = read_map(maps, 1), read_map(maps, 2)
     assert all(two[k] == one[k] or two[k] == 3 or one[k] != two[k] for k in two) and set(two.values()) == {0, 1, 2, 3}
@@ -397,6 +397,23 @@ def test_sharding_parts_copies_of_a_heavy_text_only(spark):
     assert all((r[2], r[3] + 1, r[5]) == (0, r[4], r[4]) for r in sums)
 
 
+def test_more_copies_of_a_heavy_text_move_few_bytes(spark, tmp_path):
+    from evidentia.llm.sharding import shard
+
+    others = [(i, f"text {i} " * (1 + i % 9)) for i in range(3000)]
+    copies = lambda n: [(10_000 + i, "heavy text " * 40) for i in range(n)]
+    path = str(tmp_path / "maps")
+    frame = lambda n: spark.createDataFrame(others + copies(n), "doc_id long, text string")
+    one = {r.doc_id: r for r in shard(frame(700), 8, map_path=path).collect()}
+    two = {r.doc_id: r for r in shard(frame(760), 8, map_path=path).collect()}
+    moved = sum(r.size for i, r in one.items() if r.shard != two[i].shard)
+    assert moved < 0.1 * sum(r.size for r in one.values()) and all(one[i].part == two[i].part for i in one)
+    sums = Counter()
+    for r in two.values():
+        sums[r.shard] += r.size
+    assert len(sums) == 8 and max(sums.values()) < 1.05 * sum(sums.values()) / 8
+
+
 def test_subword_lattice(spark, rows, docs, none):
     from evidentia.llm.lattice import Lattice, score_texts
 
