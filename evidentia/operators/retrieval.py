@@ -14,12 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as T
+from evidentia.operators.dense import DIGITS, top_k
 from evidentia.plans.shared import written, written_bytes
 
 #: A column function from text to its tokens.
 Tokenizer = Callable[[Column], Column]
-#: Digits to which scores are rounded before they are ranked, so that ties are ties on every engine.
-DIGITS = 6
 #: Rows, and bytes as written, of a side that may be broadcast; larger sides are joined by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
 
@@ -88,20 +87,9 @@ def bm25(docs: DataFrame, questions: DataFrame, k: int | None = 5, k1: float = 1
     return ranked(scored.filter("score > 0"), k, ["qid"], F.desc("score"), F.asc("doc"))
 
 
-def inner_product(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def dense(vectors: DataFrame, queries: DataFrame, k: int | None = 5, id_col: str = "vec_id", vector_col: str = "embedding", qid_col: str = "qid", query_col: str = "query") -> DataFrame:
-    """``(qid, id, score, rank)``: the k largest exact inner products for each query of a small query set, ties by id.
-
-    The query set is a stated, bounded one and is broadcast against all vectors; the best k of each task
-    are found before the shuffle.
-    """
-    asked = queries.select(F.col(qid_col).alias("qid"), F.col(query_col).alias("query"))
-    pairs = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).join(F.broadcast(asked))
-    scored = pairs.select("qid", "id", F.round(inner_product(F.col("v"), F.col("query")), DIGITS).alias("score"))
-    return ranked(scored, k, ["qid"], F.desc("score"), F.asc("id"))
+    """``(qid, id, score, rank)``: the k largest exact inner products for each query, ties by id; see ``dense.top_k``."""
+    return top_k(vectors, queries, k, id_col, vector_col, qid_col, query_col)
 
 
 def l2_normalised(vector: Column) -> Column:

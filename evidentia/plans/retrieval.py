@@ -99,7 +99,7 @@ def bm25_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
-    queries = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
+    queries = vectors.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
     return R.dense(vectors, queries, 5).select("qid", F.col("id").alias("vec_id"), "score", "rank")
 
 
@@ -184,7 +184,7 @@ ORACLE_SQL = {
 SELECT * FROM (
   SELECT qid, vec_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank
   FROM (SELECT q.vec_id AS qid, v.vec_id, round(list_inner_product(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score
-        FROM embeddings v, embeddings q WHERE q.vec_id % 100 = 0)
+        FROM embeddings v, embeddings q)
 ) WHERE rank <= 5""",
     "r15_score_fusion": f"WITH {TOKENS}, {TOP}, {COVER}, {FUSED} SELECT qid, id, score, kind FROM fused",
     "r16_evidence_allocation": f"""WITH {TOKENS}, {TOP}, {COVER}, {FUSED}, {EVIDENCE},

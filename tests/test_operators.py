@@ -6,6 +6,7 @@ import random
 import re
 from functools import lru_cache
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,6 +178,28 @@ def test_bm25_ranking(spark):
         R.bm25(docs, ask, 3, k1=0)
 
 
+def test_dense_topk_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr("evidentia.operators.dense.LEAST_ROWS", 8)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(6, 5))
+    x = np.vstack((centres[rng.integers(0, 6, 90)] + 0.05 * rng.normal(size=(90, 5)), np.tile(centres[0], (40, 1)), np.zeros((3, 5)))).round(3)
+    vectors = [(f"v{i:03d}", v.tolist()) for i, v in enumerate(x)] + [("none", None)]
+    asked = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(25, 5)).round(3))] + [(90, [0.0] * 5), (91, None)]
+    frames = spark.createDataFrame(vectors, "vec_id string, embedding array<float>"), spark.createDataFrame(asked, "qid int, query array<double>")
+    want = {}
+    for q, a in asked:
+        if a is not None:
+            scores = [(-round(float(np.dot(np.float32(v).astype(float), a)), 6), i) for i, v in vectors if v is not None]
+            want[q] = [(i, -s) for s, i in sorted(scores)]
+    for k in (1, 4, 60, 500, None):
+        got = {}
+        for r in R.dense(*frames, k).orderBy("qid", "rank").collect():
+            got.setdefault(r.qid, []).append((r.id, r.score + 0.0))
+        assert {q: [(i, pytest.approx(s, abs=1e-9)) for i, s in rows[:k]] for q, rows in want.items()} == got
+    assert R.dense(frames[0].limit(0), frames[1], 3).count() == 0 and R.dense(frames[0], frames[1].limit(0), 3).count() == 0
+    assert "NestedLoop" not in R.dense(*frames, 3)._jdf.queryExecution().toString()
+
+
 def test_stored_index_grows_and_answers_alike(spark, tmp_path):
     rng = random.Random(8)
     docs = [(k, None if k == 3 else " ".join(rng.choice("ab bc cd de ef fg".split()) for _ in range(rng.randrange(0, 9)))) for k in range(30)]
