@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from evidentia.functions import text as T
 from evidentia.operators import retrieval as R
 from evidentia.plans.shared import delete, written
+from evidentia.plans.versions import Versions
 
 #: Buckets of terms, and segments of one level that become one of the next.
 BUCKETS, FAN_IN = 32, 4
@@ -42,29 +43,13 @@ class Index:
 
     def __init__(self, spark: SparkSession, path: str, tokens: R.Tokenizer = T.tokens) -> None:
         self.spark, self.path, self.tokens = spark, path.rstrip("/"), tokens
-
-    def _fs(self, *parts: str):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
-        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[int]:
-        """Versions whose manifest is whole."""
-        place, fs = self._fs("manifest")
-        if not fs.exists(place):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(place)]
-        return sorted(int(n[1:]) for n in names if fs.exists(self._fs("manifest", n, "_SUCCESS")[0]))
+        self.versions = Versions(spark, path, _MANIFEST)
 
     def segments(self, version: int | None = None) -> list[Segment]:
-        known = self.versions()
-        if not known:
-            return []
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/v{version or known[-1]}").collect()
-        return sorted((Segment(*r) for r in rows), key=lambda s: (s.level, s.name))
+        return sorted((Segment(*r) for r in self.versions.rows(version)), key=lambda s: (s.level, s.name))
 
     def _publish(self, segments: list[Segment]) -> None:
-        rows = [(s.name, s.level, s.n_docs, s.total_length) for s in segments]
-        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.parquet(f"{self.path}/manifest/v{max(self.versions(), default=0) + 1}")
+        self.versions.publish([(s.name, s.level, s.n_docs, s.total_length) for s in segments])
 
     def _store(self, postings: DataFrame, terms: DataFrame) -> str:
         """Writes a segment; a bucket's rows come from one task in order of terms."""
@@ -99,16 +84,11 @@ class Index:
 
     def vacuum(self, keep: int = 1) -> None:
         """Deletes all but the last ``keep`` versions, and the segments that none of those has."""
-        kept = self.versions()[-keep:]
-        live = {s.name for v in kept for s in self.segments(v)}
-        for version in self.versions()[:-keep]:
-            place, fs = self._fs("manifest", f"v{version}")
-            fs.delete(place, True)
+        live = {s.name for v in self.versions.keep_last(keep) for s in self.segments(v)}
         for kind in ("postings", "terms"):
-            place, fs = self._fs(kind)
-            for found in fs.listStatus(place) if fs.exists(place) else []:
-                if found.getPath().getName().removeprefix("segment=") not in live:
-                    fs.delete(found.getPath(), True)
+            for name in self.versions.names(kind):
+                if name.removeprefix("segment=") not in live:
+                    self.versions.drop(kind, name)
 
     def _read(self, kind: str, segments: list[Segment]) -> DataFrame:
         parts = [self.spark.read.parquet(f"{self.path}/{kind}/segment={s.name}") for s in segments if self._has(kind, s)]
@@ -117,8 +97,7 @@ class Index:
         return reduce(DataFrame.unionByName, parts)
 
     def _has(self, kind: str, segment: Segment) -> bool:
-        place, fs = self._fs(kind, f"segment={segment.name}")
-        return any(s.isDirectory() for s in fs.listStatus(place))
+        return any(n.startswith("bucket=") for n in self.versions.names(kind, f"segment={segment.name}"))
 
     def asked(self, kind: str, terms: DataFrame, version: int | None = None) -> DataFrame | None:
         """The rows of ``terms`` (one column ``term``, distinct): their buckets alone are read. None if the index has no tokens.

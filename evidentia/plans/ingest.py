@@ -123,9 +123,9 @@ def incremental_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = V.table(spark, sf_dir, "pages").select((F.col("page_id") % 83).alias("slot"), "url", F.col("page_id").alias("ordinal"))
     path = _scratch(spark)
     for turn in range(3):
-        pages.filter(F.col("ordinal") % 3 == turn).coalesce(1).write.mode("append").parquet(f"{path}/landing")
+        pages.filter(F.col("ordinal") % 3 == turn).repartition(2).write.mode("append").parquet(f"{path}/landing")
     done = S.collect(spark, f"{path}/landing", pages.schema, f"{path}/table", "slot", "ordinal", f"{path}/checkpoint")
-    pages.filter("ordinal % 50 = 0").withColumns({"ordinal": F.col("ordinal") + 1000000, "url": F.lit("again")}).coalesce(1).write.mode("append").parquet(f"{path}/landing")
+    pages.filter("ordinal % 50 = 0").withColumns({"ordinal": F.col("ordinal") + 1000000, "url": F.lit("again")}).repartition(2).write.mode("append").parquet(f"{path}/landing")
     done = S.collect(spark, f"{path}/landing", pages.schema, f"{path}/table", "slot", "ordinal", f"{path}/checkpoint")
     return keep_last(done, ["slot"], "ordinal").select("slot", "url")
 

@@ -9,6 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from evidentia.functions import ids, urls
 from evidentia.functions import segment as S
@@ -217,7 +218,7 @@ def test_stored_index_grows_and_answers_alike(spark, tmp_path):
     assert rows(index.bm25(ask, 4, version=2)) == rows(R.bm25(early, ask, 4, id_col="doc_id"))
     now = rows(index.bm25(ask, None))
     index.vacuum()
-    assert rows(index.bm25(ask, None)) == now and len(index.versions()) == 1
+    assert rows(index.bm25(ask, None)) == now and len(index.versions.known()) == 1
     assert len(list((tmp_path / "ix" / "postings").iterdir())) == 2
     empty = Index(spark, f"file://{tmp_path}/empty").add(spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string"))
     assert rows(empty.bm25(ask)) == []
@@ -605,18 +606,43 @@ def test_listing_totals_and_pages(spark):
 def test_merged_table(spark, tmp_path, monkeypatch):
     from evidentia.streaming import collect as S
 
-    monkeypatch.setattr(S, "PARTS", 3)
-    table = S.MergedTable(spark, str(tmp_path / "t"), "k", "n")
+    monkeypatch.setattr(S, "FAN_IN", 2)
+    monkeypatch.setattr(S, "BUCKETS", 2)
+    table = S.MergedTable(spark, f"file://{tmp_path}/t", "k", "n")
     assert table.read() is None
-    best = {}
+    written, store = [], S.MergedTable._store
+    monkeypatch.setattr(S.MergedTable, "_store", lambda self, rows: written.append(rows.count()) or store(self, rows))
+    best, before = {}, None
     for turn in range(8):
-        rows = [(k, turn * 10 + k % 3, f"{turn}") for k in range(turn % 4, 6)]
+        rows = [(k, turn * 10 + k % 3, f"{turn}") for k in range(turn % 4, 6)] if turn != 5 else []
         best |= {k: max(best.get(k, (-1, "")), (n, v)) for k, n, v in rows}
-        for _ in range(1 + turn % 2):  # a replayed batch counts once
-            table.add(spark.createDataFrame(rows, "k int, n int, v string"), f"a-{turn:03d}")
-            table.merge()
+        for again in range(1 + turn % 2):  # a replayed batch changes nothing
+            assert table.add(spark.createDataFrame(rows, "k int, n int, v string"), "a", turn) is not bool(again)
         assert {r.k: (r.n, r.v) for r in table.read().collect()} == best
-    assert len(table._names("base-")) == 2
+        if before:  # a reader of the version before still finds its parts
+            assert {r.k: (r.n, r.v) for r in table.read(table.versions.known()[-2]).collect()} == before
+        before = dict(best)
+    # Eight batches of at most six rows are merged three times each; what no kept version has is gone.
+    assert sum(written) <= 8 * 6 * 4 and [level for _, level in table._state()[0]] == [3]
+    assert len(table.versions.known()) == 2 and len(table.versions.names("parts")) <= 4
+    found = table.lookup(spark.createDataFrame([(3,), (77,)], "k int")).collect()
+    assert [(r.k, r.n, r.v) for r in found] == [(3, *best[3])]
+
+
+def test_registry_stream_frees_addresses(spark, tmp_path):
+    from evidentia.streaming import collect as S
+
+    schema = T_.StructType([T_.StructField("id", T_.StringType()), T_.StructField("url", T_.StringType()), T_.StructField("n", T_.IntegerType())])
+    land = lambda *rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    take = lambda: {(r.id, r.url) for r in S.collect_owned(spark, f"{tmp_path}/in", schema, f"file://{tmp_path}/t", "id", F.col("url"), "n", f"{tmp_path}/ck").collect()}
+    land(("a", "u1", 1))
+    assert take() == {("a", "u1")}
+    land(("c", "u1", 2))
+    assert take() == {("a", "u1")}
+    land(("a", "u2", 3), ("b", "u1", 4))
+    assert take() == {("a", "u2"), ("b", "u1")}
+    land(("a", "u1", 5), ("c", "u9", 6), ("b", "u3", 7))
+    assert take() == {("a", "u2"), ("b", "u3"), ("c", "u9")} == take()
 
 
 def test_tokens_follow_the_pattern(spark):
