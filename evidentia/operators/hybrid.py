@@ -10,11 +10,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.operators import graph as G
 from evidentia.functions import text as T
+from evidentia.operators import graph as G
 from evidentia.operators import retrieval as R
 from evidentia.plans.shared import written
+from evidentia.plans.versions import Versions
 from evidentia.sources.release import exists
+from evidentia.streaming.collect import MergedTable, bucket_of
 
 #: Every evidence row has these columns; what a kind of evidence doesn't have is null.
 EVIDENCE = {
@@ -151,32 +153,63 @@ def ask(spark: SparkSession, question: str, retriever: Retriever, mode: str = "h
     return R.answer(questions, found, minimum_score), found.orderBy("rank")
 
 
+def vector_table(spark: SparkSession, path: str) -> MergedTable:
+    """The stored vectors of an index: (chunk_id, sha, embedding, turn), the last turn of a chunk counts; of a chunk that is gone the vector is null."""
+    return MergedTable(spark, f"{path}/vectors", "chunk_id", "turn")
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """``(chunk_id, embedding)`` of the chunks that the index has."""
+    return vector_table(spark, path).read().filter("embedding is not null").select("chunk_id", "embedding")
+
+
 def build_index(chunks: DataFrame, path: str, encode: Callable[[Column], Column], model: str, normalised: bool = True, resume: bool = True) -> tuple[dict, bool]:
-    """``(manifest, reused)``: vectors of all chunks (chunk_id, text) as a Parquet index below ``path``.
+    """``(manifest, reused)``: vectors of all chunks (chunk_id, text) below ``path``.
 
-    An index whose manifest tells the same chunks, model and normalisation is used again. Without chunks it is an error.
+    The manifest holds a digest of the ids and texts of each bucket of chunks. Buckets whose digest is the same are not read; in the others
+    chunks that are new or have another text are encoded and written, and those that are gone are marked. The manifest tells how many
+    were ``encoded`` and ``removed``; with neither the index is used again as it is. Another model or normalisation, or ``resume=False``, starts anew. Without
+    chunks it is an error.
     """
-    from evidentia.sources.jsonl import stage_manifest
-
     spark = chunks.sparkSession
-    rows = chunks.select("chunk_id", "text")
-    expected = {"input": stage_manifest([rows], {}), "model": model, "normalised": normalised}
-    if resume and (old := read_index_manifest(spark, path)) and all(old.get(k) == v for k, v in expected.items()):
-        return old, True
-    if rows.isEmpty():
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = chunks.select("chunk_id", "text", sha.alias("sha"), bucket_of("chunk_id").alias("bucket"))
+    digest = F.concat_ws(":", F.count("*"), F.sum(F.xxhash64("chunk_id", "sha").cast("decimal(38,0)")))
+    buckets = {str(r.bucket): r.digest for r in rows.groupBy("bucket").agg(digest.alias("digest")).collect()}
+    if not buckets:
         raise ValueError("there are no chunks to index")
-    rows.select("chunk_id", encode(F.col("text")).alias("embedding")).write.mode("overwrite").parquet(f"{path}/vectors")
-    index = spark.read.parquet(f"{path}/vectors")
-    count, dimension = index.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    manifest = expected | {"count": count, "dimension": dimension}
+    same = {"model": model, "normalised": normalised}
+    old = read_index_manifest(spark, path)
+    if not (resume and old and all(old.get(k) == v for k, v in same.items())):
+        old = {"buckets": {}, "turn": 0}
+        Versions(spark, path, "").drop("vectors")
+    changed = [int(b) for b in {*buckets, *old["buckets"]} if buckets.get(b) != old["buckets"].get(b)]
+    if not changed:
+        return old | {"encoded": 0, "removed": 0}, True
+    table, turn = vector_table(spark, path), old["turn"] + 1
+    before = table.read(buckets=changed)
+    asked = rows.filter(F.col("bucket").isin(changed))
+    if before is None:
+        added = asked
+    else:
+        held = before.filter("embedding is not null").select("chunk_id", F.col("sha").alias("old_sha"))
+        added = asked.join(held, "chunk_id", "left").filter("old_sha is null or old_sha <> sha")
+        gone = held.join(asked, "chunk_id", "left_anti").select("chunk_id")
+    now = F.lit(turn).cast("long").alias("turn")
+    encoded = added.select("chunk_id", "sha", encode(F.col("text")).alias("embedding"), now)
+    if before is not None:
+        encoded = encoded.unionByName(gone.select("chunk_id", F.lit(None).cast("string").alias("sha"), F.lit(None).cast(encoded.schema["embedding"].dataType).alias("embedding"), now))
+    table.add(encoded)
+    live = F.col("embedding").isNotNull()
+    fresh = F.col("turn") == turn
+    count, dimension, new, removed = table.read().agg(F.count_if(live), F.max(F.size("embedding")), F.count_if(fresh & live), F.count_if(fresh & ~live)).first()
+    manifest = same | {"buckets": buckets, "turn": turn, "count": count, "dimension": dimension, "encoded": new, "removed": removed}
     spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_manifest")
     return manifest, False
 
 
 def read_index_manifest(spark: SparkSession, path: str) -> dict | None:
-    if not (exists(spark, f"{path}/_manifest/_SUCCESS") and exists(spark, f"{path}/vectors/_SUCCESS")):
-        return None
-    return json.loads(spark.read.text(f"{path}/_manifest").first()[0])
+    return json.loads(spark.read.text(f"{path}/_manifest").first()[0]) if exists(spark, f"{path}/_manifest/_SUCCESS") else None
 
 
 def open_retriever(spark: SparkSession, path: str, encoders: dict[str, Callable[[Column], Column]], scorer: Callable[[Column, Column], Column] | None = None, config: dict | None = None) -> Retriever:
@@ -191,7 +224,7 @@ def open_retriever(spark: SparkSession, path: str, encoders: dict[str, Callable[
     manifest = read_index_manifest(spark, f"{path}/index")
     out = Retriever(weights=(float(retrieval.get("dense_weight", 0.6)), float(retrieval.get("sparse_weight", 0.4))))
     if manifest and "chunks" in there:
-        out.vector = vector_leaf(there["chunks"], spark.read.parquet(f"{path}/index/vectors"), encoders[manifest["model"]])
+        out.vector = vector_leaf(there["chunks"], read_vectors(spark, f"{path}/index"), encoders[manifest["model"]])
     if sparse.get("enabled", True) and "chunks" in there:
         out.bm25 = bm25_leaf(there["chunks"], float(sparse.get("k1", 1.5)), float(sparse.get("b", 0.75)))
     if {"entities", "facts", "sources"} <= there.keys():

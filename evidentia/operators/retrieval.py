@@ -5,7 +5,7 @@ Every operator answers a table of questions at once; one question is a table of
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -98,24 +98,52 @@ def l2_normalised(vector: Column) -> Column:
     return F.when(length > 0, F.transform(vector, lambda x: (x / length).cast("float"))).otherwise(F.transform(vector, lambda x: x.cast("float")))
 
 
-def encoder(model: Callable, normalise: bool = True) -> Callable[[Column], Column]:
-    """A column function from a batch model ``list of texts -> list of vectors``, Arrow batch by batch; the seam for any encoder."""
+_MODELS: dict[str, Callable] = {}
+
+
+def loaded(load: Callable[[], Callable], name: str) -> Callable:
+    """What ``load`` gives, loaded once by each worker process under a name."""
+    if name not in _MODELS:
+        _MODELS[name] = load()
+    return _MODELS[name]
+
+
+def _by_length(model: Callable, rows: list, size: Callable, at_once: int) -> list:
+    """The model's results for rows in order, asked in groups of like size so that little is padded."""
+    order = sorted(range(len(rows)), key=lambda i: size(rows[i]))
+    out: list = [None] * len(rows)
+    for at in range(0, len(order), at_once):
+        part = order[at : at + at_once]
+        for i, value in zip(part, model([rows[i] for i in part]), strict=True):
+            out[i] = value
+    return out
+
+
+def encoder(load: Callable[[], Callable], name: str, normalise: bool = True, at_once: int = 64) -> Callable[[Column], Column]:
+    """A column function from a batch model ``list of texts -> list of vectors``: the seam for any encoder.
+
+    ``load`` makes the model; only ``load`` itself is sent to workers, and each calls it once for all its tasks and batches.
+    """
 
     @F.pandas_udf("array<float>")
-    def encoded(texts: pd.Series) -> pd.Series:
-        vectors = np.asarray(model(texts.fillna("").tolist()), np.float64).reshape(len(texts), -1)
-        lengths = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-        return pd.Series(list((vectors / np.where(lengths > 0, lengths, 1.0) if normalise else vectors).astype(np.float32)))
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = _by_length(loaded(load, name), texts.fillna("").tolist(), len, at_once)
+            vectors = np.asarray(found, np.float64).reshape(len(texts), -1)
+            lengths = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+            yield pd.Series(list((vectors / np.where(lengths > 0, lengths, 1.0) if normalise else vectors).astype(np.float32)))
 
     return encoded
 
 
-def pair_scorer(model: Callable) -> Callable[[Column, Column], Column]:
-    """A column function of (question, text) from a batch model ``list of pairs -> list of scores``: the seam for any reranker."""
+def pair_scorer(load: Callable[[], Callable], name: str, at_once: int = 64) -> Callable[[Column, Column], Column]:
+    """A column function of (question, text) from a batch model ``list of pairs -> list of scores``, loaded as by ``encoder``: the seam for any reranker."""
 
     @F.pandas_udf("double")
-    def scored(questions: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series([float(x) for x in model(list(zip(questions.fillna(""), texts.fillna(""), strict=True)))])
+    def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for questions, texts in batches:
+            pairs = list(zip(questions.fillna(""), texts.fillna(""), strict=True))
+            yield pd.Series(_by_length(loaded(load, name), pairs, lambda p: len(p[0]) + len(p[1]), at_once), dtype="float64")
 
     return scored
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from evidentia.plans import derived as D
 from evidentia.plans import retrieval as RP
 from evidentia.plans import views as V
 from evidentia.plans.relational import ENTITIES
-from evidentia.plans.shared import shared_dir
+from evidentia.plans.shared import folder
 
 LETTERS = "aeinorst"
 ALL_MODES = ("vector-only", "bm25-only", "graph-only", "hybrid", "vector-only+rerank", "bm25-only+rerank", "graph-only+rerank", "hybrid+rerank")
@@ -54,26 +52,29 @@ def retriever(spark: SparkSession, sf_dir: str) -> H.Retriever:
 
 def encoder_seam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of a batch model through the Arrow seam."""
-    model = lambda texts: [[t.lower().count(c) for c in LETTERS] for t in texts]
-    v = V.table(spark, sf_dir, "documents").select("doc_id", R.encoder(model)(F.col("text")).alias("v"))
+    load = lambda: lambda texts: [[t.lower().count(c) for c in LETTERS] for t in texts]
+    v = V.table(spark, sf_dir, "documents").select("doc_id", R.encoder(load, "letters")(F.col("text")).alias("v"))
     return v.select("doc_id", *(F.round(F.col("v")[i].cast("double"), 5).alias(f"v{i}") for i in range(len(LETTERS))))
 
 
 def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An index is built, found again, and built anew for another model and for other chunks."""
-    path, c = f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}", chunks(spark, sf_dir)
-    steps = [("build", c, "m1"), ("again", c, "m1"), ("other model", c, "m2"), ("other chunks", c.filter("source_id <> 'src_src1'"), "m2")]
+    """An index is built, found again, follows chunks that go and texts that change, and is built anew for another model."""
+    path, c = folder(spark, "vectors"), chunks(spark, sf_dir).select("chunk_id", "source_id", "text")
+    left = c.filter("source_id <> 'src_src1'")
+    changed = left.withColumn("text", F.when(F.substring("chunk_id", -1, 1) == "0", F.concat("text", F.lit(" once more"))).otherwise(F.col("text")))
     rows = []
-    for name, part, model in steps:
+    for name, part, model in (("build", c, "m1"), ("again", c, "m1"), ("some gone", left, "m1"), ("some changed", changed, "m1"), ("other model", changed, "m2")):
         manifest, reused = H.build_index(part.select("chunk_id", "text"), path, encode, model)
-        rows.append((name, reused, manifest["count"], manifest["dimension"]))
-    return spark.createDataFrame(rows, "step string, reused boolean, n long, dimension int")
+        rows.append((name, reused, manifest["count"], manifest["dimension"], manifest["encoded"], manifest["removed"]))
+    return spark.createDataFrame(rows, "step string, reused boolean, n long, dimension int, encoded long, removed long")
 
 
 def available_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modes by which each question can be asked, if its number's bits tell which leaves and scorer there are."""
     leaf = lambda q, k: q
-    rows = [(f"{v:d}{b:d}{g:d}{s:d}", m) for v in (0, 1) for b in (0, 1) for g in (0, 1) for s in (0, 1) for m in H.Retriever(*(leaf if x else None for x in (v, b, g)), score_pair if s else None).modes()]
-    return spark.createDataFrame(rows, "leaves string, mode string")
+    modes = [H.Retriever(*(leaf if n >> bit & 1 else None for bit in range(3)), score_pair if n >> 3 & 1 else None).modes() for n in range(16)]
+    known = F.array(*(F.array(*map(F.lit, m)).cast("array<string>") for m in modes))
+    return V.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.explode(F.get(known, (F.col("item_id") % 16).cast("int"))).alias("mode"))
 
 
 def _mode(mode: str):
@@ -159,11 +160,13 @@ FROM questions q LEFT JOIN (SELECT qid, min(CASE WHEN source_id = gold THEN rank
 
 ORACLE_SQL = {
     "r5_encoder": f"SELECT doc_id, {', '.join(f'round(CAST(v[{i + 1}] AS DOUBLE), 5) AS v{i}' for i in range(8))} FROM (SELECT doc_id, {_VECTOR('coalesce(text, chr(32))')} AS v FROM documents)",
-    "r6_vector_index": """SELECT 'build' AS step, false AS reused, count(*) AS n, 8 AS dimension FROM documents UNION ALL SELECT 'again', true, count(*), 8 FROM documents UNION ALL SELECT 'other model', false, count(*), 8 FROM documents
-UNION ALL SELECT 'other chunks', false, count(*), 8 FROM documents WHERE coalesce(source, 'none') <> 'src1'""",
-    "r18_modes": """WITH bits AS (SELECT v, b, g, s FROM (VALUES (0), (1)) x1(v), (VALUES (0), (1)) x2(b), (VALUES (0), (1)) x3(g), (VALUES (0), (1)) x4(s)),
-base AS (SELECT v || '' || b || g || s AS leaves, s, unnest(list_filter([CASE WHEN v = 1 THEN 'vector-only' END, CASE WHEN b = 1 THEN 'bm25-only' END, CASE WHEN g = 1 THEN 'graph-only' END, CASE WHEN v + b + g >= 2 THEN 'hybrid' END], lambda x: x IS NOT NULL)) AS mode FROM bits)
-SELECT leaves, mode FROM base UNION ALL SELECT leaves, mode || '+rerank' FROM base WHERE s = 1""",
+    "r6_vector_index": """WITH c AS (SELECT coalesce(source, 'none') = 'src1' AS gone, doc_id % 10 = 0 AS changed FROM documents), n AS (SELECT count(*) AS every, count_if(gone) AS gone, count_if(NOT gone) AS left_, count_if(NOT gone AND changed) AS changed FROM c)
+SELECT 'build' AS step, false AS reused, every AS n, 8 AS dimension, every AS encoded, 0 AS removed FROM n UNION ALL SELECT 'again', true, every, 8, 0, 0 FROM n UNION ALL SELECT 'some gone', false, left_, 8, 0, gone FROM n
+UNION ALL SELECT 'some changed', false, left_, 8, changed, 0 FROM n UNION ALL SELECT 'other model', false, left_, 8, left_, 0 FROM n""",
+    "r18_modes": """WITH q AS (SELECT item_id AS qid, item_id & 1 > 0 AS v, item_id & 2 > 0 AS b, item_id & 4 > 0 AS g, item_id & 8 > 0 AS s FROM benchmark),
+base AS (SELECT qid, s, 'vector-only' AS mode FROM q WHERE v UNION ALL SELECT qid, s, 'bm25-only' FROM q WHERE b UNION ALL SELECT qid, s, 'graph-only' FROM q WHERE g
+  UNION ALL SELECT qid, s, 'hybrid' FROM q WHERE CAST(v AS INT) + CAST(b AS INT) + CAST(g AS INT) >= 2)
+SELECT qid, mode FROM base UNION ALL SELECT qid, mode || '+rerank' FROM base WHERE s""",
     "r24_evaluation": f"WITH {LEAVES} " + " UNION ALL ".join(map(_metrics_sql, ALL_MODES)),
 }
 ORACLE_SQL |= {f"r19_{m.replace('-only', '').replace('+', '_')}": f"WITH {LEAVES} SELECT qid, evidence_id, source_id, kind, score, retrieval_score, rank FROM ({_mode_sql(m, 6)})" for m in ALL_MODES}

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.plans import catalogs, checks, derived, han, ingest, modes, relational, retrieval
+from evidentia.plans import catalogs, checks, derived, han, ingest, modes, relational, reports, retrieval
 
-PARTS = (retrieval, relational, derived, ingest, catalogs, modes, checks, han)
+PARTS = (retrieval, relational, derived, ingest, catalogs, modes, checks, han, reports)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for part in PARTS for k, v in part.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {k: v for part in PARTS for k, v in part.ORACLE_SQL.items()}
 

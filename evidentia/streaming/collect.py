@@ -19,6 +19,10 @@ BUCKETS, FAN_IN, KEPT = 16, 4, 2
 _MANIFEST = "kind string, name string, level int, number long"
 
 
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 class MergedTable:
     """A keyed table in parts by level; a reader takes the last row of each key.
 
@@ -41,24 +45,24 @@ class MergedTable:
 
     def _store(self, rows: DataFrame) -> str:
         name = uuid.uuid4().hex
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(BUCKETS)).cast("int")
-        rows.withColumn("_bucket", bucket).repartition(BUCKETS, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/parts/{name}")
+        rows.withColumn("_bucket", bucket_of(self.key)).repartition(BUCKETS, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/parts/{name}")
         return name
 
     def _union(self, parts: list[str]) -> DataFrame | None:
         held = [p for p in parts if any(n.startswith("_bucket=") for n in self.versions.names("parts", p))]
         return keep_last(reduce(DataFrame.unionByName, (self.spark.read.parquet(f"{self.path}/parts/{p}") for p in held)), ["_bucket", self.key], self.ordinal) if held else None
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The table, of a kept version if told; None before the first row."""
+    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+        """The table, of a kept version or some buckets alone if told; None before the first row."""
         found = self._union([name for name, _ in self._state(version)[0]])
+        if found is not None and buckets is not None:
+            found = found.filter(F.col("_bucket").isin(buckets))
         return None if found is None else found.drop("_bucket")
 
     def lookup(self, keys: DataFrame) -> DataFrame | None:
         """The rows of ``keys`` (one column, that of the key); only their buckets are read."""
-        found = self._union([name for name, _ in self._state()[0]])
-        buckets = [r[0] for r in keys.select(F.pmod(F.xxhash64(self.key), F.lit(BUCKETS)).cast("int")).distinct().collect()]
-        return None if found is None else found.filter(F.col("_bucket").isin(buckets)).drop("_bucket").join(keys, self.key, "left_semi")
+        found = self.read(buckets=[r[0] for r in keys.select(bucket_of(self.key)).distinct().collect()])
+        return None if found is None else found.join(keys, self.key, "left_semi")
 
     def add(self, rows: DataFrame, stream: str = "", number: int = -1) -> bool:
         """Adds a batch, and merges levels that are full; False if this batch of the stream is in already. A number below 0 is always added."""

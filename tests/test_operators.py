@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import random
 import re
 from functools import lru_cache
@@ -179,6 +180,46 @@ def test_bm25_ranking(spark):
         R.bm25(docs, ask, 3, k1=0)
 
 
+def test_dataset_report_of_small_and_empty_tables(spark):
+    from evidentia.operators.report import dataset_report
+
+    sources = spark.createDataFrame([("a", "web", "open", "full_text_allowed", "x.org", ["t", "u"], []), ("b", "api", "open", "local_only", "y.org", None, ["r"]), ("c", "api", "open", "full_text_allowed", "sub.z.org", [], [])], "source_id string, source_type string, license_status string, release_policy string, domain string, topic array<string>, region array<string>")
+    entities = spark.createDataFrame([("REGION",), (None,)], "type string")
+    facts = spark.createDataFrame([("p", "a", True, False), ("p", "gone", False, True), (None, "c", None, None)], "predicate string, evidence_source_id string, verified boolean, manual_checked boolean")
+    chunks = spark.createDataFrame([("b", "synthetic_fact", "1234"), ("b", "open_text", "12"), ("a", "open_text", None), (None, "open_text", "123456789")], "source_id string, chunk_kind string, text string")
+    questions = spark.createDataFrame([("k", True, True, ["a", "a", "gone"]), ("k", False, None, None)], "answer_type string, unanswerable boolean, manual_checked boolean, evidence_source_ids array<string>")
+    tables = sources, entities, facts, chunks, questions
+    got = {(r.section, r.key): r.value for r in dataset_report(*tables, ["z.org"]).collect()}
+    want = {("counts", "sources"): 3, ("counts", "entities"): 2, ("counts", "facts"): 3, ("counts", "manually_checked_facts"): 1, ("facts", "verified"): 1, ("relation", "p"): 2, ("topic", "t"): 1, ("region", "r"): 1, ("entity_type", "REGION"): 1, ("chunks", "average_length_chars"): 3.75, ("chunks", "median_length_chars"): 3}
+    want |= {("qa", "unanswerable_ratio"): 0.5, ("average_per_source", "qa"): 0.666667, ("source_facts", "a"): 1, ("source_facts", "b"): 0, ("source_qa", "a"): 1, ("source_chunks", "b"): 2, ("restricted_audit", "sources"): 2, ("restricted_audit", "all_chunk_records"): 2, ("restricted_audit", "open_text_violations"): 1, ("restricted_audit", "passed"): 0}
+    assert want.items() <= got.items() and not any(k == "gone" for _, k in got) and sum(s == "source_qa" for s, _ in got) == 3
+    none = {(r.section, r.key): r.value for r in dataset_report(*(t.limit(0) for t in tables)).collect()}
+    assert {k: v for k, v in none.items() if v} == {("restricted_audit", "passed"): 1} and none["chunks", "median_length_chars"] == 0 and len(none) == 20
+
+
+def test_models_load_once_a_worker_and_vectors_follow_changes(spark, tmp_path):
+    from evidentia.operators import hybrid as H
+
+    log = f"{tmp_path}/loads"
+
+    def load():
+        with open(log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+        return lambda texts: [[len(t), sum(len(x) <= len(t) for x in texts)] for t in texts]
+
+    encode = R.encoder(load, f"counted-{tmp_path}", normalise=False, at_once=5)
+    rows = spark.createDataFrame([(f"c{i:03d}", "x" * (i * 7 % 41)) for i in range(200)], "chunk_id string, text string").repartition(6)
+    for _ in range(2):
+        assert {r.chunk_id: r.v[0] for r in rows.select("chunk_id", encode(F.col("text")).alias("v")).collect()} == {f"c{i:03d}": i * 7 % 41 for i in range(200)}
+    loads = open(log).read().split()
+    assert len(loads) == len(set(loads))
+    path = f"{tmp_path}/index"
+    changed = rows.filter("chunk_id <> 'c007'").withColumn("text", F.when(F.col("chunk_id") == "c100", F.lit("new")).otherwise(F.col("text"))).union(spark.createDataFrame([("d", "yy")], "chunk_id string, text string"))
+    told = [(m["encoded"], m["removed"], m["count"], again) for m, again in (H.build_index(x, path, encode, "m") for x in (rows, rows, changed, changed, rows))]
+    assert told == [(200, 0, 200, False), (0, 0, 200, True), (2, 1, 200, False), (0, 0, 200, True), (2, 1, 200, False)]
+    assert {r.chunk_id: r.embedding[0] for r in H.read_vectors(spark, path).collect()} == {f"c{i:03d}": i * 7 % 41 for i in range(200)}
+
+
 def test_dense_topk_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr("evidentia.operators.dense.LEAST_ROWS", 8)
     rng = np.random.default_rng(6)
@@ -476,20 +517,19 @@ def test_modes_and_index(spark, tmp_path):
     from evidentia.operators import hybrid as H
 
     chunks = spark.createDataFrame([("c1", "s1", "alpha beta", "u1"), ("c2", "s2", "beta gamma gamma", "u2"), ("c3", "s1", "delta", "u3")], "chunk_id string, source_id string, text string, source_url string")
-    encode = R.encoder(lambda texts: [[t.count("a"), t.count("g"), 1.0] for t in texts])
+    encode = R.encoder(lambda: lambda texts: [[t.count("a"), t.count("g"), 1.0] for t in texts], "letters")
     manifest, reused = H.build_index(chunks, str(tmp_path / "index"), encode, "m")
     assert (manifest["count"], manifest["dimension"], reused) == (3, 3, False) and H.build_index(chunks, str(tmp_path / "index"), encode, "m")[1]
     assert not H.build_index(chunks.limit(2), str(tmp_path / "index"), encode, "m")[1] and not H.build_index(chunks, str(tmp_path / "index"), encode, "m", normalised=False)[1]
     with pytest.raises(ValueError):
         H.build_index(chunks.limit(0), str(tmp_path / "none"), encode, "m")
-    lengths = spark.read.parquet(str(tmp_path / "index/vectors")).select(R.inner_product(F.col("embedding"), F.col("embedding"))).collect()
-    assert all(abs(r[0] - 1) < 1e-6 for r in lengths)
+    assert all(abs(sum(x * x for x in r.embedding) - 1) < 1e-6 for r in H.read_vectors(spark, str(tmp_path / "index")).collect())
 
     f = fact(spark, dict(subject="alpha", predicate="located_in", object="beta", evidence_source_id="s9")).withColumns({"subject_name": F.col("subject"), "object_name": F.col("object"), "evidence_url": F.lit("u9")})
     sources = spark.createDataFrame([("s9", "S")], "source_id string, title string")
     for name, df in (("chunks", chunks), ("facts", f), ("sources", sources), ("entities", E.build_entities(f))):
         df.write.parquet(str(tmp_path / name))
-    r = H.open_retriever(spark, str(tmp_path), {"m": encode}, R.pair_scorer(lambda pairs: [float(len(t)) for _, t in pairs]))
+    r = H.open_retriever(spark, str(tmp_path), {"m": encode}, R.pair_scorer(lambda: lambda pairs: [float(len(t)) for _, t in pairs], "lengths"))
     assert r.modes() == ["vector-only", "bm25-only", "graph-only", "hybrid"] + [f"{m}+rerank" for m in ("vector-only", "bm25-only", "graph-only", "hybrid")]
     assert H.Retriever(bm25=r.bm25).modes() == ["bm25-only"] and H.Retriever().modes() == []
     ask = spark.createDataFrame([("q1", "alpha beta"), ("q2", " ")], "qid string, question string")
