@@ -22,8 +22,10 @@ PIECE_PRIOR = 0.1
 SPACE = "▁"
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: Words that the recursion takes at once.
-BLOCK = 50_000
+#: Words, and bytes of words, that the recursion takes at once; longer words (in characters) go through one by one.
+BLOCK, BLOCK_BYTES, LONG = 50_000, 1 << 20, 128
+#: Bytes of the longest word of the broadcast tier, whose size is thereby bounded.
+TIER_BYTES = 64
 #: Share of a class's saved mass that goes to words of other classes.
 OTHERS = 0.1
 #: Hidden classes at most, the one for all others included.
@@ -131,10 +133,41 @@ class Lattice:
     def log_probs(self, words: list[str]) -> np.ndarray:
         """Natural log of each word's marginal probability."""
         out = np.empty(len(words))
-        for own, points in self.by_length(words):
-            out[own] = self.forward(points, self.spelled(points))[-1]
+        short = np.flatnonzero(np.fromiter((len(w) <= LONG for w in words), bool, len(words)))
+        for own, points in self.by_length([words[i] for i in short.tolist()]):
+            out[short[own]] = self.forward(points, self.spelled(points))[-1]
+        for i in np.setdiff1d(np.arange(len(words)), short).tolist():
+            out[i] = self.forward_long(words[i])
         return out
 
+    def forward_long(self, word: str) -> float:
+        """The same for one word of any length: its pieces are found from all places together, then summed place by place."""
+        (_, points), = self.by_length([word])
+        points = points[:, 0]
+        n, codes = len(points), self.code[points]
+        arcs = [(np.arange(n), np.arange(1, n + 1), self.spelled(points))]
+        at = np.flatnonzero(node := self.trie.child[0, codes])
+        node, size = node[at], 1
+        while len(at):
+            size += 1
+            more = (node < self.trie.inner) & (at + size <= n)
+            at, node = at[more], node[more]
+            node = self.trie.child[node, codes[at + size - 1]]
+            at, node = at[node > 0], node[node > 0]
+            found = self.trie.piece[node]
+            hit = found >= 0
+            arcs.append((at[hit], at[hit] + size, self.logs[found[hit]]))
+        start, end, score = (np.concatenate(x) for x in zip(*arcs, strict=True))
+        order = np.argsort(end, kind="stable")
+        edges = np.searchsorted(end[order], np.arange(1, n + 2)).tolist()
+        start, score = start[order].tolist(), score[order].tolist()
+        out = [0.0] * (n + 1)
+        for place in range(1, n + 1):
+            terms = [out[start[k]] + score[k] for k in range(edges[place - 1], edges[place])]
+            most = max(terms)
+            out[place] = most + math.log(sum(math.exp(x - most) for x in terms))
+        return out[n]
+
     def expected(self, words: list[str], of_byte: dict[int, int]) -> np.ndarray:
         """How often each piece is expected over all segmentations of the words; ``of_byte``: the piece of a byte."""
         total = np.zeros(len(self.logs))
@@ -164,10 +197,13 @@ class Lattice:
         return total
 
 
-def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK) -> Iterator[pa.RecordBatch]:
-    """The same rows in larger batches."""
+def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in larger batches, and in smaller ones where words are long."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
+    for batch in (part for whole in batches for part in _halved(whole, size)):
+        if held and sum(b.column(0).nbytes for b in held) + batch.column(0).nbytes > 2 * size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
         held.append(batch)
         if sum(map(len, held)) >= rows:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
@@ -176,6 +212,14 @@ def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK) -> Iterator[pa.
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def _halved(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch, in parts of not much more than ``size`` bytes of words unless one word is longer."""
+    n = max(1, min(len(batch), -(-batch.column(0).nbytes // size)))
+    for k in range(n):
+        begin, end = len(batch) * k // n, len(batch) * (k + 1) // n
+        yield batch.slice(begin, end - begin)
+
+
 def _piece_model(path: str):
     import sentencepiece
 
@@ -186,7 +230,7 @@ def learn_pieces(words: DataFrame, model_path: str, rounds: int = ROUNDS) -> Lat
     """Unigram scores for the pieces of an existing vocabulary, learned from the distinct ``word`` values.
 
     First each word is spelled by the vocabulary's own model; then expectation maximisation counts each piece's
-    expected uses over all segmentations. Counts are summed by task and then by piece, at most as many rows as
+    expected uses over all segmentations; longer words than LONG teach in parts of that length. Counts are summed by task and then by piece, at most as many rows as
     there are pieces. Scores are log relative frequencies after adding PIECE_PRIOR, so that they sum to 1: pieces
     with the space symbol begin a word, which therefore needs no end mark.
     """
@@ -208,7 +252,7 @@ def learn_pieces(words: DataFrame, model_path: str, rounds: int = ROUNDS) -> Lat
             own = None if current else _piece_model(model_path)
             total = np.zeros(model_size)
             for batch in blocks(batches):
-                texts = [w.decode() for w in batch.column(0).to_pylist()]
+                texts = [w[k : k + LONG] for w in map(bytes.decode, batch.column(0).to_pylist()) for k in range(0, max(1, len(w)), LONG)]
                 if lattice:
                     total += lattice.expected(texts, of_byte)
                 else:
@@ -271,19 +315,16 @@ class WordModel:
 
     def scores(self, words: list[bytes], total: np.ndarray, by: np.ndarray) -> np.ndarray:
         """A column for each class, and last the lattice alone."""
-        spelled = self.lattice.log_probs([w.decode() for w in words]) / math.log(10)
-        share = lambda c, k: np.maximum(c - self.discount[k], 0) / np.maximum(self.words[k], 1)
-        # Very long words underflow; their log is then the lattice's with the shares that led to it.
-        letters = 10 ** np.maximum(spelled, -300)
-        every = share(total, 0) + self.saved[0] * letters
-        below = (1 - OTHERS) * letters + OTHERS * every
-        deep = spelled < -290
-        out = np.empty((len(words), len(self.end) + 1))
-        out[:, -1] = np.log10(1 - self.end_of_all) + spelled
-        for k in range(len(self.end)):
-            p = share(by[:, k], k + 1) + self.saved[k + 1] * below
-            out[:, k] = np.log10(1 - self.end[k]) + np.where(deep & (total == 0), math.log10((1 - OTHERS) * self.saved[k + 1]) + spelled, np.log10(p))
-        return out
+        spelled = self.lattice.log_probs([w.decode() for w in words])
+        with np.errstate(divide="ignore"):
+            share = lambda c, k: np.log(np.maximum(c - self.discount[k], 0) / np.maximum(self.words[k], 1))
+            every = np.logaddexp(share(total, 0), np.log(self.saved[0]) + spelled)
+            below = np.logaddexp(math.log(1 - OTHERS) + spelled, math.log(OTHERS) + every)
+            out = np.empty((len(words), len(self.end) + 1))
+            out[:, -1] = np.log(1 - self.end_of_all) + spelled
+            for k in range(len(self.end)):
+                out[:, k] = np.log(1 - self.end[k]) + np.logaddexp(share(by[:, k], k + 1), np.log(self.saved[k + 1]) + below)
+        return out / math.log(10)
 
 
 def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", frequent: int = FREQUENT) -> DataFrame:
@@ -296,7 +337,7 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
     has its discounted relative frequency in the class plus the saved mass times a mixture: the lattice, which is the
     word's marginal over all segmentations, and for OTHERS of it the word's frequency over all classes. All words of the corpus are counted.
     ``lattice_score`` is the log10 probability by the lattice alone, each word's marginal and the end.
-    Frequent words are scored on the map side from a broadcast table of bounded size; all others are joined with
+    Frequent words of at most TIER_BYTES bytes are scored on the map side from a broadcast table of bounded size; all others are joined with
     the word table by shuffle, row and word at a time. Null and empty texts have the end alone. Repeated rows are
     each scored and counted.
     """
@@ -335,14 +376,15 @@ def score_texts(docs: DataFrame, held_out, model_path: str, id_col: str = "doc_i
 
     scored = materialise(table.mapInArrow(score_words, "word binary, c long, n long, base double, scores array<double>"), "lm-scored")
     # The least count of a frequent word: counts go to bins, from the top while the bins' words fit.
-    bins = scored.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("bin")).agg(F.min("n").alias("least"), F.count("*").alias("kinds"))
+    short = scored.filter(F.octet_length("word") <= TIER_BYTES)
+    bins = short.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("bin")).agg(F.min("n").alias("least"), F.count("*").alias("kinds"))
     least, room = None, frequent
     for r in sorted(bins.collect(), key=lambda r: -r["bin"]):
         room -= r["kinds"]
         if room < 0:
             break
         least = r["least"]
-    top = scored.filter(F.col("n") >= least).select("word", "c", "base", "scores").toArrow().combine_chunks() if least is not None else None
+    top = short.filter(F.col("n") >= least).select("word", "c", "base", "scores").toArrow().combine_chunks() if least is not None else None
     if top is not None and top.num_rows:
         values = top.column("scores").combine_chunks().flatten().to_numpy().reshape(-1, classes + 1)
         tier = spark.sparkContext.broadcast((top.column("word").to_pylist(), top.column("c").to_numpy() > 0, top.column("base").to_numpy(), values))

@@ -397,6 +397,21 @@ def test_sharding_parts_copies_of_a_heavy_text_only(spark):
     assert all((r[2], r[3] + 1, r[5]) == (0, r[4], r[4]) for r in sums)
 
 
+def test_lattice_of_long_words():
+    import time
+
+    from evidentia.llm.lattice import LONG, Lattice
+
+    rng = random.Random(4)
+    scores = {p: math.log(rng.random() / 50) for p in ["a", "b", "c", "ab", "bc", "abc", "cab", "bca", "▁", "▁a", "▁ab", "aaaa"]}
+    lattice = Lattice.of(scores, [math.log(1 / 256)] * 256)
+    words = ["".join(rng.choice("abcé") for _ in range(n)) for n in (1, 5, 60, LONG - 2)]
+    assert [lattice.forward_long(w) for w in words] == [pytest.approx(float(x), rel=1e-9) for x in lattice.log_probs(words)]
+    began = time.time()
+    long = lattice.log_probs(["abc" * 100_000, "a"])
+    assert time.time() - began < 20 and long[0] < -1e5 and math.isfinite(long[0]) and long[1] > -20
+
+
 def test_more_copies_of_a_heavy_text_move_few_bytes(spark, tmp_path):
     from evidentia.llm.sharding import shard
 
@@ -494,8 +509,8 @@ def test_scores_are_brute_force(spark):
             end = (ends[k] + 0.5) / (n + ends[k] + 1)
             s = math.log10((ends[k] + 0.5) / sum(e + 0.5 for e in ends.values())) + math.log10(end)
             for w in words:
-                if spelled[w] < -290:
-                    s += math.log10(1 - end) + math.log10((1 - OTHERS) * saved(counts[k])) + spelled[w]
+                if spelled[w] < -290 and not total[w]:  # the power below would be zero
+                    s += math.log10(1 - end) + math.log10(saved(counts[k]) * (1 - OTHERS + OTHERS * saved(total))) + spelled[w]
                     continue
                 letters = 10 ** spelled[w]
                 below = (1 - OTHERS) * letters + OTHERS * (share(total, w) + saved(total) * letters)
