@@ -117,8 +117,9 @@ def part_of(splits: Splits, repeated: list[int], slots: int = SLOTS) -> Column:
 
 def splits_table(spark, splits: Splits, version: int) -> DataFrame:
     """The splits of a version as rows, to be appended to the stored ones."""
-    rows = [(version, k, h, c, numbers) for (k, h, c), numbers in splits.items()]
-    return spark.createDataFrame(rows, "version int, vslot int, text_hash long, text_crc32 long, parts array<int>").coalesce(1)
+    row = lambda k, h, c, numbers: F.struct(F.lit(version).alias("version"), F.lit(k).alias("vslot"), F.lit(h).cast("long").alias("text_hash"), F.lit(c).cast("long").alias("text_crc32"), F.array(*map(F.lit, numbers)).alias("parts"))
+    every = F.array(*(row(*key, numbers) for key, numbers in splits.items())) if splits else F.array().cast("array<struct<version int, vslot int, text_hash long, text_crc32 long, parts array<int>>>")
+    return spark.range(1).coalesce(1).select(F.inline(every))
 
 
 def read_splits(table: DataFrame, version: int) -> Splits:
