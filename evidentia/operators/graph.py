@@ -62,15 +62,23 @@ def mentions(questions: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def khop(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
-    """``(qid, node, distance)`` of all nodes within ``hops`` undirected steps of a question's seeds, by frontier joins."""
+    """``(qid, node, distance)`` of all nodes within ``hops`` undirected steps of a question's seeds: all searches at once.
+
+    Questions are numbered, and a node has the set of those that have reached it as 64-bit words, a row for each word that isn't zero. A hop
+    passes words over edges and combines them by bits, before the shuffle too; questions that meet at a node travel on together. Bits that were there before are not new.
+    """
     both = edges.select("u", "v").union(edges.select("v", "u")).distinct()
-    visited = written(seeds.select("qid", "node").distinct().withColumn("distance", F.lit(0)), "khop")
-    frontier = visited
+    asked = written(seeds.select("qid").distinct().withColumn("number", F.monotonically_increasing_id()), "asked")
+    words = seeds.join(counted(asked), "qid").groupBy("node", F.expr("number div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(number % 64 as int))")).alias("bits"))
+    visited = frontier = written(words.withColumn("distance", F.lit(0)), "khop")
     for step in range(1, hops + 1):
-        grown = frontier.join(both, F.col("node") == F.col("u")).select("qid", F.col("v").alias("node")).distinct()
-        frontier = written(grown.join(visited.select("qid", "node"), ["qid", "node"], "left_anti").withColumn("distance", F.lit(step)), "khop")
+        grown = frontier.join(both, F.col("node") == F.col("u")).groupBy(F.col("v").alias("node"), "word").agg(F.bit_or("bits").alias("bits"))
+        seen = visited.groupBy("node", "word").agg(F.bit_or("bits").alias("seen"))
+        fresh = grown.join(seen, ["node", "word"], "left").select("node", "word", F.expr("bits & ~coalesce(seen, 0L)").alias("bits"), F.lit(step).alias("distance"))
+        frontier = written(fresh.filter("bits <> 0"), "khop")
         visited = visited.union(frontier)
-    return visited
+    numbers = F.expr("transform(filter(sequence(0, 63), b -> (shiftrightunsigned(bits, b) & 1L) = 1L), b -> word * 64 + b)")
+    return visited.select("node", "distance", F.explode(numbers).alias("number")).join(counted(asked), "number").select("qid", "node", "distance")
 
 
 def predicate_bonus(question: Column, predicate: Column, cues: dict = CUES) -> Column:

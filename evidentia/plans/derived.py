@@ -29,6 +29,12 @@ def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.union(V.table(spark, sf_dir, "nation").filter("n_nationkey = 3").select(F.lit(-1).cast("long"), F.concat(F.lit("which category and where: "), "n_name")))
 
 
+def _all_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question about each supplier."""
+    return V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("qid"), F.concat(F.lit("where is Supplier#"), F.col("s_suppkey").cast("string"), F.lit(" located")).alias("question"))
+
+
+ALL_QUESTIONS = "questions AS (SELECT s_suppkey AS qid, 'where is Supplier#' || s_suppkey || ' located' AS question FROM supplier)"
 QUESTIONS = """questions AS (SELECT s_suppkey AS qid, 'where is Supplier#' || s_suppkey || ' located' AS question FROM supplier WHERE s_suppkey % 100 = 0
   UNION ALL SELECT -1, 'which category and where: ' || n_name FROM nation WHERE n_nationkey = 3)"""
 MENTIONS = """names AS (SELECT 'entity:' || substr(sha256(type || chr(0) || name), 1, 16) AS node, unnest(list_distinct(list_concat([name], aliases))) AS mention FROM entities),
@@ -53,7 +59,7 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_khop(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _facts(spark, sf_dir)
     entities = E.build_entities(f)
-    return G.khop(G.mentions(_questions(spark, sf_dir), entities), G.build_graph(entities, f, V.sources(spark, sf_dir))[1], 2)
+    return G.khop(G.mentions(_all_questions(spark, sf_dir), entities), G.build_graph(entities, f, V.sources(spark, sf_dir))[1], 2)
 
 
 def graph_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +315,7 @@ ORACLE_SQL = {
     "w14_mention_longest": f"WITH {V.FACTS}, {ENTITIES}, {QUESTIONS}, {MENTIONS} SELECT qid, node, mention FROM asked_nodes",
     "r8_graph_nodes": f"WITH {V.FACTS}, {V.SOURCES}, {ENTITIES} SELECT 'entity:' || substr(sha256(type || chr(0) || name), 1, 16) AS node, 'entity' AS kind, name FROM entities UNION ALL SELECT 'source:' || source_id, 'source', title FROM sources",
     "r8_graph_edges": f"WITH {V.FACTS}, {V.SOURCES}, {EDGES} SELECT u, v, predicate, fact_id FROM edges",
-    "r10_graph_khop": f"WITH {V.FACTS}, {V.SOURCES}, {ENTITIES}, {QUESTIONS}, {MENTIONS}, {EDGES}, {_reach(2)} SELECT qid, node, distance FROM r2",
+    "r10_graph_khop": f"WITH {V.FACTS}, {V.SOURCES}, {ENTITIES}, {ALL_QUESTIONS}, {MENTIONS}, {EDGES}, {_reach(2)} SELECT qid, node, distance FROM r2",
     "r14_graph_retrieve": f"""WITH {V.FACTS}, {V.SOURCES}, {ENTITIES}, {QUESTIONS}, {MENTIONS}, {EDGES}, {_reach(2)},
 touched AS (SELECT u AS node, fact_id FROM edges UNION SELECT v, fact_id FROM edges),
 near AS (SELECT qid, fact_id, min(distance) AS distance FROM touched JOIN r2 USING (node) GROUP BY 1, 2),

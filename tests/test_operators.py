@@ -220,6 +220,26 @@ def test_models_load_once_a_worker_and_vectors_follow_changes(spark, tmp_path):
     assert {r.chunk_id: r.embedding[0] for r in H.read_vectors(spark, path).collect()} == {f"c{i:03d}": i * 7 % 41 for i in range(200)}
 
 
+def test_many_searches_at_once(spark):
+    rng = random.Random(12)
+    edges = [(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}") for _ in range(70)]
+    seeds = [(q, f"n{rng.randrange(60)}") for q in range(150) for _ in range(1 + q % 2)] + [(900, "nowhere")]
+    near = {}
+    for u, v in edges:
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    want = set()
+    for q in {q for q, _ in seeds}:
+        reached = {n: 0 for k, n in seeds if k == q}
+        for step in (1, 2, 3):
+            for n in [n for n, d in reached.items() if d == step - 1]:
+                for m in near.get(n, ()):
+                    reached.setdefault(m, step)
+        want |= {(q, n, d) for n, d in reached.items()}
+    got = G.khop(spark.createDataFrame(seeds, "qid int, node string").repartition(3), spark.createDataFrame(edges, "u string, v string"), 3).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_dense_topk_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr("evidentia.operators.dense.LEAST_ROWS", 8)
     rng = np.random.default_rng(6)
