@@ -207,7 +207,8 @@ def test_pages_and_their_neighbours(spark, folder):
         others = None
         for p in H.prefixes(url) if k in sig else ():
             if len(below[p]) > 1:
-                others = [below[p][s] for s in (min(below[p]), max(below[p])) if s != sig[k]]
+                sides = sorted({*sorted(below[p])[:2], max(below[p])})
+                others = [below[p][s] for s in sides if s != sig[k]][:2]
                 break
         stay, n = H.keep_lines(hashes[k], [f for _, f in lines[k]], others)
         text = "\n".join(lines[k][i][0] for i in stay)
