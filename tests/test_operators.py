@@ -709,7 +709,9 @@ def test_tokens_follow_the_pattern(spark):
     text = "Ab_1 ÄÖ, 塔尔寺! x-y"
     want = re.findall(r"\w+", text.lower())
     assert one(spark, T.tokens(F.lit(text))) == want
-    assert one(spark, T.tokens(F.lit("塔尔寺 a"), True)) == ["塔", "尔", "寺", "塔尔", "尔寺", "a"]
+    words = S.segmenter(spark.createDataFrame([("塔尔寺", 5), ("塔尔", 2)], "word string, freq long"))
+    assert one(spark, words(F.lit("塔尔寺大a A_1"))) == ["塔尔", "塔尔寺", "大", "a", "a_1"]
+    assert one(spark, words(F.lit(None).cast("string"))) == [] and one(spark, words(F.lit("No Han"))) == ["no", "han"]
 
 
 def test_listing_pages(spark):
