@@ -36,7 +36,7 @@ def evidence(df: DataFrame, **columns: Column) -> DataFrame:
 
 def _of_chunks(found: DataFrame, chunks: DataFrame, kind: str) -> DataFrame:
     """Evidence from ``(qid, chunk_id, score, rank)`` and the chunks (chunk_id, source_id, text, source_url)."""
-    met = found.join(chunks.select("chunk_id", "source_id", "text", "source_url"), "chunk_id")
+    met = R.counted(found).join(chunks.select("chunk_id", "source_id", "text", "source_url"), "chunk_id")
     return evidence(met, evidence_id=F.col("chunk_id"), kind=F.lit(kind))
 
 

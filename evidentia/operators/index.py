@@ -16,6 +16,8 @@ from evidentia.plans.versions import Versions
 
 #: Buckets of terms, and segments of one level that become one of the next.
 BUCKETS, FAN_IN = 32, 4
+#: Tokens, as a bound of postings, that a task writes; a bucket with more takes several tasks by document.
+TOKENS_A_TASK = 4 << 20
 #: Asked terms that are handed to the scan as literals.
 PUSHED_TERMS = 100
 _MANIFEST = "segment string, level int, n_docs long, total_length long"
@@ -51,11 +53,12 @@ class Index:
     def _publish(self, segments: list[Segment]) -> None:
         self.versions.publish([(s.name, s.level, s.n_docs, s.total_length) for s in segments])
 
-    def _store(self, postings: DataFrame, terms: DataFrame) -> str:
-        """Writes a segment; a bucket's rows come from one task in order of terms."""
+    def _store(self, postings: DataFrame, terms: DataFrame, total_length: int) -> str:
+        """Writes a segment; each file of a bucket is in order of terms. Postings of a bucket come from as many tasks as ``total_length`` tokens need."""
         name = uuid.uuid4().hex
-        for kind, rows in (("postings", postings), ("terms", terms)):
-            rows.repartition(BUCKETS, "bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{self.path}/{kind}/segment={name}")
+        parts = -(-total_length // (BUCKETS * TOKENS_A_TASK)) or 1
+        for kind, rows in (("postings", postings.repartition(BUCKETS * parts, "bucket", F.pmod(F.xxhash64("doc"), F.lit(parts)))), ("terms", terms.repartition(BUCKETS, "bucket"))):
+            rows.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{self.path}/{kind}/segment={name}")
         return name
 
     def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
@@ -66,7 +69,7 @@ class Index:
         counted = written(rows.groupBy("doc", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length")), "postings")
         n_docs, total = counted.filter(F.col("term") == mark).agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         postings = counted.filter(F.col("term") != mark).withColumn("bucket", bucket(F.col("term")))
-        name = self._store(postings, postings.groupBy("bucket", "term").agg(F.count("*").alias("df")))
+        name = self._store(postings, postings.groupBy("bucket", "term").agg(F.count("*").alias("df")), total)
         delete(counted)
         self._publish([*self.segments(), Segment(name, 0, n_docs, total)])
         self._merge()
@@ -78,8 +81,9 @@ class Index:
             level = min(full)
             old = [s for s in self.segments() if s.level == level]
             terms = self._read("terms", old).groupBy("bucket", "term").agg(F.sum("df").alias("df"))
-            name = self._store(self._read("postings", old), terms)
-            merged = Segment(name, level + 1, sum(s.n_docs for s in old), sum(s.total_length for s in old))
+            total = sum(s.total_length for s in old)
+            name = self._store(self._read("postings", old), terms, total)
+            merged = Segment(name, level + 1, sum(s.n_docs for s in old), total)
             self._publish([*(s for s in self.segments() if s.level != level), merged])
 
     def vacuum(self, keep: int = 1) -> None:
@@ -128,7 +132,8 @@ class Index:
         idf = found.groupBy("term").agg(F.sum("df").alias("df")).select("term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
         weights = R.counted(terms.join(idf, "term"))
         norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / max(length / max(n_docs, 1), 1e-9))
-        scored = postings.join(weights, "term").groupBy("qid", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / norm), R.DIGITS).alias("score"))
+        dealt = R.by_document(postings, n_docs, weights.select("qid").distinct().count())
+        scored = dealt.join(weights, "term").groupBy("qid", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / norm), R.DIGITS).alias("score"))
         return R.ranked(scored.filter("score > 0"), k, ["qid"], F.desc("score"), F.asc("doc"))
 
 

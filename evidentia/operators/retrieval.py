@@ -21,6 +21,8 @@ from evidentia.plans.shared import written, written_bytes
 Tokenizer = Callable[[Column], Column]
 #: Rows, and bytes as written, of a side that may be broadcast; larger sides are joined by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
+#: Pairs of a question and a document that a task adds up.
+PAIRS_A_TASK = 1 << 20
 
 
 def counted(df: DataFrame) -> DataFrame:
@@ -69,20 +71,31 @@ def matching_postings(docs: DataFrame, terms: DataFrame, id_col: str, text_col:
     return found.filter(F.col("term") != mark), stats
 
 
+def by_document(posts: DataFrame, n_docs: int, n_questions: int) -> DataFrame:
+    """Postings dealt by ``doc`` to as many tasks as the pairs of questions and documents need.
+
+    What is summed by question and document after a join with the questions is then summed where it is joined: postings are shuffled, not
+    postings times the questions that ask for their term.
+    """
+    tasks = -(-n_docs * n_questions // PAIRS_A_TASK)
+    return posts.repartition(max(posts.sparkSession.sparkContext.defaultParallelism, tasks), "doc")
+
+
 def bm25(docs: DataFrame, questions: DataFrame, k: int | None = 5, k1: float = 1.5, b: float = 0.75, id_col: str = "doc_id", text_col: str = "text", qid_col: str = "qid", question_col: str = "question", tokens: Tokenizer = T.tokens) -> DataFrame:
     """``(qid, doc, score, rank)``: BM25 over question tokens with multiplicity; only positive scores, ties by document id.
 
     Only terms of questions are looked at: they meet the tokens before these are counted, so the
-    shuffle carries matching terms alone. Ids are taken as unique. Blank questions have no rows.
+    shuffle carries matching terms alone, once, by document (``by_document``). Ids are taken as unique. Blank questions have no rows.
     """
     if k1 <= 0 or not 0 <= b <= 1:
         raise ValueError("k1 must be positive and b in [0, 1]")
     asked = questions.select(F.col(qid_col).alias("qid"), F.explode(tokens(F.col(question_col))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
     posts, stats = matching_postings(docs, asked.select("term").distinct(), id_col, text_col, tokens)
-    df = posts.groupBy("term").agg(F.count("*").alias("df"))
-    weights = df.join(F.broadcast(stats)).select("term", "n_docs", (F.col("total_length") / F.greatest(F.col("n_docs"), F.lit(1))).alias("mean"), F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    met = posts.join(counted(weights.join(asked, "term")), "term")
-    norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / F.greatest(F.col("mean"), F.lit(1e-9)))
+    n_docs, length = stats.first()
+    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = counted(posts.groupBy("term").agg(F.count("*").alias("df")).join(asked, "term").select("term", "qid", "qtf", idf.alias("idf")))
+    met = by_document(posts, n_docs, weights.select("qid").distinct().count()).join(weights, "term")
+    norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / max(length / max(n_docs, 1), 1e-9))
     scored = met.groupBy("qid", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / norm), DIGITS).alias("score"))
     return ranked(scored.filter("score > 0"), k, ["qid"], F.desc("score"), F.asc("doc"))
 

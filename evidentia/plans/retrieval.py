@@ -107,7 +107,9 @@ def _cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _questions(spark, sf_dir).select("qid", F.explode(F.array_distinct(T.tokens(F.col("question")))).alias("term"))
     own = questions.groupBy("qid").agg(F.count("*").alias("own"))
     questions = R.counted(questions)
-    posts = _index(spark, sf_dir).asked("postings", questions.select("term").distinct())
+    index = _index(spark, sf_dir)
+    posts = index.asked("postings", questions.select("term").distinct())
+    posts = R.by_document(posts, sum(s.n_docs for s in index.segments()), questions.select("qid").distinct().count())
     scored = posts.join(questions, "term").groupBy("qid", "doc").agg(F.count("*").alias("n")).join(R.counted(own), "qid")
     scored = scored.select("qid", F.col("doc").alias("id"), F.round(F.col("n") / F.col("own"), 6).alias("score"))
     return R.ranked(scored, 10, ["qid"], F.desc("score"), F.asc("id"))
@@ -119,7 +121,7 @@ def score_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("source_id"), "text")
-    fused = score_fusion(spark, sf_dir).join(_questions(spark, sf_dir), "qid").join(docs, "id")
+    fused = R.counted(score_fusion(spark, sf_dir)).join(_questions(spark, sf_dir), "qid").join(docs, "id")
     return fused.select(
         "qid", "question", "id", "source_id", "score", "text",
         F.when(F.col("id") % 3 == 0, "high").when(F.col("id") % 3 == 1, "medium").otherwise("low").alias("confidence"),
@@ -161,7 +163,7 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.coalesce("source", F.lit("")).alias("source_id"), F.concat("text", _told(F.col("doc_id"))).alias("text"), F.when(F.col("doc_id") % 50 != 0, "https://example.org/").alias("source_url"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("fact_id"))
-    return R.evaluate(_bm25(spark, sf_dir, 5).join(d, "doc"), _benchmark(spark, sf_dir), 5, 20.0)
+    return R.evaluate(R.counted(_bm25(spark, sf_dir, 5)).join(d, "doc"), _benchmark(spark, sf_dir), 5, 20.0)
 
 
 QUERIES = {
