@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids
-from evidentia.operators.retrieval import DIGITS, counted, query_overlap, ranked
+from evidentia.operators.retrieval import DIGITS, characters, counted, ranked
 from evidentia.plans.shared import written
 
 # Words in a question that ask for a relation, in the order in which relations win ties.
@@ -67,8 +67,8 @@ def khop(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     Questions are numbered, and a node has the set of those that have reached it as 64-bit words, a row for each word that isn't zero. A hop
     passes words over edges and combines them by bits, before the shuffle too; questions that meet at a node travel on together. Bits that were there before are not new.
     """
-    both = edges.select("u", "v").union(edges.select("v", "u")).distinct()
-    asked = written(seeds.select("qid").distinct().withColumn("number", F.monotonically_increasing_id()), "asked")
+    both = written(edges.select("u", "v").union(edges.select("v", "u")).distinct(), "steps")
+    asked = _numbered(seeds, both)
     words = seeds.join(counted(asked), "qid").groupBy("node", F.expr("number div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(number % 64 as int))")).alias("bits"))
     visited = frontier = written(words.withColumn("distance", F.lit(0)), "khop")
     for step in range(1, hops + 1):
@@ -81,6 +81,12 @@ def khop(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     return visited.select("node", "distance", F.explode(numbers).alias("number")).join(counted(asked), "number").select("qid", "node", "distance")
 
 
+def _numbered(seeds: DataFrame, both: DataFrame) -> DataFrame:
+    """``(qid, number)`` in the order of the nodes next to a question's seeds: questions that travel on together share words, and a node has few words that aren't full."""
+    near = seeds.join(both, F.col("node") == F.col("u"), "left").groupBy("qid").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.bit_xor(F.xxhash64("v")).alias("all"))
+    return written(near.orderBy("low", "high", "all", "qid").select("qid", F.monotonically_increasing_id().alias("number")), "asked")
+
+
 def predicate_bonus(question: Column, predicate: Column, cues: dict = CUES) -> Column:
     """0.2 if the question has a cue of the predicate."""
     hit = F.lit(False)
@@ -104,23 +110,93 @@ def graph_retrieve(questions: DataFrame, entities: DataFrame, facts: DataFrame,
 
     Reach is one step beyond ``hops``. The score adds nearness, confidence, overlap of the question with the relation's text and a bonus for
     an asked relation; the nearest of subject, object and source counts. For each asked relation its best fact
-    comes first, in the order of the question; ties by fact id. Entities and edges are written once and read for mentions, steps and facts.
+    comes first, in the order of the question; ties by fact id.
+
+    Facts are scored by kinds (an end, a relation, a confidence), nearest first, and only those whose bound reaches the k-th score of the question so far,
+    or the first of an asked relation; a question that nothing farther can change takes no further step. So hubs cost their number of kinds.
     """
     entities = written(entities.select("name", "type", "aliases"), "entities")
     edges = written(build_graph(entities, facts, sources)[1].select("u", "v", "fact_id"), "edges")
-    reach = written(khop(mentions(questions, entities), edges, hops + 1), "reach")
-    touched = edges.select(F.col("u").alias("node"), "fact_id").union(edges.select("v", "fact_id"))
-    near = touched.join(counted(reach), "node").groupBy("qid", "fact_id").agg(F.min("distance").alias("distance"))
-    titles = sources.select(F.col("source_id").alias("evidence_source_id"), F.col("title").alias("source_title"))
-    told = facts.select("fact_id", "predicate", "subject", "object", "evidence_source_id", F.col("evidence_url").alias("source_url"), "confidence")
-    met = near.join(told, "fact_id").join(counted(questions.select("qid", "question")), "qid").join(titles, "evidence_source_id", "left")
+    both = edges.select("u", "v").union(edges.select("v", "u"))
     sure = F.coalesce(*(F.when(F.col("confidence") == c, F.lit(x)) for c, x in CONFIDENCE.items()), F.lit(0.5))
     text = F.concat("subject", F.lit(" — "), "predicate", F.lit(" — "), "object")
-    score = F.least(F.lit(1.0), 0.5 / (1 + F.col("distance")) + 0.3 * sure + 0.2 * query_overlap(F.col("question"), text) + predicate_bonus(F.col("question"), F.col("predicate"), cues))
-    scored = met.withColumns({"score": F.round(score, DIGITS), "cue": cue_rank(F.col("question"), F.col("predicate"), cues), "text": text, "source_title": F.coalesce("source_title", "evidence_source_id")})
+    ends = edges.select(F.col("u").alias("node"), "fact_id").union(edges.select("v", "fact_id")).distinct()
+    touched = written(ends.join(facts.select("fact_id", "predicate", sure.alias("sure"), text.alias("text")), "fact_id"), "touched")
+    kinds = written(touched.groupBy("node", "predicate", "sure").agg(F.count("*").alias("n")), "kinds")
+    asks = _asks(questions, touched, cues)
+    order = [F.desc("score"), F.asc("fact_id")]
+    best = frontier = visited = None
+    for distance in range(hops + 2):
+        if frontier is None:
+            frontier = visited = counted(mentions(questions, entities).select("qid", "node").distinct())
+        else:
+            open_ = asks.join(floors, ["qid", "predicate"]).filter(_bound(distance, F.lit(1.0)) >= F.col("least")).select("qid").distinct()
+            step = counted(frontier.join(counted(open_), "qid")).join(both, F.col("node") == F.col("u")).select("qid", F.col("v").alias("node")).distinct()
+            frontier = counted(step.join(visited, ["qid", "node"], "left_anti"))
+            visited = visited.union(frontier)
+        near = frontier.join(kinds, "node").join(asks.select("qid", "predicate", "bonus", "cued", "share"), ["qid", "predicate"])
+        near = written(near.select("qid", "node", "predicate", "sure", "n", "cued", _bound(distance, F.col("sure")).alias("most")), "near")
+        # First the kinds that may score best and have rows enough, then all whose bound reaches what was found.
+        turn = Window.partitionBy("qid", "predicate").orderBy(F.desc("most"), "node", "sure")
+        sooner = F.coalesce(F.sum("n").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        first = counted(near.withColumn("sooner", sooner).filter(F.col("sooner") < ENDS * k).drop("sooner"))
+        best = _kept(best, first, touched, asks, distance, k, order)
+        floors = _floors(best, asks, k)
+        rest = near.join(first.select("qid", "node", "predicate", "sure"), ["qid", "node", "predicate", "sure"], "left_anti")
+        rest = rest.join(floors, ["qid", "predicate"]).filter(F.col("most") >= F.col("least"))
+        best = _kept(best, rest, touched, asks, distance, k, order)
+        floors = _floors(best, asks, k)
+    titles = sources.select(F.col("source_id").alias("evidence_source_id"), F.col("title").alias("source_title"))
+    told = facts.select("fact_id", "evidence_source_id", F.col("evidence_url").alias("source_url"), "confidence", text.alias("text"))
+    met = counted(best).join(told, "fact_id").join(counted(questions.select("qid", "question")), "qid").join(titles, "evidence_source_id", "left")
+    scored = met.withColumns({"cue": cue_rank(F.col("question"), F.col("predicate"), cues), "source_title": F.coalesce("source_title", "evidence_source_id")})
     return select_graph(scored, k)
 
 
+#: Nodes that touch a fact: subject, object and source.
+ENDS = 3
+#: What a bound may be off by rounding.
+SLACK = 2e-6
+
+
+def _bound(distance: int, sure: Column) -> Column:
+    """No fact of a relation at this distance scores above it, whatever its text."""
+    return F.least(F.lit(1.0), F.lit(0.5 / (1 + distance)) + 0.3 * sure + 0.2 * F.col("share") + F.col("bonus"))
+
+
+def _asks(questions: DataFrame, touched: DataFrame, cues: dict) -> DataFrame:
+    """``(qid, predicate, own, bonus, cued, share)``: each question with each relation, its word characters, and the greatest share of them that a text of the relation may have."""
+    chars = F.array_distinct(F.split("text", ""))
+    every = touched.groupBy("predicate").agg(F.max(F.size(chars)).alias("size"))
+    letters = touched.select("predicate", F.explode(chars).alias("c")).distinct().groupBy("predicate").agg(F.collect_set("c").alias("letters"))
+    asked = counted(questions.select("qid", "question", characters(F.col("question")).alias("own")))
+    met = asked.crossJoin(F.broadcast(every.join(letters, "predicate")))
+    share = F.least(F.col("size"), F.size(F.array_intersect("own", "letters"))) / F.greatest(F.size("own"), F.lit(1))
+    question, predicate = F.col("question"), F.col("predicate")
+    return counted(met.select("qid", "predicate", "own", predicate_bonus(question, predicate, cues).alias("bonus"), cue_rank(question, predicate, cues).isNotNull().alias("cued"), share.alias("share")))
+
+
+def _kept(best: DataFrame | None, chosen: DataFrame, touched: DataFrame, asks: DataFrame, distance: int, k: int, order: list[Column]) -> DataFrame:
+    """``best`` with the facts of the chosen kinds (qid, node, predicate, sure), scored: of each question and relation the first k."""
+    met = touched.join(counted(chosen.select("qid", "node", "predicate", "sure")), ["node", "predicate", "sure"]).join(asks.select("qid", "predicate", "own", "bonus"), ["qid", "predicate"])
+    shared = F.size(F.filter("own", lambda c: F.contains(F.col("text"), c))) / F.greatest(F.size("own"), F.lit(1))
+    score = F.round(F.least(F.lit(1.0), F.lit(0.5 / (1 + distance)) + 0.3 * F.col("sure") + 0.2 * shared + F.col("bonus")), DIGITS)
+    scored = met.select("qid", "predicate", "fact_id", score.alias("score"), F.lit(distance).alias("distance"))
+    top = ranked(scored, ENDS * k, ["qid", "predicate"], *order).drop("rank")
+    every = (top if best is None else top.unionByName(best)).groupBy("qid", "predicate", "fact_id").agg(F.max("score").alias("score"), F.min("distance").alias("distance"))
+    return written(ranked(every, k, ["qid", "predicate"], *order).drop("rank"), "best")
+
+
+def _floors(best: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """``(qid, predicate, least)``: what a fact of a relation has to score: as the k-th of the question, or as the first of a relation that is asked for."""
+    kth = best.groupBy("qid").agg(F.get(F.sort_array(F.collect_list("score"), False), F.lit(k - 1)).alias("kth"))
+    first = best.groupBy("qid", "predicate").agg(F.max("score").alias("first"))
+    met = asks.select("qid", "predicate", "cued").join(kth, "qid", "left").join(first, ["qid", "predicate"], "left")
+    low = lambda c: F.coalesce(c, F.lit(float("-inf")))
+    least = F.when(F.col("cued"), F.least(low("kth"), low("first"))).otherwise(low("kth"))
+    return counted(met.select("qid", "predicate", (least - SLACK).alias("least")))
+
+
 def select_graph(scored: DataFrame, k: int) -> DataFrame:
     """The k rows of each question: one reserved for each asked relation, then by score."""
     first = ranked(scored.filter("cue is not null"), 1, ["qid", "predicate"], F.desc("score"), F.asc("fact_id")).select("qid", "fact_id", F.lit(True).alias("reserved"))

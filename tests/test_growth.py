@@ -20,3 +20,59 @@ def test_pairs_of_question_and_document_are_not_shuffled(spark, tmp_path):
     for found in (direct, stored):
         assert not re.search(r"hashpartitioning\(qid#\d+, doc#", _plan(found))
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, stored.collect()))
+
+
+def _counting(monkeypatch):
+    rows = {}
+
+    def written(df, name, keep=G.written):
+        out = keep(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(G, "written", written)
+    return rows
+
+
+def _star(spark, places, people):
+    """People and four makers of each place; a question about each maker."""
+    fact = lambda who, kind, n: (f"f{who}", who, kind, "located_in", f"place{n}", "REGION", "s", "high" if len(who) % 2 else "low", "u")
+    rows = [fact(f"person{i}", "PERSON", i % places) for i in range(people)] + [fact(f"maker{i}.", "ICH_PROJECT", i % places) for i in range(256)]
+    facts = spark.createDataFrame(rows, "fact_id string, subject string, subject_type string, predicate string, object string, object_type string, evidence_source_id string, confidence string, evidence_url string")
+    facts = facts.withColumns({"subject_name": F.col("subject"), "object_name": F.col("object")})
+    names = facts.select(F.col("subject").alias("name"), F.col("subject_type").alias("type")).union(facts.select("object", "object_type")).distinct()
+    entities = names.withColumn("aliases", F.array().cast("array<string>"))
+    sources = spark.createDataFrame([], "source_id string, title string")
+    questions = spark.range(256).select(F.col("id").alias("qid"), F.concat(F.lit("where is maker"), F.col("id").cast("string"), F.lit(". located")).alias("question"))
+    return questions, entities, facts, sources
+
+
+def test_questions_of_one_neighbourhood_share_words(spark, monkeypatch):
+    questions, entities, facts, sources = _star(spark, 4, 400)
+    rows = _counting(monkeypatch)
+    found = G.khop(G.mentions(questions, entities), G.build_graph(entities, facts, sources)[1], 2)
+    assert found.count() == 256 * (1 + 1 + 100 + 63)
+    # A person or maker is reached by the 64 questions of its place: one word or two, not all four.
+    assert rows["khop"] < 2 * (400 + 256) + 600
+
+
+def test_graph_retrieval_scores_few_of_a_hub(spark, monkeypatch):
+    questions, entities, facts, sources = _star(spark, 2, 2000)
+    rows = _counting(monkeypatch)
+    k = 3
+    found = G.graph_retrieve(questions, entities, facts, sources, k, 1, {"located_in": ("where",)}).select("qid", "fact_id", "distance", "score", "rank").collect()
+    assert max(rows.values()) < 256 * 100
+    told = {r.fact_id: r for r in facts.collect()}
+    for qid in (0, 7, 200):
+        q = f"where is maker{qid}. located"
+        own = {c for c in q if c.isalnum()}
+        scored = []
+        for f in told.values():
+            if f.object != f"place{qid % 2}":
+                continue
+            d = 0 if f.subject == f"maker{qid}." else 1
+            text = f"{f.subject} — located_in — {f.object}"
+            score = min(1.0, 0.5 / (1 + d) + 0.3 * {"high": 1.0, "low": 0.4}[f.confidence] + 0.2 * len(own & set(text)) / len(own) + 0.2)
+            scored.append((-round(score, 6), f.fact_id, d))
+        want = [(f, d, -s, i) for i, (s, f, d) in enumerate(sorted(scored)[:k], 1)]
+        assert sorted(((r.fact_id, r.distance, r.score, r["rank"]) for r in found if r.qid == qid), key=lambda r: r[3]) == want
