@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from evidentia.operators import graph as G
+from evidentia.operators import qa as Q
 from evidentia.operators import retrieval as R
 from evidentia.operators.index import Index
 
@@ -76,3 +77,24 @@ def test_graph_retrieval_scores_few_of_a_hub(spark, monkeypatch):
             scored.append((-round(score, 6), f.fact_id, d))
         want = [(f, d, -s, i) for i, (s, f, d) in enumerate(sorted(scored)[:k], 1)]
         assert sorted(((r.fact_id, r.distance, r.score, r["rank"]) for r in found if r.qid == qid), key=lambda r: r[3]) == want
+
+
+def test_review_sample_limits_each_kind_before_its_rows_meet(spark):
+    questions = spark.range(2000).select(F.concat(F.lit("q"), F.col("id").cast("string")).alias("question_id"), F.when(F.col("id") % 3 == 0, "multi_hop").otherwise("single_fact").alias("answer_type"))
+    sample = Q.review_sample(questions, "r", 30)
+    assert "WindowGroupLimit" in _plan(sample)
+    assert {(r[0], r[1]) for r in sample.groupBy("answer_type").count().collect()} == {("single_fact", 18), ("multi_hop", 12)}
+
+
+def test_pairs_of_blocks_meet_once_and_blocks_are_bounded(spark, monkeypatch):
+    subjects = spark.range(60).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("s"), F.when(F.col("id") < 50, "A").otherwise("B").alias("type"))
+    subjects = subjects.withColumn("h", F.sha2(F.concat_ws("\0", "type", "s"), 256))
+    monkeypatch.setattr(Q, "BLOCK_SUBJECTS", 2)
+    monkeypatch.setattr(Q, "MOST_BLOCKS", 4, raising=False)
+    pairs = [tuple(r) for r in Q._pairs(subjects, 1.0).select("type", "l", "r").collect()]
+    by = {(r.type, r.s): r.h for r in subjects.collect()}
+    want = {(t, a, b) for t, a in by for u, b in by if t == u and by[t, a] < by[u, b]}
+    assert len(pairs) == len(want) and set(pairs) == want
+    # Ranges that begin or end with a subject's own block: no two blocks are compared twice.
+    plan = Q._pairs(subjects, 1.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(block" in plan and "sequence(0, block" in plan
