@@ -11,14 +11,17 @@ from evidentia.functions import ids
 from evidentia.functions import text as T
 from evidentia.functions.schemas import is_date
 from evidentia.functions.urls import domain
+from evidentia.plans.shared import dealt
 
 
 def _facts(rows: DataFrame, subject: Column, relations: list[tuple], source: Column, evidence: Column) -> DataFrame:
     """Facts of rows by ``relations`` (predicate, object, object type, subject type, condition); an id occurs once."""
     made = [F.when(when, F.struct(s.alias("subject"), F.lit(st).alias("subject_type"), F.lit(p).alias("predicate"), o.alias("object"), F.lit(t).alias("object_type"))) for p, o, t, s, st, when in relations]
-    out = rows.select(source.alias("evidence_source_id"), evidence.alias("evidence_text"), F.explode(F.array_compact(F.array(*made))).alias("f")).select("f.*", "evidence_source_id", "evidence_text")
+    out = dealt(rows).select(source.alias("evidence_source_id"), evidence.alias("evidence_text"), F.explode(F.array_compact(F.array(*made))).alias("f")).select("f.*", "evidence_source_id", "evidence_text")
     out = out.withColumn("fact_id", ids.fact_id(F.col("subject"), F.col("predicate"), F.col("object"), F.col("evidence_source_id")))
-    return out.groupBy("fact_id").agg(*(F.min_by(c, "evidence_text").alias(c) for c in out.columns if c not in ("fact_id", "evidence_text")), F.min("evidence_text").alias("evidence_text"))
+    # One row of equals, not a minimum for each column: each holds the evidence it is ordered by.
+    whole = F.struct(*(c for c in out.columns if c != "fact_id"))
+    return out.groupBy("fact_id").agg(F.min_by(whole, "evidence_text").alias("f")).select("fact_id", "f.*")
 
 
 def catalog_problems(rows: DataFrame, header: DataFrame) -> DataFrame:

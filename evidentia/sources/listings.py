@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from evidentia.functions import ids, urls
 from evidentia.operators.merge import keep_last
+from evidentia.plans.shared import dealt
 
+#: Elements that a worker holds at a time, and somewhat more: a page's stay together.
+ELEMENTS_AT_ONCE = 10_000
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Phrases that forbid reprinting, and title words of topics.
 RESTRICTIONS = ("未经许可不得转载", "严禁转载", "禁止转载", "禁止复制")
@@ -50,7 +53,11 @@ class _Elements(HTMLParser):
 
 
 def elements(pages: DataFrame, id_col: str = "page", html_col: str = "html") -> DataFrame:
-    """``(page, at, parent, tag, classes, attrs, text)``: every element of every page, in order; text with single spaces."""
+    """``(page, at, parent, tag, classes, attrs, text)``: every element of every page, in order; text with single spaces.
+
+    Pages are dealt to tasks by their number. Nothing tells Spark how many elements come out, so joins of them are hinted.
+    """
+    columns = ["page", "at", "parent", "tag", "classes", "attrs", "text"]
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,10 +68,13 @@ def elements(pages: DataFrame, id_col: str = "page", html_col: str = "html") ->
                 parser.feed(html or "")
                 parser.close()
                 rows += [(key, i, e["parent"], e["tag"], e["attrs"].get("class", "").split(), e["attrs"], " ".join(" ".join(p.strip() for p in e["text"]).split())) for i, e in enumerate(parser.found)]
-            yield pd.DataFrame(rows, columns=["page", "at", "parent", "tag", "classes", "attrs", "text"])
+                if len(rows) >= ELEMENTS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
     shape = f"page {kind}, at int, parent int, tag string, classes array<string>, attrs map<string,string>, text string"
-    return pages.select(F.col(id_col).alias("page"), F.col(html_col).alias("html")).mapInPandas(run, shape)
+    return dealt(pages.select(F.col(id_col).alias("page"), F.col(html_col).alias("html"))).mapInPandas(run, shape)
 
 
 def _attr(name: str) -> Column:
@@ -93,7 +103,8 @@ def search_candidates(pages: DataFrame, origin: str) -> DataFrame:
     items = e.filter((F.col("tag") == "a") & F.array_contains("classes", "app-article-item") & (_attr("href") != ""))
     items = items.select("page", "at", _attr("href").alias("href"), _attr("cid").alias("column_id"), _attr("contentid").alias("search_content_id"))
     inner = e.select("page", F.col("parent").alias("at"), F.when(F.array_contains("classes", "app-article-title"), F.col("text")).alias("t"), F.when(F.array_contains("classes", "app-article-date"), F.col("text")).alias("d"))
-    met = items.join(inner, ["page", "at"], "left").groupBy("page", "at", "href", "column_id", "search_content_id").agg(F.first("t", True).alias("title"), F.first("d", True).alias("published_at"))
+    inner = inner.filter("t is not null or d is not null")
+    met = items.join(inner.hint("merge"), ["page", "at"], "left").groupBy("page", "at", "href", "column_id", "search_content_id").agg(F.first("t", True).alias("title"), F.first("d", True).alias("published_at"))
     path = F.regexp_replace(F.regexp_extract("href", r"^(?:[a-z]+:)?(?://[^/]*)?([^?#]*)", 1), "/+$", "")
     url = F.concat(F.lit(origin), path)
     number = F.regexp_extract(path, r"^/content/(\d+)$", 1)
@@ -115,9 +126,9 @@ def county_totals(pages: DataFrame) -> DataFrame:
     """``(page, reported_total, total_pages)`` of a county portal's listing pages: of its first total; 0 and 1 where there is none."""
     e = elements(pages)
     inside = e.filter(F.array_contains("classes", "page")).select("page", F.col("at").alias("parent"))
-    total = e.filter(F.array_contains("classes", "total")).join(inside, ["page", "parent"], "left_semi").groupBy("page").agg(F.min_by("text", "at").alias("text"))
+    total = e.filter(F.array_contains("classes", "total")).join(inside.hint("merge"), ["page", "parent"], "left_semi").groupBy("page").agg(F.min_by("text", "at").alias("text"))
     number = lambda k: F.regexp_extract(F.coalesce("text", F.lit("")), r"共\s*(\d+)\s*条信息\s*/\s*共\s*(\d+)\s*页", k).try_cast("int")
-    found = pages.select("page").distinct().join(total, "page", "left")
+    found = pages.select("page").distinct().join(total.hint("merge"), "page", "left")
     return found.select("page", F.coalesce(number(1), F.lit(0)).alias("reported_total"), F.coalesce(number(2), F.lit(1)).alias("total_pages"))
 
 

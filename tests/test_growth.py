@@ -4,10 +4,13 @@ import re
 
 from pyspark.sql import functions as F
 
+from evidentia.functions import segment
+from evidentia.operators import catalogs
 from evidentia.operators import graph as G
 from evidentia.operators import qa as Q
 from evidentia.operators import retrieval as R
 from evidentia.operators.index import Index
+from evidentia.sources import listings
 
 
 def _plan(df):
@@ -98,3 +101,30 @@ def test_pairs_of_blocks_meet_once_and_blocks_are_bounded(spark, monkeypatch):
     # Ranges that begin or end with a subject's own block: no two blocks are compared twice.
     plan = Q._pairs(subjects, 1.0)._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(block" in plan and "sequence(0, block" in plan
+
+
+def _pages(spark, n):
+    return spark.range(0, n, 1, 1).select(F.col("id").alias("page"), F.concat(F.lit('<div class="page"><span class="total">共 2 条信息 / 共 3 页</span></div><a class="app-article-item" href="/content/'), F.col("id").cast("string"), F.lit('"><p class="app-article-title">t</p></a>')).alias("html"))
+
+
+def test_pages_are_dealt_and_their_elements_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(listings, "ELEMENTS_AT_ONCE", 7, raising=False)
+    pages = _pages(spark, 90)
+    assert listings.elements(pages).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    found, totals = listings.search_candidates(pages, "http://h"), listings.county_totals(pages)
+    assert "Broadcast" not in _plan(found) and "Broadcast" not in _plan(totals)
+    assert found.count() == 90 and {tuple(r)[1:] for r in totals.collect()} == {(2, 3)}
+
+
+def test_runs_are_cut_in_slices():
+    assert list(segment._slices(["aa", "b", "cccc", "d"], 3)) == [["aa", "b"], ["cccc"], ["d"]]
+    trie = segment.Trie([("ab", 1), ("a", 5), ("b", 5)], 9)
+    runs = ["ab", "ba", "abab"]
+    assert [t for part in segment._slices(runs, 4) for t in trie.segment(part)] == trie.segment(runs)
+
+
+def test_catalog_facts_sort_one_row_of_equals_in_many_tasks(spark):
+    rows = spark.range(0, 40, 1, 1).select(F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("s"), F.concat(F.lit("e"), F.col("id").cast("string")).alias("e"))
+    found = catalogs._facts(rows, F.col("s"), [("p", F.lit("o"), "T", F.col("s"), "K", F.lit(True))], F.lit("src"), F.col("e"))
+    assert {(r.subject, r.evidence_text) for r in found.collect()} == {("s0", "e0"), ("s1", "e1"), ("s2", "e10"), ("s3", "e11")}
+    assert _plan(found).count("min_by(") <= 4 and "RoundRobin" in _plan(found)
