@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as T
-from evidentia.plans.shared import delete, written
+from evidentia.plans.shared import delete, small_batches, written
 
 #: Words of a dictionary: the bound of what is sent to workers. The most frequent ones stay.
 DICTIONARY_WORDS = 500_000
 #: The unit of costs: ln(total / frequency) in millionths, so that sums are whole numbers and ties are ties.
 COST = 1_000_000
+#: Characters whose paths are sought at a time: arrays over them are some hundred bytes a character.
+SLICE_CHARS = 1 << 18
 _HAN_PART = re.compile(f"({T.HAN}+)")
 _NONE = np.int64(1) << 60
 
@@ -136,6 +138,19 @@ def _trie(held: Broadcast) -> Trie:
     return Trie(*held.value)
 
 
+def _slices(runs: list[str], chars: int) -> Iterator[list[str]]:
+    """Runs in order, in parts of at most ``chars`` characters, or one longer run."""
+    part, size = [], 0
+    for run in runs:
+        if part and size + len(run) > chars:
+            yield part
+            part, size = [], 0
+        part.append(run)
+        size += len(run)
+    if part:
+        yield part
+
+
 def segmenter(dictionary: DataFrame) -> Callable[[Column], Column]:
     """A column function like ``text.tokens`` that cuts Han parts of its runs into words of ``(word, freq)``.
 
@@ -143,12 +158,14 @@ def segmenter(dictionary: DataFrame) -> Callable[[Column], Column]:
     of a run is a token of its own. No unseen words are guessed: their characters stand alone.
     """
     held = dictionary.sparkSession.sparkContext.broadcast(priced(dictionary))
+    small_batches(dictionary.sparkSession)
 
     @F.pandas_udf("array<string>")
     def cut(runs: pd.Series) -> pd.Series:
         parts = [[p for run in row for p in _HAN_PART.split(run) if p] for row in runs]
-        han = sorted({p for row in parts for p in row if _HAN_PART.fullmatch(p)})
-        known = dict(zip(han, _trie(held).segment(han), strict=True))
+        han, known = sorted({p for row in parts for p in row if _HAN_PART.fullmatch(p)}), {}
+        for some in _slices(han, SLICE_CHARS):
+            known |= zip(some, _trie(held).segment(some), strict=True)
         return pd.Series([[t for p in row for t in known.get(p, (p,))] for row in parts])
 
     def tokens(text: Column) -> Column:
