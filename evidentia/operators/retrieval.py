@@ -5,11 +5,13 @@ Every operator answers a table of questions at once; one question is a table of
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,10 +113,15 @@ def l2_normalised(vector: Column) -> Column:
     return F.when(length > 0, F.transform(vector, lambda x: (x / length).cast("float"))).otherwise(F.transform(vector, lambda x: x.cast("float")))
 
 
-_MODELS: dict[str, Callable] = {}
+_MODELS: dict[tuple[str, str], Callable] = {}
 
 
-def loaded(load: Callable[[], Callable], name: str) -> Callable:
+def _of(load: Callable[[], Callable], name: str) -> tuple[str, str]:
+    """What a worker knows a model by: workers outlive a query, and another ``load`` may have the same name."""
+    return name, hashlib.sha256(CloudPickleSerializer().dumps(load)).hexdigest()
+
+
+def loaded(load: Callable[[], Callable], name: tuple[str, str]) -> Callable:
     """What ``load`` gives, loaded once by each worker process under a name."""
     if name not in _MODELS:
         _MODELS[name] = load()
@@ -138,6 +145,8 @@ def encoder(load: Callable[[], Callable], name: str, normalise: bool = True, at_
     ``load`` makes the model; only ``load`` itself is sent to workers, and each calls it once for all its tasks and batches.
     """
 
+    name = _of(load, name)
+
     @F.pandas_udf("array<float>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -152,6 +161,8 @@ def encoder(load: Callable[[], Callable], name: str, normalise: bool = True, at_
 def pair_scorer(load: Callable[[], Callable], name: str, at_once: int = 64) -> Callable[[Column, Column], Column]:
     """A column function of (question, text) from a batch model ``list of pairs -> list of scores``, loaded as by ``encoder``: the seam for any reranker."""
 
+    name = _of(load, name)
+
     @F.pandas_udf("double")
     def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for questions, texts in batches:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from evidentia.functions import segment
 from evidentia.operators import catalogs
 from evidentia.operators import graph as G
+from evidentia.operators import names
 from evidentia.operators import qa as Q
 from evidentia.operators import retrieval as R
 from evidentia.operators.index import Index
@@ -128,3 +129,21 @@ def test_catalog_facts_sort_one_row_of_equals_in_many_tasks(spark):
     found = catalogs._facts(rows, F.col("s"), [("p", F.lit("o"), "T", F.col("s"), "K", F.lit(True))], F.lit("src"), F.col("e"))
     assert {(r.subject, r.evidence_text) for r in found.collect()} == {("s0", "e0"), ("s1", "e1"), ("s2", "e10"), ("s3", "e11")}
     assert _plan(found).count("min_by(") <= 4 and "RoundRobin" in _plan(found)
+
+
+def test_few_windows_pass_the_table_by_chance(spark):
+    n = 1_000_000
+    stored = spark.range(n).select(F.concat(F.lit("#"), (F.col("id") + 1_000_000).cast("string")).alias("name"))
+    texts = spark.range(40).select(F.concat(F.lit("x#1000007 "), *(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"-{i}")), 256) for i in range(20))).alias("text"))
+    found = [r[0] for r in texts.select(names.finder(stored)(F.col("text"))).collect()]
+    assert all("#1000007" in f for f in found)
+    # A million names: of 1,283 windows a text one in sixteen finds its first bit by chance, few both.
+    assert sum(map(len, found)) - 40 < 40 * 1283 * 0.01
+    assert names.table_bits(0) == names.LEAST_BITS and names.table_bits(1 << 40) == names.MOST_BITS
+
+
+def test_models_of_one_name_stay_apart(spark):
+    texts = spark.createDataFrame([("ab",)], "text string").coalesce(1)
+    for letters in ("ab", "abc"):
+        load = lambda letters=letters: lambda rows: [[t.count(c) for c in letters] for t in rows]
+        assert len(texts.select(R.encoder(load, "same")(F.col("text"))).first()[0]) == len(letters)
