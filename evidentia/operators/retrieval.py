@@ -107,10 +107,16 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int | None = 5, id_col: str
     return top_k(vectors, queries, k, id_col, vector_col, qid_col, query_col)
 
 
+def once(column: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(column)``, with the column evaluated once however often it is used: Spark repeats an expression in each lambda, for each element."""
+    return F.transform(F.array(column), use)[0]
+
+
 def l2_normalised(vector: Column) -> Column:
     """The vector over its length, as floats; a zero vector stays."""
-    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return F.when(length > 0, F.transform(vector, lambda x: (x / length).cast("float"))).otherwise(F.transform(vector, lambda x: x.cast("float")))
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    over = lambda v, n: F.when(n > 0, F.transform(v, lambda x: (x / n).cast("float"))).otherwise(F.transform(v, lambda x: x.cast("float")))
+    return once(vector, lambda v: once(length(v), lambda n: over(v, n)))
 
 
 _MODELS: dict[tuple[str, str], Callable] = {}

@@ -11,6 +11,7 @@ from evidentia.operators import names
 from evidentia.operators import qa as Q
 from evidentia.operators import retrieval as R
 from evidentia.operators.index import Index
+from evidentia.plans import modes
 from evidentia.sources import listings
 
 
@@ -147,3 +148,13 @@ def test_models_of_one_name_stay_apart(spark):
     for letters in ("ab", "abc"):
         load = lambda letters=letters: lambda rows: [[t.count(c) for c in letters] for t in rows]
         assert len(texts.select(R.encoder(load, "same")(F.col("text"))).first()[0]) == len(letters)
+
+
+def test_a_vector_is_evaluated_once_however_often_it_is_used(spark):
+    texts = spark.createDataFrame([("Tea on a sea",), ("",), (None,)], "text string")
+    found = texts.select(modes.encode(F.col("text")).alias("v"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # One for each letter at most: not again for each element, nor for each use of the length.
+    assert plan.count("lower(") == 1 and plan.count("replace(") == 8
+    rows = [[round(x, 6) for x in r.v] for r in found.collect()]
+    assert rows == [[round(n / 17**0.5, 6) for n in (3, 2, 0, 1, 1, 0, 1, 1)], [0.0] * 8, [0.0] * 8]
