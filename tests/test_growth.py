@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from evidentia.functions import segment
@@ -158,3 +159,33 @@ def test_a_vector_is_evaluated_once_however_often_it_is_used(spark):
     assert plan.count("lower(") == 1 and plan.count("replace(") == 8
     rows = [[round(x, 6) for x in r.v] for r in found.collect()]
     assert rows == [[round(n / 17**0.5, 6) for n in (3, 2, 0, 1, 1, 0, 1, 1)], [0.0] * 8, [0.0] * 8]
+
+
+def _shuffled(spark):
+    """Bytes shuffled so far."""
+    store, jvm = spark._jsc.sc().statusStore(), spark._jvm
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_dense_search_shuffles_rows_not_pairs(spark, monkeypatch):
+    monkeypatch.setattr("evidentia.operators.dense.LEAST_ROWS", 16)
+    rng, took = np.random.default_rng(5), []
+    for n in (1000, 4000):
+        x = rng.normal(size=(n, 32)).astype(np.float32)
+        vectors = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+        before = _shuffled(spark)
+        found = R.dense(vectors, vectors.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query")), 3).collect()
+        took.append(_shuffled(spark) - before)
+        assert len(found) == 3 * n and {r.id for r in found if r["rank"] == 1 and r.qid < 9} == {int((x.astype(float) @ x[i].astype(float)).argmax()) for i in range(9)}
+    # Without clusters each block meets each query, and yet a vector is sent a few times only.
+    assert 0 < took[1] < 6 * took[0] and took[1] < 4000 * 32 * 4 * 12
+
+
+def test_equal_vectors_keep_the_least_ids(spark, monkeypatch):
+    monkeypatch.setattr("evidentia.operators.dense.LEAST_ROWS", 16)
+    vectors = spark.range(3000).select(F.format_string("v%04d", F.lit(2999) - F.col("id")).alias("vec_id"), F.array(F.lit(0.6), F.lit(0.8), F.when(F.col("id") < 2000, 0.1).otherwise(F.rand(1) * 0.09)).cast("array<float>").alias("embedding"))
+    asked = spark.createDataFrame([(i, [1.0, 1.0, 1.0]) for i in range(300)], "qid int, query array<double>")
+    found = R.dense(vectors, asked, 4).collect()
+    assert len(found) == 1200 and {(r.id, r["rank"]) for r in found} == {(f"v{1000 + i}", i + 1) for i in range(4)}
