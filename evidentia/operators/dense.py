@@ -150,6 +150,33 @@ class _Asked:
         return pa.RecordBatch.from_arrays([self.ids.take(pa.array(row)), ids, pa.array(score)], names=["qid", "id", "score"])
 
 
+def _ranked(found: DataFrame, k: int | None) -> DataFrame:
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))))
+    return best if k is None else best.filter(F.col("rank") <= k)
+
+
+def _scanned(rows: DataFrame, asked: DataFrame, k: int, asked_kind: str, kind: str) -> DataFrame:
+    """``(qid, id, score)`` with the k best rows of each query in each task: every task meets all queries, which are sent to workers."""
+    spark, qid, vid = rows.sparkSession, asked.schema["id"].dataType.simpleString(), rows.schema["id"].dataType.simpleString()
+    told = asked.collect()
+    held = spark.sparkContext.broadcast(([r.id for r in told], np.array([r.v for r in told], asked_kind)))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = held.value
+        met = _Asked(pa.array(ids, _ARROW[qid]), q, np.full(len(ids), -np.inf), k)
+        for batch in batches:
+            if len(batch):
+                order = pc.sort_indices(batch.column(0))
+                x = np.concatenate(_matrix(batch.column(1))).reshape(len(batch), -1).astype(kind)[order.to_numpy()]
+                centre = x.astype(float).mean(0)
+                radius = float(np.sqrt(((x.astype(float) - centre) ** 2).sum(1).max()))
+                yield from met.meet(batch.column(0).take(order), x, centre, radius)
+                met.settle()
+        yield from met.best()
+
+    return rows.mapInArrow(scan, f"qid {qid}, id {vid}, score double")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int | None, id_col: str, vector_col: str, qid_col: str, query_col: str) -> DataFrame:
     """``(qid, id, score, rank)``: the k largest inner products (all if None) for each query, ties by id.
 
@@ -158,23 +185,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int | None, id_col: str, ve
     queries, one a task, meet all blocks, which are read again for each group and not shuffled by pair: a task keeps the k
     best rows of each of its queries, whose last raises the floor, and blocks whose bounds are below the floors of all are skipped. So what is
     shuffled and written grows with the rows; the products grow with the pairs that no bound excludes. What workers and driver hold of all vectors are
-    pivots and centres. Null vectors have no rows; all others have one length. Ids are taken as unique.
+    pivots and centres. LEAST_ROWS queries, or no more than there would be pivots, meet all vectors where these lie: to find a row's pivot
+    would cost as many products as its scores. Null vectors have no rows; all others have one length. Ids are taken as unique.
     """
     spark = vectors.sparkSession
     small_batches(spark)
     wide = lambda df, column: "float" if df.schema[column].dataType.simpleString() == "array<float>" else "double"
     kinds, asked_kind = {"float": "f4", "double": "f8"}[wide(vectors, vector_col)], {"float": "f4", "double": "f8"}[wide(queries, query_col)]
-    rows = written(vectors.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{wide(vectors, vector_col)}>").alias("v")), "vectors")
-    asked = written(queries.filter(F.col(query_col).isNotNull()).select(F.col(qid_col).alias("id"), F.col(query_col).cast(f"array<{wide(queries, query_col)}>").alias("v")), "asked")
+    # Written before nulls go: a filter moves below what makes the vectors, and an encoder would run twice for each row.
+    made = written(vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{wide(vectors, vector_col)}>").alias("v")), "vectors")
+    put = written(queries.select(F.col(qid_col).alias("id"), F.col(query_col).cast(f"array<{wide(queries, query_col)}>").alias("v")), "asked")
+    rows, asked = made.filter("v is not null"), put.filter("v is not null")
     qid, vid = asked.schema["id"].dataType.simpleString(), rows.schema["id"].dataType.simpleString()
     n, n_asked = rows.count(), asked.count()
+    if not n or not n_asked:
+        return spark.createDataFrame([], f"qid {qid}, id {vid}, score double, rank int")
     size = min(MOST_ROWS, max(LEAST_ROWS, math.isqrt(n)))
+    if k is not None and n_asked <= max(LEAST_ROWS, -(-n // size)):
+        return _ranked(_scanned(rows, asked, k, asked_kind, kinds), k)
     picked = rows.orderBy(F.xxhash64("id"), "id").limit(-(-n // size)).select("v").collect()
-    if not picked or not n_asked:
-        return spark.createDataFrame([], f"qid {qid}, id {vid}, score double, rank int")
     pivots = np.array([r.v for r in picked], float)
     data = Blocks(rows, pivots, size, kinds)
-    delete(rows)
+    delete(made)
     held = spark.sparkContext.broadcast(data.bounds())
     group = {"ids": pa.list_(_ARROW[qid]), "data": pa.binary()}
     key = pa.struct([("cell", pa.int32()), ("part", pa.int32())])
@@ -262,8 +294,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int | None, id_col: str, ve
     ask = ask.select(F.monotonically_increasing_id().alias("number"), "*")
     blocks = data.table.select("ids", "data", "centre", "radius").mapInArrow(runs, f"sizes array<int>, others array<{vid}>, x binary, centres array<double>, radii array<double>").repartition(parts)
     found = blocks.hint("shuffle_replicate_nl").crossJoin(ask).mapInArrow(score, f"qid {qid}, id {vid}, score double")
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))))
-    return best if k is None else best.filter(F.col("rank") <= k)
+    return _ranked(found, k)
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8(), "string": pa.string()}

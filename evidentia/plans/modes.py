@@ -20,8 +20,9 @@ ALL_MODES = ("vector-only", "bm25-only", "graph-only", "hybrid", "vector-only+re
 
 def encode(text: Column) -> Column:
     """A deterministic stand-in for an encoder: how often each of LETTERS stands in the text, normalised."""
-    counts = lambda low, n: F.array(*((n - F.length(F.replace(low, F.lit(c), F.lit("")))).cast("double") for c in LETTERS))
-    return R.l2_normalised(R.once(F.lower(F.coalesce(text, F.lit(""))), lambda low: R.once(F.length(low), lambda n: counts(low, n))))
+    # LETTERS have a byte each.
+    counts = lambda low, n: F.array(*((n - F.octet_length(F.replace(low, F.lit(c), F.lit("")))).cast("double") for c in LETTERS))
+    return R.l2_normalised(R.once(F.lower(F.coalesce(text, F.lit(""))), lambda low: R.once(F.octet_length(low), lambda n: counts(low, n))))
 
 
 def score_pair(question: Column, text: Column) -> Column:

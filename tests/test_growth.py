@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from evidentia.functions import segment
@@ -189,3 +190,38 @@ def test_equal_vectors_keep_the_least_ids(spark, monkeypatch):
     asked = spark.createDataFrame([(i, [1.0, 1.0, 1.0]) for i in range(300)], "qid int, query array<double>")
     found = R.dense(vectors, asked, 4).collect()
     assert len(found) == 1200 and {(r.id, r["rank"]) for r in found} == {(f"v{1000 + i}", i + 1) for i in range(4)}
+
+
+def test_a_search_encodes_each_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<float>")
+    def encode(texts: pd.Series) -> pd.Series:
+        seen.add(len(texts))
+        return texts.map(lambda t: [float(t.count(c)) for c in "123"] if t else None)
+
+    texts = spark.range(300).select(F.col("id").alias("vec_id"), F.when(F.col("id") != 7, F.col("id").cast("string")).alias("text"))
+    asked = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "qid int, query array<double>")
+    found = R.dense(texts.select("vec_id", encode("text").alias("embedding")), asked, 3).collect()
+    assert [(r.id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(111, 3.0), (11, 2.0), (101, 2.0)]
+    assert seen.value == 300
+    letters = texts.select("vec_id", modes.encode(F.col("text")).alias("embedding"))
+    assert R.dense(letters, spark.createDataFrame([(1, [1.0] * 8)], "qid int, query array<double>"), 2).count() == 2
+
+
+def test_few_queries_meet_vectors_where_these_lie(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 32)).astype(np.float32)
+    x[4000:] = x[:2000]  # equal scores: the least ids count
+    q = rng.normal(size=(40, 32))
+    vectors = spark.createDataFrame([(f"v{i:04d}", v) for i, v in enumerate(x.tolist())], "vec_id string, embedding array<float>").repartition(7)
+    asked = spark.createDataFrame(list(enumerate(q.tolist())), "qid int, query array<double>")
+    vectors = spark.createDataFrame(vectors.collect(), vectors.schema)
+    before = _shuffled(spark)
+    found = {(r.qid, r["rank"]): (r.id, r.score) for r in R.dense(vectors, asked, 5).collect()}
+    # 768,000 bytes of vectors stay where they are; each task's five best of a query are shuffled.
+    assert _shuffled(spark) - before < 100_000
+    scores = np.round(q @ x.astype(float).T, 6)
+    for i in range(40):
+        best = sorted(range(6000), key=lambda j: (-scores[i, j], j))[:5]
+        assert [found[i, r] for r in range(1, 6)] == [(f"v{j:04d}", scores[i, j]) for j in best]
