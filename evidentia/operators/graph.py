@@ -65,20 +65,50 @@ def khop(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     """``(qid, node, distance)`` of all nodes within ``hops`` undirected steps of a question's seeds: all searches at once.
 
     Questions are numbered, and a node has the set of those that have reached it as 64-bit words, a row for each word that isn't zero. A hop
-    passes words over edges and combines them by bits, before the shuffle too; questions that meet at a node travel on together. Bits that were there before are not new.
+    passes words over edges and combines them by bits; questions that meet at a node travel on together. Bits that were there before are not new. What
+    the last hop reaches isn't written, as nothing but the result reads it.
     """
+    seeds = written(seeds.select("qid", "node").distinct(), "seeds")
     both = written(edges.select("u", "v").union(edges.select("v", "u")).distinct(), "steps")
     asked = _numbered(seeds, both)
-    words = seeds.join(counted(asked), "qid").groupBy("node", F.expr("number div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(number % 64 as int))")).alias("bits"))
+    word, bit = F.expr("number div 64").alias("word"), F.expr("cast(number % 64 as int)").alias("bit")
+    words = seeds.join(counted(asked), "qid").groupBy("node", word).agg(F.bit_or(F.expr("shiftleft(1L, cast(number % 64 as int))")).alias("bits"))
     visited = frontier = written(words.withColumn("distance", F.lit(0)), "khop")
     for step in range(1, hops + 1):
-        grown = frontier.join(both, F.col("node") == F.col("u")).groupBy(F.col("v").alias("node"), "word").agg(F.bit_or("bits").alias("bits"))
-        seen = visited.groupBy("node", "word").agg(F.bit_or("bits").alias("seen"))
-        fresh = grown.join(seen, ["node", "word"], "left").select("node", "word", F.expr("bits & ~coalesce(seen, 0L)").alias("bits"), F.lit(step).alias("distance"))
-        frontier = written(fresh.filter("bits <> 0"), "khop")
+        fresh = _fresh(frontier, visited, both).withColumn("distance", F.lit(step))
+        frontier = written(fresh, "khop") if step < hops else fresh
         visited = visited.union(frontier)
-    numbers = F.expr("transform(filter(sequence(0, 63), b -> (shiftrightunsigned(bits, b) & 1L) = 1L), b -> word * 64 + b)")
-    return visited.select("node", "distance", F.explode(numbers).alias("number")).join(counted(asked), "number").select("qid", "node", "distance")
+    members = asked.groupBy(word).agg(F.collect_list(F.struct(bit, "qid")).alias("members"))
+    told = visited.join(counted(members), "word").select("node", "distance", "bits", F.inline("members"))
+    return told.filter("shiftrightunsigned(bits, bit) & 1L = 1L").select("qid", "node", "distance")
+
+
+#: Words that pass an edge for each edge of the graph, from which on they are combined where the edges lie.
+WORDS_AN_EDGE = 2
+#: Words that a task passes over its edges.
+WORDS_A_TASK = 1 << 20
+
+
+def _fresh(frontier: DataFrame, visited: DataFrame, both: DataFrame) -> DataFrame:
+    """``(node, word, bits)``: the questions that reach a node by one step from the frontier, and have not been there.
+
+    Where hubs send many words over each edge, the edges are dealt by the node they lead to and meet the frontier there, so edges are shuffled and
+    not what passes them. Nodes that the same hubs reach follow each other, as they have the same questions, which a file then holds in less room.
+    """
+    sent = both.groupBy("u").agg(F.count("*").alias("n")).join(frontier.select(F.col("node").alias("u")), "u")
+    passed = sent.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    few = counted(frontier.select(F.col("node").alias("u"), F.col("word").alias("w"), "bits"))
+    if passed <= WORDS_AN_EDGE * both.count():
+        grown = both.join(few, "u").groupBy(F.col("v").alias("node"), F.col("w").alias("word")).agg(F.bit_or("bits").alias("bits"))
+        seen = visited.groupBy("node", "word").agg(F.bit_or("bits").alias("seen"))
+        return grown.join(seen, ["node", "word"], "left").select("node", "word", F.expr("bits & ~coalesce(seen, 0L)").alias("bits")).filter("bits <> 0")
+    none = F.lit(None)
+    steps = both.join(counted(few.select("u").distinct()), "u", "left_semi").select(F.col("v").alias("node"), "u", none.cast("long").alias("word"), none.cast("long").alias("seen"))
+    dealt = steps.union(visited.select("node", none.cast("string"), "word", "bits")).repartition(max(both.sparkSession.sparkContext.defaultParallelism, -(-passed // WORDS_A_TASK)), "node")
+    met = dealt.withColumn("kin", F.bit_xor(F.xxhash64("u")).over(Window.partitionBy("node"))).join(few, "u", "left").filter("bits is not null or seen is not null")
+    grown = met.groupBy("node", F.coalesce("w", "word").alias("word")).agg(F.bit_or("bits").alias("bits"), F.bit_or("seen").alias("seen"), F.max("kin").alias("kin"))
+    grown = grown.select("node", "word", F.expr("bits & ~coalesce(seen, 0L)").alias("bits"), "kin").filter("bits <> 0")
+    return grown.sortWithinPartitions("kin", "node", "word").drop("kin")
 
 
 def _numbered(seeds: DataFrame, both: DataFrame) -> DataFrame:

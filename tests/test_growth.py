@@ -64,6 +64,21 @@ def test_questions_of_one_neighbourhood_share_words(spark, monkeypatch):
     assert rows["khop"] < 2 * (400 + 256) + 600
 
 
+def test_hubs_pass_words_where_their_edges_lie(spark, tmp_path):
+    """Edges are shuffled, not the words of all questions over each of them."""
+    n, people = 2048, 6000
+    edges = spark.range(n + people).select(F.concat(F.lit("x"), F.col("id").cast("string")).alias("u"), F.concat(F.lit("place"), (F.col("id") % 2).cast("string")).alias("v"))
+    seeds = spark.range(n).select(F.col("id").alias("qid"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("node"))
+    before = _shuffled(spark)
+    G.khop(seeds, edges, 2).write.parquet(f"file://{tmp_path}/found")
+    # 16 words or more over each of 8,048 edges are 128,768 rows.
+    assert _shuffled(spark) - before < 8_048 * 100
+    odd = F.coalesce(F.expr("try_cast(substr(node, 2) as int)"), F.expr("cast(substr(node, 6) as int)")) % 2
+    found = spark.read.parquet(f"file://{tmp_path}/found").groupBy("qid", "distance").agg(F.count("*").alias("n"), F.count_distinct("node").alias("nodes"), F.sum(odd).alias("odd")).collect()
+    want = {(q, d): (c, c, c * (q % 2)) for q in range(n) for d, c in enumerate((1, 1, (n + people) // 2 - 1))}
+    assert {(r.qid, r.distance): (r.n, r.nodes, r.odd) for r in found} == want
+
+
 def test_graph_retrieval_scores_few_of_a_hub(spark, monkeypatch):
     questions, entities, facts, sources = _star(spark, 2, 2000)
     rows = _counting(monkeypatch)
