@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,17 +145,17 @@ def graph_retrieve(questions: DataFrame, entities: DataFrame, facts: DataFrame,
     comes first, in the order of the question; ties by fact id.
 
     Facts are scored by kinds (an end, a relation, a confidence), nearest first, and only those whose bound reaches the k-th score of the question so far,
-    or the first of an asked relation; a question that nothing farther can change takes no further step. So hubs cost their number of kinds.
+    or the first of an asked relation; a question that nothing farther can change takes no further step. Facts of a kind whose texts have the same
+    characters of questions score alike and are scored as one, of which the first k by id count. So hubs cost their number of such groups.
     """
     entities = written(entities.select("name", "type", "aliases"), "entities")
-    edges = written(build_graph(entities, facts, sources)[1].select("u", "v", "fact_id"), "edges")
-    both = edges.select("u", "v").union(edges.select("v", "u"))
-    sure = F.coalesce(*(F.when(F.col("confidence") == c, F.lit(x)) for c, x in CONFIDENCE.items()), F.lit(0.5))
-    text = F.concat("subject", F.lit(" — "), "predicate", F.lit(" — "), "object")
-    ends = edges.select(F.col("u").alias("node"), "fact_id").union(edges.select("v", "fact_id")).distinct()
-    touched = written(ends.join(facts.select("fact_id", "predicate", sure.alias("sure"), text.alias("text")), "fact_id"), "touched")
-    kinds = written(touched.groupBy("node", "predicate", "sure").agg(F.count("*").alias("n")), "kinds")
-    asks = _asks(questions, touched, cues)
+    asked = counted(questions.select("qid", "question", characters(F.col("question")).alias("own")))
+    letters = sorted(r[0] for r in asked.select(F.explode("own")).distinct().collect())
+    told = _told(facts, sources, letters)
+    both = reduce(DataFrame.union, (told.select(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in ("uv", "vu", "uw", "wu"))).filter("u is not null and v is not null")
+    alike = _alike(told, k)
+    kinds = written(alike.groupBy("node", "predicate", "sure").agg(F.sum("n").alias("n")), "kinds")
+    asks = _asks(asked, alike, letters, cues)
     order = [F.desc("score"), F.asc("fact_id")]
     best = frontier = visited = None
     for distance in range(hops + 2):
@@ -166,19 +168,19 @@ def graph_retrieve(questions: DataFrame, entities: DataFrame, facts: DataFrame,
             visited = visited.union(frontier)
         near = frontier.join(kinds, "node").join(asks.select("qid", "predicate", "bonus", "cued", "share"), ["qid", "predicate"])
         near = written(near.select("qid", "node", "predicate", "sure", "n", "cued", _bound(distance, F.col("sure")).alias("most")), "near")
-        # First the kinds that may score best and have rows enough, then all whose bound reaches what was found.
-        turn = Window.partitionBy("qid", "predicate").orderBy(F.desc("most"), "node", "sure")
-        sooner = F.coalesce(F.sum("n").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        first = counted(near.withColumn("sooner", sooner).filter(F.col("sooner") < ENDS * k).drop("sooner"))
-        best = _kept(best, first, touched, asks, distance, k, order)
+        # First the kinds that may score best and have rows enough, of a question and of each relation it asks for; then all whose bound reaches what was found.
+        sooner = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(F.desc("most"), "node", "predicate", "sure").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        turns = near.withColumns({"any": sooner("qid"), "own": sooner("qid", "predicate")})
+        first = counted(turns.filter((F.col("any") < ENDS * k) | (F.col("cued") & (F.col("own") < ENDS * k))).select("qid", "node", "predicate", "sure"))
+        best = _kept(best, first, alike, asks, distance, k, order)
         floors = _floors(best, asks, k)
-        rest = near.join(first.select("qid", "node", "predicate", "sure"), ["qid", "node", "predicate", "sure"], "left_anti")
+        rest = near.join(first, ["qid", "node", "predicate", "sure"], "left_anti")
         rest = rest.join(floors, ["qid", "predicate"]).filter(F.col("most") >= F.col("least"))
-        best = _kept(best, rest, touched, asks, distance, k, order)
+        best = _kept(best, rest, alike, asks, distance, k, order)
         floors = _floors(best, asks, k)
     titles = sources.select(F.col("source_id").alias("evidence_source_id"), F.col("title").alias("source_title"))
-    told = facts.select("fact_id", "evidence_source_id", F.col("evidence_url").alias("source_url"), "confidence", text.alias("text"))
-    met = counted(best).join(told, "fact_id").join(counted(questions.select("qid", "question")), "qid").join(titles, "evidence_source_id", "left")
+    rows = facts.select("fact_id", "evidence_source_id", F.col("evidence_url").alias("source_url"), "confidence", _text().alias("text"))
+    met = counted(best).join(rows, "fact_id").join(counted(questions.select("qid", "question")), "qid").join(titles, "evidence_source_id", "left")
     scored = met.withColumns({"cue": cue_rank(F.col("question"), F.col("predicate"), cues), "source_title": F.coalesce("source_title", "evidence_source_id")})
     return select_graph(scored, k)
 
@@ -194,24 +196,69 @@ def _bound(distance: int, sure: Column) -> Column:
     return F.least(F.lit(1.0), F.lit(0.5 / (1 + distance)) + 0.3 * sure + 0.2 * F.col("share") + F.col("bonus"))
 
 
-def _asks(questions: DataFrame, touched: DataFrame, cues: dict) -> DataFrame:
-    """``(qid, predicate, own, bonus, cued, share)``: each question with each relation, its word characters, and the greatest share of them that a text of the relation may have."""
-    chars = F.array_distinct(F.split("text", ""))
-    every = touched.groupBy("predicate").agg(F.max(F.size(chars)).alias("size"))
-    letters = touched.select("predicate", F.explode(chars).alias("c")).distinct().groupBy("predicate").agg(F.collect_set("c").alias("letters"))
-    asked = counted(questions.select("qid", "question", characters(F.col("question")).alias("own")))
-    met = asked.crossJoin(F.broadcast(every.join(letters, "predicate")))
-    share = F.least(F.col("size"), F.size(F.array_intersect("own", "letters"))) / F.greatest(F.size("own"), F.lit(1))
+def _text() -> Column:
+    """A fact as a text."""
+    return F.concat("subject", F.lit(" — "), "predicate", F.lit(" — "), "object")
+
+
+def _marks(chars: str, letters: list[str]) -> Column:
+    """The letters among the characters of an array column, a bit for each, 64 to a word. Letters are word characters, so they stand in SQL as they are."""
+    parts = ["".join(letters[i : i + 64]) for i in range(0, len(letters), 64)]
+    word = "aggregate(array_intersect({0}, split('{1}', '')), 0L, (bits, c) -> bits | shiftleft(1L, greatest(instr('{1}', c) - 1, 0)))"
+    return F.array(*(F.expr(word.format(chars, part)) for part in parts)).cast("array<bigint>")
+
+
+def _shared(a: str, b: str) -> Column:
+    """How many letters two columns of ``_marks`` share."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, x: n + x)
+
+
+def _told(facts: DataFrame, sources: DataFrame, letters: list[str]) -> DataFrame:
+    """``(fact_id, predicate, marks, u, v, w, sure)``: each fact once, with the letters of its text, the nodes of subject and object and that of its source if it is registered."""
+    sure = F.coalesce(*(F.when(F.col("confidence") == c, F.lit(x)) for c, x in CONFIDENCE.items()), F.lit(0.5))
+    node = lambda kind, name: ids.entity_node_id(F.col(kind), F.col(name))
+    ends = {"u": node("subject_type", "subject_name"), "v": node("object_type", "object_name"), "w": F.concat(F.lit("source:"), "source")}
+    known = sources.select(F.col("source_id").alias("evidence_source_id"), F.col("source_id").alias("source")).distinct()
+    met = facts.join(known, "evidence_source_id", "left").withColumn("chars", F.array_distinct(F.split(_text(), "")))
+    rows = met.select("fact_id", "predicate", _marks("chars", letters).alias("marks"), *(c.alias(name) for name, c in ends.items()), sure.alias("sure"))
+    return written(rows.groupBy("fact_id", "predicate", "marks", *ends).agg(F.max("sure").alias("sure")), "told")
+
+
+def _alike(told: DataFrame, k: int) -> DataFrame:
+    """``(node, predicate, sure, marks, ids, n)``: facts that touch a node and that no question can tell apart but by id; the first k ids."""
+    touched = told.select(F.explode(F.array_distinct(F.array_compact(F.array("u", "v", "w")))).alias("node"), "predicate", "sure", "marks", "fact_id")
+    by = ["node", "predicate", "sure", "marks"]
+    first = ranked(touched, k, by, F.asc("fact_id")).groupBy(*by).agg(F.collect_set("fact_id").alias("ids"))
+    return written(first.withColumn("n", F.size("ids")), "alike")
+
+
+def _asks(asked: DataFrame, alike: DataFrame, letters: list[str], cues: dict) -> DataFrame:
+    """``(qid, predicate, own, size, bonus, cued, share)``: each question with each relation, its letters, and the greatest share of them that a text of the relation may have."""
+    words = range(-(-len(letters) // 64))
+    bits = alike.groupBy("predicate", "marks").agg(F.lit(1).alias("one")).select("predicate", "marks", F.aggregate("marks", F.lit(0), lambda n, x: n + F.bit_count(x)).alias("size"))
+    every = bits.groupBy("predicate").agg(F.max("size").alias("most"), F.array(*(F.bit_or(F.col("marks")[i]) for i in words)).cast("array<bigint>").alias("marks"))
+    met = asked.select("qid", "question", _marks("own", letters).alias("bits"), F.size("own").alias("size")).crossJoin(F.broadcast(every))
+    share = F.least(F.col("most"), _shared("bits", "marks")) / F.greatest(F.col("size"), F.lit(1))
     question, predicate = F.col("question"), F.col("predicate")
-    return counted(met.select("qid", "predicate", "own", predicate_bonus(question, predicate, cues).alias("bonus"), cue_rank(question, predicate, cues).isNotNull().alias("cued"), share.alias("share")))
+    return counted(met.select("qid", "predicate", F.col("bits").alias("own"), "size", predicate_bonus(question, predicate, cues).alias("bonus"), cue_rank(question, predicate, cues).isNotNull().alias("cued"), share.alias("share")))
+
 
+def _kept(best: DataFrame | None, chosen: DataFrame, alike: DataFrame, asks: DataFrame, distance: int, k: int, order: list[Column]) -> DataFrame:
+    """``best`` with the facts of the chosen kinds (qid, node, predicate, sure), scored: of each question and relation the first k.
 
-def _kept(best: DataFrame | None, chosen: DataFrame, touched: DataFrame, asks: DataFrame, distance: int, k: int, order: list[Column]) -> DataFrame:
-    """``best`` with the facts of the chosen kinds (qid, node, predicate, sure), scored: of each question and relation the first k."""
-    met = touched.join(counted(chosen.select("qid", "node", "predicate", "sure")), ["node", "predicate", "sure"]).join(asks.select("qid", "predicate", "own", "bonus"), ["qid", "predicate"])
-    shared = F.size(F.filter("own", lambda c: F.contains(F.col("text"), c))) / F.greatest(F.size("own"), F.lit(1))
-    score = F.round(F.least(F.lit(1.0), F.lit(0.5 / (1 + distance)) + 0.3 * F.col("sure") + 0.2 * shared + F.col("bonus")), DIGITS)
-    scored = met.select("qid", "predicate", "fact_id", score.alias("score"), F.lit(distance).alias("distance"))
+    How many facts have how many letters of a question tells the scores and which of them can be among the first; only the ids of those are looked at.
+    """
+    met = alike.join(counted(chosen.select("qid", "node", "predicate", "sure")), ["node", "predicate", "sure"]).join(asks.select("qid", "predicate", "own", "size", "bonus"), ["qid", "predicate"])
+    like = ["qid", "predicate", "sure", "shared"]
+    counts = met.groupBy("qid", "predicate", "sure", _shared("own", "marks").alias("shared"), "size", "bonus").agg(F.sum("n").alias("n"))
+    share = F.col("shared") / F.greatest(F.col("size"), F.lit(1))
+    score = F.round(F.least(F.lit(1.0), F.lit(0.5 / (1 + distance)) + 0.3 * F.col("sure") + 0.2 * share + F.col("bonus")), DIGITS)
+    counts = written(counts.select(*like, score.alias("score"), "n"), "scores")
+    turn = Window.partitionBy("qid", "predicate").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    sooner = counts.groupBy("qid", "predicate", "score").agg(F.sum("n").alias("n")).withColumn("sooner", F.coalesce(F.sum("n").over(turn), F.lit(0)))
+    open_ = counted(counts.join(sooner.filter(F.col("sooner") < ENDS * k).select("qid", "predicate", "score"), ["qid", "predicate", "score"]).select(*like, "score"))
+    scored = met.select("qid", "predicate", "sure", _shared("own", "marks").alias("shared"), "ids").join(open_, like)
+    scored = scored.select("qid", "predicate", F.explode("ids").alias("fact_id"), "score", F.lit(distance).alias("distance"))
     top = ranked(scored, ENDS * k, ["qid", "predicate"], *order).drop("rank")
     every = (top if best is None else top.unionByName(best)).groupBy("qid", "predicate", "fact_id").agg(F.max("score").alias("score"), F.min("distance").alias("distance"))
     return written(ranked(every, k, ["qid", "predicate"], *order).drop("rank"), "best")

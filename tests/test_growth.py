@@ -101,6 +101,26 @@ def test_graph_retrieval_scores_few_of_a_hub(spark, monkeypatch):
         assert sorted(((r.fact_id, r.distance, r.score, r["rank"]) for r in found if r.qid == qid), key=lambda r: r[3]) == want
 
 
+def test_graph_retrieval_scores_texts_with_the_same_letters_as_one(spark, monkeypatch):
+    questions, entities, facts, sources = _star(spark, 2, 4000)
+    seen = []
+
+    def ranked(df, *rest, keep=G.ranked):
+        seen.append(df.count())
+        return keep(df, *rest)
+
+    monkeypatch.setattr(G, "ranked", ranked)
+    found = G.graph_retrieve(questions, entities, facts, sources, 3, 1, {"located_in": ("where",)})
+    assert found.count() == 256 * 3
+    # Each place has 2,128 facts; a question puts few of them in order.
+    assert max(seen) < 256 * 100
+    told = spark.createDataFrame([("tea_9",), ("",), ("é9é",)], "text string").select(F.split("text", "").alias("chars"))
+    letters = sorted({*map(chr, range(0x4E00, 0x4E64)), *"aet9_é"})
+    own = F.array(*map(F.lit, ["t", "9", "é", "一"]))
+    shared = told.select(G._marks("chars", letters).alias("a"), own.alias("own")).select("a", G._marks("own", letters).alias("b")).select(G._shared("a", "b"))
+    assert [r[0] for r in shared.collect()] == [2, 0, 2]
+
+
 def test_review_sample_limits_each_kind_before_its_rows_meet(spark):
     questions = spark.range(2000).select(F.concat(F.lit("q"), F.col("id").cast("string")).alias("question_id"), F.when(F.col("id") % 3 == 0, "multi_hop").otherwise("single_fact").alias("answer_type"))
     sample = Q.review_sample(questions, "r", 30)
