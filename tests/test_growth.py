@@ -1,5 +1,6 @@
 """Steps that have to grow no faster than their input: what is shuffled, written and scored."""
 
+import hashlib
 import re
 
 import numpy as np
@@ -142,6 +143,15 @@ def test_pairs_of_blocks_meet_once_and_blocks_are_bounded(spark, monkeypatch):
     assert "sequence(block" in plan and "sequence(0, block" in plan
 
 
+def test_a_pair_only_hashes_what_is_its_own(spark):
+    rows = [(t, f"s{i}", hashlib.sha256(f"{t}\0s{i}".encode()).hexdigest()) for t in "AB" for i in range(60)]
+    pairs = Q._pairs(spark.createDataFrame(rows, "type string, s string, h string"), 0.25)
+    # The type and the left subject are joined once for a subject, not for each of its pairs.
+    assert "concat_ws" not in _plan(pairs)
+    want = {(t, a, b, o) for t, a, x in rows for u, b, y in rows if t == u and x < y and (o := hashlib.sha256(f"{t}\0{a}\0{b}".encode()).hexdigest()) < "4"}
+    assert {tuple(r) for r in pairs.collect()} == want
+
+
 def _pages(spark, n):
     return spark.range(0, n, 1, 1).select(F.col("id").alias("page"), F.concat(F.lit('<div class="page"><span class="total">共 2 条信息 / 共 3 页</span></div><a class="app-article-item" href="/content/'), F.col("id").cast("string"), F.lit('"><p class="app-article-title">t</p></a>')).alias("html"))
 
